@@ -7,6 +7,7 @@ ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
 ZWNJ = "‌"
 # Every character Python's ``\s`` matches, spelled out so Java regular expressions agree.
 WHITESPACE = "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+WHITESPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 BLANK_TOKENS = ("", "-", "—", "–", "null", "none", "nan")
 
 # Catalog sheet positions (1-based) and header names

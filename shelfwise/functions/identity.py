@@ -21,26 +21,34 @@ EXPLICIT_CODE = f"(?i)شناسه{_SPACES}کالا{_SPACES}[:：#-]?{_SPACES}{_TO
 CODE_MARK = f"(?i)(?:کد|code){_SPACES}[:：#-]?{_SPACES}{_TOKEN}"
 
 
-def clean_title(raw: Column, fallback: str = "محصول نقره") -> Column:
-    """struct(original, cleaned, code, label, applied, flag, status).
+def title_match(raw: Column) -> Column:
+    """struct(display, head, label, code) of a raw title; label and code are empty without a trailing code."""
+    display = T.title_whitespace(raw)
+    head = F.regexp_extract(display, f"^(.*?){CODE_SUFFIX}", 1)
+    return F.struct(
+        display.alias("display"),
+        F.trim(T.title_whitespace(head), F.lit(TITLE_EDGE)).alias("head"),
+        F.regexp_extract(display, CODE_SUFFIX, 1).alias("label"),
+        T.ascii_digits(F.regexp_extract(display, CODE_SUFFIX, 2)).alias("code"),
+    )
+
+
+def cleaned_title(raw: Column, match: Column, fallback: str = "محصول نقره") -> Column:
+    """struct(original, cleaned, code, label, applied, flag, status) from a ``title_match``.
 
     A labelled code of 2 to 8 digits at the end is cut off; the title never becomes empty.
     """
-    display = T.title_whitespace(raw)
-    head = T.title_whitespace(F.regexp_extract(display, f"^(.*?){CODE_SUFFIX}", 1))
-    head = F.trim(head, F.lit(TITLE_EDGE))
-    label = F.regexp_extract(display, CODE_SUFFIX, 1)
-    code = T.ascii_digits(F.regexp_extract(display, CODE_SUFFIX, 2))
+    display, head, label = match["display"], match["head"], match["label"]
+    applied = (label != "") & (head != "")
     flag = (
         F.when(display == "", "EMPTY_ORIGINAL_TITLE_FALLBACK")
         .when((label != "") & (head == ""), "TITLE_CLEANUP_WOULD_EMPTY_TITLE")
         .when((label == "") & display.rlike(TRAILING_LABEL), "TRAILING_CODE_LABEL_UNPARSED")
     )
-    applied = (label != "") & (head != "")
     return F.struct(
         T.text_or_empty(raw).alias("original"),
         F.when(display == "", fallback).when(applied, head).otherwise(display).alias("cleaned"),
-        code.alias("code"),
+        match["code"].alias("code"),
         label.alias("label"),
         applied.alias("applied"),
         flag.alias("flag"),
@@ -48,6 +56,10 @@ def clean_title(raw: Column, fallback: str = "محصول نقره") -> Column:
     )
 
 
+def clean_title(raw: Column, fallback: str = "محصول نقره") -> Column:
+    return cleaned_title(raw, title_match(raw), fallback)
+
+
 def identity_key(legacy_id: Column, code: Column) -> Column:
     """``id:code``; null when either part is empty."""
     left = T.strip(T.normalize_identity_digits(legacy_id))

@@ -24,17 +24,34 @@ def parse_decimal(value: Column, decimal_comma: bool = False) -> Column:
     return F.regexp_extract(cleaned, _FIRST_NUMBER, 0).try_cast(DECIMAL)
 
 
+# From an already parsed number. Jobs parse each cell once into a column and apply these to it.
+
+
 def positive_whole(number: Column) -> Column:
     return F.when((number > 0) & (number == F.floor(number)), number.try_cast("bigint"))
 
 
-def parse_id(value: Column) -> Column:
-    return positive_whole(parse_decimal(value))
+def positive_floor(number: Column) -> Column:
+    return F.when(number > 0, F.floor(number).try_cast("bigint"))
 
 
-def parse_active(value: Column) -> Column:
-    number = parse_decimal(value)
-    word = F.lower(T.normalize_text(value))
+def weight_in_range(number: Column) -> Column:
+    return F.when((number > 0) & (number <= K.MAX_WEIGHT_GRAMS), number.cast(WEIGHT))
+
+
+def stock_from_number(number: Column) -> Column:
+    """struct(stock, flag)."""
+    return F.struct(
+        F.when(number.isNull() | (number < 0), F.lit(0)).otherwise(F.floor(number)).try_cast("bigint").alias("stock"),
+        F.when(number.isNull(), "STOCK_MISSING_OR_INVALID")
+        .when(number < 0, "STOCK_NEGATIVE_CLAMPED_TO_ZERO")
+        .when(number != F.floor(number), "STOCK_FRACTION_FLOORED")
+        .alias("flag"),
+    )
+
+
+def active_from(number: Column, word: Column) -> Column:
+    """``word`` is the cell in lower-case normal form."""
     return (
         F.when(number == 1, True)
         .when(number == 0, False)
@@ -43,9 +60,7 @@ def parse_active(value: Column) -> Column:
     )
 
 
-def normalize_availability(value: Column) -> Column:
-    number = parse_decimal(value)
-    word = F.lower(T.normalize_text(value))
+def availability_from(number: Column, word: Column) -> Column:
     compact = F.replace(word, F.lit(" "), F.lit(""))
     return (
         F.when(number == 1, K.IN_STOCK)
@@ -57,28 +72,31 @@ def normalize_availability(value: Column) -> Column:
     )
 
 
-def positive_toman(value: Column) -> Column:
-    number = parse_decimal(value)
-    return F.when(number > 0, F.floor(number).try_cast("bigint"))
+def word(value: Column) -> Column:
+    return F.lower(T.normalize_text(value))
 
 
-def weight_in_range(number: Column) -> Column:
-    return F.when((number > 0) & (number <= K.MAX_WEIGHT_GRAMS), number.cast(WEIGHT))
+# Straight from a cell.
 
 
-def parse_weight(value: Column) -> Column:
-    return weight_in_range(parse_decimal(value, decimal_comma=True))
+def parse_id(value: Column) -> Column:
+    return positive_whole(parse_decimal(value))
 
 
-def stock_from_number(number: Column) -> Column:
-    """struct(stock, flag) from an already parsed number."""
-    return F.struct(
-        F.when(number.isNull() | (number < 0), F.lit(0)).otherwise(F.floor(number)).try_cast("bigint").alias("stock"),
-        F.when(number.isNull(), "STOCK_MISSING_OR_INVALID")
-        .when(number < 0, "STOCK_NEGATIVE_CLAMPED_TO_ZERO")
-        .when(number != F.floor(number), "STOCK_FRACTION_FLOORED")
-        .alias("flag"),
-    )
+def parse_active(value: Column) -> Column:
+    return active_from(parse_decimal(value), word(value))
+
+
+def normalize_availability(value: Column) -> Column:
+    return availability_from(parse_decimal(value), word(value))
+
+
+def positive_toman(value: Column) -> Column:
+    return positive_floor(parse_decimal(value))
+
+
+def parse_weight(value: Column) -> Column:
+    return weight_in_range(parse_decimal(value, decimal_comma=True))
 
 
 def parse_stock(value: Column) -> Column:
@@ -106,23 +124,22 @@ def joined_toman(value: Column) -> Column:
     return F.regexp_replace(T.normalize_digits(value), "[^0-9]", "").try_cast("bigint")
 
 
-def _meta_number(value: Column) -> Column:
+def meta_number(value: Column) -> Column:
+    """Number of a metadata text: thousands commas dropped, nothing else tolerated."""
     return T.ascii_digits(F.replace(T.strip(T.text_or_empty(value)), F.lit(","), F.lit(""))).try_cast(DECIMAL)
 
 
-def positive_decimal(value: Column) -> Column:
-    number = _meta_number(value)
+def positive(number: Column) -> Column:
     return F.when(number > 0, number)
 
 
-def nonnegative_toman(value: Column) -> Column:
-    """Half-up to whole Toman, null when negative or not a number."""
-    number = _meta_number(value)
+def nonnegative_whole(number: Column) -> Column:
+    """Half-up to whole Toman, null when negative or missing."""
     return F.when(number >= 0, F.round(number, 0).try_cast("bigint"))
 
 
-def whole_toman_or_zero(value: Column) -> Column:
-    return F.coalesce(F.round(_meta_number(value), 0).try_cast("bigint"), F.lit(0))
+def whole_or_zero(number: Column) -> Column:
+    return F.coalesce(F.round(number, 0).try_cast("bigint"), F.lit(0))
 
 
 def safe_int(value: Column) -> Column:

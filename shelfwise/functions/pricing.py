@@ -6,7 +6,6 @@ from pyspark.sql import Column, functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions import parsing as P, text as T
-from shelfwise.functions.classify import stone_from_title
 
 MONEY = "decimal(38,6)"
 
@@ -78,18 +77,15 @@ def import_price(mode: Column, weight: Column, stone_value: Column, legacy_price
     )
 
 
-def sheet_price(title: Column, price: Column, weight: Column) -> Column:
-    """struct(stone_class, rate_used, computed, final_price, regular_price, price_source).
+def sheet_price(stone: Column, price: Column, weight: Column) -> Column:
+    """struct(rate_used, computed, final_price, regular_price, price_source) for a stone class.
 
     ``price`` is whole Toman or null, ``weight`` grams or null; the larger of price and weight x rate wins.
     """
-    stone = stone_from_title(title)
     rate = F.when(stone == "large_stone", K.LARGE_STONE_RATE).otherwise(K.STANDARD_RATE)
     computed = F.when(price.isNotNull(), (weight.cast(P.WEIGHT) * rate.cast("decimal(7,0)")).cast(MONEY))
-    final = round_up(F.greatest(price.cast(MONEY), computed))
-    final = F.when(price.isNotNull(), final)
+    final = F.when(price.isNotNull(), round_up(F.greatest(price.cast(MONEY), computed)))
     return F.struct(
-        stone.alias("stone_class"),
         rate.cast("bigint").alias("rate_used"),
         computed.alias("computed"),
         final.alias("final_price"),

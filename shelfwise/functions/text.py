@@ -18,8 +18,8 @@ def text_or_empty(value: Column) -> Column:
 
 
 def strip(value: Column) -> Column:
-    """Remove any Unicode whitespace at both ends (``trim`` removes only U+0020)."""
-    return F.regexp_replace(value, f"^{ANY_SPACES}|{ANY_SPACES}$", "")
+    """Remove any Unicode whitespace at both ends (plain ``trim`` removes only U+0020)."""
+    return F.trim(value, F.lit(K.WHITESPACE_CHARS))
 
 
 def collapse(value: Column) -> Column:

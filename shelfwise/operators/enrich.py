@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions import identity as I, parsing as P, text as T
+from shelfwise.functions.classify import stone_from_title
 from shelfwise.functions.pricing import sheet_price
 from shelfwise.operators.keys import HOT_ROWS, lookup
+from shelfwise.operators.staging import computed
 
 # Description sentences; {shop} and {category} are filled in
 INTROS = (
@@ -50,7 +52,7 @@ def enrichment_plan(matched: DataFrame, title_fallback: str = "محصول نقر
     def stored(name: str, fallback: str) -> Column:
         return F.coalesce(F.nullif(F.col(name), F.lit("")), F.col(fallback))
 
-    base = (
+    base = computed(
         matched.withColumn("current_sku", stored("sku", "sheet_sku"))
         .withColumn(
             "source_title",
@@ -62,8 +64,9 @@ def enrichment_plan(matched: DataFrame, title_fallback: str = "محصول نقر
             ),
         )
         .withColumn("old_title", stored("public_title", "sheet_title"))
-        .withColumn("identity", I.clean_title(F.col("source_title"), title_fallback))
-        .withColumn("code", T.strip(T.normalize_identity_digits(F.col("current_sku"))))
+        .withColumn("title_match", I.title_match(F.col("source_title"))),
+        identity=I.cleaned_title(F.col("source_title"), F.col("title_match"), title_fallback),
+        code=T.strip(T.normalize_identity_digits(F.col("current_sku"))),
     )
     agreement = I.title_matches_sku(F.col("identity.code"), F.col("code"))
     flags = F.array_distinct(
@@ -118,7 +121,10 @@ def reconcile(records: DataFrame, shop: str = "") -> DataFrame:
     """
     sheet_weight, page_weight = F.col("weight"), F.col("spec_weight")
     use_page = sheet_weight.isNull() & page_weight.isNotNull()
-    redone = records.withColumn("redone", sheet_price(F.col("title"), F.col("sheet_price"), page_weight))
+    redone = computed(
+        records.withColumn("__stone", stone_from_title(F.col("title"))),
+        redone=sheet_price(F.col("__stone"), F.col("sheet_price"), page_weight),
+    )
 
     def repriced(name: str, new: str) -> Column:
         return F.when(use_page, F.col(f"redone.{new}")).otherwise(F.col(name))
@@ -144,14 +150,14 @@ def reconcile(records: DataFrame, shop: str = "") -> DataFrame:
             F.when(sheet_weight.isNotNull(), "EXCEL").when(page_weight.isNotNull(), "LIVE_PAGE").otherwise("MISSING"),
         )
         .withColumn("price_reconciled", use_page)
-        .withColumn("stone_class", repriced("stone_class", "stone_class"))
+        .withColumn("stone_class", F.when(use_page, F.col("__stone")).otherwise(F.col("stone_class")))
         .withColumn("rate_used", repriced("rate_used", "rate_used"))
         .withColumn("computed_price", repriced("computed_price", "computed"))
         .withColumn("price_source", repriced("price_source", "price_source"))
         .withColumn("regular_price", repriced("regular_price", "regular_price"))
         .withColumn("final_price", repriced("final_price", "final_price"))
         .withColumn("weight", F.coalesce("weight", "spec_weight"))
-        .drop("redone")
+        .drop("redone", "__stone")
     )
     return out.withColumn("description", description(shop)).withColumn(
         "description_source", F.when(F.col("specs_found"), "SPECS_TEMPLATE").otherwise("SEO_FALLBACK")

@@ -8,6 +8,7 @@ from shelfwise import constants as K
 from shelfwise.functions import parsing as P, text as T
 from shelfwise.functions.classify import infer_taxonomy, matched_labels
 from shelfwise.operators.keys import dense_order, repeated_values
+from shelfwise.operators.staging import computed
 
 WINDOW_SIZE = 1000
 
@@ -18,32 +19,42 @@ def catalog_rows(cells: DataFrame) -> DataFrame:
     Input columns: row_no, id_cell, title_cell, category_cell, price_cell, availability_cell, active_cell,
     weight_cell.
     """
-    parsed = cells.select(
+    numbers = cells.select(
         "row_no",
-        P.parse_id(F.col("id_cell")).alias("legacy_id"),
+        P.parse_decimal(F.col("id_cell")).alias("id_number"),
         F.coalesce(F.nullif(T.display_text(F.col("title_cell")), F.lit("")), F.lit(K.UNTITLED)).alias("title"),
         F.nullif(T.display_text(F.col("category_cell")), F.lit("")).alias("category"),
-        P.parse_decimal(F.col("price_cell")).alias("raw_price"),
-        P.parse_decimal(F.col("weight_cell"), decimal_comma=True).alias("raw_weight"),
+        P.parse_decimal(F.col("price_cell")).alias("price_number"),
+        P.parse_decimal(F.col("weight_cell"), decimal_comma=True).alias("weight_number"),
         (~T.is_blank(F.col("weight_cell"))).alias("weight_present"),
-        P.normalize_availability(F.col("availability_cell")).alias("availability"),
-        P.parse_active(F.col("active_cell")).alias("active"),
+        P.parse_decimal(F.col("availability_cell")).alias("availability_number"),
+        P.word(F.col("availability_cell")).alias("availability_word"),
+        P.parse_decimal(F.col("active_cell")).alias("active_number"),
+        P.word(F.col("active_cell")).alias("active_word"),
     )
-    return parsed.select(
+    rows = computed(
+        numbers,
+        legacy_id=P.positive_whole(F.col("id_number")),
+        price=F.when(F.col("price_number") >= 0, F.col("price_number")),
+        weight=P.positive(F.col("weight_number")),
+        availability=P.availability_from(F.col("availability_number"), F.col("availability_word")),
+        active=P.active_from(F.col("active_number"), F.col("active_word")),
+    )
+    return rows.select(
         "row_no",
         "legacy_id",
         "title",
         "category",
-        F.when(F.col("raw_price") >= 0, F.col("raw_price")).alias("price"),
-        F.when(F.col("raw_weight") > 0, F.col("raw_weight")).alias("weight"),
+        "price",
+        "weight",
         "weight_present",
         "availability",
         "active",
         F.array_compact(
             F.array(
                 F.when(F.col("legacy_id").isNull(), "INVALID_LEGACY_ID"),
-                F.when(F.col("raw_price") < 0, "NEGATIVE_PRICE"),
-                F.when(F.col("raw_weight") <= 0, "NON_POSITIVE_WEIGHT"),
+                F.when(F.col("price_number") < 0, "NEGATIVE_PRICE"),
+                F.when(F.col("weight_number") <= 0, "NON_POSITIVE_WEIGHT"),
             )
         ).alias("warnings"),
     )

@@ -18,13 +18,23 @@ def reprice(products: DataFrame, rate: DataFrame, namespace: str | None = None)
     def raw(keys: tuple[str, ...]) -> Column:
         return P.meta_value(F.col("meta"), keys)
 
+    numbers = products.crossJoin(F.broadcast(rate.select("rate"))).select(
+        "id",
+        "sku",
+        "name",
+        "rate",
+        T.strip(raw(P.meta_keys(K.MODE_KEYS, namespace))).alias("mode"),
+        P.meta_number(raw(K.WEIGHT_KEYS)).alias("weight"),
+        P.meta_number(raw(K.STONE_VALUE_KEYS)).alias("stone"),
+        P.meta_number(raw(K.LEGACY_PRICE_KEYS)).alias("legacy"),
+        P.meta_number(F.col("regular_price")).alias("old"),
+    )
     parsed = computed(
-        products.crossJoin(F.broadcast(rate.select("rate"))),
-        mode=T.strip(raw(P.meta_keys(K.MODE_KEYS, namespace))),
-        weight=P.positive_decimal(raw(K.WEIGHT_KEYS)),
-        stone=P.nonnegative_toman(raw(K.STONE_VALUE_KEYS)),
-        legacy=P.nonnegative_toman(raw(K.LEGACY_PRICE_KEYS)),
-        old_price=P.whole_toman_or_zero(F.col("regular_price")),
+        numbers,
+        weight=P.positive(F.col("weight")),
+        stone=P.nonnegative_whole(F.col("stone")),
+        legacy=P.nonnegative_whole(F.col("legacy")),
+        old_price=P.whole_or_zero(F.col("old")),
     )
     priced = computed(
         parsed.withColumn("reason", price_reason(F.col("mode"), F.col("weight"), F.col("stone"), F.col("legacy"))),

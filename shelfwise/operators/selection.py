@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions import identity as I, parsing as P, text as T
-from shelfwise.functions.classify import sheet_category
+from shelfwise.functions.classify import sheet_category, stone_from_title
 from shelfwise.functions.pricing import sheet_price
+from shelfwise.operators.staging import computed
 
 BATCH_CAP = 1000
 
@@ -17,34 +18,47 @@ def priced_records(cells: DataFrame, title_fallback: str = "محصول نقره"
 
     Staged as a few projections so that no parsed value is computed twice.
     """
-    parsed = cells.select(
+    numbers = cells.select(
         "row_no",
-        P.parse_id(F.col("id_cell")).alias("legacy_id"),
+        P.parse_decimal(F.col("id_cell")).alias("id_number"),
         "title_cell",
         T.display_text(F.col("category_cell")).alias("category_raw"),
-        P.positive_toman(F.col("price_cell")).alias("sheet_price"),
-        P.positive_toman(F.col("pre_discount_cell")).alias("pre_discount_price"),
+        P.parse_decimal(F.col("price_cell")).alias("price_number"),
+        P.parse_decimal(F.col("pre_discount_cell")).alias("pre_discount_number"),
         P.parse_decimal(F.col("stock_cell")).alias("stock_number"),
-        P.normalize_availability(F.col("availability_cell")).alias("availability"),
-        P.parse_active(F.col("active_cell")).alias("active"),
-        P.parse_weight(F.col("weight_cell")).alias("weight"),
+        P.parse_decimal(F.col("availability_cell")).alias("availability_number"),
+        P.word(F.col("availability_cell")).alias("availability_word"),
+        P.parse_decimal(F.col("active_cell")).alias("active_number"),
+        P.word(F.col("active_cell")).alias("active_word"),
+        P.parse_decimal(F.col("weight_cell"), decimal_comma=True).alias("weight_number"),
         (~T.is_blank(F.col("weight_cell"))).alias("weight_present"),
         "code_cell",
         T.display_text(F.col("seo_title_cell")).alias("seo_title"),
         T.display_text(F.col("seo_description_cell")).alias("seo_description"),
+    )
+    parsed = computed(
+        numbers,
+        legacy_id=P.positive_whole(F.col("id_number")),
+        sheet_price=P.positive_floor(F.col("price_number")),
+        pre_discount_price=P.positive_floor(F.col("pre_discount_number")),
+        availability=P.availability_from(F.col("availability_number"), F.col("availability_word")),
+        active=P.active_from(F.col("active_number"), F.col("active_word")),
+        weight=P.weight_in_range(F.col("weight_number")),
+        stock_choice=P.stock_from_number(F.col("stock_number")),
     ).filter(F.col("legacy_id").isNotNull())
-    titled = parsed.withColumn(
-        "raw_title",
-        F.when(T.is_blank(F.col("title_cell")), F.concat(F.lit("محصول "), F.col("legacy_id").cast("string"))).otherwise(
-            T.strip(F.col("title_cell"))
-        ),
-    ).withColumn("identity", I.clean_title(F.col("raw_title"), title_fallback))
-    priced = (
-        titled.withColumn("sku_choice", I.derive_sku(F.col("identity.code"), F.col("code_cell"), F.col("legacy_id")))
-        .withColumn("shop", sheet_category(F.col("category_raw")))
-        .withColumn("stock_choice", P.stock_from_number(F.col("stock_number")))
-        .withColumn("decision", sheet_price(F.col("identity.cleaned"), F.col("sheet_price"), F.col("weight")))
+    raw_title = F.when(
+        T.is_blank(F.col("title_cell")), F.concat(F.lit("محصول "), F.col("legacy_id").cast("string"))
+    ).otherwise(T.strip(F.col("title_cell")))
+    matched = parsed.withColumn("raw_title", raw_title).withColumn("title_match", I.title_match(F.col("raw_title")))
+    titled = matched.withColumn("identity", I.cleaned_title(F.col("raw_title"), F.col("title_match"), title_fallback))
+    priced = computed(
+        titled,
+        identity=F.col("identity"),
+        sku_choice=I.derive_sku(F.col("identity.code"), F.col("code_cell"), F.col("legacy_id")),
+        shop=sheet_category(F.col("category_raw")),
+        stone=stone_from_title(F.col("identity.cleaned")),
     )
+    priced = computed(priced, decision=sheet_price(F.col("stone"), F.col("sheet_price"), F.col("weight")))
     flags = F.array_distinct(
         F.array_compact(
             F.array(
@@ -84,7 +98,7 @@ def priced_records(cells: DataFrame, title_fallback: str = "محصول نقره"
         I.title_matches_sku(F.col("identity.code"), F.col("sku_choice.sku")).alias("sku_title_match"),
         "seo_title",
         fallback_text.alias("seo_fallback_description"),
-        F.col("decision.stone_class").alias("stone_class"),
+        F.col("stone").alias("stone_class"),
         F.col("decision.rate_used").alias("rate_used"),
         F.col("decision.computed").alias("computed_price"),
         F.col("decision.final_price").alias("final_price"),

@@ -13,5 +13,6 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     yields exactly one row per input row, inside generated code and without a shuffle.
     """
     kept = [c for c in df.columns if c not in columns]
-    one = F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))
-    return df.select(*kept, F.inline(one))
+    staged = df.select(*kept, *[value.alias(f"__{name}") for name, value in columns.items()])
+    one = F.array(F.struct(*[F.col(f"__{name}").alias(name) for name in columns]))
+    return staged.select(*kept, F.inline(one))

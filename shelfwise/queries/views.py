@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwise import constants as K
 from shelfwise.registry import table
 
-FA = "translate(CAST({0} AS VARCHAR(40)), '0123456789', '۰۱۲۳۴۵۶۷۸۹')"
+FA = "translate(CAST({0} AS STRING), '0123456789', '۰۱۲۳۴۵۶۷۸۹')"
 
 
 def fa(expression: str) -> str:
@@ -23,14 +23,14 @@ STORE = """
 SELECT
   p_partkey AS id,
   p_name AS name,
-  CASE WHEN p_partkey % 23 = 0 THEN '' ELSE concat('SKU-', CAST(p_partkey % 1500 AS VARCHAR(20))) END AS sku,
+  CASE WHEN p_partkey % 23 = 0 THEN '' ELSE concat('SKU-', CAST(p_partkey % 1500 AS STRING)) END AS sku,
   CASE WHEN p_partkey % 17 = 0 THEN 'draft' ELSE 'publish' END AS status,
   CASE p_partkey % 6
     WHEN 0 THEN ''
-    WHEN 1 THEN concat(CAST(1 + p_partkey % 9 AS VARCHAR(20)), ',', CAST(100 + p_partkey % 900 AS VARCHAR(20)), ',000')
+    WHEN 1 THEN concat(CAST(1 + p_partkey % 9 AS STRING), ',', CAST(100 + p_partkey % 900 AS STRING), ',000')
     WHEN 2 THEN 'abc'
-    WHEN 3 THEN concat(CAST(450000 + p_partkey % 1000 AS VARCHAR(20)), '.5')
-    ELSE CAST(700000 + (p_partkey * 37) % 5000000 AS VARCHAR(20)) END AS regular_price,
+    WHEN 3 THEN concat(CAST(450000 + p_partkey % 1000 AS STRING), '.5')
+    ELSE CAST(700000 + (p_partkey * 37) % 5000000 AS STRING) END AS regular_price,
   CASE
     WHEN p_partkey % 29 = 0 THEN ''
     WHEN p_partkey % 31 = 0 THEN 'other_mode'
@@ -43,13 +43,13 @@ SELECT
   CASE
     WHEN p_partkey % 7 = 0 THEN ''
     WHEN p_partkey % 11 = 0 THEN 'bad'
-    WHEN p_partkey % 13 = 0 THEN concat('1,0', CAST(10 + p_size AS VARCHAR(20)))
+    WHEN p_partkey % 13 = 0 THEN concat('1,0', CAST(10 + p_size AS STRING))
     WHEN p_partkey % 19 = 0 THEN '-3'
-    ELSE concat(CAST(p_size AS VARCHAR(20)), '.', CAST(p_partkey % 100 AS VARCHAR(20))) END AS weight_text,
+    ELSE concat(CAST(p_size AS STRING), '.', CAST(p_partkey % 100 AS STRING)) END AS weight_text,
   CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN '-5' WHEN 2 THEN 'none'
-    ELSE concat(CAST(100000 + p_partkey % 900000 AS VARCHAR(20)), '.25') END AS stone_text,
+    ELSE concat(CAST(100000 + p_partkey % 900000 AS STRING), '.25') END AS stone_text,
   CASE WHEN p_partkey % 4 = 0 THEN '' WHEN p_partkey % 9 = 0 THEN '0'
-    ELSE concat(CAST(300000 + (p_partkey * 13) % 900000 AS VARCHAR(20)), '.5') END AS legacy_text,
+    ELSE concat(CAST(300000 + (p_partkey * 13) % 900000 AS STRING), '.5') END AS legacy_text,
   p_partkey % 3 <> 0 AS manage_stock,
   CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE p_partkey % 5 - 1 END AS stock_quantity,
   CASE WHEN p_partkey % 14 = 1 THEN 'hidden' ELSE 'visible' END AS catalog_visibility
@@ -60,17 +60,17 @@ FROM {part}
 SHEET = f"""
 SELECT
   p_partkey + 2 AS row_no,
-  CASE WHEN p_partkey % 97 = 5 THEN 'نامعتبر' WHEN p_partkey % 41 = 7 THEN CAST(p_partkey - 1 AS VARCHAR(20))
-    WHEN p_partkey % 10 = 3 THEN {fa('p_partkey')} ELSE CAST(p_partkey AS VARCHAR(20)) END AS id_cell,
+  CASE WHEN p_partkey % 97 = 5 THEN 'نامعتبر' WHEN p_partkey % 41 = 7 THEN CAST(p_partkey - 1 AS STRING)
+    WHEN p_partkey % 10 = 3 THEN {fa('p_partkey')} ELSE CAST(p_partkey AS STRING) END AS id_cell,
   CASE WHEN p_partkey % 101 = 7 THEN NULL ELSE CASE p_partkey % 8
     WHEN 0 THEN concat('انگشتر نقره ', p_name, ' کد ', {fa('p_partkey % 500 + 10')})
-    WHEN 1 THEN concat('گردنبند ', p_name, ' - کد مدل ', CAST(p_partkey % 500 + 10 AS VARCHAR(20)))
-    WHEN 2 THEN concat('دستبند ', p_name, ' | کد محصول ', CAST(p_partkey % 700 + 10 AS VARCHAR(20)))
+    WHEN 1 THEN concat('گردنبند ', p_name, ' - کد مدل ', CAST(p_partkey % 500 + 10 AS STRING))
+    WHEN 2 THEN concat('دستبند ', p_name, ' | کد محصول ', CAST(p_partkey % 700 + 10 AS STRING))
     WHEN 3 THEN concat('انگشتر با نگین درشت عقیق ', p_name)
     WHEN 4 THEN concat('انگشتر بدون نگین ', p_name)
     WHEN 5 THEN concat('  ', p_name, '   نقره عیار 925 ')
     WHEN 6 THEN concat('مدال نقره: شناسه کالا ', {fa('p_partkey % 900 + 10')})
-    ELSE concat('کد ', CAST(p_partkey + 10 AS VARCHAR(20))) END END AS title_cell,
+    ELSE concat('کد ', CAST(p_partkey + 10 AS STRING)) END END AS title_cell,
   CASE WHEN p_partkey % 53 = 0 THEN NULL ELSE concat(CASE p_size % 10
     WHEN 0 THEN 'انگشتر عقيق مردانه' WHEN 1 THEN 'انگشتر زنانه' WHEN 2 THEN 'گردنبند فیروزه زنانه'
     WHEN 3 THEN 'مدال نقره' WHEN 4 THEN 'دستبند حدید مردانه' WHEN 5 THEN 'زنجیر'
@@ -78,19 +78,19 @@ SELECT
     ' ', p_brand) END AS category_cell,
   CASE p_partkey % 9 WHEN 0 THEN NULL WHEN 1 THEN {fa('400000 + (p_partkey * 7919) % 9000000')}
     WHEN 2 THEN concat({fa('400000 + (p_partkey * 7919) % 9000000')}, ' تومان') WHEN 3 THEN '-5000' WHEN 4 THEN 'نامشخص'
-    WHEN 5 THEN concat(CAST(1 + p_partkey % 9 AS VARCHAR(20)), ',', CAST(100 + p_partkey % 900 AS VARCHAR(20)), ',000')
+    WHEN 5 THEN concat(CAST(1 + p_partkey % 9 AS STRING), ',', CAST(100 + p_partkey % 900 AS STRING), ',000')
     WHEN 6 THEN concat({fa('1 + p_partkey % 9')}, '٬', {fa('100 + p_partkey % 900')}, '٬۰۰۰')
-    ELSE CAST(400000 + (p_partkey * 7919) % 9000000 AS VARCHAR(20)) END AS price_cell,
-  CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey * 1000 AS VARCHAR(20)) ELSE '' END AS pre_discount_cell,
+    ELSE CAST(400000 + (p_partkey * 7919) % 9000000 AS STRING) END AS price_cell,
+  CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey * 1000 AS STRING) ELSE '' END AS pre_discount_cell,
   CASE p_partkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '-2' WHEN 2 THEN '5.7' WHEN 3 THEN {fa('p_partkey % 5')}
-    ELSE CAST(p_partkey % 5 AS VARCHAR(20)) END AS stock_cell,
+    ELSE CAST(p_partkey % 5 AS STRING) END AS stock_cell,
   CASE p_partkey % 5 WHEN 0 THEN 'موجود' WHEN 1 THEN 'ناموجود' WHEN 2 THEN '1' WHEN 3 THEN '۰' ELSE 'محدود' END AS availability_cell,
   CASE p_partkey % 7 WHEN 0 THEN '0' WHEN 1 THEN 'فعال' WHEN 2 THEN 'غیرفعال' WHEN 3 THEN '?' WHEN 4 THEN '۱' ELSE '1' END AS active_cell,
-  CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN concat(CAST(p_size AS VARCHAR(20)), ',25 گرم')
+  CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN concat(CAST(p_size AS STRING), ',25 گرم')
     WHEN 2 THEN concat({fa('p_size')}, '٫5') WHEN 3 THEN 'نامشخص' WHEN 4 THEN '0'
-    WHEN 5 THEN concat(CAST(p_size AS VARCHAR(20)), '.75') ELSE CAST(p_size * 20 AS VARCHAR(20)) END AS weight_cell,
-  CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(p_partkey % 1200 + 900 AS VARCHAR(20)) WHEN 2 THEN '2079000.0000000002'
-    WHEN 3 THEN {fa('p_partkey % 500 + 10')} ELSE concat('قیمت ', CAST(p_partkey AS VARCHAR(20))) END AS code_cell,
+    WHEN 5 THEN concat(CAST(p_size AS STRING), '.75') ELSE CAST(p_size * 20 AS STRING) END AS weight_cell,
+  CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(p_partkey % 1200 + 900 AS STRING) WHEN 2 THEN '2079000.0000000002'
+    WHEN 3 THEN {fa('p_partkey % 500 + 10')} ELSE concat('قیمت ', CAST(p_partkey AS STRING)) END AS code_cell,
   CASE WHEN p_partkey % 3 = 0 THEN concat('خرید ', p_name) ELSE '' END AS seo_title_cell,
   CASE WHEN p_partkey % 2 = 0 THEN concat('توضیح ', p_name, ' ', p_brand) ELSE '' END AS seo_description_cell
 FROM {{part}}
