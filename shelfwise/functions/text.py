@@ -9,10 +9,6 @@ from pyspark.sql import Column, functions as F
 
 from shelfwise import constants as K
 
-ANY_SPACE = f"[{K.WHITESPACE}]"
-ANY_SPACES = f"[{K.WHITESPACE}]+"
-
-
 def text_or_empty(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
@@ -24,7 +20,11 @@ def strip(value: Column) -> Column:
 
 def collapse(value: Column) -> Column:
     """Runs of whitespace become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(value, ANY_SPACES, " "))
+    return _single_spaces(F.translate(value, K.WHITESPACE_CHARS, " " * len(K.WHITESPACE_CHARS)))
+
+
+def _single_spaces(value: Column) -> Column:
+    return F.trim(F.regexp_replace(value, " {2,}", " "))
 
 
 def ascii_digits(value: Column) -> Column:
@@ -37,11 +37,11 @@ def persian_digits(value: Column) -> Column:
 
 def normalize_text(value: Column) -> Column:
     """ASCII digits, Persian letters, joiner as space, collapsed."""
-    return collapse(
+    return _single_spaces(
         F.translate(
             text_or_empty(value),
-            K.PERSIAN_DIGITS + K.ARABIC_DIGITS + "يك" + K.ZWNJ,
-            K.ASCII_DIGITS * 2 + "یک" + " ",
+            K.PERSIAN_DIGITS + K.ARABIC_DIGITS + "يك" + K.ZWNJ + K.WHITESPACE_CHARS,
+            K.ASCII_DIGITS * 2 + "یک" + " " + " " * len(K.WHITESPACE_CHARS),
         )
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise import constants as K
+from shelfwise.operators.staging import computed
 from shelfwise.registry import table
 
 FA = "translate(CAST({0} AS STRING), '0123456789', '۰۱۲۳۴۵۶۷۸۹')"
@@ -128,7 +129,9 @@ def store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sheet(spark: SparkSession, folder: str) -> DataFrame:
-    return view(spark, folder, SHEET)
+    """Sheet cells as if read from storage: their layout expressions are not inlined into the parsing."""
+    cells = view(spark, folder, SHEET)
+    return computed(cells, **{c: F.col(c) for c in cells.columns})
 
 
 def rate(spark: SparkSession, value: int = 85_000) -> DataFrame:

@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "shelfwise") -> SparkSession:
-    """Session for tests and the bench; on a cluster the job's own session is used as it is."""
+    """Session for tests and the bench; on a cluster the job's own session is used as it is.
+
+    ``hugeMethodLimit`` 8000 keeps generated methods small enough for the JVM to compile them.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
