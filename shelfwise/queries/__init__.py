@@ -1,3 +1,3 @@
 """All registered queries; importing this package fills the registry."""
 
-from shelfwise.queries import catalog, repricing  # noqa: F401
+from shelfwise.queries import catalog, importing, ordering, repricing, snapshots  # noqa: F401

@@ -136,3 +136,90 @@ def sheet(spark: SparkSession, folder: str) -> DataFrame:
 
 def rate(spark: SparkSession, value: int = 85_000) -> DataFrame:
     return spark.range(1).select(F.lit(value).cast("bigint").alias("rate"))
+
+
+# Import file rows, most of them fine, some breaking each rule.
+IMPORT_FILE = f"""
+SELECT
+  p_partkey + 2 AS row_number,
+  CASE WHEN p_partkey % 50 = 1 THEN 'SAMPLE-1' WHEN p_partkey % 47 = 2 THEN 'no sku'
+    ELSE concat('rad-', CASE p_partkey % 3 WHEN 0 THEN 'rng' WHEN 1 THEN 'NEC' ELSE 'BRC' END, '-U-',
+      CAST(CASE WHEN p_partkey % 40 = 7 THEN p_partkey + 9997 ELSE p_partkey + 10000 END AS STRING)) END AS sku,
+  CASE WHEN p_partkey % 60 = 1 THEN ' ' ELSE p_name END AS title_fa,
+  CASE WHEN p_partkey % 70 = 2 THEN 'earrings' WHEN p_partkey % 71 = 3 THEN 'Rings'
+    ELSE CASE p_partkey % 3 WHEN 0 THEN 'rings' WHEN 1 THEN 'necklaces' ELSE 'bracelets' END END AS category,
+  CASE WHEN p_partkey % 33 = 0 THEN '' WHEN p_partkey % 95 = 6 THEN 'abc' WHEN p_partkey % 96 = 7 THEN '-1'
+    ELSE concat({fa('p_size')}, '٫۵') END AS weight_grams,
+  CASE WHEN p_partkey % 80 = 3 THEN '900' WHEN p_partkey % 81 = 4 THEN '' WHEN p_partkey % 82 = 5 THEN 'x' ELSE '۹۲۵' END AS silver_purity,
+  CASE WHEN p_partkey % 44 = 1 THEN '' ELSE 'عقیق' END AS stone_type,
+  CASE WHEN p_partkey % 55 = 1 THEN '0' WHEN p_partkey % 56 = 5 THEN '1.5' ELSE concat(CAST(100 + p_partkey % 900 AS STRING), ',000') END AS stone_value_toman,
+  CASE WHEN p_partkey % 90 = 5 THEN 'weird' ELSE CASE p_partkey % 4 WHEN 0 THEN 'silver_weight_only'
+    WHEN 1 THEN 'silver_weight_plus_stone' WHEN 2 THEN 'legacy_mirror' ELSE 'manual_locked' END END AS pricing_mode,
+  CASE WHEN p_partkey % 99 = 7 THEN '-1' WHEN p_partkey % 5 = 0 THEN '' ELSE CAST(p_partkey % 7 AS STRING) END AS stock,
+  CASE WHEN p_partkey % 66 = 2 THEN '' ELSE CAST(300000 + p_partkey AS STRING) END AS legacy_price_toman,
+  CASE WHEN p_partkey % 67 = 3 THEN '0' ELSE CAST(2500000 + p_partkey AS STRING) END AS manual_price_toman,
+  CASE WHEN p_partkey % 120 = 8 THEN '' ELSE concat('short ', p_name) END AS short_description,
+  CASE WHEN p_partkey % 121 = 9 THEN '' ELSE concat('long ', p_brand) END AS long_description,
+  CASE WHEN p_partkey % 45 = 9 THEN concat('img-', CAST(p_partkey - 1 AS STRING), '-a.jpg') WHEN p_partkey % 130 = 10 THEN 'a b.gif'
+    WHEN p_partkey % 140 = 11 THEN 'x.jpg|x.jpg' WHEN p_partkey % 6 = 0 THEN ''
+    ELSE concat('img-', CAST(p_partkey AS STRING), '-a.jpg | img-', CAST(p_partkey AS STRING), '-b.png') END AS image_filenames
+FROM {{part}}
+"""
+FILES = "SELECT concat('img-', CAST(p_partkey AS STRING), CASE WHEN p_partkey % 2 = 0 THEN '-a.jpg' ELSE '-b.png' END) AS image FROM {part}"
+
+# Planned records and two key views of an existing store.
+RECORDS = """
+SELECT p_partkey AS row_no, CAST(p_partkey % 1800 AS STRING) AS legacy_id, concat('C', CAST(p_partkey % 1900 AS STRING)) AS sku,
+  CASE WHEN p_partkey % 11 = 0 THEN 'SKIP_INVALID_PRICE' ELSE 'PLAN_CREATE_DRAFT' END AS action,
+  CASE WHEN p_partkey % 13 = 0 THEN 'SKIP_INVALID_REVIEW' ELSE 'CREATE_DRAFT' END AS import_action
+FROM {part}
+"""
+STORE_KEYS = """
+SELECT p_partkey + 50000 AS product_id, CASE WHEN p_partkey % 4 = 0 THEN concat('C', CAST(p_partkey * 2 AS STRING)) ELSE concat('Z', CAST(p_partkey AS STRING)) END AS sku,
+  CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey % 900 AS STRING) ELSE '' END AS plain_id,
+  CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS STRING) ELSE '' END AS historic_id
+FROM {part}
+"""
+
+# Legacy feed and the mapping table of an earlier sync.
+FEED = f"""
+SELECT p_partkey AS legacy_id, concat(' ', p_name, ' كد ', CAST(p_partkey AS STRING), ' ') AS title,
+  CAST(1000000 + p_partkey * 10 AS STRING) AS price, CASE WHEN p_partkey % 9 = 0 THEN -3 WHEN p_partkey % 10 = 0 THEN NULL ELSE p_partkey % 6 END AS stock,
+  CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_size END AS weight_g, p_partkey % 5 = 0 AS is_special_gemstone,
+  CASE WHEN p_partkey % 3 = 0 THEN 500000 ELSE 0 END AS stone_value, p_partkey % 23 = 0 AS price_locked,
+  CASE p_partkey % 6 WHEN 0 THEN 'rng' WHEN 1 THEN ' NEC ' WHEN 2 THEN 'BRC' WHEN 3 THEN 'SET' WHEN 4 THEN 'EAR' ELSE 'XXX' END AS cat_code,
+  CASE p_partkey % 4 WHEN 0 THEN 'w' WHEN 1 THEN 'M' WHEN 2 THEN 'U' ELSE '?' END AS gender_code,
+  concat('https://img.example.com/', CAST(p_partkey AS STRING), '.jpg?size=320') AS image_url
+FROM {{part}}
+"""
+MAPPING = """
+SELECT p_partkey * 2 AS legacy_id, concat('OLD-', CAST(p_partkey AS STRING)) AS sku, p_partkey * 2 + 20000 AS product_id,
+  CASE WHEN p_partkey % 3 = 0 THEN 'publish' ELSE 'draft' END AS wc_status, p_partkey % 5 AS exact_stock,
+  'legacy_mirror' AS pricing_mode, '2024-01-01T00:00:00' AS last_sync_utc
+FROM {part}
+"""
+
+# Links by group, candidates with three keys.
+LINKS = """
+SELECT CAST(substring(p_brand, 7, 3) AS INT) AS group_no, p_partkey AS position,
+  concat('https://shop.example.com/product/', CAST(p_partkey % 700 AS STRING), '/') AS url
+FROM {part}
+"""
+CANDIDATES = """
+SELECT p_partkey AS row_no, (p_partkey * 7) % 1500 AS legacy_id,
+  CASE WHEN p_partkey % 37 = 0 THEN NULL ELSE concat('k', CAST((p_partkey * 11) % 1300 AS STRING)) END AS code,
+  concat('s', CAST((p_partkey * 13) % 1700 AS STRING)) AS sku
+FROM {part}
+"""
+
+# Watched orders with the city of the customer's nation.
+ORDERS = """
+SELECT o.o_orderkey AS id, CASE o.o_orderstatus WHEN 'F' THEN 'processing' WHEN 'O' THEN 'on-hold' ELSE 'pending' END AS status,
+  CAST(CAST(round(o.o_totalprice * 10) AS BIGINT) AS STRING) AS total, CASE WHEN o.o_orderkey % 9 = 0 THEN 'usd' ELSE 'IRT' END AS currency,
+  CASE WHEN c.c_custkey % 3 = 0 THEN '' ELSE n.n_name END AS shipping_city, CASE WHEN c.c_custkey % 6 = 0 THEN '' ELSE c.c_mktsegment END AS billing_city
+FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+"""
+ITEMS = """
+SELECT l.l_orderkey AS id, l.l_linenumber * 1000000000000 + l.l_partkey * 100000 + l.l_suppkey AS position, p.p_name AS name, CAST(l.l_quantity AS INT) AS quantity
+FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
+"""
