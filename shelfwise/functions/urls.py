@@ -7,11 +7,12 @@ from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 IMAGE_SUFFIX = "(?i)\\.(?:jpe?g|png|webp)$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def iri_to_uri(urls: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Percent-encode path, query and fragment and keep existing escapes."""
     def encode(url: str | None) -> str | None:

@@ -145,7 +145,10 @@ def validate_rows(raw: DataFrame, prefix: str = K.SKU_PREFIX, hot_rows: int = HO
             "error",
             F.coalesce(
                 "row_error",
-                F.concat(F.lit("image filename(s) reused by another CSV row: "), F.concat_ws(", ", "reused_images")),
+                F.when(
+                    F.col("reused_images").isNotNull(),
+                    F.concat(F.lit("image filename(s) reused by another CSV row: "), F.concat_ws(", ", "reused_images")),
+                ),
             ),
         )
         .drop("early_error", "late_error", "row_error", "claimed_by", "number_error", "purity_error", "reused_images")

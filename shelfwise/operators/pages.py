@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from shelfwise import constants as K
 from shelfwise.functions import identity as I, parsing as P, text as T, urls as U
@@ -224,7 +225,7 @@ def unknown_label_counts(specs: DataFrame) -> DataFrame:
     return specs.select(F.explode("unknown_labels").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resolve_link(base: pd.Series, link: pd.Series) -> pd.Series:
     """Entity-decoded link resolved against its page."""
     def one(b: str, x: str) -> str | None:

@@ -101,7 +101,7 @@ def stream_new_orders(spark, folder):
 
 
 @query("stream_inventory_audit", """
-WITH f AS (SELECT event_id AS id, user_id AS sku, CAST(value AS BIGINT) % 5 - 1 AS q, event_type <> 'error' AS m FROM events),
+WITH f AS (SELECT event_id AS id, user_id AS sku, CAST(floor(value) AS BIGINT) % 5 - 1 AS q, event_type <> 'error' AS m FROM events),
 found AS (SELECT 'zero_visible' AS label FROM f WHERE m AND q = 0 UNION ALL SELECT 'negative_stock' FROM f WHERE q < 0
 UNION ALL SELECT 'duplicate_sku' FROM (SELECT row_number() OVER (PARTITION BY sku ORDER BY id) AS rn FROM f) WHERE rn > 1)
 SELECT label, count(*) AS n FROM found GROUP BY label""")
@@ -113,7 +113,7 @@ def stream_inventory_audit(spark, folder):
         F.col("user_id").cast("string").alias("sku"),
         F.col("event_type").alias("name"),
         (F.col("event_type") != "error").alias("manage_stock"),
-        (F.round("value").cast("bigint") % 5 - 1).alias("stock_quantity"),
+        (F.floor("value").cast("bigint") % 5 - 1).alias("stock_quantity"),
         F.lit("visible").alias("catalog_visibility"),
         F.create_map().cast("map<string,string>").alias("meta"),
     )

@@ -223,3 +223,41 @@ ITEMS = """
 SELECT l.l_orderkey AS id, l.l_linenumber * 1000000000000 + l.l_partkey * 100000 + l.l_suppkey AS position, p.p_name AS name, CAST(l.l_quantity AS INT) AS quantity
 FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
 """
+
+
+# Raw text inputs of the safe price.
+SAFE = f"""
+SELECT p_partkey AS id,
+  CASE p_partkey % 5 WHEN 0 THEN 'Rings ' WHEN 1 THEN 'necklaces' WHEN 2 THEN 'rings' WHEN 3 THEN 'bracelets' ELSE 'watches' END AS category,
+  CASE p_partkey % 6 WHEN 0 THEN 'large_stone' WHEN 1 THEN 'no_stone' WHEN 2 THEN 'LARGE_STONE' WHEN 3 THEN 'small_stone' WHEN 4 THEN '' ELSE 'odd' END AS stone_class,
+  CASE p_partkey % 7 WHEN 0 THEN '0.849' WHEN 1 THEN '0.85' WHEN 2 THEN 'x' WHEN 3 THEN '7' ELSE '0.9' END AS confidence,
+  CASE p_partkey % 11 WHEN 0 THEN '' WHEN 1 THEN '-1' WHEN 2 THEN 'bad' WHEN 3 THEN '700' ELSE concat({fa('p_size')}, '٫', {fa('p_partkey % 10')}) END AS weight,
+  CASE p_partkey % 13 WHEN 0 THEN '' WHEN 1 THEN '10' WHEN 2 THEN 'none' WHEN 3 THEN CAST(p_size * 650000 AS STRING)
+    ELSE concat({fa('1 + p_partkey % 40')}, '٬', {fa('100 + p_partkey % 900')}, '٬۰۰۰ تومان') END AS legacy_price
+FROM {{part}}
+"""
+
+# Product pages: a filled shop template around every stored page, the stored page included whole.
+PRODUCT_PAGES = f"""
+SELECT page_id, concat('https://shop.example.com/product/', CAST(page_id + 1000 AS STRING), '/item') AS url,
+  concat('<html><head><meta name="description" content="متا ', {fa('page_id')}, '">',
+    '<script type="application/ld+json">{{{{"@graph":[{{{{"@type":"Product","name":"نام ', CAST(page_id AS STRING), '","offers":{{{{"price":"', CAST(900000 + page_id AS STRING),
+    '","priceCurrency":"', CASE WHEN page_id % 2 = 0 THEN 'IRR' ELSE 'IRT' END, '"}}}}}}}}]}}}}</script></head><body>',
+    '<a href="/category/2/x/">', CASE page_id % 4 WHEN 0 THEN 'انگشتر مردانه' WHEN 1 THEN 'مدال یا گردنبند' WHEN 2 THEN 'دستبند' ELSE 'ساعت' END, '</a>',
+    '<h1>نقره <b>۹۲۵</b> نمونه کد ', {fa('page_id + 100')}, '</h1>',
+    CASE WHEN page_id % 7 = 0 THEN '' ELSE concat('<div class="product-specs">وزن تقریبی: ', {fa('page_id % 90 + 1')}, '٫۵ گرم</div>') END,
+    CASE WHEN page_id % 5 = 0 THEN '' ELSE concat('<div class="sale-price">', {fa('page_id % 9 + 1')}, '٬', {fa('page_id % 900 + 100')}, '٬۰۰۰ تومان</div>') END,
+    '<div class="product-description">شرح &amp; ', CAST(page_id AS STRING), '</div>',
+    '<img src="/assets/logo.png"><img data-large_image="/product-images/', CAST(page_id AS STRING), '-a.jpg" src="/product-images/', CAST(page_id AS STRING), '-a-150x150.jpg?x=1">',
+    '<img srcset="/product-images/', CAST(page_id AS STRING), '-b-300x300.jpg 300w, /product-images/', CAST(page_id AS STRING), '-c.jpg 1600w">',
+    CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN concat('<section><h2>مشخصات</h2><p>دسته‌بندی: انگشتر مردانه · وزن:', {fa('page_id % 50 + 1')}, ' گرم · نوع سنگ:عقیق • عیار نقره:925 · طرح ویژه:شیر</p></section>')
+      WHEN 2 THEN concat('<h3>مشخصات</h3><dl><dt>نوع سنگ</dt><dd>فیروزه</dd><dt>وزن</dt><dd>', CAST(page_id % 50 + 1 AS STRING), '</dd><dt>طرح</dt><dd>بیضی</dd></dl>')
+      ELSE '<table><tr><td>رنگ نگین:</td><td>سبز</td></tr><tr><td>سایز</td><td>دلخواه</td></tr></table>' END,
+    replace(replace(html, '<h1>', '<h2>'), '</h1>', '</h2>'), '</body></html>') AS html
+FROM {{pages}}
+"""
+DRAFTS = """
+SELECT p_partkey + 70000 AS product_id, p_partkey * 2 AS legacy_id, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE concat('عنوان ', p_name, ' کد ', CAST(p_partkey % 90 + 10 AS STRING)) END AS public_title,
+  CASE WHEN p_partkey % 4 = 0 THEN '' ELSE CAST(p_partkey % 90 + 10 AS STRING) END AS sku, '' AS legacy_original_title, CAST(p_retailprice * 1000 AS BIGINT) AS price
+FROM {part}
+"""
