@@ -69,24 +69,3 @@ def resize_plan(width: Column, height: Column, max_edge: int = K.IMAGE_MAX_EDGE)
         F.greatest(F.lit(1), F.bround(height * scale, 0).cast("int")).alias("height"),
         scale.alias("scale"),
     )
-
-
-def histogram_percentile(histogram: Column, percentile: float) -> Column:
-    """First of 256 levels whose running three-channel count reaches the share; no shuffle, one row at a time."""
-    counts = F.transform(
-        F.sequence(F.lit(1), F.lit(256)),
-        lambda i: F.get(histogram, i - 1) + F.get(histogram, i + 255) + F.get(histogram, i + 511),
-    )
-    # One fold carries (running count, levels still below the threshold).
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0).alias("level"))
-
-    def step(threshold):
-        def merge(acc, count):
-            seen = acc["seen"] + count
-            return F.struct(seen.alias("seen"), (acc["level"] + F.when(seen < threshold, 1).otherwise(0)).alias("level"))
-
-        return merge
-
-    total = F.aggregate(histogram, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
-    level = F.aggregate(counts, start, step(total * F.lit(percentile)))["level"]
-    return F.least(level, F.lit(255)).cast("double")

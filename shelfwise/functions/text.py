@@ -18,17 +18,26 @@ def strip(value: Column) -> Column:
     return F.trim(value, F.lit(K.WHITESPACE_CHARS))
 
 
-def collapse(value: Column) -> Column:
-    """Runs of whitespace become one space; ends are trimmed."""
-    return _single_spaces(F.translate(value, K.WHITESPACE_CHARS, " " * len(K.WHITESPACE_CHARS)))
+# Any character beyond layout whitespace, printable ASCII and Latin letters. Scanning for it is far cheaper than
+# translating character by character, so text without such characters skips the translation.
+_BEYOND_LATIN = "[^\\t-\\r\\x20-\\x7e\\u00a1-\\u024f]"
+
+
+def _translate_rare(value: Column, source: str, target: str) -> Column:
+    return F.when(value.rlike(_BEYOND_LATIN), F.translate(value, source, target)).otherwise(value)
 
 
 def _single_spaces(value: Column) -> Column:
-    return F.trim(F.regexp_replace(value, " {2,}", " "))
+    return F.trim(F.regexp_replace(value, "\\s+", " "))
+
+
+def collapse(value: Column) -> Column:
+    """Runs of whitespace become one space; ends are trimmed."""
+    return _single_spaces(_translate_rare(value, K.WHITESPACE_CHARS, " " * len(K.WHITESPACE_CHARS)))
 
 
 def ascii_digits(value: Column) -> Column:
-    return F.translate(value, K.PERSIAN_DIGITS + K.ARABIC_DIGITS, K.ASCII_DIGITS * 2)
+    return _translate_rare(value, K.PERSIAN_DIGITS + K.ARABIC_DIGITS, K.ASCII_DIGITS * 2)
 
 
 def persian_digits(value: Column) -> Column:
@@ -38,7 +47,7 @@ def persian_digits(value: Column) -> Column:
 def normalize_text(value: Column) -> Column:
     """ASCII digits, Persian letters, joiner as space, collapsed."""
     return _single_spaces(
-        F.translate(
+        _translate_rare(
             text_or_empty(value),
             K.PERSIAN_DIGITS + K.ARABIC_DIGITS + "يك" + K.ZWNJ + K.WHITESPACE_CHARS,
             K.ASCII_DIGITS * 2 + "یک" + " " + " " * len(K.WHITESPACE_CHARS),
@@ -48,7 +57,7 @@ def normalize_text(value: Column) -> Column:
 
 def normalize_digits(value: Column) -> Column:
     """ASCII digits and Persian letters; spacing untouched."""
-    return F.translate(
+    return _translate_rare(
         text_or_empty(value), K.PERSIAN_DIGITS + K.ARABIC_DIGITS + "يك", K.ASCII_DIGITS * 2 + "یک"
     )
 

@@ -45,7 +45,7 @@ def greedy_accept(df: DataFrame, order: str, keys: Sequence[str], hot_rows: int
 
     Each round accepts the undecided rows that come first on every key (an aggregate per key, then a count per
     row), drops the undecided rows that share a key with them and repeats. The first undecided row is always
-    accepted, so the loop ends. Rounds are cut with a reliable checkpoint.
+    accepted, so the loop ends. Every round is written to the shared folder, so a lost executor costs one round.
     """
     undecided = cut_lineage(df.select(order, *keys))
     accepted: list[DataFrame] = []
@@ -65,7 +65,7 @@ def greedy_accept(df: DataFrame, order: str, keys: Sequence[str], hot_rows: int
         rest = undecided
         for k in keys:
             taken = winners.select(k).withColumn("__taken", F.lit(True))
-            rest = lookup(rest, taken, k, [order], hot_rows=hot_rows).filter(F.col("__taken").isNull()).drop("__taken")
+            rest = lookup(rest, taken, k, [order], hot_rows=hot_rows, counted=undecided).filter(F.col("__taken").isNull()).drop("__taken")
         undecided = cut_lineage(rest.select(order, *keys))
         if undecided.isEmpty():
             break
@@ -94,7 +94,7 @@ def greedy_claims(
     marked = rows
     for key, name in ((id_key, "id"), (code_key, "code"), (sku_key, "sku")):
         owner = accepted.select(key, F.col(order).alias(f"__{name}_order"), F.col(id_key).cast("string").alias(f"__{name}_owner"))
-        marked = lookup(marked, owner, key, [order], hot_rows=hot_rows)
+        marked = lookup(marked, owner, key, [order], hot_rows=hot_rows, counted=candidates)
     earlier = {n: F.col(f"__{n}_order") < F.col(order) for n in ("id", "code", "sku")}
     reason = (
         F.when(F.col(code_key).isNull() | F.col(sku_key).isNull(), "MISSING_LEGACY_CODE")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions import text as T
+from shelfwise.operators.staging import computed
 
 
 def placeholder_markers(css_prefix: str = "shop") -> tuple[str, ...]:
@@ -29,32 +30,40 @@ def redacted(documents: DataFrame, secrets: list[str], text: str = "text") -> Da
     return documents.withColumn(text, T.redact(F.col(text), secrets))
 
 
-def public_section(text: Column, start_word: str = "content", stops=K.INTERNAL_HEADINGS) -> Column:
-    """struct(body, error): the lines after the one ``## ... <start_word>`` heading up to the first internal heading.
+def public_sections(documents: DataFrame, text: str = "text", start_word: str = "content", stops=K.INTERNAL_HEADINGS) -> DataFrame:
+    """Add ``body`` and ``error``: the lines after the one ``## ... <start_word>`` heading up to the first internal heading.
 
-    Works on the lines of one document inside its row, so nothing is shuffled.
+    Works on the lines of each document inside its row, so nothing is shuffled; every array is computed once.
     """
     lines = F.split(text, "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]")
-    keys = F.transform(lines, lambda line: F.lower(T.strip(line)))
+    split = computed(documents, __lines=lines)
+    keyed = computed(split, __keys=F.transform("__lines", lambda line: F.lower(T.strip(line))))
     starts = F.filter(
-        F.transform(keys, lambda k, i: F.when(k.startswith("## ") & k.contains(start_word), i)), lambda i: i.isNotNull()
+        F.transform("__keys", lambda k, i: F.when(k.startswith("## ") & k.contains(start_word), i)), lambda i: i.isNotNull()
     )
-    start = F.get(starts, 0)
+    started = computed(keyed, __starts=starts).withColumn("__start", F.get("__starts", 0))
     stop = "|".join(stops)
 
     def is_stop(key: Column, i: Column) -> Column:
         name = F.trim(F.rtrim(F.trim(F.substring(key, 4, 1_000_000)), F.lit(":")))
-        return F.when((i > start) & key.startswith("## ") & ~key.contains(start_word) & name.rlike(stop), i)
-
-    end = F.coalesce(F.array_min(F.transform(keys, is_stop)), F.size(lines))
-    repeated = F.size(F.filter(starts, lambda i: i < end)) > 1
-    body = F.slice(lines, start + 2, F.greatest(end - start - 1, F.lit(0)))
-    filled = F.filter(F.transform(body, lambda line, i: F.when(T.strip(line) != "", i)), lambda i: i.isNotNull())
-    first, last = F.array_min(filled), F.array_max(filled)
-    kept = F.array_join(F.slice(body, first + 1, last - first + 1), "\n")
+        internal = key.startswith("## ") & ~key.contains(start_word) & name.rlike(stop)
+        return F.when((i > F.col("__start")) & internal, i)
+
+    end = F.coalesce(F.array_min(F.transform("__keys", is_stop)), F.size("__lines"))
+    bounded = computed(started, __end=end)
+    first_line = F.col("__start") + 1
+    filled = F.transform(
+        "__keys", lambda key, i: F.when((i >= first_line) & (i < F.col("__end")) & (key != ""), i)
+    )
+    trimmed = computed(bounded, __first=F.array_min(filled), __last=F.array_max(filled))
     error = (
-        F.when(start.isNull(), "required section not found")
-        .when(repeated, "duplicate section heading")
-        .when(F.size(filled) == 0, "section is empty")
+        F.when(F.col("__start").isNull(), "required section not found")
+        .when(F.size(F.filter("__starts", lambda i: i < F.col("__end"))) > 1, "duplicate section heading")
+        .when(F.col("__first").isNull(), "section is empty")
+    )
+    body = F.array_join(F.slice("__lines", F.col("__first") + 1, F.col("__last") - F.col("__first") + 1), "\n")
+    return (
+        trimmed.withColumn("error", error)
+        .withColumn("body", F.when(F.col("error").isNull(), body))
+        .drop("__lines", "__keys", "__starts", "__start", "__end", "__first", "__last")
     )
-    return F.struct(F.when(error.isNull(), kept).alias("body"), error.alias("error"))

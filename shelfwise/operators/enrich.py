@@ -96,7 +96,9 @@ def enrichment_plan(matched: DataFrame, title_fallback: str = "محصول نقر
 SPEC_FIELDS = ("category", "weight_display", "band_type", "stone_color", "stone_type", "engraving_type", "silver_purity", "size")
 
 
-def with_specs(records: DataFrame, specs: DataFrame, key: str, spread: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_specs(
+    records: DataFrame, specs: DataFrame, key: str, spread: list[str], hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Left join of page specifications (one row per ``key``), absent ones as empty text."""
     prefixed = specs.select(
         key,
@@ -106,7 +108,7 @@ def with_specs(records: DataFrame, specs: DataFrame, key: str, spread: list[str]
         F.col("weight_grams").alias("spec_weight"),
         *[F.col(name).alias(f"spec_{name}") for name in SPEC_FIELDS],
     )
-    joined = lookup(records, prefixed, key, spread, hot_rows=hot_rows)
+    joined = lookup(records, prefixed, key, spread, hot_rows=hot_rows, counted=counted)
     filled = joined.withColumn("specs_found", F.coalesce("specs_found", F.lit(False)))
     for name in SPEC_FIELDS:
         filled = filled.withColumn(f"spec_{name}", F.coalesce(f"spec_{name}", F.lit("")))

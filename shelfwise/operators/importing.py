@@ -8,6 +8,7 @@ from shelfwise import constants as K
 from shelfwise.functions import parsing as P, text as T
 from shelfwise.functions.pricing import import_price
 from shelfwise.operators.keys import HOT_ROWS, lookup, mark_repeats
+from shelfwise.session import cut_lineage
 
 IMAGE_NAME = "(?i)^[A-Za-z0-9][A-Za-z0-9._-]*\\.(?:jpe?g|png|webp)$"
 IMAGE_MESSAGE = "image_filenames accepts basename-only JPG/JPEG/PNG/WebP names separated by |"
@@ -129,7 +130,8 @@ def validate_rows(raw: DataFrame, prefix: str = K.SKU_PREFIX, hot_rows: int = HO
         F.when(~names_ok, IMAGE_MESSAGE),
         F.when(F.size(F.array_distinct("images")) < F.size("images"), "duplicate image filename"),
     )
-    ruled = typed.withColumn("early_error", before_repeat).withColumn("late_error", after_repeat)
+    # Claims, repeats and image reuse all read the ruled rows; they are written once instead of being parsed again.
+    ruled = cut_lineage(typed.withColumn("early_error", before_repeat).withColumn("late_error", after_repeat))
     claims = (
         ruled.filter(F.col("early_error").isNull() & F.col("late_error").isNull())
         .groupBy("sku")
@@ -137,7 +139,7 @@ def validate_rows(raw: DataFrame, prefix: str = K.SKU_PREFIX, hot_rows: int = HO
     )
     checked = lookup(ruled, claims, "sku", ["row_number"], hot_rows=hot_rows)
     repeated = F.when(F.col("claimed_by") < F.col("row_number"), F.concat(F.lit("duplicate SKU in CSV: "), F.col("sku")))
-    rowwise = checked.withColumn("row_error", F.coalesce("early_error", repeated, "late_error"))
+    rowwise = cut_lineage(checked.withColumn("row_error", F.coalesce("early_error", repeated, "late_error")))
     reused = reused_images(rowwise.filter(F.col("row_error").isNull()), hot_rows=hot_rows)
     return (
         rowwise.join(reused, "row_number", "left")
@@ -263,7 +265,7 @@ def _decided(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, hot_rows:
     ids = by_id.groupBy("legacy_id").agg(F.min("product_id").alias("id_product"))
     skus = by_sku.groupBy("sku").agg(F.min("product_id").alias("sku_product"))
     first = lookup(records, ids, "legacy_id", ["row_no"], hot_rows=hot_rows)
-    return lookup(first, skus, "sku", ["row_no"], hot_rows=hot_rows)
+    return lookup(first, skus, "sku", ["row_no"], hot_rows=hot_rows, counted=records)
 
 
 def import_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -307,7 +309,7 @@ def stop_all_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame,
     wanted = records.filter(F.col("import_action") == "CREATE_DRAFT")
     marked = mark_repeats(wanted, F.col("legacy_id"), ["row_no"], "repeat_id")
     marked = mark_repeats(marked, F.lower("sku"), ["row_no"], "repeat_sku")
-    joined = _decided(marked, by_id, by_sku, hot_rows)
+    joined = _decided(cut_lineage(marked), by_id, by_sku, hot_rows)
     decided = joined.withColumn(
         "decision",
         F.when(F.col("repeat_id"), "STOP_DUPLICATE_LEGACY_ID")

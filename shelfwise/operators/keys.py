@@ -27,16 +27,19 @@ def lookup(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` (one row per key) on ``on``.
 
     Keys with more than ``hot_rows`` left rows are found by a column-pruned count; at most ``HOT_KEYS`` of
     them are kept, so the broadcast list has a fixed bound and any other key holds under 1/HOT_KEYS of the
     rows. Hot keys and nulls are spread by a hash of ``spread`` (columns that identify a left row), and only
-    the matching right rows are repeated.
+    the matching right rows are repeated. ``counted`` may name a cheaper frame with the same keys, such as the
+    frame a chain of lookups started from.
     """
     hot = (
-        left.filter(F.col(on).isNotNull())
+        (left if counted is None else counted)
+        .filter(F.col(on).isNotNull())
         .groupBy(on)
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") > hot_rows)
@@ -97,7 +100,7 @@ def dense_order(df: DataFrame, order: Sequence[Column], position: str, partition
     """Number the rows 1..n in ``order`` (a total order).
 
     Range partitions are numbered inside and shifted by the sizes of the partitions before them; only the
-    partition sizes (one row per partition) meet in one place. The ranged rows are checkpointed so that both
+    partition sizes (one row per partition) meet in one place. The ranged rows are written out so that both
     readers see the same partitions.
     """
     spark = df.sparkSession

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions.classify import classify_images
 from shelfwise.functions.media import image_gate_reasons, large_stone_candidate
+from shelfwise.operators.staging import computed
 
 
 def image_verdicts(metrics: DataFrame) -> DataFrame:
@@ -67,3 +68,23 @@ def view_votes(views: DataFrame) -> DataFrame:
     return counted.withColumn("vote", classify_images(F.col("readable"), F.col("qualifying"))).select(
         "product_id", "views", "readable", "qualifying", "vote.*"
     )
+
+
+def histogram_percentile(rows: DataFrame, histogram: str, percentile: float, name: str) -> DataFrame:
+    """Add the first of 256 levels whose running three-channel count reaches the share. Nothing is shuffled.
+
+    ``histogram`` holds 3 x 256 counts. The level counts and the threshold are computed once per row.
+    """
+    third = [F.slice(histogram, start, 256) for start in (1, 257, 513)]
+    counts = F.zip_with(F.zip_with(third[0], third[1], lambda a, b: a + b), third[2], lambda a, b: a + b)
+    summed = computed(rows, __counts=counts)
+    total = F.aggregate("__counts", F.lit(0).cast("bigint"), lambda acc, n: acc + n)
+    ready = computed(summed, __threshold=total * F.lit(percentile))
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0).alias("level"))
+
+    def step(acc: Column, count: Column) -> Column:
+        seen = acc["seen"] + count
+        return F.struct(seen.alias("seen"), (acc["level"] + (seen < F.col("__threshold")).cast("int")).alias("level"))
+
+    level = F.aggregate("__counts", start, step)["level"]
+    return ready.withColumn(name, F.least(level, F.lit(255)).cast("double")).drop("__counts", "__threshold")

@@ -16,6 +16,7 @@ from shelfwise.functions import identity as I, parsing as P, text as T, urls as
 from shelfwise.functions.classify import page_category
 from shelfwise.functions.htmlwalk import walk_page
 from shelfwise.operators.keys import HOT_ROWS, lookup
+from shelfwise.operators.staging import computed
 
 _PAIR = "array<struct<label:string,value:string>>"
 PAGE_FIELDS = (
@@ -151,10 +152,13 @@ def _clean_pairs(rows: DataFrame) -> DataFrame:
     """Normalised labels and values within their length limits."""
     label = F.trim(T.normalize_text(F.col("raw_label")), F.lit(_LABEL_EDGE))
     rest = F.trim(F.trim(F.substring(label, len(K.SPEC_HEADING) + 1, 1_000_000)), F.lit(_LABEL_EDGE))
+    cleaned = computed(
+        rows,
+        label=F.when(label.startswith(K.SPEC_HEADING), rest).otherwise(label),
+        value=F.trim(T.normalize_text(F.col("raw_value")), F.lit(_VALUE_EDGE)),
+    )
     return (
-        rows.withColumn("label", F.when(label.startswith(K.SPEC_HEADING), rest).otherwise(label))
-        .withColumn("value", F.trim(T.normalize_text(F.col("raw_value")), F.lit(_VALUE_EDGE)))
-        .filter(
+        cleaned.filter(
             (F.col("label") != "")
             & (F.col("value") != "")
             & (F.length("label") <= K.SPEC_LABEL_MAX)
@@ -164,23 +168,41 @@ def _clean_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def may_have_specs(pages: DataFrame) -> DataFrame:
+    """Pages with a heading word, a known label or label cells; the others are dropped before any tag walk."""
+    return pages.filter(F.col("html").rlike(f"{K.SPEC_HEADING}|وزن|بندی|نوع رکاب|نوع سنگ|عیار نقره|(?i:<(?:td|dd)[\\s>])|&"))
+
+
 def spec_rows(walked: DataFrame) -> DataFrame:
-    """(page_id, block, position, label, value) of every candidate block."""
-    chunks = walked.select("page_id", F.posexplode("spec_chunks").alias("block", "chunk"))
-    texts = chunks.select(
-        "page_id", "block", F.posexplode(split_spec_text(F.regexp_replace("chunk", _STOP, ""))).alias("position", "segment")
-    ).withColumn("segment", T.normalize_text(F.col("segment")))
-    parted = texts.filter(F.col("segment").rlike("[:：]")).select(
+    """(page_id, block, position, label, value) of every candidate block; the walked pages are read once."""
+    chunks = F.flatten(
+        F.transform(
+            "spec_chunks",
+            lambda chunk, block: F.transform(
+                split_spec_text(F.regexp_replace(chunk, _STOP, "")),
+                lambda segment, i: F.struct(
+                    block.alias("block"), i.alias("position"), F.lit(None).cast("string").alias("label"), segment.alias("value")
+                ),
+            ),
+        )
+    )
+    cells = F.transform(
+        "spec_pairs",
+        lambda pair, i: F.struct(
+            F.lit(_PAIRS_BLOCK).alias("block"), i.alias("position"), pair["label"].alias("label"), pair["value"].alias("value")
+        ),
+    )
+    entries = walked.select("page_id", F.inline(F.concat(chunks, cells)))
+    segments = computed(entries, segment=T.normalize_text(F.col("value")))
+    is_text = F.col("label").isNull()
+    parted = segments.filter(~is_text | F.col("segment").rlike("[:：]")).select(
         "page_id",
         "block",
         "position",
-        F.regexp_extract("segment", "^(.*?)[:：]", 1).alias("raw_label"),
-        F.regexp_extract("segment", "^.*?[:：](.*)$", 1).alias("raw_value"),
+        F.when(is_text, F.regexp_extract("segment", "^(.*?)[:：]", 1)).otherwise(F.col("label")).alias("raw_label"),
+        F.when(is_text, F.regexp_extract("segment", "^.*?[:：](.*)$", 1)).otherwise(F.col("value")).alias("raw_value"),
     )
-    cells = walked.select("page_id", F.posexplode("spec_pairs").alias("position", "pair")).select(
-        "page_id", F.lit(_PAIRS_BLOCK).alias("block"), "position", F.col("pair.label").alias("raw_label"), F.col("pair.value").alias("raw_value")
-    )
-    return _clean_pairs(parted.unionByName(cells))
+    return _clean_pairs(parted)
 
 
 def best_specs(rows: DataFrame) -> DataFrame:
@@ -303,14 +325,16 @@ def discover(records: DataFrame, candidates: DataFrame, found_pages: DataFrame,
     """
     stored = found_pages.select(F.col("url").alias("target")).distinct().withColumn("stored", F.lit(True))
     hits = lookup(candidates, stored, "target", ["legacy_id", "strategy_rank", "position"], hot_rows=hot_rows).filter("stored")
-    best = hits.groupBy("legacy_id").agg(
-        F.min(F.struct("strategy_rank", "position", "target")).alias("hit")
+    best = (
+        hits.groupBy("legacy_id")
+        .agg(F.min(F.struct("strategy_rank", "position", "target")).alias("hit"))
+        .select("legacy_id", F.col("hit.strategy_rank").alias("hit_rank"), F.col("hit.target").alias("hit_target"))
     )
     names = F.array(*[F.lit(name) for name in STRATEGIES])
     return lookup(records, best, "legacy_id", ["row_no"], hot_rows=hot_rows).select(
         *records.columns,
-        F.coalesce(F.col("hit.target"), F.lit("")).alias("legacy_url"),
-        F.coalesce(F.get(names, F.col("hit.strategy_rank") - 1), F.lit("NOT_FOUND")).alias("strategy"),
+        F.coalesce(F.col("hit_target"), F.lit("")).alias("legacy_url"),
+        F.coalesce(F.get(names, F.col("hit_rank") - 1), F.lit("NOT_FOUND")).alias("strategy"),
     )
 
 

@@ -132,7 +132,7 @@ def create_only(candidates: DataFrame, by_id: DataFrame, by_sku: DataFrame, hot_
     ids = by_id.select("legacy_id").distinct().withColumn("id_known", F.lit(True))
     skus = by_sku.select("sku").distinct().withColumn("sku_known", F.lit(True))
     marked = lookup(candidates, ids, "legacy_id", ["row_no"], hot_rows=hot_rows)
-    marked = lookup(marked, skus, "sku", ["row_no"], hot_rows=hot_rows)
+    marked = lookup(marked, skus, "sku", ["row_no"], hot_rows=hot_rows, counted=candidates)
     return marked.filter(F.col("id_known").isNull() & F.col("sku_known").isNull()).drop("id_known", "sku_known")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import classify as C, identity as I, media as G, pricing as R, text as T
 from shelfwise.operators import media as M, prepared as Q
+from shelfwise.operators.staging import computed
 from shelfwise.queries import views as V
 from shelfwise.registry import query, table
 
@@ -175,19 +176,20 @@ r AS (SELECT doc_id, level, sum(c) OVER (PARTITION BY doc_id ORDER BY level) AS
 SELECT doc_id, CAST(min(level) AS DOUBLE) AS p95 FROM r WHERE running >= total * 0.95 GROUP BY doc_id""")
 def histogram_p95(spark, folder):
     bins = F.transform(F.sequence(F.lit(0), F.lit(767)), lambda i: (F.col("doc_id") * 31 + i * 17 + F.col("n_chars")) % 101)
-    return table(spark, folder, "documents").select("doc_id", G.histogram_percentile(bins, 0.95).alias("p95"))
+    rows = computed(table(spark, folder, "documents").select("doc_id", "n_chars"), histogram=bins)
+    return M.histogram_percentile(rows, "histogram", 0.95, "p95").select("doc_id", "p95")
 
 
 _MASKS = """SELECT p_partkey AS id, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_partkey % 40 END AS lft, p_partkey % 30 AS top, 60 + p_partkey % 140 AS rgt, 40 + p_partkey % 160 AS bottom,
-  200 AS width, 200 AS height, (p_partkey * 97) % 40001 AS nonzero, (p_partkey * 53) % 20001 AS semi FROM {part}"""
+  200 AS width, 200 AS height, (p_partkey * 97) % 40001 AS nonzero, (p_partkey * 53) % 20001 AS soft_px FROM {part}"""
 
 
 @query("mask_gate", f"""WITH m AS ({V.as_sql(_MASKS)}), w AS (SELECT *, nonzero / 40000.0 < 0.005 OR nonzero / 40000.0 > 0.98 AS bad,
-  lft <= 2 OR top <= 2 OR rgt >= 198 OR bottom >= 198 AS touches, CASE WHEN nonzero > 0 THEN CAST(semi AS DOUBLE) / nonzero ELSE 0 END > 0.35 AS soft, rgt - lft < 24 OR bottom - top < 24 AS small FROM m)
+  lft <= 2 OR top <= 2 OR rgt >= 198 OR bottom >= 198 AS touches, CASE WHEN nonzero > 0 THEN CAST(soft_px AS DOUBLE) / nonzero ELSE 0 END > 0.35 AS soft, rgt - lft < 24 OR bottom - top < 24 AS small FROM m)
 SELECT id, CASE WHEN lft IS NULL OR bad THEN 'REJECT' WHEN touches OR soft OR small THEN 'REVIEW' ELSE 'PASS' END AS status,
   CASE WHEN lft IS NULL THEN 1 ELSE CAST(touches AS INT) + CAST(soft AS INT) + CAST(small AS INT) + CAST(bad AS INT) END AS warnings FROM w""")
 def mask_gate(spark, folder):
-    gate = G.mask_gate(*[F.col(c) for c in ("lft", "top", "rgt", "bottom", "width", "height", "nonzero", "semi")])
+    gate = G.mask_gate(*[F.col(c) for c in ("lft", "top", "rgt", "bottom", "width", "height", "nonzero", "soft_px")])
     masks = V.view(spark, folder, _MASKS).withColumn("g", gate)
     return masks.select("id", F.col("g.status").alias("status"), F.size("g.warnings").alias("warnings"))
 

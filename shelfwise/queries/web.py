@@ -110,7 +110,7 @@ _SPECS = _PAGE + """, specs AS (SELECT page_id,
 
 
 def _specs(spark, folder):
-    return P.best_specs(P.spec_rows(_walked(spark, folder)))
+    return P.best_specs(P.spec_rows(P.walk_pages(P.may_have_specs(V.view(spark, folder, V.PRODUCT_PAGES)))))
 
 
 @query("page_specs", _SPECS + " SELECT * FROM specs")
@@ -199,15 +199,15 @@ _SPEC_WEIGHTS = """SELECT p_partkey * 2 AS page_id, CASE WHEN p_partkey % 4 = 0
 
 
 @query("weight_reconcile", _DRAFT_SQL + f""", w AS ({V.as_sql(_SPEC_WEIGHTS)}),
-joined AS (SELECT d.product_id, l.*, w.page_id IS NOT NULL AS has_specs, TRY_CAST(nullif(w.weight_text, '') AS DOUBLE) AS live
+linked AS (SELECT d.product_id, l.*, w.page_id IS NOT NULL AS has_specs, TRY_CAST(nullif(w.weight_text, '') AS DOUBLE) AS live
   FROM drafts d JOIN latest l ON d.legacy_id = l.legacy_id LEFT JOIN w ON w.page_id = d.legacy_id),
-priced AS (SELECT *, CASE WHEN weight IS NULL AND live IS NOT NULL AND sheet_price IS NOT NULL
-    THEN CAST(ceil(greatest(sheet_price, live * (CASE stone_class WHEN 'large_stone' THEN 590000 ELSE 650000 END)) / 50000) AS BIGINT) * 50000 ELSE final_price END AS new_final FROM joined)
+redone AS (SELECT *, CASE WHEN weight IS NULL AND live IS NOT NULL AND sheet_price IS NOT NULL
+    THEN CAST(ceil(greatest(sheet_price, live * (CASE stone_class WHEN 'large_stone' THEN 590000 ELSE 650000 END)) / 50000) AS BIGINT) * 50000 ELSE final_price END AS new_final FROM linked)
 SELECT product_id, CASE WHEN weight IS NOT NULL THEN 'EXCEL' WHEN live IS NOT NULL THEN 'LIVE_PAGE' ELSE 'MISSING' END AS weight_source,
   coalesce(weight, live) AS weight, new_final AS final_price, weight IS NULL AND live IS NOT NULL AS price_reconciled,
   coalesce(abs(weight - live) > 0.5, false) AS mismatch, weight IS NULL AND live IS NOT NULL AND new_final IS DISTINCT FROM final_price AS recalculated,
   NOT has_specs AS specs_missing
-FROM priced""")
+FROM redone""")
 def weight_reconcile(spark, folder):
     specs = V.view(spark, folder, _SPEC_WEIGHTS).select(
         F.col("page_id").alias("legacy_id"),
@@ -218,7 +218,7 @@ def weight_reconcile(spark, folder):
         *[F.lit("").alias(n) for n in E.SPEC_FIELDS if n != "weight_display"],
     )
     records = _matched(spark, folder).withColumn("sku", F.col("current_sku"))
-    done = E.reconcile(E.with_specs(records, specs, "legacy_id", ["product_id"]), "فروشگاه")
+    done = E.reconcile(E.with_specs(records, specs, "legacy_id", ["product_id"], counted=V.view(spark, folder, V.DRAFTS)), "فروشگاه")
 
     def has(flag: str):
         return F.array_contains("review_flags", flag)
@@ -286,6 +286,5 @@ def doc_public_section(spark, folder):
         .when(F.col("doc_id") % 5 == 2, F.concat(F.lit("## Content\n"), text, F.lit("\n## content:\nmore")))
         .otherwise(F.concat(F.lit("# x\nintro\n## Page Content\n"), text, F.lit("\n\n## SEO notes:\nhidden\n## Content\n")))
     )
-    section = D.public_section(wrapped)
-    cut = table(spark, folder, "documents").select("doc_id", section.alias("s"))
-    return cut.select("doc_id", F.md5("s.body").alias("body_md5"), F.col("s.error").alias("error"))
+    cut = D.public_sections(table(spark, folder, "documents").select("doc_id", wrapped.alias("text")))
+    return cut.select("doc_id", F.md5("body").alias("body_md5"), "error")
