@@ -18,9 +18,9 @@ def strip(value: Column) -> Column:
     return F.trim(value, F.lit(K.WHITESPACE_CHARS))
 
 
-# Any character beyond layout whitespace, printable ASCII and Latin letters. Scanning for it is far cheaper than
-# translating character by character, so text without such characters skips the translation.
-_BEYOND_LATIN = "[^\\t-\\r\\x20-\\x7e\\u00a1-\\u024f]"
+# Any character beyond ASCII and Latin letters. Scanning for it is far cheaper than translating character by
+# character, so text without such characters skips the translation.
+_BEYOND_LATIN = "[^\\x00-\\x7f\\u00a1-\\u024f]"
 
 
 def _translate_rare(value: Column, source: str, target: str) -> Column:
@@ -28,7 +28,7 @@ def _translate_rare(value: Column, source: str, target: str) -> Column:
 
 
 def _single_spaces(value: Column) -> Column:
-    return F.trim(F.regexp_replace(value, "\\s+", " "))
+    return F.trim(F.regexp_replace(value, "[\\s\\x1c-\\x1f]+", " "))
 
 
 def collapse(value: Column) -> Column:

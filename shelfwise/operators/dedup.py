@@ -54,8 +54,8 @@ def greedy_accept(df: DataFrame, order: str, keys: Sequence[str], hot_rows: int
         winners = (
             reduce(DataFrame.unionByName, firsts)
             .groupBy(order)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") == len(keys))
+            .agg(F.count(F.lit(1)).alias("__firsts"))
+            .filter(F.col("__firsts") == len(keys))
             .select(order)
         )
         winners = cut_lineage(undecided.join(winners, order, "left_semi"))
