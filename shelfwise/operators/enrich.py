@@ -109,10 +109,13 @@ def with_specs(
         *[F.col(name).alias(f"spec_{name}") for name in SPEC_FIELDS],
     )
     joined = lookup(records, prefixed, key, spread, hot_rows=hot_rows, counted=counted)
-    filled = joined.withColumn("specs_found", F.coalesce("specs_found", F.lit(False)))
-    for name in SPEC_FIELDS:
-        filled = filled.withColumn(f"spec_{name}", F.coalesce(f"spec_{name}", F.lit("")))
-    return filled.withColumn("spec_unknown", F.coalesce("spec_unknown", F.array().cast("array<string>")))
+    return joined.withColumns(
+        {
+            "specs_found": F.coalesce("specs_found", F.lit(False)),
+            "spec_unknown": F.coalesce("spec_unknown", F.array().cast("array<string>")),
+            **{f"spec_{name}": F.coalesce(f"spec_{name}", F.lit("")) for name in SPEC_FIELDS},
+        }
+    )
 
 
 def reconcile(records: DataFrame, shop: str = "") -> DataFrame:
@@ -144,25 +147,26 @@ def reconcile(records: DataFrame, shop: str = "") -> DataFrame:
         )
     )
     flags = F.array_distinct(F.concat("review_flags", new_flags))
-    out = (
-        redone.withColumn("review_flags", flags)
-        .withColumn("requires_review", F.when(F.size("review_flags") > 0, "YES").otherwise("NO"))
-        .withColumn(
-            "weight_source",
-            F.when(sheet_weight.isNotNull(), "EXCEL").when(page_weight.isNotNull(), "LIVE_PAGE").otherwise("MISSING"),
-        )
-        .withColumn("price_reconciled", use_page)
-        .withColumn("stone_class", F.when(use_page, F.col("__stone")).otherwise(F.col("stone_class")))
-        .withColumn("rate_used", repriced("rate_used", "rate_used"))
-        .withColumn("computed_price", repriced("computed_price", "computed"))
-        .withColumn("price_source", repriced("price_source", "price_source"))
-        .withColumn("regular_price", repriced("regular_price", "regular_price"))
-        .withColumn("final_price", repriced("final_price", "final_price"))
-        .withColumn("weight", F.coalesce("weight", "spec_weight"))
-        .drop("redone", "__stone")
-    )
-    return out.withColumn("description", description(shop)).withColumn(
-        "description_source", F.when(F.col("specs_found"), "SPECS_TEMPLATE").otherwise("SEO_FALLBACK")
+    out = redone.withColumns(
+        {
+            "review_flags": flags,
+            "weight_source": F.when(sheet_weight.isNotNull(), "EXCEL").when(page_weight.isNotNull(), "LIVE_PAGE").otherwise("MISSING"),
+            "price_reconciled": use_page,
+            "stone_class": F.when(use_page, F.col("__stone")).otherwise(F.col("stone_class")),
+            "rate_used": repriced("rate_used", "rate_used"),
+            "computed_price": repriced("computed_price", "computed"),
+            "price_source": repriced("price_source", "price_source"),
+            "regular_price": repriced("regular_price", "regular_price"),
+            "final_price": repriced("final_price", "final_price"),
+            "weight": F.coalesce("weight", "spec_weight"),
+        }
+    ).drop("redone", "__stone")
+    return out.withColumns(
+        {
+            "requires_review": F.when(F.size("review_flags") > 0, "YES").otherwise("NO"),
+            "description": description(shop),
+            "description_source": F.when(F.col("specs_found"), "SPECS_TEMPLATE").otherwise("SEO_FALLBACK"),
+        }
     )
 
 

@@ -7,6 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwise import constants as K
 from shelfwise.functions import text as T
 
+
+def spread_few_splits(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores is spread over the cores; any larger input is left as it is.
+
+    The row work here (parsing, tag walks) costs far more than moving a small input, while a large input already
+    has many splits and must not be shuffled. Filters and column pruning still reach the scan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 POSITIONS = {
     "id_cell": K.COLUMN_ID,
     "category_cell": K.COLUMN_CATEGORY,
