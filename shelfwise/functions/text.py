@@ -156,3 +156,16 @@ def redact(text: Column, secrets: list[str], mask: str = "********") -> Column:
         if len(secret) >= 6:
             text = F.replace(text, F.lit(secret), F.lit(mask))
     return text
+
+
+def tehran_stamp(moment: Column, micros: bool = False) -> Column:
+    """Run stamp in local time with its offset; ``moment`` is a UTC instant."""
+    pattern = "yyyyMMdd'T'HHmmss" + ("SSSSSS" if micros else "")
+    local = F.from_utc_timestamp(moment, "Asia/Tehran")
+    minutes = ((F.unix_timestamp(local) - F.unix_timestamp(moment)) / 60).cast("int")
+    offset = F.format_string("%s%02d%02d", F.when(minutes < 0, "-").otherwise("+"), F.abs(F.floor(minutes / 60)), F.abs(minutes) % 60)
+    return F.concat(F.date_format(local, pattern), offset)
+
+
+def utc_iso(moment: Column) -> Column:
+    return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))

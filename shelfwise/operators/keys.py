@@ -80,11 +80,6 @@ def mark_repeats(df: DataFrame, key: Column, order: Sequence[str], flag: str) ->
     )
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first by ``order``."""
-    return top_per_group(df, keys, order, 1).drop("rank")
-
-
 def top_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
     return ranked.filter(F.col("rank") <= k)

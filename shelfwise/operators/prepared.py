@@ -182,21 +182,105 @@ def sheet_summary(records: DataFrame) -> DataFrame:
     )
 
 
-def flat_report(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Fixed column order, every value as text: arrays joined by `` | ``, nulls empty."""
-    types = dict(rows.dtypes)
-
-    def cell(name: str) -> Column:
-        if name not in types:
-            return F.lit("").alias(name)
-        value = F.col(name)
-        if types[name].startswith("array<"):
-            return F.concat_ws(" | ", value).alias(name)
-        if types[name].startswith("decimal"):
-            return F.coalesce(T.plain_decimal_text(value), F.lit("")).alias(name)
-        return F.coalesce(value.cast("string"), F.lit("")).alias(name)
-
-    return rows.select(*[cell(c) for c in columns])
+# Report columns in order, with the field each one shows and its text when the field is absent
+SHEET_REPORT = (
+    ("wp_id", "product_id", ""),
+    ("old_public_title", "old_title", ""),
+    ("new_public_title", "title", ""),
+    ("title_cleanup_applied", "title_cleanup_applied", "False"),
+    ("extracted_title_code", "title_code", ""),
+    ("current_sku", "sku", ""),
+    ("sku_title_match", "sku_title_match", "NOT_APPLICABLE"),
+    ("legacy_product_id", "legacy_id", ""),
+    ("legacy_raw_code", "raw_code", ""),
+    ("legacy_url", "legacy_url", ""),
+    ("identity_key", "identity_key", ""),
+    ("title_cleanup_status", "title_status", ""),
+    ("description_updated", "description_updated", ""),
+    ("specs_found_count", "specs_found_count", "0"),
+    ("price_changed", "price_changed", "False"),
+    ("legacy_id", "legacy_id", ""),
+    ("sku", "sku", ""),
+    ("sku_source", "sku_source", ""),
+    ("title", "title", ""),
+    ("category_raw", "category_raw", ""),
+    ("category", "category", ""),
+    ("weight_grams", "weight", ""),
+    ("excel_price_toman", "sheet_price", ""),
+    ("pre_discount_price_toman", "pre_discount_price", ""),
+    ("computed_price_toman", "computed_price", ""),
+    ("final_price_toman", "final_price", ""),
+    ("regular_price_toman", "regular_price", ""),
+    ("price_source", "price_source", ""),
+    ("rate_used", "rate_used", ""),
+    ("stone_class", "stone_class", ""),
+    ("stone_type", "spec_stone_type", ""),
+    ("stone_color", "spec_stone_color", ""),
+    ("band_type", "spec_band_type", ""),
+    ("silver_purity", "spec_silver_purity", ""),
+    ("spec_weight", "spec_weight", ""),
+    ("weight_source", "weight_source", "MISSING"),
+    ("description_source", "description_source", "SEO_FALLBACK"),
+    ("unknown_spec_labels_seen", "spec_unknown", ""),
+    ("stock", "stock", "0"),
+    ("images_found", "images_found", "0"),
+    ("image_status", "image_status", ""),
+    ("image_discovery_strategy", "strategy", ""),
+    ("action", "action", ""),
+    ("review_flags", "review_flags", ""),
+    ("wordpress_product_id", "product_id", ""),
+)
+PREPARED_REPORT = (
+    ("legacy_id", "legacy_id", ""),
+    ("legacy_code_raw", "code_raw", ""),
+    ("legacy_code", "code", ""),
+    ("sku", "sku", ""),
+    ("product_url", "url", ""),
+    ("title", "title", ""),
+    ("category", "category", ""),
+    ("weight_grams", "price.weight", ""),
+    ("legacy_price_toman", "price.legacy_price", ""),
+    ("stone_class", "stone.stone_class", ""),
+    ("stone_confidence", "stone.confidence", ""),
+    ("stone_source", "stone.source", ""),
+    ("rate_toman_per_gram", "price.rate", ""),
+    ("calculated_price_toman", "price.calculated_price", ""),
+    ("selected_pre_round_toman", "price.selected_price", ""),
+    ("final_price_toman", "price.final_price", ""),
+    ("selection_reason", "price.reason", ""),
+    ("image_qa_status", "image_qa_status", ""),
+    ("optimized_featured_approved", "featured_approved", "False"),
+    ("image_integrity_action", "image_action", ""),
+    ("conflict", "conflict", ""),
+    ("requires_review", "requires_review", ""),
+    ("review_reasons", "review_reasons", ""),
+    ("import_action", "import_action", ""),
+    ("wordpress_product_id", "product_id", ""),
+    ("attachment_ids", "attachment_ids", ""),
+)
+
+
+def report(rows: DataFrame, layout: tuple[tuple[str, str, str], ...]) -> DataFrame:
+    """Every report column as text in fixed order: arrays joined, decimals plain, missing values as given."""
+    present = [(out, field, default) for out, field, default in layout if field.split(".")[0] in rows.columns]
+    types = {out: rows.select(F.col(field)).dtypes[0][1] for out, field, _ in present}
+
+    def cell(out: str, field: str, default: str) -> Column:
+        kind = types.get(out)
+        if kind is None:
+            return F.lit(default).alias(out)
+        value = F.col(field)
+        if kind.startswith("array<"):
+            text = F.concat_ws("," if field == "spec_unknown" else " | ", value)
+        elif kind.startswith("decimal"):
+            text = T.plain_decimal_text(value)
+        elif kind == "boolean":
+            text = F.initcap(value.cast("string"))
+        else:
+            text = value.cast("string")
+        return F.coalesce(text, F.lit(default)).alias(out)
+
+    return rows.select(*[cell(*line) for line in layout])
 
 
 def metadata(prepared: DataFrame, namespace: str, keep_empty: bool = False) -> DataFrame:

@@ -308,3 +308,29 @@ FROM selected ORDER BY legacy_id DESC, row_no LIMIT 20""")
 def selection_preview(spark, folder):
     shown = S.preview(S.select_newest(_records(spark, folder), 1000), 20)
     return shown.select("legacy_id", "row_no", "sku", "final_price", "action", "remaining")
+
+
+@query("catalog_scan", f"""WITH sheet AS ({V.as_sql(V.SHEET)}) SELECT row_no, id_cell, title_cell, category_cell, price_cell, weight_cell, code_cell, seo_description_cell FROM sheet""")
+def catalog_scan(spark, folder):
+    from shelfwise.sources.reading import POSITIONS, catalog_cells
+
+    cells = V.view(spark, folder, V.SHEET)
+    by_position = {position: name for name, position in POSITIONS.items()}
+    by_position[K.COLUMN_TITLE] = "title_cell"
+    wide = cells.select("row_no", *[F.col(by_position[i]).alias(f"c{i}") if i in by_position else F.lit("").alias(f"c{i}") for i in range(1, 30)])
+    read = catalog_cells(wide, row_no="row_no", min_columns=K.IMPORT_MIN_COLUMNS)
+    return read.select("row_no", "id_cell", "title_cell", "category_cell", "price_cell", "weight_cell", "code_cell", "seo_description_cell")
+
+
+@query("catalog_report", _PLAN + """
+SELECT row_no, CAST(legacy_id AS VARCHAR) AS legacy_product_id, sku AS current_sku, coalesce(CAST(final_price AS VARCHAR), '') AS final_price_toman,
+  regexp_replace(review_flags, '[|]', ' | ', 'g') AS review_flags, CAST(stock AS VARCHAR) AS stock, 'MISSING' AS weight_default FROM plan""")
+def catalog_report(spark, folder):
+    from shelfwise.operators.prepared import SHEET_REPORT, report
+
+    records = _records(spark, folder).drop("weight_source")
+    shown = report(records, (("row_no", "row_no", ""), *SHEET_REPORT[:44]))
+    return shown.select(
+        F.col("row_no").cast("bigint").alias("row_no"), "legacy_product_id", "current_sku", "final_price_toman", "review_flags", "stock",
+        F.col("weight_source").alias("weight_default"),
+    )

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions import text as T
-from shelfwise.operators.prepared import flat_report
+from shelfwise.operators.prepared import report
 
 
-def write_report_csv(rows: DataFrame, columns: list[str], path: str) -> None:
-    flat_report(rows, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+def write_report_csv(rows: DataFrame, layout, path: str) -> None:
+    """``layout`` is one of the fixed report layouts, or any (column, field, default) list."""
+    report(rows, layout).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
 def write_json(rows: DataFrame, path: str) -> None:

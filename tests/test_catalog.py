@@ -125,3 +125,44 @@ def test_positional_source(spark, tmp_path):
     assert reading.resolve_title_column(["x", "y"]) == 2 and reading.resolve_title_column(["a", "b", "عنوان کامل"]) == 3
     with pytest.raises(ValueError):
         reading.catalog_cells(sheet.select(*sheet.columns[:10]))
+
+
+def test_pages_join_the_import_and_decisions_follow(spark, records):
+    from shelfwise.operators.prepared import SHEET_REPORT, report, sheet_summary
+    from shelfwise.plans import catalog_import as CI
+
+    planned = S.select_newest(records, 4)
+    site = "shop.example.com"
+    spec = "<h2>مشخصات</h2><p>وزن: ۱۶ گرم · نوع سنگ: حدید</p>"
+    pages = spark.createDataFrame(
+        [(1, f"https://{site}/product/3643/", spec + '<img src="/product-images/a.jpg">'), (2, f"https://{site}/p/3642/", '<img src="/uploads/b.png">'), (3, f"https://{site}/product/3641/", "nothing")],
+        "page_id bigint, url string, html string")
+    done = CI.attach_pages(planned, pages, f"https://{site}", site, "فروشگاه")
+    got = {r.legacy_id: r for r in done.collect()}
+    assert (got[3643].final_price, got[3643].strategy, got[3643].image_status, got[3643].action) == (10_400_000, "DIRECT_ID_PATTERN", "READY", "READY_DRAFT")
+    assert got[3642].image_urls == [f"https://{site}/uploads/b.png"] and got[3642].description_source == "SEO_FALLBACK"
+    assert (got[3641].strategy, got[3641].image_status) == ("NOT_FOUND", "MISSING") and "IMAGES_MISSING" in got[3641].review_flags
+    store = spark.createDataFrame([(7, "x", {"legacy_id": "3643"}), (8, "NM-3642", {})], "product_id bigint, sku string, meta map<string,string>")
+    decided, clashes = CI.decide(done, store)
+    assert {r.legacy_id: r.decision for r in decided.collect()} == {"3643": "SKIP_EXISTING_LEGACY_ID", "3642": "SKIP_SKU_CONFLICT", "3641": "CREATE_DRAFT", "3640": "CREATE_DRAFT"}
+    assert clashes.count() == 0
+    lines = report(done, SHEET_REPORT).collect()
+    assert len(lines[0].asDict()) == 45 and {r.final_price_toman for r in lines if r.legacy_id == "3643"} == {"10400000"}
+    assert sheet_summary(done).first().missing_images == 2
+
+
+def test_enrichment_updates_price_once(spark, records):
+    from shelfwise.plans import enrichment as EN
+
+    columns = "row_no bigint, id_cell string, title_cell string, category_cell string, price_cell string, pre_discount_cell string, stock_cell string, availability_cell string, active_cell string, weight_cell string, code_cell string, seo_title_cell string, seo_description_cell string"
+    cells = spark.createDataFrame([(2, "3643", "انگشتر نقره کد 1058", "انگشتر", "7689000", None, "2", "1", "1", None, None, None, None)], columns)
+    drafts = spark.createDataFrame([(1, 3643, "انگشتر", "", "1058", 7_700_000), (2, 9, "x", "", "", 5)], "product_id bigint, legacy_id bigint, public_title string, legacy_original_title string, sku string, price bigint")
+    pages = spark.createDataFrame([(1, "https://h/product/3643/", "<h2>مشخصات</h2><p>وزن: ۱۶ گرم</p>")], "page_id bigint, url string, html string")
+    planned, missing = EN.plan(drafts, cells, pages, "فروشگاه")
+    assert [r.product_id for r in missing.collect()] == [2]
+    store = spark.createDataFrame([(1, 3643, "draft", "t", "", 7_700_000)], "product_id bigint, legacy_id bigint, status string, title string, description string, regular_price bigint")
+    updated, violations = EN.apply(store, planned)
+    after = updated.first()
+    assert (after.regular_price, after.title) == (10_400_000, "انگشتر نقره") and violations.count() == 0
+    again, _ = EN.plan(drafts.withColumn("price", F.lit(10_400_000).cast("bigint")), cells, pages, "فروشگاه")
+    assert again.first().update_price is False

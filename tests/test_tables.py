@@ -202,9 +202,9 @@ def test_json_runs_and_reports(spark, tmp_path):
         got = reading.read_products_json(spark, f"{tmp_path}/{name}.json", "legacy_id string, sku string").collect()
         assert [r.legacy_id for r in got] == ["1" if name == "a" else "2"]
     rows = spark.createDataFrame([(1, ["p", "q"], None), (2, [], "z")], "id int, flags array<string>, note string")
-    writing.write_report_csv(rows, ["note", "flags", "id", "absent"], f"{tmp_path}/report")
+    writing.write_report_csv(rows, [("note", "note", ""), ("flags", "flags", ""), ("id", "id", ""), ("absent", "absent", "?")], f"{tmp_path}/report")
     back = spark.read.option("header", True).csv(f"{tmp_path}/report").orderBy("id").collect()
-    assert [(r.flags, r.id) for r in back] == [("p | q", "1"), (None, "2")]
+    assert [(r.flags, r.id, r.absent) for r in back] == [("p | q", "1", "?"), (None, "2", "?")]
     for stamp in ("20240101", "20240105"):
         writing.write_run(rows.withColumn("image_status", F.lit("READY")), f"{tmp_path}/runs", stamp)
     newest = reading.latest_run(spark.read.option("basePath", f"{tmp_path}/runs").parquet(f"{tmp_path}/runs"))
@@ -228,3 +228,28 @@ def test_prepared_products(spark):
     assert report.count() == 3 and Q.report_summary(report).first().needing_review == 2
     meta = Q.metadata(Q.prepare(rows, qa_run=True), "shop").filter("legacy_id = '1'").first().meta
     assert meta["manual_price_toman"] == "5900000" and meta["silver_weight_grams"] == "10"
+
+
+def test_import_file_reader(spark, tmp_path):
+    from shelfwise import constants as K
+
+    header = "﻿" + ",".join(K.IMPORT_COLUMNS) + ",extra"
+    (tmp_path / "p.csv").write_text(header + "\n" + ",".join(["RAD-RNG-U-1001"] + ["x"] * 13) + ",e\n", encoding="utf-8")
+    got = reading.read_import_csv(spark, f"{tmp_path}/p.csv").first()
+    assert (got.row_number, got.sku) == (2, "RAD-RNG-U-1001") and "extra" not in got.asDict()
+    (tmp_path / "q.csv").write_text("sku\nx\n")
+    with pytest.raises(ValueError, match="title_fa"):
+        reading.read_import_csv(spark, f"{tmp_path}/q.csv")
+
+
+def test_published_products_keep_only_wanted_keys(spark):
+    rows = spark.createDataFrame([("1", "publish", {"a": "1", "b": "2", "c": ""}), ("x", "publish", {}), ("0", "publish", {}), ("2", "draft", {})], "id string, status string, meta map<string,string>")
+    assert [(r.id, r.meta) for r in reading.published_products(rows, ("a", "c")).collect()] == [(1, {"a": "1"})]
+
+
+def test_stamps(spark):
+    from shelfwise.functions import text as T
+
+    moment = F.lit("2024-06-01 00:00:00.000001").cast("timestamp")
+    got = spark.range(1).select(T.tehran_stamp(moment).alias("a"), T.tehran_stamp(moment, True).alias("b"), T.utc_iso(moment).alias("c")).first()
+    assert (got.a, got.b, got.c) == ("20240601T033000+0330", "20240601T033000000001+0330", "2024-06-01T00:00:00.000001+00:00")
