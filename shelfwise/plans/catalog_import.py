@@ -9,33 +9,41 @@ from shelfwise.session import cut_lineage
 
 
 def select(cells: DataFrame, limit: int, title_fallback: str = "محصول نقره") -> tuple[DataFrame, DataFrame]:
-    """(planned records, selection summary)."""
+    """(planned records, selection summary). The few selected records are written once; every later step reads them."""
     records = S.priced_records(cells, title_fallback)
-    return S.select_newest(records, limit), S.selection_summary(records, limit)
+    return cut_lineage(S.select_newest(records, limit)), S.selection_summary(records, limit)
 
 
 def attach_pages(planned: DataFrame, pages: DataFrame, base_url: str, site_host: str, shop: str) -> DataFrame:
     """Planned records with page address, images and reconciled specifications. Skipped records fetch nothing.
 
-    Pages are walked once; the walked rows feed both images and specifications.
+    Pages are walked once; the walked rows feed both images and specifications. The batch, the assets and the result
+    are written once each, because several joins and reports read them.
     """
+    planned = cut_lineage(planned)
     wanted = planned.filter(~F.col("action").startswith("SKIP_"))
     walked = cut_lineage(W.walk_pages(pages))
     specs = W.best_specs(W.spec_rows(walked))
     images = walked.select("page_id", "url", W.gallery_urls(F.col("gallery"), F.col("gallery_marked"), site_host).alias("image_urls"))
-    assets = images.join(specs, "page_id", "left").filter((F.size("image_urls") > 0) | F.col("specs").isNotNull())
-    located = W.discover(wanted, W.direct_candidates(wanted, base_url), assets)
+    assets = cut_lineage(images.join(specs, "page_id", "left").filter((F.size("image_urls") > 0) | F.col("specs").isNotNull()))
+    located = cut_lineage(W.discover(wanted, W.direct_candidates(wanted, base_url), assets))
     by_url = assets.dropDuplicates(["url"]).withColumnRenamed("url", "legacy_url")
     specified = E.with_specs(located, by_url.filter("specs is not null"), "legacy_url", ["row_no"])
     reconciled = E.reconcile(specified, shop)
     pictured = reconciled.join(by_url.select("legacy_url", "image_urls"), "legacy_url", "left")
     has_images = F.coalesce(F.size("image_urls"), F.lit(0)) > 0
-    return (
-        pictured.withColumn("image_status", F.when(has_images, "READY").otherwise("MISSING"))
-        .withColumn("review_flags", F.when(has_images, F.col("review_flags")).otherwise(F.array_distinct(F.concat("review_flags", F.array(F.lit("IMAGES_MISSING"))))))
-        .withColumn("action", F.when(F.col("action") == "PLAN_CREATE_DRAFT", "READY_DRAFT").otherwise(F.col("action")))
-        .unionByName(planned.filter(F.col("action").startswith("SKIP_")).withColumn("image_status", F.lit("SKIPPED")), allowMissingColumns=True)
+    attached = pictured.withColumns(
+        {
+            "image_status": F.when(has_images, "READY").otherwise("MISSING"),
+            "review_flags": F.when(has_images, F.col("review_flags")).otherwise(
+                F.array_distinct(F.concat("review_flags", F.array(F.lit("IMAGES_MISSING"))))
+            ),
+            "requires_review": F.when(has_images, F.col("requires_review")).otherwise("YES"),
+            "action": F.when(F.col("action") == "PLAN_CREATE_DRAFT", "READY_DRAFT").otherwise(F.col("action")),
+        }
     )
+    skipped = planned.filter(F.col("action").startswith("SKIP_")).withColumn("image_status", F.lit("SKIPPED"))
+    return cut_lineage(attached.unionByName(skipped, allowMissingColumns=True))
 
 
 def decide(planned: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
