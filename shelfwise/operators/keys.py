@@ -17,6 +17,7 @@ from shelfwise.session import cut_lineage
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
 SALTS = 64
+MAX_SHARE = 256
 
 
 def lookup(
@@ -31,23 +32,26 @@ def lookup(
 ) -> DataFrame:
     """Join ``left`` to ``right`` (one row per key) on ``on``.
 
-    Keys with more than ``hot_rows`` left rows are found by a column-pruned count; at most ``HOT_KEYS`` of
-    them are kept, so the broadcast list has a fixed bound and any other key holds under 1/HOT_KEYS of the
-    rows. Hot keys and nulls are spread by a hash of ``spread`` (columns that identify a left row), and only
-    the matching right rows are repeated. ``counted`` may name a cheaper frame with the same keys, such as the
-    frame a chain of lookups started from.
+    Hot keys are those with more than ``hot_rows`` left rows. To find them cheaply, keys are counted over a fixed
+    hash share of the rows (the same share on every evaluation); the share only steers the spreading, every row is
+    joined. At most ``HOT_KEYS`` keys are kept, so the broadcast list has a fixed bound and any other key holds under
+    1/HOT_KEYS of the rows. Hot keys and nulls are spread by a hash of ``spread`` (columns that identify a left
+    row), and only the matching right rows are repeated. ``counted`` may name a cheaper frame with the same keys and
+    ``spread`` columns, such as the frame a chain of lookups started from.
     """
+    row_hash = F.xxhash64(*[F.col(c) for c in spread])
+    share = max(1, min(MAX_SHARE, hot_rows // 1000))
+    source = left if counted is None else counted
     hot = (
-        (left if counted is None else counted)
-        .filter(F.col(on).isNotNull())
+        source.filter(F.col(on).isNotNull() & (F.pmod(row_hash, F.lit(share)) == 0))
         .groupBy(on)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > hot_rows)
+        .filter(F.col("__n") > hot_rows // share)
         .orderBy(F.desc("__n"), on)
         .limit(HOT_KEYS)
         .select(F.col(on).alias("__hot"))
     )
-    spread_hash = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
+    spread_hash = F.pmod(F.shiftright(row_hash, 16), F.lit(salts)).cast("int")
     salted_left = (
         left.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left")
         .withColumn("__salt", F.when(F.col(on).isNull() | F.col("__hot").isNotNull(), spread_hash).otherwise(F.lit(0)))

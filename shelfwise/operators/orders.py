@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions import text as T
-from shelfwise.operators.keys import lookup, top_per_group
+from shelfwise.operators.keys import top_per_group
 
 # Words of the alert text
 _LINE = "• "
@@ -57,9 +57,8 @@ def item_summary(items: DataFrame, shown: int = 3) -> DataFrame:
 
 
 def with_items(orders: DataFrame, items: DataFrame, shown: int = 3) -> DataFrame:
-    """Embedded items win; otherwise the order's lines are looked up."""
-    found = item_summary(items, shown)
-    joined = lookup(orders, found, "id", ["id"])
+    """Embedded items win; otherwise the order's lines are looked up. Both sides hold one row per order id."""
+    joined = orders.join(item_summary(items, shown), "id", "left")
     has = F.col("line_items").isNotNull()
     return (
         joined.withColumn("item_count", F.when(has, F.size("line_items").cast("bigint")).otherwise(F.coalesce("item_count", F.lit(0))))
