@@ -148,7 +148,7 @@ def test_metadata_rules(spark):
 
 
 ORDER = "id bigint, status string, total string, currency string, shipping_city string, billing_city string, line_items array<struct<name:string,quantity:int>>"
-ORDERS = [(100, "on-hold", "2490000", "IRT", "مشهد", "", [("انگشتر", 1), ("دستبند", 2)]), (101, "processing", "5.5", "usd", "", "", None), (102, "pending", "1", "IRT", "", "", None)]
+ORDERS = [(100, "on-hold", "2490000", "IRT", "تهران", "", [("انگشتر", 1), ("دستبند", 2)]), (101, "processing", "5.5", "usd", "", "", None), (102, "pending", "1", "IRT", "", "", None)]
 
 
 def test_alerts(spark):
@@ -157,7 +157,7 @@ def test_alerts(spark):
     assert O.next_cursor(O.new_orders(orders, 99), 99).first()[0] == 101
     items = spark.createDataFrame([(101, p, f"n{p}", p) for p in range(1, 6)], "id bigint, position int, name string, quantity int")
     texts = {r.id: r.text for r in O.alerts(O.with_items(O.watched(orders), items)).collect()}
-    assert texts[100] == "📦 سفارش جدید #۱۰۰\nوضعیت: در انتظار بررسی\nشهر: مشهد\n• ۱× انگشتر\n• ۲× دستبند\nمبلغ: ۲,۴۹۰,۰۰۰ تومان"
+    assert texts[100] == "📦 سفارش جدید #۱۰۰\nوضعیت: در انتظار بررسی\nشهر: تهران\n• ۱× انگشتر\n• ۲× دستبند\nمبلغ: ۲,۴۹۰,۰۰۰ تومان"
     assert texts[101].splitlines()[3:] == ["• ۱× n1", "• ۲× n2", "• ۳× n3", "• و ۲ قلم دیگر", "مبلغ: ۵ تومان (usd)"] and "شهر: —" in texts[101]
 
 
