@@ -25,7 +25,7 @@ def round_robin(links: DataFrame, cap: int = ROUND_CAP) -> DataFrame:
     rounds = sizes.withColumn("taken", running).agg(
         F.coalesce(F.min(F.when(F.col("taken") >= cap, F.col("rank"))), F.max("rank")).alias("last_round")
     )
-    kept = ranked.crossJoin(F.broadcast(rounds)).filter(F.col("rank") <= F.col("last_round"))
+    kept = ranked.filter(F.col("rank") <= rounds.scalar())
     return kept.groupBy("url").agg(F.min(F.struct("rank", "group_no")).alias("turn")).select(
         "url", F.col("turn.rank").alias("round_no"), F.col("turn.group_no").alias("group_no")
     )
@@ -86,9 +86,9 @@ def greedy_claims(
     rows = candidates
     if limit is not None:
         kept = accepted.orderBy(order).limit(limit)
-        last = kept.agg(F.max(order).alias("__last"), F.count(F.lit(1)).alias("__kept"))
-        rows = candidates.crossJoin(F.broadcast(last)).filter((F.col("__kept") < limit) | (F.col(order) <= F.col("__last")))
-        rows = rows.drop("__last", "__kept")
+        reached = F.when(F.count(F.lit(1)) >= limit, F.max(order)).alias("last")
+        last = cut_lineage(kept.agg(reached)).scalar()
+        rows = candidates.filter(last.isNull() | (F.col(order) <= last))
         accepted = kept
     accepted = cut_lineage(accepted)
     marked = rows

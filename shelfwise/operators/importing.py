@@ -173,8 +173,7 @@ def reused_images(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 def batch_gate(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, errors): one failing row refuses the whole batch."""
     errors = validated.filter(F.col("error").isNotNull()).select("row_number", "error")
-    any_error = errors.limit(1).select(F.lit(True).alias("refused"))
-    accepted = validated.join(F.broadcast(any_error), F.lit(True), "left_anti").drop("error")
+    accepted = validated.filter(errors.agg(F.count(F.lit(1))).scalar() == 0).drop("error")
     return accepted, errors
 
 
@@ -185,7 +184,7 @@ def needs_rate(rows: DataFrame) -> DataFrame:
 
 
 def price_rows(rows: DataFrame, rate: DataFrame) -> DataFrame:
-    return rows.crossJoin(F.broadcast(rate.select("rate"))).withColumn(
+    return rows.withColumn("rate", rate.select("rate").scalar()).withColumn(
         "price",
         import_price(
             F.col("mode"), F.col("weight"), F.col("stone_value"), F.col("legacy_price"), F.col("manual_price"), F.col("rate")
@@ -319,12 +318,11 @@ def stop_all_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame,
         .otherwise("CREATE_DRAFT"),
     ).withColumn("existing_product", F.coalesce("id_product", "sku_product"))
     blockers = decided.filter(F.col("decision").startswith("STOP_")).select("row_no", "legacy_id", "sku", "decision", "existing_product")
-    stop = blockers.limit(1).select(F.lit(True).alias("stopped"))
     others = records.filter(F.col("import_action") != "CREATE_DRAFT").select(
         "row_no", "legacy_id", "sku", F.col("import_action").alias("decision"), F.lit(None).cast("bigint").alias("existing_product")
     )
     kept = decided.select("row_no", "legacy_id", "sku", "decision", "existing_product").unionByName(others)
-    return kept.join(F.broadcast(stop), F.lit(True), "left_anti"), blockers
+    return kept.filter(blockers.agg(F.count(F.lit(1))).scalar() == 0), blockers
 
 
 def blocked_action(final_price: Column, category: Column, legacy_id: Column, code: Column, sku: Column, images: Column, missing: Column, qa_run: Column) -> Column:

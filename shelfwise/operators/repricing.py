@@ -18,7 +18,7 @@ def reprice(products: DataFrame, rate: DataFrame, namespace: str | None = None)
     def raw(keys: tuple[str, ...]) -> Column:
         return P.meta_value(F.col("meta"), keys)
 
-    numbers = products.crossJoin(F.broadcast(rate.select("rate"))).select(
+    numbers = products.withColumn("rate", rate.select("rate").scalar()).filter(F.col("rate").isNotNull()).select(
         "id",
         "sku",
         "name",

@@ -161,4 +161,4 @@ def preview(selected: DataFrame, size: int = 20) -> DataFrame:
     """First rows of the plan plus how many more there are."""
     remaining = selected.agg(F.greatest(F.count(F.lit(1)) - size, F.lit(0)).alias("remaining"))
     first = selected.orderBy(F.desc("legacy_id"), F.asc("row_no")).limit(size)
-    return first.crossJoin(F.broadcast(remaining))
+    return first.withColumn("remaining", remaining.scalar())

@@ -89,10 +89,8 @@ SELECT count(*) FILTER (nullif(error, '') IS NOT NULL) AS errors, CASE WHEN coun
 def import_gate(spark, folder):
     rows = _validated(spark, folder)
     accepted, errors = M.batch_gate(rows)
-    return (
-        errors.agg(F.count(F.lit(1)).alias("errors"))
-        .crossJoin(accepted.agg(F.count(F.lit(1)).alias("accepted")))
-        .crossJoin(M.needs_rate(rows))
+    return M.needs_rate(rows).select(
+        errors.agg(F.count(F.lit(1))).scalar().alias("errors"), accepted.agg(F.count(F.lit(1))).scalar().alias("accepted"), "needs_rate"
     )
 
 

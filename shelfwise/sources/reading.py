@@ -137,4 +137,4 @@ def checked_manifest(rows: DataFrame, cap: int = 1000) -> DataFrame:
         .otherwise(True)
         .alias("__ok")
     )
-    return rows.crossJoin(F.broadcast(facts)).filter("__ok").drop("__ok")
+    return rows.filter(facts.scalar())
