@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise.session import cut_lineage
 
 LOW, HIGH = 0.01, 0.2
-SUBSETS, DRAWS, PART = 32, 2, 8
+SUBSETS, DRAWS, PART = 64, 1, 6
 SPAN = 1024
 
 
@@ -50,7 +50,7 @@ def used_terms(text: Column, lexicon_terms: Column) -> Column:
 
 
 def fingerprint(used: Column, subsets: int = SUBSETS) -> Column:
-    """``subsets`` parts of eight characters each from the used terms of a text."""
+    """``subsets`` parts of ``PART`` characters each from the used terms of a text."""
     drawn = F.flatten(F.transform(used, lambda t: F.array(*[_draw(t, d, subsets) for d in range(DRAWS)])))
     index = F.sequence(F.lit(0), F.lit(subsets - 1))
     # one lambda over an array of one element: the drawn terms are worked out once, not once per subset
