@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import decontaminate, imatch, mixing, preference, sharding
+from shelfwise.llm import bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding
 from shelfwise.operators.staging import computed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,70 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = with_domain(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     taken = mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, MIX_BUDGET, MIX_EPOCHS, MIX_SEED)
     return taken.select("doc_id", *MIX_LEVELS, "epoch", "tokens", "take_tokens", "target_tokens")
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    scored = cotraining.score(docs, table(spark, folder, "labels"))
+    names = ("content_score", "metadata_score", "quality_score")
+    return scored.select("doc_id", *[F.round(n, 6).alias(n) for n in names], (F.col("quality_score") >= cotraining.KEEP).alias("keep"))
+
+
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return bagminhash.classify(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op5_repeats")
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = bwtmerge.repeated_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
+_TEMPLATE_ROWS = ", ".join(f"('{name}', {number}, '{text}')" for number, (name, text) in enumerate(licenses.TEMPLATES))
+_DIGITLESS = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')"
+_PLAIN_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP9_SQL = f"""
+WITH t AS (SELECT name, nr, {_PLAIN_WORDS.format(_DIGITLESS.format("body"))} AS w FROM (VALUES {_TEMPLATE_ROWS}) AS v(name, nr, body)),
+ts AS (
+  SELECT DISTINCT name, nr, len(w) AS n_words, array_to_string(list_slice(w, p, p + 2), ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 1, 2))) AS p FROM t)
+),
+tc AS (
+  SELECT name, nr, count(*) AS n, CASE WHEN max(n_words) <= 8 THEN 8 WHEN max(n_words) <= 16 THEN 16 WHEN max(n_words) <= 32 THEN 32 ELSE 64 END AS span
+  FROM ts GROUP BY name, nr
+),
+d AS (SELECT doc_id, coalesce({_PLAIN_WORDS.format(_DIGITLESS.format("text"))}, []) AS w FROM documents),
+ds AS (
+  SELECT doc_id, p - 1 AS p, array_to_string(list_slice(w, p, p + 2), ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 1, 2))) AS p FROM d WHERE len(w) > 0)
+),
+met AS (SELECT DISTINCT doc_id, ts.name, ts.nr, ds.g, tc.n, p // span AS block FROM ds JOIN ts ON ds.g = ts.g JOIN tc ON tc.nr = ts.nr),
+win AS (SELECT doc_id, name, nr, g, n, block FROM met UNION SELECT doc_id, name, nr, g, n, block - 1 FROM met WHERE block > 0),
+held AS (SELECT doc_id, name, nr, block, n, count(DISTINCT g) AS c FROM win GROUP BY ALL),
+best AS (SELECT doc_id, name, max(c / n) AS containment FROM held WHERE c >= ceil(0.8 * n - 1e-9) GROUP BY doc_id, name),
+per AS (SELECT doc_id, count(*) AS n_licenses, string_agg(name, ',' ORDER BY name) AS licenses, max(containment) AS best_containment FROM best GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_licenses, 0) AS BIGINT) AS n_licenses, coalesce(licenses, '') AS licenses,
+  round(coalesce(best_containment, 0), 6) AS best_containment
+FROM d LEFT JOIN per ON per.doc_id = d.doc_id
+"""
+
+
+@query("op9_licenses", OP9_SQL)
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("matches").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("matches", lambda m: m["license"]), ",").alias("licenses"),
+        F.round(F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)), 6).alias("best_containment"),
+    )
+
+
+@query("op10_language_model")
+def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return logbilinear.score(table(spark, folder, "documents").select("doc_id", "text"))

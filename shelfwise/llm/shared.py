@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,5 +31,15 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iter
         yield batch.slice(start)
 
 
-def documents_of(df: DataFrame, *names: str) -> DataFrame:
-    return df.select(*names)
+def bitmap_of(spots: DataFrame, bits: int) -> bytes:
+    """Marks of the places ``spot`` (below 2**bits): 2**bits bits, however many rows."""
+    word = F.shiftright("spot", 5).cast("int").alias("word")
+    words = spots.groupBy(word).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 31 as int)))").alias("marks")).toArrow()
+    out = np.zeros(1 << (bits - 5), dtype=np.uint32)
+    out[words.column("word").to_numpy()] = words.column("marks").to_numpy().astype(np.uint32)
+    return out.tobytes()
+
+
+def is_marked(bitmap: bytes, spots: np.ndarray) -> np.ndarray:
+    held = np.frombuffer(bitmap, dtype=np.uint8)
+    return ((held[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1) == 1

@@ -19,10 +19,11 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser, element by element."""
-    x = np.asarray(x, dtype=np.uint64) + _GOLD
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+    with np.errstate(over="ignore"):
+        x = np.asarray(x, dtype=np.uint64) + _GOLD
+        x = (x ^ (x >> np.uint64(30))) * _M1
+        x = (x ^ (x >> np.uint64(27))) * _M2
+        return x ^ (x >> np.uint64(31))
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
