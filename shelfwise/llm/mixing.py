@@ -83,8 +83,11 @@ def mix(
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """The taken rows with their columns, ``epoch``, ``tokens``, ``take_tokens`` and ``target_tokens`` of their leaf."""
-    kept = [c for c in docs.columns if c not in ADDED and c not in levels]
-    rows = docs.select(*kept, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in levels], token_count(F.col(text)).alias("tokens"))
+    kept = [c for c in docs.columns if c not in ADDED]
+    tree = [f"__level_{c}" for c in levels]
+    weights = {f"__level_{c}": w for c, w in weights.items()}
+    rows = docs.select(*kept, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(t) for c, t in zip(levels, tree)], token_count(F.col(text)).alias("tokens"))
+    levels = tree
     rows = rows.filter(F.col("tokens") > 0).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
     rows = rows.withColumn("__order", seeded(seed, F.col("epoch"), F.col(doc_id)))
     rows = rows.withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS))
@@ -109,5 +112,5 @@ def mix(
     upto = F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     left = F.col("target_tokens") - F.col("__end.before") - (F.col("__upto") - F.col("tokens"))
     last = placed.filter("__last").withColumn("__upto", upto).withColumn("take_tokens", F.least(F.col("tokens"), left)).filter("take_tokens > 0")
-    out = [*kept, *levels, *ADDED]
+    out = [*kept, *ADDED]
     return whole.select(*out).unionByName(last.select(*out))

@@ -196,7 +196,8 @@ FROM c WHERE target_tokens > upto - tokens
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = with_domain(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     taken = mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, MIX_BUDGET, MIX_EPOCHS, MIX_SEED)
-    return taken.select("doc_id", *MIX_LEVELS, "epoch", "tokens", "take_tokens", "target_tokens")
+    named = [F.coalesce(c, F.lit("")).alias(c) for c in MIX_LEVELS]
+    return taken.select("doc_id", *named, "epoch", "tokens", "take_tokens", "target_tokens")
 
 
 @query("op2_quality")
