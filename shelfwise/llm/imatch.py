@@ -2,13 +2,15 @@
 
 The lexicon keeps the terms whose share of documents lies in a band (equivalently: whose inverse document frequency
 lies in one). A lower bound on the share bounds the lexicon: a document of t distinct terms adds 1/N to t shares, so no
-more than (mean distinct terms) / ``low`` terms can reach ``low``, however many documents there are. Each term of the lexicon
-belongs to ``DRAWS`` of ``subsets`` randomised subsets, drawn from its hash. A text's fingerprint holds, per subset, a hash of
-its sorted distinct terms in that subset, or dashes if there are none. Two fingerprints are alike in the share of equal
-parts among those that at least one of them has.
+more than (mean distinct terms) / ``low`` terms can reach ``low``, however many documents there are. It is held as a table
+of 64-bit term hashes, a constant of the plan, in which a term has two possible places.
+
+Terms of the lexicon are dealt to ``subsets`` randomised subsets by their hash. A text's fingerprint holds, per subset, a
+hash of its sorted distinct terms in that subset, or dashes if there are none. Two fingerprints are alike in the share of
+equal parts among those that at least one of them has.
 
 A text with no term of the lexicon uses all its distinct terms in place of those (too short, or in a language of its own),
-and a text without any term has a fingerprint of dashes, which equals only another one of dashes. Nulls are empty texts.
+and a text without any term has a fingerprint of dashes, which is like only another one of dashes. Nulls are empty texts.
 Built-in expressions only.
 """
 
@@ -16,110 +18,137 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfwise.operators.staging import computed
 from shelfwise.session import cut_lineage
 
 LOW, HIGH = 0.01, 0.2
-SUBSETS, DRAWS, PART = 64, 1, 6
+SUBSETS, DIGITS = 32, 6
+NONE = "-" * DIGITS
 SPAN = 1024
 
 
-def terms(text: Column) -> Column:
-    """Distinct lower-case words (ASCII letters, digits and all characters beyond ASCII)."""
+def term_hashes(text: Column) -> Column:
+    """Hashes of the distinct lower-case words (ASCII letters, digits and all characters beyond ASCII)."""
     words = F.split(F.lower(text), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
-    return F.array_remove(F.array_distinct(words), "")
+    return F.transform(F.array_distinct(F.array_remove(words, "")), lambda t: F.xxhash64(t))
 
 
-def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
-    """One row: ``lexicon``, the sorted terms within the band over all documents."""
-    counts = docs.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float = HIGH) -> list[int]:
+    """Sorted hashes of the terms within the band over all documents; at most (mean distinct terms) / ``low`` of them."""
+    counts = docs.select(F.explode(term_hashes(F.col(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = docs.agg(F.count(F.lit(1)).alias("n"))
     share = F.col("df") / F.greatest(total.scalar(), F.lit(1))
-    band = counts.filter((share >= low) & (share <= high))
-    return band.agg(F.array_sort(F.collect_list("term")).alias("lexicon"))
-
-
-def used_terms(text: Column, lexicon_terms: Column) -> Column:
-    """Sorted distinct terms of the text within the lexicon; all its terms if there are none.
-
-    ``lexicon_terms`` may be a scalar subquery, so it must be given to a column of its own (``staging.computed``) before
-    ``fingerprint`` reads it.
-    """
-    all_terms = terms(F.coalesce(text, F.lit("")))
-    band = F.array_intersect(all_terms, lexicon_terms)
-    return F.sort_array(F.when(F.size(band) > 0, band).otherwise(all_terms))
-
-
-def fingerprint(used: Column, subsets: int = SUBSETS) -> Column:
-    """``subsets`` parts of ``PART`` characters each from the used terms of a text."""
-    drawn = F.flatten(F.transform(used, lambda t: F.array(*[_draw(t, d, subsets) for d in range(DRAWS)])))
-    index = F.sequence(F.lit(0), F.lit(subsets - 1))
-    # one lambda over an array of one element: the drawn terms are worked out once, not once per subset
-    once = F.transform(F.array(drawn), lambda members: F.array_join(F.transform(index, lambda i: _part(members, i)), ""))
-    return once[0]
-
-
-def _draw(term: Column, draw: int, subsets: int) -> Column:
-    subset = F.pmod(F.shiftright(F.xxhash64(term), 8 * draw), F.lit(subsets)).cast("int")
-    return F.struct(subset.alias("subset"), term.alias("term"))
-
-
-def _part(members: Column, i: Column) -> Column:
-    own = F.filter(members, lambda m: m["subset"] == i)
-    code = F.right(F.lpad(F.hex(F.xxhash64(F.transform(own, lambda m: m["term"]))), 16, "0"), F.lit(PART))
-    return F.when(F.size(own) > 0, code).otherwise("-" * PART)
-
-
-def likeness(a: Column, b: Column, subsets: int = SUBSETS) -> Column:
-    """Share of equal parts among the parts at least one has; 1 if neither has any, null if one is null."""
-    index = F.sequence(F.lit(0), F.lit(subsets - 1))
-    piece = lambda s, i: F.substring(s, i * PART + 1, F.lit(PART))
-    none = "-" * PART
-    both = F.filter(index, lambda i: (piece(a, i) != none) | (piece(b, i) != none))
-    same = F.filter(both, lambda i: piece(a, i) == piece(b, i))
-    value = F.when(F.size(both) == 0, 1.0).otherwise(F.size(same) / F.size(both))
-    return F.when(a.isNotNull() & b.isNotNull(), value)
-
-
-def with_next(docs: DataFrame, span: int = SPAN) -> DataFrame:
-    """``doc_id``, ``text`` and ``next_text``: the text after it in descending doc_id (nulls last; ties by text), after the last the first.
+    return sorted(r.term for r in counts.filter((share >= low) & (share <= high)).select("term").collect())
+
+
+class Lexicon:
+    """Membership of a term hash as an expression over a constant cuckoo table: a term sits in one of two slots."""
+
+    def __init__(self, hashes: list[int]):
+        self.size, slots = 1024, None
+        while slots is None:
+            slots = self._filled(hashes) if self.size >= 3 * len(hashes) else None
+            self.size *= 1 if slots else 2
+        # a free slot holds a number that belongs to another slot, so nothing is found there
+        numbers = [str((i + 1) % self.size if h is None else h) for i, h in enumerate(slots)]
+        self.table = F.split(F.lit(",".join(numbers)), ",").cast("array<bigint>")
+
+    def _filled(self, hashes: list[int]) -> list[int | None] | None:
+        slots: list[int | None] = [None] * self.size
+        for h in hashes:
+            at = h % self.size
+            for _ in range(200):
+                slots[at], h = h, slots[at]
+                if h is None:
+                    break
+                first, second = h % self.size, (h >> 32) % self.size
+                at = second if at == first else first
+            else:
+                return None
+        return slots
+
+    def has(self, h: Column) -> Column:
+        size = F.lit(self.size)
+        return (F.get(self.table, F.pmod(h, size)) == h) | (F.get(self.table, F.pmod(F.shiftright(h, 32), size)) == h)
+
+
+def parts(used: Column, subsets: int = SUBSETS) -> Column:
+    """One number per subset from its sorted terms, null without any; subsets go by the hash's leading bits."""
+    code = F.lit((1 << (4 * DIGITS)) - 1)
+    members = lambda i: F.filter(used, lambda h: F.pmod(F.shiftright(h, 20), F.lit(subsets)) == i)
+    own = F.transform(F.sequence(F.lit(0), F.lit(subsets - 1)), members)
+    return F.transform(own, lambda m: F.when(F.size(m) > 0, F.xxhash64(m).bitwiseAND(code).cast("int")))
+
+
+def fingerprint(numbers: Column) -> Column:
+    """The parts as text, ``DIGITS`` hexadecimal digits each."""
+    return F.array_join(F.transform(numbers, lambda n: F.coalesce(F.lpad(F.hex(n), DIGITS, "0"), F.lit(NONE))), "")
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Share of equal parts among the parts at least one has; 1 if neither has any, null if one is missing altogether."""
+    same = F.zip_with(a, b, lambda x, y: F.when(x.isNotNull() | y.isNotNull(), x.eqNullSafe(y)))
+    value = F.aggregate(same, F.lit(0), lambda n, s: n + F.coalesce(s.cast("int"), F.lit(0)))
+    count = F.aggregate(same, F.lit(0), lambda n, s: n + s.isNotNull().cast("int"))
+    return F.when(a.isNotNull() & b.isNotNull(), F.when(count == 0, 1.0).otherwise(value / count))
+
+
+def with_parts(docs: DataFrame, text: str, words: Lexicon, name: str) -> DataFrame:
+    """Add ``name``, the parts of the text's fingerprint; every step is worked out once per row."""
+    staged = computed(docs, __hashes=term_hashes(F.coalesce(F.col(text), F.lit(""))))
+    staged = computed(staged, __band=F.filter("__hashes", words.has))
+    used = F.sort_array(F.when(F.size("__band") > 0, F.col("__band")).otherwise(F.col("__hashes")))
+    staged = computed(staged, __used=used).drop("__hashes", "__band")
+    return computed(staged, **{name: parts(F.col("__used"))}).drop("__used")
+
+
+def with_next(rows: DataFrame, span: int = SPAN) -> DataFrame:
+    """``rows`` (doc_id, text, others) with ``next``, a struct of text and others of the text after it in descending doc_id
+    (nulls last; ties by text), after the last the first.
 
     Ids are cut into runs of ``span`` consecutive values, so a group holds at most ``span`` distinct ids whatever the
-    input. A run's last row needs the first text of the next run that has rows; runs find each other the same way, over
+    input. A run's last row needs the first row of the next run that has any; runs find each other the same way, over
     runs of runs.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    others = [c for c in rows.columns if c != "doc_id"]
     rows = rows.withColumn("run", F.floor(F.col("doc_id") / span))
-    order = [F.desc_nulls_last("doc_id"), F.asc("text")]
-    inside = Window.partitionBy("run").orderBy(*order)
-    first_text = F.min_by("text", F.struct(-F.col("doc_id"), F.col("text")))
-    firsts = rows.groupBy("run").agg(F.coalesce(first_text, F.min("text")).alias("head"))
+    inside = Window.partitionBy("run").orderBy(F.desc_nulls_last("doc_id"), F.asc("text"))
+    first = F.min_by(F.struct(*others), F.struct(-F.coalesce(F.col("doc_id"), F.lit(0)), F.col("text")))
+    firsts = rows.groupBy("run").agg(first.alias("head"))
     runs = cut_lineage(rows.groupBy("run").agg(F.count(F.lit(1)).alias("n")))
     above = runs.withColumn("block", F.floor(F.col("run") / span))
     in_block = Window.partitionBy("block").orderBy(F.desc_nulls_last("run"))
-    blocks = above.groupBy("block").agg(F.max("run").alias("block_head"))
     all_blocks = Window.orderBy(F.desc_nulls_last("block"))
     everything = all_blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    blocks = blocks.select(
+    blocks = above.groupBy("block").agg(F.max("run").alias("block_head")).select(
         "block",
         F.lead("block_head").over(all_blocks).alias("next_head"),
-        (F.lead(F.lit(1)).over(all_blocks).isNull()).alias("final"),
+        F.lead(F.lit(1)).over(all_blocks).isNull().alias("final"),
         F.first("block_head").over(everything).alias("very_first"),
     )
     inner = above.select("run", "block", F.lead("run").over(in_block).alias("in_next"), F.lead(F.lit(1)).over(in_block).isNull().alias("last_in"))
-    linked = inner.join(blocks, inner.block.eqNullSafe(blocks.block)).select(
-        "run", F.when(~F.col("last_in"), F.col("in_next")).when(F.col("final"), F.col("very_first")).otherwise(F.col("next_head")).alias("next_run")
-    )
-    heads = linked.join(firsts.withColumnRenamed("run", "of_run"), F.col("next_run").eqNullSafe(F.col("of_run"))).select(
-        F.col("run").alias("from_run"), "head"
-    )
-    ahead = rows.withColumn("in_run", F.lead("text").over(inside))
-    return (
-        ahead.join(heads, F.col("run").eqNullSafe(F.col("from_run")) & F.col("in_run").isNull(), "left")
-        .select("doc_id", "text", F.coalesce("in_run", "head").alias("next_text"))
-    )
+    following = F.when(~F.col("last_in"), F.col("in_next")).when(F.col("final"), F.col("very_first")).otherwise(F.col("next_head"))
+    linked = inner.join(blocks, inner.block.eqNullSafe(blocks.block)).select("run", following.alias("next_run"))
+    heads = linked.join(firsts.withColumnRenamed("run", "of_run"), F.col("next_run").eqNullSafe(F.col("of_run"))).select(F.col("run").alias("from_run"), "head")
+    ahead = rows.withColumn("in_run", F.lead(F.struct(*others)).over(inside))
+    met = ahead.join(heads, F.col("run").eqNullSafe(F.col("from_run")) & F.col("in_run").isNull(), "left")
+    return met.select("doc_id", *others, F.coalesce("in_run", "head").alias("next"))
 
 
 def edited(text: Column, following: Column) -> Column:
+    """The text with its last half (rounded down) replaced by as many leading characters of the following one, or all it has."""
     half = F.floor(F.char_length(text) / 2).cast("int")
     kept = F.substring(text, F.lit(1), F.char_length(text) - half)
     return F.concat(kept, F.substring(following, F.lit(1), half))
+
+
+def compare_with_edited(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
+    """doc_id, text, edited, fingerprint, edited_fingerprint, near_edited and near_next of every document."""
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    words = Lexicon(lexicon(rows, low=low, high=high))
+    rows = with_next(with_parts(rows, "text", words, "own"))
+    rows = with_parts(rows.withColumn("edited", edited(F.col("text"), F.col("next.text"))), "edited", words, "changed")
+    return rows.select(
+        "doc_id", "text", "edited", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next.own")).alias("near_next"),
+    )

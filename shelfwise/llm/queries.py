@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm import bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding
-from shelfwise.operators.staging import computed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,20 +113,12 @@ def op6_preference(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_imatch")
 def op7_imatch(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    words = imatch.lexicon(docs).scalar()
-    rows = imatch.with_next(docs)
-    rows = rows.withColumn("edited", imatch.edited(F.col("text"), F.col("next_text")))
-    sides = {"fingerprint": "text", "edited_fingerprint": "edited", "next_fingerprint": "next_text"}
-    rows = computed(rows, **{f"{name}_terms": imatch.used_terms(F.col(column), words) for name, column in sides.items()})
-    prints = [imatch.fingerprint(F.col(f"{name}_terms")).alias(name) for name in sides]
-    made = rows.select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.inline(F.array(F.struct(*prints)))
-    )
-    return made.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        imatch.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        imatch.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    found = imatch.compare_with_edited(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
     )
 
 

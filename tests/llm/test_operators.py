@@ -208,22 +208,29 @@ def test_preference_pairs(spark):
 
 def test_imatch_edits_and_fingerprints(spark, documents, text_of):
     rows = [(i * 700, text_of(i, 40 + i)) for i in range(30)] + [(21001, None), (21002, ""), (21003, "é" * 7), (5 * 700, text_of(5, 45)), (None, "last one"), (10**12, text_of(3, 43)), (-4, "minus four words here")]
-    docs = documents(rows, next_text="clash")
-    found = sorted((r.doc_id if r.doc_id is not None else -(10**9), r.text, imatch_next) for r in imatch.with_next(docs).collect() for imatch_next in [r.next_text])
-    order = sorted(((i if i is not None else -(10**9), t or "") for i, t in rows), key=lambda x: (-x[0], x[1]))
-    assert found == sorted((i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order))
-    edit = spark.createDataFrame([("abcdé", "xyz"), ("a", "x"), ("", "x"), ("abcdef", "x")], "a string, b string").select(imatch.edited(F.col("a"), F.col("b")))
-    assert [r[0] for r in edit.collect()] == ["abcxy", "a", "", "abcx"]
-    terms = imatch.lexicon(docs, low=0.05, high=0.6).first().lexicon
+    docs = documents(rows, next="clash", own=1)
+    key = lambda i: -(10**9) if i is None else i
+    found = imatch.compare_with_edited(docs, low=0.05, high=0.6).collect()
+    order = sorted(((key(i), t or "") for i, t in rows), key=lambda x: (-x[0], x[1]))
+    half = [(len(t) // 2, order[(k + 1) % len(order)][1]) for k, (_, t) in enumerate(order)]
+    assert sorted((key(r.doc_id), r.text, r.edited) for r in found) == sorted((i, t, t[: len(t) - h] + after[:h]) for (i, t), (h, after) in zip(order, half))
+    by_text = {}
+    for r in found:
+        assert by_text.setdefault(r.text, r.fingerprint) == r.fingerprint
+        assert len(r.fingerprint) == len(r.edited_fingerprint) == imatch.SUBSETS * imatch.DIGITS
+        assert (r.near_edited == 1) == (r.fingerprint == r.edited_fingerprint) and 0 <= r.near_next <= 1
+    assert by_text[""] == imatch.NONE * imatch.SUBSETS
+    whole = [r for r in found if len(r.text) > 100]
+    assert sum(r.near_edited for r in whole) > sum(r.near_next for r in whole)
+
+    hashes = imatch.lexicon(docs, low=0.05, high=0.6)
     shares = Counter(w for _, t in rows for w in {x.decode() for x in words((t or "").lower())})
-    assert terms == sorted(w for w, n in shares.items() if 0.05 <= n / len(rows) <= 0.6)
-    used = docs.withColumn("used", imatch.used_terms(F.col("text"), F.array(*map(F.lit, terms))))
-    prints = used.select("doc_id", "text", imatch.fingerprint(F.col("used")).alias("p")).collect()
-    assert len({p.p for p in prints if p.doc_id == 3500}) == 1
-    by_text = {p.text: p.p for p in prints}
-    assert by_text[""] == by_text[None] == "-" * imatch.SUBSETS * imatch.PART
-    pairs = spark.createDataFrame([(by_text[text_of(5, 45)], by_text[text_of(5, 45)]), (by_text[""], by_text[""]), (by_text[text_of(5, 45)], by_text[""])], "a string, b string")
-    assert [r[0] for r in pairs.select(imatch.likeness(F.col("a"), F.col("b"))).collect()] == [1.0, 1.0, 0.0]
+    terms = spark.createDataFrame([(w, 0.05 <= n / len(rows) <= 0.6) for w, n in shares.items()], "w string, inside boolean").withColumn("h", F.xxhash64("w"))
+    assert sorted(r.h for r in terms.filter("inside").collect()) == hashes
+    assert terms.filter(imatch.Lexicon(hashes).has(F.col("h")) != F.col("inside")).count() == 0
+    assert imatch.compare_with_edited(docs.limit(0)).count() == 0
+    one = imatch.compare_with_edited(docs.filter("doc_id = 21003")).first()
+    assert one.edited == "é" * 7 and one.near_edited == one.near_next == 1
 
 
 # 8 mixing
