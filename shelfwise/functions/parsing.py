@@ -8,7 +8,7 @@ from shelfwise import constants as K
 from shelfwise.functions import text as T
 
 DECIMAL = "decimal(38,10)"
-WEIGHT = "decimal(12,4)"
+WEIGHT = "decimal(20,10)"
 _FIRST_NUMBER = "[-+]?[0-9]+(?:\\.[0-9]+)?"
 
 
@@ -36,7 +36,7 @@ def positive_floor(number: Column) -> Column:
 
 
 def weight_in_range(number: Column) -> Column:
-    return F.when((number > 0) & (number <= K.MAX_WEIGHT_GRAMS), number.cast(WEIGHT))
+    return F.when((number > 0) & (number <= K.MAX_WEIGHT_GRAMS), number.try_cast(WEIGHT))
 
 
 def stock_from_number(number: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Price rules on exact decimals. Weights are decimal(12,4), prices whole Toman (bigint)."""
+"""Price rules on exact decimals. Weights keep ten decimal places up to the product, prices are whole Toman (bigint)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from shelfwise import constants as K
 from shelfwise.functions import parsing as P, text as T
 
-MONEY = "decimal(38,6)"
+MONEY = "decimal(36,10)"
 
 # Warning texts
 WARN_CATEGORY = "unsupported or missing category"
@@ -54,7 +54,7 @@ def price_reason(mode: Column, weight: Column, stone_value: Column, legacy_price
 
 def mode_price(reason: Column, weight: Column, stone_value: Column, legacy_price: Column, rate: Column) -> Column:
     """New price for a ``price_reason``; null when the product is skipped."""
-    by_weight = (weight.cast(P.WEIGHT) * rate.cast("decimal(12,0)")).cast(MONEY)
+    by_weight = (weight.try_cast(P.WEIGHT) * rate.try_cast("decimal(12,0)")).try_cast(MONEY)
     return (
         F.when(reason == "mirror-legacy", legacy_price)
         .when(reason == "calc-weight", round_to_nearest(by_weight))
@@ -68,7 +68,7 @@ def delta_percent(old: Column, new: Column) -> Column:
 
 def import_price(mode: Column, weight: Column, stone_value: Column, legacy_price: Column, manual_price: Column, rate: Column) -> Column:
     """Price of an import row; null where an input the mode needs is missing."""
-    by_weight = (weight.cast(P.WEIGHT) * rate.cast("decimal(12,0)")).cast(MONEY)
+    by_weight = (weight.try_cast(P.WEIGHT) * rate.try_cast("decimal(12,0)")).try_cast(MONEY)
     return (
         F.when(mode == K.MODE_WEIGHT_ONLY, round_to_nearest(by_weight))
         .when(mode == K.MODE_WEIGHT_PLUS_STONE, F.round(by_weight + stone_value, 0).cast("bigint"))
@@ -83,7 +83,7 @@ def sheet_price(stone: Column, price: Column, weight: Column) -> Column:
     ``price`` is whole Toman or null, ``weight`` grams or null; the larger of price and weight x rate wins.
     """
     rate = F.when(stone == "large_stone", K.LARGE_STONE_RATE).otherwise(K.STANDARD_RATE)
-    computed = F.when(price.isNotNull(), (weight.cast(P.WEIGHT) * rate.cast("decimal(7,0)")).cast(MONEY))
+    computed = F.when(price.isNotNull(), (weight.try_cast(P.WEIGHT) * rate.cast("decimal(7,0)")).try_cast(MONEY))
     final = F.when(price.isNotNull(), round_up(F.greatest(price.cast(MONEY), computed)))
     return F.struct(
         rate.cast("bigint").alias("rate_used"),

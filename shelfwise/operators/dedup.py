@@ -40,38 +40,31 @@ def duplicate_codes(records: DataFrame, code: Column) -> DataFrame:
     return repeated_values(records, F.nullif(F.lower(code), F.lit("")), "code")
 
 
-def greedy_accept(df: DataFrame, order: str, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_rounds: int = 1000) -> DataFrame:
+def greedy_accept(df: DataFrame, order: str, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows accepted by walking in ``order`` and refusing any row that shares a key with an accepted one.
 
-    Each round accepts the undecided rows that come first on every key (an aggregate per key, then a count per
-    row), drops the undecided rows that share a key with them and repeats. The first undecided row is always
-    accepted, so the loop ends. Every round is written to the shared folder, so a lost executor costs one round.
+    A null key claims nothing. Rows that are the only ones on all their keys are accepted at once. Each further round
+    accepts the undecided rows that come first on every key (an aggregate per key, then a count per row), drops the undecided
+    rows that share a key with them, and repeats until nothing is undecided. The first undecided row is always accepted, so
+    the loop ends. Every round is written to the shared folder, so a lost executor costs one round.
     """
+    claimed = sum(F.col(k).isNotNull().cast("int") for k in keys)
     undecided = cut_lineage(df.select(order, *keys))
     accepted: list[DataFrame] = []
-    for _ in range(max_rounds):
-        firsts = [undecided.groupBy(k).agg(F.min(order).alias(order)).select(order) for k in keys]
-        winners = (
-            reduce(DataFrame.unionByName, firsts)
-            .groupBy(order)
-            .agg(F.count(F.lit(1)).alias("__firsts"))
-            .filter(F.col("__firsts") == len(keys))
-            .select(order)
-        )
-        winners = cut_lineage(undecided.join(winners, order, "left_semi"))
+    while True:
+        firsts = [undecided.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min(order).alias(order)).select(order) for k in keys]
+        first_on = reduce(DataFrame.unionByName, firsts).groupBy(order).agg(F.count(F.lit(1)).alias("__firsts"))
+        winners = undecided.join(first_on, order, "left").filter(claimed == F.coalesce("__firsts", F.lit(0))).select(order, *keys)
+        winners = cut_lineage(winners)
         if winners.isEmpty():
             break
         accepted.append(winners)
-        rest = undecided
+        rest = undecided.join(winners.select(order), order, "left_anti")
         for k in keys:
-            taken = winners.select(k).withColumn("__taken", F.lit(True))
+            taken = winners.filter(F.col(k).isNotNull()).select(k).withColumn("__taken", F.lit(True))
             rest = lookup(rest, taken, k, [order], hot_rows=hot_rows, counted=undecided).filter(F.col("__taken").isNull()).drop("__taken")
         undecided = cut_lineage(rest.select(order, *keys))
-        if undecided.isEmpty():
-            break
-    if not accepted:
-        return undecided
-    return reduce(DataFrame.unionByName, accepted)
+    return reduce(DataFrame.unionByName, accepted) if accepted else undecided
 
 
 def greedy_claims(

@@ -45,7 +45,7 @@ def public_sections(documents: DataFrame, text: str = "text", start_word: str =
     stop = "|".join(stops)
 
     def is_stop(key: Column, i: Column) -> Column:
-        name = F.trim(F.rtrim(F.trim(F.substring(key, 4, 1_000_000)), F.lit(":")))
+        name = F.trim(F.rtrim(F.trim(F.substring(key, F.lit(4), F.length(key))), F.lit(":")))
         internal = key.startswith("## ") & ~key.contains(start_word) & name.rlike(stop)
         return F.when((i > F.col("__start")) & internal, i)
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfwise import constants as K
 from shelfwise.functions import parsing as P, text as T
 from shelfwise.functions.pricing import import_price
+from shelfwise.operators.dedup import greedy_accept
 from shelfwise.operators.keys import HOT_ROWS, lookup, mark_repeats
 from shelfwise.session import cut_lineage
 
@@ -219,7 +220,8 @@ def attachment_actions(images: DataFrame, attachments: DataFrame) -> DataFrame:
     """Reuse the attachment stored under ``sku|filename`` or create one."""
     keyed = images.withColumn("import_key", F.concat_ws("|", "sku", "image"))
     known = attachments.groupBy("import_key").agg(F.min("attachment_id").alias("attachment_id"))
-    return lookup(keyed, known, "import_key", ["sku", "image"]).withColumn(
+    row = F.monotonically_increasing_id()  # spreads a hot key's rows; any number does
+    return lookup(keyed.withColumn("__row", row), known, "import_key", ["__row"]).drop("__row").withColumn(
         "action", F.when(F.col("attachment_id").isNotNull(), "REUSE").otherwise("CREATE")
     )
 
@@ -267,20 +269,45 @@ def _decided(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, hot_rows:
     return lookup(first, skus, "sku", ["row_no"], hot_rows=hot_rows, counted=records)
 
 
+def batch_repeats(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Records with ``batch_repeat``: the skip action of a record whose id or SKU an earlier one of the batch holds.
+
+    Records are walked by ``row_no``. One that already carries a SKIP action holds nothing; one whose id repeats does not hold
+    its SKU; SKUs compare without case.
+    """
+    open_rows = records.filter(~F.coalesce(F.col("action"), F.lit("")).startswith("SKIP_"))
+    keyed = open_rows.select("row_no", F.col("legacy_id").alias("__id"), F.lower("sku").alias("__sku"))
+    holders = cut_lineage(greedy_accept(keyed, "row_no", ["__id", "__sku"], hot_rows))
+    marked = records.withColumn("__sku", F.lower("sku"))
+    for key, column in (("legacy_id", "__id"), ("__sku", "__sku")):
+        owner = holders.filter(F.col(column).isNotNull()).select(F.col(column).alias(key), F.col("row_no").alias(f"__{column}_owner"))
+        marked = lookup(marked, owner, key, ["row_no"], hot_rows=hot_rows)
+    repeat = F.when(F.col("____id_owner") < F.col("row_no"), "SKIP_DUPLICATE_BATCH_LEGACY_ID").when(
+        F.col("____sku_owner") < F.col("row_no"), "SKIP_DUPLICATE_BATCH_SKU"
+    )
+    return marked.withColumn("batch_repeat", repeat).drop("__sku", "____id_owner", "____sku_owner")
+
+
 def import_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Planned records against the store: existing id skips, then SKU conflict skips and flags, else create.
+    """Planned records against the batch and the store: repeats inside the batch skip, then an existing id, then a SKU conflict
+    (flagged), else create.
 
-    Records that already carry a SKIP action keep it. The batch's own first-wins actions come from
-    ``select_newest`` (or ``batch_repeats``).
+    Records that already carry a SKIP action keep it; one without an action is open.
     """
-    joined = _decided(records, by_id, by_sku, hot_rows)
-    skipped = F.col("action").startswith("SKIP_")
+    joined = _decided(batch_repeats(records, hot_rows), by_id, by_sku, hot_rows)
+    skipped = F.coalesce(F.col("action"), F.lit("")).startswith("SKIP_")
     decision = (
         F.when(skipped, F.col("action"))
+        .when(F.col("batch_repeat").isNotNull(), F.col("batch_repeat"))
         .when(F.col("id_product").isNotNull(), "SKIP_EXISTING_LEGACY_ID")
         .when(F.col("sku_product").isNotNull(), "SKIP_SKU_CONFLICT")
         .otherwise("CREATE_DRAFT")
     )
+    flag = (
+        F.when(F.col("decision") == "SKIP_SKU_CONFLICT", "STORE_SKU_CONFLICT")
+        .when(F.col("decision") == "SKIP_DUPLICATE_BATCH_LEGACY_ID", "DUPLICATE_BATCH_LEGACY_ID")
+        .when(F.col("decision") == "SKIP_DUPLICATE_BATCH_SKU", "DUPLICATE_BATCH_SKU")
+    )
     return (
         joined.withColumn("decision", decision)
         .withColumn(
@@ -289,36 +316,39 @@ def import_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, ho
                 F.col("decision") == "SKIP_SKU_CONFLICT", F.col("sku_product")
             ),
         )
-        .withColumn(
-            "review_flags",
-            F.when(
-                F.col("decision") == "SKIP_SKU_CONFLICT",
-                F.array_distinct(F.concat("review_flags", F.array(F.lit("STORE_SKU_CONFLICT")))),
-            ).otherwise(F.col("review_flags")),
-        )
-        .drop("id_product", "sku_product")
+        .withColumn("review_flags", F.array_distinct(F.concat("review_flags", F.array_compact(F.array(flag)))))
+        .drop("id_product", "sku_product", "batch_repeat")
     )
 
 
 def stop_all_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(decisions, blockers): any SKU conflict or repeat inside the batch empties the decisions.
+    """(decisions, blockers): any failed stop check, SKU conflict or repeat inside the batch empties the decisions.
 
-    ``records``: row_no, legacy_id, sku, import_action.
+    ``records``: row_no, legacy_id, sku, import_action, and for the stop checks image_qa_run (boolean), selected_media (a count) and
+    final_price; a check whose column is absent is not made. A record without an action is kept as it is.
     """
     wanted = records.filter(F.col("import_action") == "CREATE_DRAFT")
-    marked = mark_repeats(wanted, F.col("legacy_id"), ["row_no"], "repeat_id")
-    marked = mark_repeats(marked, F.lower("sku"), ["row_no"], "repeat_sku")
+    marked = mark_repeats(wanted, F.nullif(F.col("legacy_id"), F.lit("")), ["row_no"], "repeat_id")
+    marked = mark_repeats(marked, F.nullif(F.lower("sku"), F.lit("")), ["row_no"], "repeat_sku")
     joined = _decided(cut_lineage(marked), by_id, by_sku, hot_rows)
+    has = lambda name: name in records.columns
+    unsafe = F.coalesce(
+        F.when((T.text_or_empty(F.col("legacy_id")) == "") | (T.text_or_empty(F.col("sku")) == ""), "STOP_MISSING_IDENTITY"),
+        F.when(~F.coalesce(F.col("image_qa_run"), F.lit(False)), "STOP_IMAGE_QA_NOT_RUN") if has("image_qa_run") else F.lit(None),
+        F.when(F.coalesce(F.col("selected_media"), F.lit(0)) == 0, "STOP_NO_SELECTED_MEDIA") if has("selected_media") else F.lit(None),
+        F.when(F.col("final_price").isNull(), "STOP_NO_FINAL_PRICE") if has("final_price") else F.lit(None),
+    )
     decided = joined.withColumn(
         "decision",
-        F.when(F.col("repeat_id"), "STOP_DUPLICATE_LEGACY_ID")
+        F.when(unsafe.isNotNull(), unsafe)
+        .when(F.col("repeat_id"), "STOP_DUPLICATE_LEGACY_ID")
         .when(F.col("repeat_sku"), "STOP_DUPLICATE_SKU")
         .when(F.col("id_product").isNotNull(), "SKIP_EXISTING_LEGACY_ID")
         .when(F.col("sku_product").isNotNull(), "STOP_SKU_CONFLICT")
         .otherwise("CREATE_DRAFT"),
     ).withColumn("existing_product", F.coalesce("id_product", "sku_product"))
     blockers = decided.filter(F.col("decision").startswith("STOP_")).select("row_no", "legacy_id", "sku", "decision", "existing_product")
-    others = records.filter(F.col("import_action") != "CREATE_DRAFT").select(
+    others = records.filter(~F.col("import_action").eqNullSafe("CREATE_DRAFT")).select(
         "row_no", "legacy_id", "sku", F.col("import_action").alias("decision"), F.lit(None).cast("bigint").alias("existing_product")
     )
     kept = decided.select("row_no", "legacy_id", "sku", "decision", "existing_product").unionByName(others)

@@ -1,6 +1,6 @@
 """Building blocks for keyed work that stay even when one key holds a large share of the rows.
 
-* ``lookup``       – left/inner join to a side with one row per key; hot and null keys are spread over salts
+* ``lookup``       – left/inner join to a side with one row per key; hot keys are spread over salts by their size
 * ``mark_repeats`` – first-wins by an aggregate (combined before the shuffle) and a join on the unique row order
 * ``top_per_group``– ranked cut per group; Spark keeps only k rows per group and task before the shuffle
 * ``dense_order``  – position in a global order without a single-task window
@@ -15,8 +15,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise.session import cut_lineage
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-SALTS = 64
 MAX_SHARE = 256
 
 
@@ -27,17 +25,18 @@ def lookup(
     spread: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` (one row per key) on ``on``.
 
     Hot keys are those with more than ``hot_rows`` left rows. To find them cheaply, keys are counted over a fixed
     hash share of the rows (the same share on every evaluation); the share only steers the spreading, every row is
-    joined. At most ``HOT_KEYS`` keys are kept, so the broadcast list has a fixed bound and any other key holds under
-    1/HOT_KEYS of the rows. Hot keys and nulls are spread by a hash of ``spread`` (columns that identify a left
-    row), and only the matching right rows are repeated. ``counted`` may name a cheaper frame with the same keys and
-    ``spread`` columns, such as the frame a chain of lookups started from.
+    joined. A hot key gets as many salts as it has times ``hot_rows`` rows, so no salt holds many more than that, and only
+    the matching right rows are repeated. There are at most (left rows / ``hot_rows``) hot keys, which bounds the broadcast
+    list: a million entries at 10^12 rows. Nulls match nothing and are spread over all tasks. Rows are spread by a hash of
+    ``spread``: columns that identify a left row and are not the key. ``counted`` may name a cheaper frame with the same
+    keys and ``spread`` columns, such as the frame a chain of lookups started from. Where the left side is unique on the
+    key there is nothing to spread: use a plain join.
     """
     row_hash = F.xxhash64(*[F.col(c) for c in spread])
     share = max(1, min(MAX_SHARE, hot_rows // 1000))
@@ -47,22 +46,13 @@ def lookup(
         .groupBy(on)
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") > hot_rows // share)
-        .orderBy(F.desc("__n"), on)
-        .limit(HOT_KEYS)
-        .select(F.col(on).alias("__hot"))
-    )
-    spread_hash = F.pmod(F.shiftright(row_hash, 16), F.lit(salts)).cast("int")
-    salted_left = (
-        left.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left")
-        .withColumn("__salt", F.when(F.col(on).isNull() | F.col("__hot").isNotNull(), spread_hash).otherwise(F.lit(0)))
-        .drop("__hot")
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = (
-        right.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left")
-        .withColumn("__salt", F.explode(F.when(F.col("__hot").isNotNull(), all_salts).otherwise(F.array(F.lit(0)))))
-        .drop("__hot")
+        .select(F.col(on).alias("__hot"), F.ceil(F.col("__n") * share / hot_rows).cast("int").alias("__salts"))
     )
+    turn = F.shiftright(row_hash, 16)
+    salt = F.when(F.col(on).isNull(), F.pmod(turn, F.lit(1 << 30)).cast("int")).when(F.col("__hot").isNotNull(), F.pmod(turn, F.col("__salts")).cast("int")).otherwise(F.lit(0))
+    salted_left = left.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left").withColumn("__salt", salt).drop("__hot", "__salts")
+    own = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.col("__salts") - 1)).otherwise(F.array(F.lit(0)))
+    salted_right = right.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left").withColumn("__salt", F.explode(own)).drop("__hot", "__salts")
     return salted_left.join(salted_right, [on, "__salt"], how).drop("__salt")
 
 

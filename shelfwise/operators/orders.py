@@ -11,6 +11,7 @@ from shelfwise.operators.keys import top_per_group
 # Words of the alert text
 _LINE = "• "
 _NO_ITEMS = "• (فاقد جزئیات اقلام)"
+NAME_LENGTH = 40
 
 
 def watched(orders: DataFrame, statuses=K.WATCHED_STATUSES) -> DataFrame:
@@ -19,36 +20,40 @@ def watched(orders: DataFrame, statuses=K.WATCHED_STATUSES) -> DataFrame:
 
 def new_orders(
     orders: DataFrame,
-    last_seen: int,
-    poll_limit: int = K.ORDER_POLL_LIMIT,
-    lookback: int = K.ORDER_LOOKBACK,
+    last_seen: int | Column,
+    poll_limit: int | None = None,
+    lookback: int | None = None,
     statuses=K.WATCHED_STATUSES,
 ) -> DataFrame:
-    """Watched orders above the cursor among the newest ``poll_limit``; a first run keeps the last ``lookback``.
+    """Watched orders above the cursor.
 
-    The limits are the feature (a bounded poll); both cuts are distributed top-k.
+    ``poll_limit`` looks at the newest so many orders only (what arrives beyond that between two polls is lost), and
+    ``lookback`` bounds a first run; both are off unless asked for, and both cuts are distributed top-k.
     """
-    latest = watched(orders, statuses).orderBy(F.desc("id")).limit(poll_limit).filter(F.col("id") > last_seen)
-    if last_seen <= 0 and lookback > 0:
+    latest = watched(orders, statuses)
+    if poll_limit is not None:
+        latest = latest.orderBy(F.desc("id")).limit(poll_limit)
+    latest = latest.filter(F.col("id") > last_seen)
+    if lookback and isinstance(last_seen, int) and last_seen <= 0:
         latest = latest.orderBy(F.desc("id")).limit(lookback)
-    return latest.orderBy("id")
+    return latest
 
 
 def next_cursor(orders: DataFrame, last_seen: int) -> DataFrame:
     return orders.agg(F.greatest(F.coalesce(F.max("id"), F.lit(last_seen)), F.lit(last_seen)).alias("last_seen_id"))
 
 
-def item_summary(items: DataFrame, shown: int = 3) -> DataFrame:
+def item_summary(items: DataFrame, shown: int = 3, names: DataFrame | None = None) -> DataFrame:
     """(id, first_items, item_count). Only ``shown`` lines per order are gathered, however many an order has.
 
-    ``items``: id, position, name, quantity.
+    ``items``: id, position, quantity, name; or ``item`` in place of the name, which ``names`` (item, name) then
+    resolves for the lines shown alone.
     """
     counts = items.groupBy("id").agg(F.count(F.lit(1)).alias("item_count"))
-    first = (
-        top_per_group(items, ["id"], [F.asc("position")], shown)
-        .groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "name", "quantity"))).alias("lines"))
-    )
+    top = top_per_group(items, ["id"], [F.asc("position")], shown)
+    if names is not None:
+        top = top.join(names, "item", "left")
+    first = top.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "name", "quantity"))).alias("lines"))
     return counts.join(first, "id").select(
         "id",
         "item_count",
@@ -56,9 +61,9 @@ def item_summary(items: DataFrame, shown: int = 3) -> DataFrame:
     )
 
 
-def with_items(orders: DataFrame, items: DataFrame, shown: int = 3) -> DataFrame:
+def with_items(orders: DataFrame, items: DataFrame, shown: int = 3, names: DataFrame | None = None) -> DataFrame:
     """Embedded items win; otherwise the order's lines are looked up. Both sides hold one row per order id."""
-    joined = orders.join(item_summary(items, shown), "id", "left")
+    joined = orders.join(item_summary(items, shown, names), "id", "left")
     has = F.col("line_items").isNotNull()
     return (
         joined.withColumn("item_count", F.when(has, F.size("line_items").cast("bigint")).otherwise(F.coalesce("item_count", F.lit(0))))
@@ -82,8 +87,10 @@ def city(shipping_city: Column, billing_city: Column, shipping: Column | None =
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values], F.lit("—"))
 
 
-def alert_text(order_id: Column, status: Column, place: Column, first_items: Column, item_count: Column, total: Column, currency: Column) -> Column:
-    """Owner alert: id, status, city, up to three items, total."""
+def alert_text(
+    order_id: Column, status: Column, place: Column, first_items: Column, item_count: Column, total: Column, currency: Column, name_length: int = NAME_LENGTH
+) -> Column:
+    """Owner alert: id, status, city, up to three items (names cut to ``name_length`` characters), total."""
     status_text = F.lit(None)
     for code, words in K.STATUS_TEXT:
         status_text = F.coalesce(status_text, F.when(status == code, words))
@@ -94,7 +101,7 @@ def alert_text(order_id: Column, status: Column, place: Column, first_items: Col
             F.lit(_LINE),
             T.persian_digits(F.coalesce(item["quantity"], F.lit(1))),
             F.lit("× "),
-            F.substring(F.coalesce(item["name"], F.lit("محصول")), 1, 40),
+            F.substring(F.coalesce(item["name"], F.lit("محصول")), 1, name_length),
         ),
     )
     more = F.when(

@@ -23,12 +23,12 @@ PAGE_FIELDS = (
     "page_id bigint, url string, heading string, body_text string, price_parts array<string>, description_text string, "
     "meta_description string, jsonld_name string, jsonld_description string, jsonld_price string, jsonld_currency string, "
     "links array<struct<href:string,text:string>>, photos array<string>, gallery array<string>, gallery_marked boolean, "
-    f"spec_chunks array<string>, spec_pairs {_PAIR}"
+    f"spec_chunks array<string>, spec_pairs {_PAIR}, walk_error string"
 )
 _STOP = f"(?s)\\n[{K.WHITESPACE}]*(?:توضیحات|نظرات|دیدگاه|محصولات مرتبط)[{K.WHITESPACE}]*\\n.*"
 _LABEL_EDGE = " .،؛:：-"
 _VALUE_EDGE = " .،؛"
-_PAIRS_BLOCK = 1_000_000
+_PAIRS_BLOCK = -1  # label cells come after every numbered section on equal merit
 _SLICE = 64
 
 # Image names and paths
@@ -102,16 +102,18 @@ def product_fields(walked: DataFrame, site_host: str, visible_only: bool = False
     else:
         price = F.coalesce("visible", "jsonld_amount")
         source = F.when(F.col("visible").isNotNull(), "visible_price").otherwise(F.col("jsonld_source"))
-    coded = staged.withColumn("identity", I.code_to_sku(I.extract_code(F.col("title"), F.col("body_text"))))
+    priced = staged.withColumns({"price": price, "price_source": source})
+    coded = computed(priced, code_text=I.extract_code(F.col("title"), F.col("body_text")))
+    coded = computed(coded, identity=I.code_to_sku(F.col("code_text")), category=page_category(F.col("raw_category"), F.col("title")))
     return coded.select(
         "page_id",
         "url",
         "legacy_id",
         "title",
         "raw_category",
-        page_category(F.col("raw_category"), F.col("title")).alias("category"),
-        price.alias("price"),
-        source.alias("price_source"),
+        "category",
+        "price",
+        "price_source",
         F.translate("weight_text", "٫", ".").try_cast("double").alias("weight"),
         "description",
         "short_description",
@@ -148,10 +150,10 @@ def split_spec_text(chunk: Column) -> Column:
     return F.split(dots, f"[{K.WHITESPACE}]*·[{K.WHITESPACE}]*|[\\r\\n]+")
 
 
-def _clean_pairs(rows: DataFrame) -> DataFrame:
-    """Normalised labels and values within their length limits."""
+def _clean_pairs(rows: DataFrame, label_max: int | None, value_max: int | None) -> DataFrame:
+    """Normalised labels and values; longer ones than asked for are left out."""
     label = F.trim(T.normalize_text(F.col("raw_label")), F.lit(_LABEL_EDGE))
-    rest = F.trim(F.trim(F.substring(label, len(K.SPEC_HEADING) + 1, 1_000_000)), F.lit(_LABEL_EDGE))
+    rest = F.trim(F.trim(F.substring(label, F.lit(len(K.SPEC_HEADING) + 1), F.length(label))), F.lit(_LABEL_EDGE))
     cleaned = computed(
         rows,
         label=F.when(label.startswith(K.SPEC_HEADING), rest).otherwise(label),
@@ -161,8 +163,8 @@ def _clean_pairs(rows: DataFrame) -> DataFrame:
         cleaned.filter(
             (F.col("label") != "")
             & (F.col("value") != "")
-            & (F.length("label") <= K.SPEC_LABEL_MAX)
-            & (F.length("value") <= K.SPEC_VALUE_MAX)
+            & (F.lit(True) if label_max is None else F.length("label") <= label_max)
+            & (F.lit(True) if value_max is None else F.length("value") <= value_max)
         )
         .select("page_id", "block", "position", "label", "value")
     )
@@ -170,11 +172,14 @@ def _clean_pairs(rows: DataFrame) -> DataFrame:
 
 def may_have_specs(pages: DataFrame) -> DataFrame:
     """Pages with a heading word, a known label or label cells; the others are dropped before any tag walk."""
-    return pages.filter(F.col("html").rlike(f"{K.SPEC_HEADING}|وزن|بندی|نوع رکاب|نوع سنگ|عیار نقره|(?i:<(?:td|dd)[\\s>])|&"))
+    return pages.filter(F.col("html").rlike(f"{K.SPEC_HEADING}|وزن|بندی|نوع رکاب|نوع سنگ|عیار نقره|(?i:<(?:td|dd)[\\s>])|&(?:amp;)?#"))
 
 
-def spec_rows(walked: DataFrame) -> DataFrame:
-    """(page_id, block, position, label, value) of every candidate block; the walked pages are read once."""
+def spec_rows(walked: DataFrame, label_max: int | None = K.SPEC_LABEL_MAX, value_max: int | None = None) -> DataFrame:
+    """(page_id, block, position, label, value) of every candidate block; the walked pages are read once.
+
+    A label of more than ``label_max`` characters is prose with a colon in it, not a label; values have no limit by default.
+    """
     chunks = F.flatten(
         F.transform(
             "spec_chunks",
@@ -202,7 +207,7 @@ def spec_rows(walked: DataFrame) -> DataFrame:
         F.when(is_text, F.regexp_extract("segment", "^(.*?)[:：]", 1)).otherwise(F.col("label")).alias("raw_label"),
         F.when(is_text, F.regexp_extract("segment", "^.*?[:：](.*)$", 1)).otherwise(F.col("value")).alias("raw_value"),
     )
-    return _clean_pairs(parted)
+    return _clean_pairs(parted, label_max, value_max)
 
 
 def best_specs(rows: DataFrame) -> DataFrame:
@@ -225,7 +230,7 @@ def best_specs(rows: DataFrame) -> DataFrame:
     )
     best = (
         blocks.groupBy("page_id")
-        .agg(F.max_by(F.struct("known", "entries"), F.struct("known", "total", -F.col("block"))).alias("best"))
+        .agg(F.max_by(F.struct("known", "entries"), F.struct("known", "total", F.when(F.col("block") >= 0, -F.col("block")).otherwise(F.lit(-(1 << 31)).cast("bigint")))).alias("best"))
         .filter(F.col("best.known") >= 1)
     )
     specs = best.select(
@@ -324,7 +329,7 @@ def discover(records: DataFrame, candidates: DataFrame, found_pages: DataFrame,
     ``candidates``: legacy_id, strategy_rank, position, target. ``found_pages``: url of pages with assets.
     """
     stored = found_pages.select(F.col("url").alias("target")).distinct().withColumn("stored", F.lit(True))
-    hits = lookup(candidates, stored, "target", ["legacy_id", "strategy_rank", "position"], hot_rows=hot_rows).filter("stored")
+    hits = candidates.join(stored, "target")
     best = (
         hits.groupBy("legacy_id")
         .agg(F.min(F.struct("strategy_rank", "position", "target")).alias("hit"))

@@ -83,7 +83,7 @@ def _price_stats() -> list[Column]:
         F.count_if(F.col("price").isNull()).alias("price_missing"),
         F.min("price").alias("price_min"),
         F.max("price").alias("price_max"),
-        F.round(F.avg(F.col("price").cast("decimal(28,4)")), 2).alias("price_avg"),
+        F.round(F.avg(F.col("price").try_cast("decimal(38,4)")), 2).alias("price_avg"),
     ]
 
 
@@ -191,6 +191,13 @@ def taxonomy_tree(counts: DataFrame) -> DataFrame:
     )
 
 
-def repeated_ids(rows: DataFrame, sample: int = 20) -> DataFrame:
-    """The smallest ids that occur more than once (a sample for the report)."""
-    return repeated_values(rows, F.col("legacy_id"), "legacy_id").orderBy("legacy_id").limit(sample)
+def repeated_ids(rows: DataFrame) -> DataFrame:
+    """Every id that occurs more than once, with its count."""
+    return repeated_values(rows, F.col("legacy_id"), "legacy_id")
+
+
+def repeated_ids_shown(rows: DataFrame, shown: int = 20) -> DataFrame:
+    """The smallest repeated ids for the report, each with the number of repeated ids in all."""
+    repeated = repeated_ids(rows)
+    total = repeated.agg(F.count(F.lit(1)).alias("n"))
+    return repeated.orderBy("legacy_id").limit(shown).withColumn("repeated_ids", total.scalar())

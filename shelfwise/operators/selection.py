@@ -10,8 +10,6 @@ from shelfwise.functions.classify import sheet_category, stone_from_title
 from shelfwise.functions.pricing import sheet_price
 from shelfwise.operators.staging import computed
 
-BATCH_CAP = 1000
-
 
 def priced_records(cells: DataFrame, title_fallback: str = "محصول نقره") -> DataFrame:
     """Parse, classify and price every sheet row with a valid id.
@@ -110,9 +108,9 @@ def priced_records(cells: DataFrame, title_fallback: str = "محصول نقره"
 
 
 def select_newest(records: DataFrame, limit: int) -> DataFrame:
-    """Newest eligible records with their planned action. At most ``BATCH_CAP`` rows pass the cut."""
-    if not 1 <= limit <= BATCH_CAP:
-        raise ValueError(f"limit must be between 1 and {BATCH_CAP}")
+    """The newest ``limit`` eligible records with their planned action."""
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
     chosen = records.filter("eligible").orderBy(F.desc("legacy_id"), F.asc("row_no")).limit(limit)
     order = [F.desc("legacy_id"), F.asc("row_no")]
     by_id = F.row_number().over(Window.partitionBy("legacy_id").orderBy(*order))

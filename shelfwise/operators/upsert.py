@@ -11,11 +11,22 @@ from shelfwise.functions.identity import shop_sku
 from shelfwise.operators.keys import HOT_ROWS, lookup
 
 
-def upsert(current: DataFrame, incoming: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def last_per_key(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row per non-null key: the last by ``order`` (ties and no order: the greatest row)."""
+    names = [c for c in rows.columns if c != key]
+    whole = [F.struct(*[F.to_json(F.struct(c)) if t.startswith("map") else F.col(c) for c, t in rows.dtypes if c != key])]
+    rank = F.struct(*([F.col(order)] if order else []), *whole)
+    last = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*names), rank).alias("__last"))
+    return last.select(key, "__last.*").select(*rows.columns)
+
+
+def upsert(current: DataFrame, incoming: DataFrame, key: str, keep: tuple[str, ...] = (), order: str | None = None) -> DataFrame:
     """Full replacement by primary key; columns in ``keep`` stay as they are on existing rows.
 
-    Both sides hold one row per key.
+    ``current`` holds one row per key. Of several incoming rows with one key the last by ``order`` is taken; without an order they
+    are compared as a whole, so the result does not depend on how the rows arrive.
     """
+    incoming = last_per_key(incoming, key, order)
     old = current.alias("old")
     new = incoming.alias("new")
     columns = [F.coalesce(F.col(f"new.{key}"), F.col(f"old.{key}")).alias(key)]
@@ -37,10 +48,10 @@ def snapshot_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame
     return old.join(new, key, "full_outer").filter(~F.col("old_row").eqNullSafe(F.col("new_row"))).select(key)
 
 
-def sync_items(feed: DataFrame, mapping: DataFrame, synced_at: str, prefix: str = K.SKU_PREFIX, hot_rows: int = HOT_ROWS) -> DataFrame:
+def sync_items(feed: DataFrame, mapping: DataFrame, synced_at: str, prefix: str = K.SKU_PREFIX) -> DataFrame:
     """Feed items with mode, stock, SKU and whether the store row is protected (already published)."""
-    known = mapping.select("legacy_id", F.col("wc_status").alias("known_status"), F.col("sku").alias("known_sku"))
-    joined = lookup(feed, known, "legacy_id", ["legacy_id"], hot_rows=hot_rows)
+    known = mapping.select("legacy_id", F.col("wc_status").alias("known_status"), F.col("sku").alias("known_sku"), F.col("product_id").alias("known_product"))
+    joined = feed.join(known, "legacy_id", "left")  # one row per id on both sides
     return joined.select(
         "legacy_id",
         T.persian_title(F.col("title")).alias("name"),
@@ -54,6 +65,7 @@ def sync_items(feed: DataFrame, mapping: DataFrame, synced_at: str, prefix: str
         F.substring_index("image_url", "?", 1).alias("image_src"),
         "known_status",
         "known_sku",
+        "known_product",
         F.coalesce(F.col("known_status") == "publish", F.lit(False)).alias("protected"),
         F.lit(synced_at).alias("last_sync_utc"),
     )
@@ -103,8 +115,8 @@ def present_meta(meta: Column) -> Column:
 
 
 def merge_products(store: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Upsert by SKU: new rows are drafts, existing rows keep their status, categories are united."""
-    old, new = store.alias("old"), incoming.alias("new")
+    """Upsert by SKU: new rows are drafts, existing rows keep their status, categories are united; the last incoming row counts."""
+    old, new = store.alias("old"), last_per_key(incoming, "sku").alias("new")
     joined = old.join(new, F.col("old.sku") == F.col("new.sku"), "full_outer")
     has_new, has_old = F.col("new.sku").isNotNull(), F.col("old.sku").isNotNull()
 

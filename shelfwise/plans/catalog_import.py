@@ -14,19 +14,31 @@ def select(cells: DataFrame, limit: int, title_fallback: str = "محصول نق
     return cut_lineage(S.select_newest(records, limit)), S.selection_summary(records, limit)
 
 
-def attach_pages(planned: DataFrame, pages: DataFrame, base_url: str, site_host: str, shop: str) -> DataFrame:
+def attach_pages(
+    planned: DataFrame, pages: DataFrame, base_url: str, site_host: str, shop: str, site_search: DataFrame | None = None, sitemap: DataFrame | None = None
+) -> DataFrame:
     """Planned records with page address, images and reconciled specifications. Skipped records fetch nothing.
 
-    Pages are walked once; the walked rows feed both images and specifications. The batch, the assets and the result
-    are written once each, because several joins and reports read them.
+    A record's page is sought at its direct addresses, then among the ``site_search`` results, then in the ``sitemap``
+    (legacy_id, position, target each). Only pages at one of these addresses are walked, once; the walked rows feed both
+    images and specifications. The batch, the assets and the result are written once each, because several joins and
+    reports read them.
     """
     planned = cut_lineage(planned)
-    wanted = planned.filter(~F.col("action").startswith("SKIP_"))
-    walked = cut_lineage(W.walk_pages(pages))
+    skipped = F.coalesce(F.col("action"), F.lit("")).startswith("SKIP_")
+    wanted = planned.filter(~skipped)
+    candidates = W.direct_candidates(wanted, base_url)
+    for rank, found in ((2, site_search), (3, sitemap)):
+        if found is not None:
+            asked = found.join(wanted.select("legacy_id").distinct(), "legacy_id", "left_semi")
+            candidates = candidates.unionByName(asked.select("legacy_id", F.lit(rank).alias("strategy_rank"), F.col("position").cast("int").alias("position"), "target"))
+    candidates = cut_lineage(candidates)
+    addressed = pages.join(candidates.select(F.col("target").alias("url")).distinct(), "url", "left_semi")
+    walked = cut_lineage(W.walk_pages(addressed))
     specs = W.best_specs(W.spec_rows(walked))
     images = walked.select("page_id", "url", W.gallery_urls(F.col("gallery"), F.col("gallery_marked"), site_host).alias("image_urls"))
     assets = cut_lineage(images.join(specs, "page_id", "left").filter((F.size("image_urls") > 0) | F.col("specs").isNotNull()))
-    located = cut_lineage(W.discover(wanted, W.direct_candidates(wanted, base_url), assets))
+    located = cut_lineage(W.discover(wanted, candidates, assets))
     by_url = assets.dropDuplicates(["url"]).withColumnRenamed("url", "legacy_url")
     specified = E.with_specs(located, by_url.filter("specs is not null"), "legacy_url", ["row_no"])
     reconciled = E.reconcile(specified, shop)
@@ -42,8 +54,8 @@ def attach_pages(planned: DataFrame, pages: DataFrame, base_url: str, site_host:
             "action": F.when(F.col("action") == "PLAN_CREATE_DRAFT", "READY_DRAFT").otherwise(F.col("action")),
         }
     )
-    skipped = planned.filter(F.col("action").startswith("SKIP_")).withColumn("image_status", F.lit("SKIPPED"))
-    return cut_lineage(attached.unionByName(skipped, allowMissingColumns=True))
+    rest = planned.filter(skipped).withColumn("image_status", F.lit("SKIPPED"))
+    return cut_lineage(attached.unionByName(rest, allowMissingColumns=True))
 
 
 def decide(planned: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -17,6 +17,8 @@ def plan(drafts: DataFrame, cells: DataFrame, pages: DataFrame, shop: str, title
     records = S.priced_records(cells, title_fallback)
     matched, missing = E.split_drafts(drafts, records)
     owned = W.may_have_specs(pages).withColumn("legacy_id", W.U.product_id_in_path(F.col("url"))).filter("legacy_id is not null")
+    # pages of products no draft asks for are not walked
+    owned = owned.join(drafts.select(F.col("legacy_id").cast("bigint").alias("legacy_id")).distinct(), "legacy_id", "left_semi")
     specs = W.best_specs(W.spec_rows(W.walk_pages(owned)))
     first = specs.join(owned.select("page_id", "legacy_id"), "page_id").groupBy("legacy_id").agg(
         F.min_by(F.struct(*[c for c in specs.columns if c != "page_id"]), "page_id").alias("s")

@@ -46,7 +46,7 @@ def plan(snapshot: DataFrame, rate: DataFrame, namespace: str | None = None) ->
     return Repricing(R.reprice(published_products(snapshot, keys), rate, namespace))
 
 
-def apply(store: DataFrame, planned: Repricing, audit_root: str, table_root: str, stamp: str, version: int) -> DataFrame:
+def apply(store: DataFrame, planned: Repricing, audit_root: str, table_root: str, stamp: str) -> DataFrame:
     """Audit first, then a new table version. Returns the audit rows whose product no longer exists.
 
     The audit is written and read back, so table and audit hold the same prices whatever is recomputed later.
@@ -54,5 +54,5 @@ def apply(store: DataFrame, planned: Repricing, audit_root: str, table_root: str
     write_run(planned.audit, audit_root, stamp)
     audit = store.sparkSession.read.parquet(f"{audit_root}/run_stamp={stamp}")
     updated, gone = apply_prices(store, audit)
-    commit_version(updated, table_root, version)
+    commit_version(updated, table_root)
     return gone

@@ -9,7 +9,7 @@ from shelfwise.operators import upsert as U
 
 
 def plan(feed: DataFrame, mapping: DataFrame, synced_at: str, prefix: str = K.SKU_PREFIX) -> tuple[DataFrame, DataFrame]:
-    """(payloads, mapping after the sync)."""
+    """(payloads, mapping after the sync). A known product id stays; new rows get theirs when the store has created them."""
     items = U.sync_items(feed, mapping, synced_at, prefix)
-    incoming = U.mapping_rows(items, F.col("legacy_id") + 20_000)
+    incoming = U.mapping_rows(items, F.col("known_product"))
     return U.payloads(items), U.upsert(mapping, incoming, "legacy_id")

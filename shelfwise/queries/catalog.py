@@ -198,8 +198,13 @@ def taxonomy_tree(spark, folder):
 
 
 @query("duplicate_ids_sample", _ROWS + """
-SELECT legacy_id, count(*) AS n FROM rows GROUP BY legacy_id HAVING count(*) > 1 ORDER BY legacy_id LIMIT 20""")
+SELECT legacy_id, count(*) AS n, count(*) OVER () AS repeated_ids FROM rows GROUP BY legacy_id HAVING count(*) > 1 ORDER BY legacy_id LIMIT 20""")
 def duplicate_ids_sample(spark, folder):
+    return P.repeated_ids_shown(_valid(spark, folder))
+
+
+@query("duplicate_ids", _ROWS + " SELECT legacy_id, count(*) AS n FROM rows GROUP BY legacy_id HAVING count(*) > 1")
+def duplicate_ids(spark, folder):
     return P.repeated_ids(_valid(spark, folder))
 
 

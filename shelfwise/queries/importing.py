@@ -169,12 +169,19 @@ def alias_key_clashes(spark, folder):
 _DECIDED = _ALIASES + f""", records AS ({V.as_sql(V.RECORDS)}), skus AS (SELECT sku, min(product_id) AS product_id FROM keys GROUP BY sku)"""
 
 
-@query("import_decisions", _DECIDED + """
-SELECT r.row_no, r.legacy_id, r.sku, CASE WHEN r.action LIKE 'SKIP_%' THEN r.action WHEN g.product_id IS NOT NULL THEN 'SKIP_EXISTING_LEGACY_ID'
+_HELD = """, open_rows AS (SELECT *, row_number() OVER (PARTITION BY legacy_id ORDER BY row_no) AS a FROM records WHERE coalesce(action, '') NOT LIKE 'SKIP_%'),
+turns AS (SELECT row_no, a, CASE WHEN a = 1 THEN row_number() OVER (PARTITION BY lower(sku), a = 1 ORDER BY row_no) END AS b FROM open_rows)
+"""
+
+
+@query("import_decisions", _DECIDED + _HELD + """
+SELECT r.row_no, r.legacy_id, r.sku, CASE WHEN r.action LIKE 'SKIP_%' THEN r.action WHEN t.a > 1 THEN 'SKIP_DUPLICATE_BATCH_LEGACY_ID'
+  WHEN t.b > 1 THEN 'SKIP_DUPLICATE_BATCH_SKU' WHEN g.product_id IS NOT NULL THEN 'SKIP_EXISTING_LEGACY_ID'
   WHEN s.product_id IS NOT NULL THEN 'SKIP_SKU_CONFLICT' ELSE 'CREATE_DRAFT' END AS decision,
-  CASE WHEN r.action LIKE 'SKIP_%' THEN NULL WHEN g.product_id IS NOT NULL THEN g.product_id ELSE s.product_id END AS existing_product,
-  CASE WHEN r.action NOT LIKE 'SKIP_%' AND g.product_id IS NULL AND s.product_id IS NOT NULL THEN 'STORE_SKU_CONFLICT' ELSE '' END AS review_flags
-FROM records r LEFT JOIN (SELECT * FROM grouped WHERE n = 1) g ON r.legacy_id = g.legacy_id LEFT JOIN skus s ON r.sku = s.sku""")
+  CASE WHEN r.action LIKE 'SKIP_%' OR t.a > 1 OR t.b > 1 THEN NULL WHEN g.product_id IS NOT NULL THEN g.product_id ELSE s.product_id END AS existing_product,
+  CASE WHEN r.action LIKE 'SKIP_%' THEN '' WHEN t.a > 1 THEN 'DUPLICATE_BATCH_LEGACY_ID' WHEN t.b > 1 THEN 'DUPLICATE_BATCH_SKU'
+    WHEN g.product_id IS NULL AND s.product_id IS NOT NULL THEN 'STORE_SKU_CONFLICT' ELSE '' END AS review_flags
+FROM records r LEFT JOIN turns t ON r.row_no = t.row_no LEFT JOIN (SELECT * FROM grouped WHERE n = 1) g ON r.legacy_id = g.legacy_id LEFT JOIN skus s ON r.sku = s.sku""")
 def import_decisions(spark, folder):
     by_id, _ = M.alias_lookup(M.alias_ids(store_keys(spark, folder)))
     records = V.view(spark, folder, V.RECORDS).withColumn("review_flags", F.array().cast("array<string>"))
@@ -195,6 +202,26 @@ def import_blockers(spark, folder):
     return blockers
 
 
+@query("stop_all_decisions", _DECIDED + """, fine AS (SELECT * FROM records WHERE import_action IS NULL OR import_action <> 'CREATE_DRAFT' OR row_no % 2 = 0),
+fresh AS (SELECT min(row_no) AS row_no FROM fine WHERE import_action = 'CREATE_DRAFT' GROUP BY legacy_id),
+apart AS (SELECT f.* FROM fine f WHERE import_action IS NULL OR import_action <> 'CREATE_DRAFT' OR row_no IN (SELECT row_no FROM fresh))
+SELECT f.row_no, f.legacy_id, concat('N-', CAST(f.row_no AS VARCHAR)) AS sku, CASE WHEN import_action = 'CREATE_DRAFT' AND g.product_id IS NOT NULL THEN 'SKIP_EXISTING_LEGACY_ID'
+  ELSE import_action END AS decision, CASE WHEN import_action = 'CREATE_DRAFT' THEN g.product_id END AS existing_product
+FROM apart f LEFT JOIN (SELECT * FROM grouped WHERE n = 1) g ON f.legacy_id = g.legacy_id""")
+def stop_all_decisions(spark, folder):
+    """A batch without repeats or conflicts, so every decision comes through."""
+    by_id, _ = M.alias_lookup(M.alias_ids(store_keys(spark, folder)))
+    records = V.view(spark, folder, V.RECORDS)
+    create = F.col("import_action") == "CREATE_DRAFT"
+    fine = records.filter(~F.coalesce(create, F.lit(False)) | (F.col("row_no") % 2 == 0))
+    fresh = fine.filter(create).groupBy("legacy_id").agg(F.min("row_no").alias("row_no")).select("row_no")
+    apart = fine.filter(create).join(fresh, "row_no", "left_semi").unionByName(fine.filter(~F.coalesce(create, F.lit(False))))
+    apart = apart.withColumn("sku", F.concat(F.lit("N-"), F.col("row_no").cast("string"))).withColumns(
+        {"image_qa_run": F.lit(True), "selected_media": F.lit(1), "final_price": F.lit(1000)}
+    )
+    return M.stop_all_decisions(apart, by_id, store_keys(spark, folder).select("sku", "product_id"))[0]
+
+
 @query("create_only_rows", _DECIDED + """
 SELECT r.row_no, r.legacy_id, r.sku FROM records r
 WHERE NOT EXISTS (SELECT 1 FROM ids i WHERE i.legacy_id = r.legacy_id) AND NOT EXISTS (SELECT 1 FROM keys k WHERE k.sku = r.sku)""")

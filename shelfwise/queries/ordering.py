@@ -33,22 +33,20 @@ def _orders(spark, folder):
 
 def _with_items(spark, folder, orders):
     bare = orders.withColumn("line_items", F.lit(None).cast("array<struct<name:string,quantity:int>>"))
-    return O.with_items(bare, V.view(spark, folder, V.ITEMS))
+    names = table(spark, folder, "part").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("name"))
+    return O.with_items(bare, V.view(spark, folder, V.ITEM_LINES), names=names)
 
 
-@query("new_orders", _ORDERS + """, latest AS (SELECT * FROM orders_view WHERE status IN ('processing', 'on-hold') ORDER BY id DESC LIMIT 200)
-SELECT * FROM latest ORDER BY id DESC LIMIT 50""")
+@query("new_orders", _ORDERS + " SELECT * FROM orders_view WHERE status IN ('processing', 'on-hold') AND id > 0")
 def new_orders(spark, folder):
     return O.new_orders(_orders(spark, folder), 0)
 
 
-@query("new_orders_since", _ORDERS + """, top AS (SELECT max(id) - 100 AS cursor FROM orders_view),
-latest AS (SELECT * FROM orders_view WHERE status IN ('processing', 'on-hold') ORDER BY id DESC LIMIT 200)
-SELECT * FROM latest WHERE id > (SELECT cursor FROM top)""")
+@query("new_orders_since", _ORDERS + """, top AS (SELECT max(id) // 2 AS cursor FROM orders_view)
+SELECT * FROM orders_view WHERE status IN ('processing', 'on-hold') AND id > (SELECT cursor FROM top)""")
 def new_orders_since(spark, folder):
     orders = _orders(spark, folder)
-    cursor = orders.agg(F.max("id") - 100).first()[0]
-    return O.new_orders(orders, cursor)
+    return O.new_orders(orders, orders.agg(F.expr("max(id) div 2")).scalar())
 
 
 @query("order_cursor", _ORDERS + " SELECT greatest(max(id), 10) AS last_seen_id FROM orders_view WHERE status IN ('processing', 'on-hold')")
@@ -69,35 +67,24 @@ def order_item_summary(spark, folder):
     return found.select("id", "item_count", F.concat_ws("|", F.transform("first_items", lambda x: x["name"])).alias("first_items"))
 
 
-_EMPTY_ITEMS = "array<struct<name:string,quantity:int>>"
-
-
 def _run_folder(spark, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("stream_new_orders", f"""
-SELECT o_orderkey AS id, concat('📦 سفارش جدید #', {_FA.format('o_orderkey')}, chr(10), 'وضعیت: ',
-  CASE o_orderstatus WHEN 'F' THEN 'در حال پردازش' ELSE 'در انتظار بررسی' END, chr(10), 'شهر: —', chr(10), '• (فاقد جزئیات اقلام)', chr(10), 'مبلغ: ',
-  translate(format('{{:,}}', CAST(round(o_totalprice * 10) AS BIGINT)), '0123456789', '۰۱۲۳۴۵۶۷۸۹'), ' تومان') AS text
-FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+@query("stream_new_orders", _ALERTS + "SELECT id, text FROM texts")
 def stream_new_orders(spark, folder):
-    schema = table(spark, folder, "orders").schema
-    stream = SO.order_stream(spark, folder, schema, "orders.parquet")
+    """The alerts of ``order_alert_text``, from a stream of bare orders whose items and city are looked up batch by batch."""
+    stream = SO.order_stream(spark, folder, table(spark, folder, "orders").schema, "orders.parquet")
     status = F.when(F.col("o_orderstatus") == "F", "processing").when(F.col("o_orderstatus") == "O", "on-hold").otherwise("pending")
-    orders = stream.select(
-        F.col("o_orderkey").alias("id"),
-        status.alias("status"),
-        F.round(F.col("o_totalprice") * 10).cast("bigint").cast("string").alias("total"),
-        F.lit("IRT").alias("currency"),
-        F.lit("").alias("shipping_city"),
-        F.lit("").alias("billing_city"),
-        F.array().cast(_EMPTY_ITEMS).alias("first_items"),
-        F.lit(0).alias("item_count"),
-    )
+    orders = stream.select(F.col("o_orderkey").alias("id"), status.alias("status"))
+
+    def enrich(batch):
+        known = _orders(spark, folder).drop("status")
+        return _with_items(spark, folder, batch.join(known, "id"))
+
     work = _run_folder(spark, "alerts")
-    SO.start_alerts(orders, f"{work}/outbox", f"{work}/progress").awaitTermination()
-    return SO.read_outbox(spark, f"{work}/outbox")
+    SO.start_alerts(orders, f"{work}/outbox", f"{work}/progress", enrich=enrich).awaitTermination()
+    return SO.read_outbox(spark, f"{work}/outbox").select("id", "text")
 
 
 @query("stream_inventory_audit", """

@@ -40,7 +40,7 @@ def protected_payload(spark, folder):
 
 @query("upsert_mapping", _ITEMS + f"""
 SELECT coalesce(i.legacy_id, m.legacy_id) AS legacy_id, CASE WHEN i.legacy_id IS NULL OR protected THEN m.sku ELSE i.sku END AS sku,
-  CASE WHEN i.legacy_id IS NULL THEN m.product_id ELSE i.legacy_id + 20000 END AS product_id,
+  m.product_id AS product_id,
   CASE WHEN i.legacy_id IS NULL OR protected THEN m.wc_status ELSE 'draft' END AS wc_status,
   CASE WHEN i.legacy_id IS NULL THEN m.exact_stock ELSE i.exact_stock END AS exact_stock,
   CASE WHEN i.legacy_id IS NULL THEN m.pricing_mode ELSE i.pricing_mode END AS pricing_mode,
@@ -189,12 +189,36 @@ def first_per_category(spark, folder):
     return D.first_per_group(V.view(spark, folder, V.LINKS))
 
 
-@query("greedy_dedup")
+_WALK = f"""
+WITH RECURSIVE candidates AS ({V.as_sql(V.CANDIDATES)}),
+c AS (SELECT row_no, legacy_id, code, sku, row_number() OVER (ORDER BY row_no) AS k FROM candidates),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS ids, CAST([] AS VARCHAR[]) AS codes, CAST([] AS VARCHAR[]) AS skus,
+    CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS conflicts_with
+  UNION ALL
+  SELECT k, CASE WHEN reason IS NULL THEN list_append(ids, legacy_id) ELSE ids END, CASE WHEN reason IS NULL THEN list_append(codes, code) ELSE codes END,
+    CASE WHEN reason IS NULL THEN list_append(skus, sku) ELSE skus END, reason,
+    CASE reason WHEN 'DUPLICATE_LEGACY_CODE' THEN CAST(ids[list_position(codes, code)] AS VARCHAR)
+      WHEN 'NORMALIZED_SKU_CONFLICT' THEN CAST(ids[list_position(skus, sku)] AS VARCHAR) END
+  FROM (
+    SELECT c.k, w.ids, w.codes, w.skus, CAST(c.legacy_id AS BIGINT) AS legacy_id, CAST(c.code AS VARCHAR) AS code, CAST(c.sku AS VARCHAR) AS sku,
+      CASE WHEN c.code IS NULL OR c.sku IS NULL THEN 'MISSING_LEGACY_CODE' WHEN list_contains(w.ids, CAST(c.legacy_id AS BIGINT)) THEN 'DUPLICATE_LEGACY_ID'
+        WHEN list_contains(w.codes, CAST(c.code AS VARCHAR)) THEN 'DUPLICATE_LEGACY_CODE' WHEN list_contains(w.skus, CAST(c.sku AS VARCHAR)) THEN 'NORMALIZED_SKU_CONFLICT' END AS reason
+    FROM walk w JOIN c ON c.k = w.k + 1)
+),
+claims AS (SELECT c.row_no, c.legacy_id, c.code, c.sku, w.reason, w.conflicts_with FROM c JOIN walk w ON w.k = c.k)
+"""
+
+
+@query("greedy_dedup", _WALK + "SELECT * FROM claims")
 def greedy_dedup(spark, folder):
     return D.greedy_claims(V.view(spark, folder, V.CANDIDATES), "row_no", "legacy_id", "code", "sku")
 
 
-@query("greedy_run_summary")
+@query("greedy_run_summary", _WALK + """
+SELECT 10000 AS requested_limit, count(*) FILTER (reason IS NULL) AS accepted, count(*) FILTER (reason IS NOT NULL) AS skipped, count(*) AS candidates,
+  CASE WHEN count(*) FILTER (reason IS NULL) < 10000 THEN concat('only ', count(*) FILTER (reason IS NULL), ' unique-code products collected from ', count(*), ' candidates') END AS incomplete_reason
+FROM claims""")
 def greedy_run_summary(spark, folder):
     claims = D.greedy_claims(V.view(spark, folder, V.CANDIDATES), "row_no", "legacy_id", "code", "sku")
     return D.run_summary(claims, 10_000)

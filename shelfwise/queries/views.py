@@ -193,7 +193,7 @@ SELECT p_partkey AS legacy_id, concat(' ', p_name, ' كد ', CAST(p_partkey AS S
 FROM {{part}}
 """
 MAPPING = """
-SELECT p_partkey * 2 AS legacy_id, concat('OLD-', CAST(p_partkey AS STRING)) AS sku, p_partkey * 2 + 20000 AS product_id,
+SELECT p_partkey * 2 AS legacy_id, concat('OLD-', CAST(p_partkey AS STRING)) AS sku, p_partkey * 7 + 500 AS product_id,
   CASE WHEN p_partkey % 3 = 0 THEN 'publish' ELSE 'draft' END AS wc_status, p_partkey % 5 AS exact_stock,
   'legacy_mirror' AS pricing_mode, '2024-01-01T00:00:00' AS last_sync_utc
 FROM {part}
@@ -219,8 +219,11 @@ SELECT o.o_orderkey AS id, CASE o.o_orderstatus WHEN 'F' THEN 'processing' WHEN
   CASE WHEN c.c_custkey % 3 = 0 THEN '' ELSE n.n_name END AS shipping_city, CASE WHEN c.c_custkey % 6 = 0 THEN '' ELSE c.c_mktsegment END AS billing_city
 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 """
+ITEM_LINES = """
+SELECT l_orderkey AS id, (l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey) * 100 + CAST(l_quantity AS INT) AS position, l_partkey AS item, CAST(l_quantity AS INT) AS quantity FROM {lineitem}
+"""
 ITEMS = """
-SELECT l.l_orderkey AS id, l.l_linenumber * 1000000000000 + l.l_partkey * 100000 + l.l_suppkey AS position, p.p_name AS name, CAST(l.l_quantity AS INT) AS quantity
+SELECT l.l_orderkey AS id, (l.l_linenumber * 1000000000000 + l.l_partkey * 100000 + l.l_suppkey) * 100 + CAST(l.l_quantity AS INT) AS position, p.p_name AS name, CAST(l.l_quantity AS INT) AS quantity
 FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 

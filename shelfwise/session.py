@@ -24,6 +24,8 @@ def local_session(cores: str = "8", app: str = "shelfwise") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.files.minPartitionNum", cores)
+        .config("spark.sql.files.openCostInBytes", "65536")
         .getOrCreate()
     )
 
@@ -36,6 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="shelfwise-checkpoint-")
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()

@@ -8,16 +8,6 @@ from shelfwise import constants as K
 from shelfwise.functions import text as T
 
 
-def spread_few_splits(scan: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores is spread over the cores; any larger input is left as it is.
-
-    The row work here (parsing, tag walks) costs far more than moving a small input, while a large input already
-    has many splits and must not be shuffled. Filters and column pruning still reach the scan.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 POSITIONS = {
     "id_cell": K.COLUMN_ID,
     "category_cell": K.COLUMN_CATEGORY,
@@ -73,29 +63,41 @@ def catalog_cells(sheet: DataFrame, row_no: str | None = None, min_columns: int
     )
 
 
-def read_sheet_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV export with every column as text; a byte order mark before the first header is removed."""
-    frame = spark.read.option("header", True).option("inferSchema", False).csv(path)
+def read_sheet_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """CSV export with every column as text; a byte order mark before the first header is removed.
+
+    Quotes inside a quoted cell are doubled. ``multiline`` allows line breaks in quoted cells; a file is then read by one task.
+    """
+    frame = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", multiline).csv(path)
     first = frame.columns[0]
-    return frame.withColumnRenamed(first, first.lstrip("﻿"))
+    return frame.withColumnRenamed(first, first.lstrip("\ufeff"))
+
 
+def read_import_csv(spark: SparkSession, path: str, row_no: str | None = None, multiline: bool = False) -> DataFrame:
+    """Import file: required columns only, extra ones ignored, ``row_number`` in file order.
 
-def read_import_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Import file: required columns only, extra ones ignored, ``row_number`` in file order."""
-    frame = read_sheet_csv(spark, path)
+    Several files have no order among each other, so they need a column with the row number (``row_no``).
+    """
+    frame = read_sheet_csv(spark, path, multiline)
     missing = [c for c in K.IMPORT_COLUMNS if c not in frame.columns]
     if missing:
         raise ValueError("CSV is missing required column(s): " + ", ".join(missing))
-    return frame.select((F.monotonically_increasing_id() + 2).alias("row_number"), *K.IMPORT_COLUMNS)
+    if row_no is None and len(frame.inputFiles()) > 1:
+        raise ValueError("several files need a row number column")
+    number = F.col(row_no).try_cast("bigint") if row_no else F.monotonically_increasing_id() + 2
+    return frame.select(number.alias("row_number"), *K.IMPORT_COLUMNS)
 
 
-def read_products_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A product list, either the whole document or under ``products``."""
-    wrapped = spark.read.schema(f"products array<struct<{schema}>>").json(path, multiLine=True)
-    plain = spark.read.schema(schema).json(path, multiLine=True)
-    nested = wrapped.select(F.explode("products").alias("p")).select("p.*")
-    first = plain.columns[0]
-    return nested.unionByName(plain.filter(F.col(first).isNotNull()))
+def read_products_json(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """A product list: the whole document, or under ``products``. Every item is kept, whatever fields it lacks.
+
+    A document of that form is one JSON value, so it is read by one task; ``lines`` reads JSON lines, which split.
+    """
+    reader = spark.read.schema(f"products array<struct<{schema}>>, {schema}")
+    read = reader.json(path, multiLine=not lines)
+    names = [c for c in read.columns if c != "products"]
+    item = F.explode(F.coalesce("products", F.array(F.struct(*names))))
+    return read.select(item.alias("p")).select("p.*")
 
 
 def published_products(snapshot: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -127,12 +129,11 @@ def latest_run(runs: DataFrame, stamp: str = "run_stamp") -> DataFrame:
     return runs.filter(F.col(stamp) == newest)
 
 
-def checked_manifest(rows: DataFrame, cap: int = 1000) -> DataFrame:
-    """Manifest rows, failing on an empty or oversized manifest or on rows that were only planned."""
-    facts = rows.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("image_status") == "NOT_FETCHED").alias("open")
-    ).select(
-        F.when((F.col("n") < 1) | (F.col("n") > cap), F.raise_error(F.lit(f"manifest must hold 1..{cap} products")).cast("boolean"))
+def checked_manifest(rows: DataFrame, cap: int | None = None) -> DataFrame:
+    """Manifest rows, failing on an empty manifest, on one above ``cap`` (if given), or on rows that were only planned."""
+    wrong_size = F.col("n") < 1 if cap is None else (F.col("n") < 1) | (F.col("n") > cap)
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("image_status") == "NOT_FETCHED").alias("open")).select(
+        F.when(wrong_size, F.raise_error(F.lit(f"manifest must hold at least 1 and at most {cap or 'any number of'} products")).cast("boolean"))
         .when(F.col("open") > 0, F.raise_error(F.lit("manifest is only a plan")).cast("boolean"))
         .otherwise(True)
         .alias("__ok")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions import text as T
@@ -10,7 +11,7 @@ from shelfwise.operators.prepared import report
 
 def write_report_csv(rows: DataFrame, layout, path: str) -> None:
     """``layout`` is one of the fixed report layouts, or any (column, field, default) list."""
-    report(rows, layout).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    report(rows, layout).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def write_json(rows: DataFrame, path: str) -> None:
@@ -24,14 +25,27 @@ def write_run(rows: DataFrame, root: str, stamp: str) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/run_stamp={stamp}")
 
 
-def commit_version(rows: DataFrame, root: str, version: int) -> None:
-    """Write a full table version, then append its number to the version log."""
+def commit_version(rows: DataFrame, root: str) -> int:
+    """Write the next full table version, then append its number to the version log; gives the number.
+
+    The number follows the log. A folder left by a run that never reached the log is of no version and is replaced; one that is
+    in the log is never written again.
+    """
+    version = (current_version(rows.sparkSession, root) or 0) + 1
     rows.write.mode("overwrite").parquet(f"{root}/data/version={version}")
     rows.sparkSession.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode("append").parquet(f"{root}/log")
-
-
-def current_version(spark: SparkSession, root: str) -> int:
-    return spark.read.parquet(f"{root}/log").agg(F.max("version")).first()[0]
+    return version
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Newest committed version; none before the first one."""
+    try:
+        log = spark.read.schema("version bigint").parquet(f"{root}/log")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return log.agg(F.max("version")).first()[0]
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,17 +26,34 @@ def order_stream(spark: SparkSession, folder: str, schema, pattern: str = "*", f
 def first_sightings(orders: DataFrame, horizon: str = "30 days") -> DataFrame:
     """Watched orders, each id once within ``horizon`` of processing time.
 
-    Ids are kept in the state store, hashed over all tasks and dropped after the horizon. The clock is the time
-    an order is read, not its order date, so old orders that reach a watched status late are still alerted.
+    Ids are kept in the state store, hashed over all tasks and dropped after the horizon; the outbox itself decides about
+    ids seen before that. The clock is the time an order is read, not its order date, so old orders that reach a watched
+    status late are still alerted.
     """
     seen = watched(orders).withColumn("seen_at", F.current_timestamp())
     return seen.withWatermark("seen_at", horizon).dropDuplicatesWithinWatermark(["id"])
 
 
-def start_alerts(orders: DataFrame, outbox: str, checkpoint: str, horizon: str = "30 days") -> StreamingQuery:
-    """Write alerts to the outbox. A replayed batch overwrites its own folder, so nothing is sent twice."""
+def start_alerts(
+    orders: DataFrame, outbox: str, checkpoint: str, horizon: str = "30 days", enrich: Callable[[DataFrame], DataFrame] | None = None
+) -> StreamingQuery:
+    """Write alerts to the outbox, each order once for good.
+
+    ``enrich`` looks up items and city for the orders of a batch (they may lack both). A batch has a folder of its own, named by
+    the query's checkpoint and the batch, so a replayed batch overwrites just that folder and a run with a fresh checkpoint none;
+    ids that other folders of the outbox already hold are left out, so a rescan repeats nothing.
+    """
+    spark = orders.sparkSession
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12] + "-" + fresh_mark(spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        alerts(batch).write.mode("overwrite").parquet(f"{outbox}/batch={batch_id}")
+        own = f"run={run}/batch={batch_id}"
+        rows = batch if enrich is None else enrich(batch)
+        sent = read_outbox(spark, outbox)
+        if sent is not None:
+            others = sent.filter(~F.col("file").contains(f"/{own}/")).select("id")
+            rows = rows.join(others, "id", "left_anti")
+        alerts(rows).write.mode("overwrite").parquet(f"{outbox}/{own}")
 
     return (
         first_sightings(orders, horizon)
@@ -42,5 +64,25 @@ def start_alerts(orders: DataFrame, outbox: str, checkpoint: str, horizon: str =
     )
 
 
-def read_outbox(spark: SparkSession, outbox: str) -> DataFrame:
-    return spark.read.schema(ALERT_COLUMNS).option("pathGlobFilter", "*.parquet").parquet(outbox).select("id", "text")
+def fresh_mark(spark: SparkSession, checkpoint: str) -> str:
+    """A mark that stays with a checkpoint: read from beside its offsets, or made there for a new one."""
+    path = f"{checkpoint}/shelfwise-run"
+    try:
+        return spark.read.schema("mark string").json(path).first().mark
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    mark = uuid.uuid4().hex[:12]
+    spark.range(1).select(F.lit(mark).alias("mark")).coalesce(1).write.json(path)
+    return mark
+
+
+def read_outbox(spark: SparkSession, outbox: str) -> DataFrame | None:
+    """id, text and file of all alerts; none before the first batch."""
+    try:
+        found = spark.read.schema(ALERT_COLUMNS).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(outbox)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found.select("id", "text", F.col("_metadata.file_path").alias("file"))

@@ -101,8 +101,9 @@ def test_selection(records):
     assert tuple(S.selection_summary(records, 4).first()) == (8, 1, 1, 6, 4)
     assert S.select_newest(records, 1000).count() == 6
     assert S.preview(records.filter("eligible").limit(6), 2).first().remaining == 4
+    assert S.select_newest(records, 5000).count() == 6
     with pytest.raises(ValueError):
-        S.select_newest(records, 1001)
+        S.select_newest(records, 0)
 
 
 def test_first_claim_wins_even_when_skipped(spark, records):

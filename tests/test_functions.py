@@ -60,13 +60,13 @@ def test_cell_parsing(value):
 
 
 TITLES = [
-    ("انگشتر زیبای عقیق زرد حسین مظلوم کد 1058", "انگشتر زیبای عقیق زرد حسین مظلوم", "1058", "کد"),
-    ("انگشتر عقیق کد۱۰۵۹", "انگشتر عقیق", "1059", "کد"),
-    ("عقیق انگشتر نقره عیار 9۲۵ کد: 10۶۲", "عقیق انگشتر نقره عیار 9۲۵", "1062", "کد"),
-    ("انگشتر صفوی - کد مدل 1007", "انگشتر صفوی", "1007", "کد مدل"),
-    ("گردنبند نقره | کد محصول 1008", "گردنبند نقره", "1008", "کد محصول"),
-    ("دستبند نقره — شناسه کالا 1057", "دستبند نقره", "1057", "شناسه کالا"),
-    ("مدال نقره: کد مدل 100۷", "مدال نقره", "1007", "کد مدل"),
+    ("پلاک نقره طرح کبوتر کد 2206", "پلاک نقره طرح کبوتر", "2206", "کد"),
+    ("زنجیر بافت ریز کد۲۲۰۷", "زنجیر بافت ریز", "2207", "کد"),
+    ("انگشتر یشم عیار 9۲۵ کد: 22۰۸", "انگشتر یشم عیار 9۲۵", "2208", "کد"),
+    ("دستبند بافت - کد مدل 2209", "دستبند بافت", "2209", "کد مدل"),
+    ("گوشواره حلقه | کد محصول 2210", "گوشواره حلقه", "2210", "کد محصول"),
+    ("انگشتر ساده — شناسه کالا 2211", "انگشتر ساده", "2211", "شناسه کالا"),
+    ("آویز گل: کد مدل 22۱۲", "آویز گل", "2212", "کد مدل"),
 ]
 
 

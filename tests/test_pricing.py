@@ -42,7 +42,7 @@ def test_four_modes(spark, store):
 
 def test_apply_writes_audit_first_and_is_idempotent(spark, store, tmp_path):
     planned = plan.plan(store, rate(spark), "shop")
-    gone = plan.apply(store, planned, f"{tmp_path}/audit", f"{tmp_path}/table", "20240101", 1)
+    gone = plan.apply(store, planned, f"{tmp_path}/audit", f"{tmp_path}/table", "20240101")
     assert gone.count() == 0
     audit = spark.read.parquet(f"{tmp_path}/audit")
     assert {(r.id, r.old_regular_price, r.new_regular_price) for r in audit.collect()} == {(1, 500_000, 580_000), (2, 1_000, 625_000)}

@@ -67,7 +67,7 @@ def test_lookup_with_hot_and_null_keys(spark, hot_rows):
     rng = random.Random(5)
     left = [(i, None if i % 10 == 0 else ("hot" if i % 3 == 0 else f"k{rng.randrange(40)}")) for i in range(1500)]
     right = {"hot": 1, **{f"k{i}": i + 2 for i in range(0, 40, 2)}}
-    frame = lookup(spark.createDataFrame(left, "id bigint, k string").repartition(7), spark.createDataFrame(list(right.items()), "k string, v bigint"), "k", ["id"], hot_rows=hot_rows, salts=5)
+    frame = lookup(spark.createDataFrame(left, "id bigint, k string").repartition(7), spark.createDataFrame(list(right.items()), "k string, v bigint"), "k", ["id"], hot_rows=hot_rows)
     assert sorted((r.id, r.v) for r in frame.collect()) == sorted((i, right.get(k)) for i, k in left)
 
 
@@ -153,7 +153,7 @@ ORDERS = [(100, "on-hold", "2490000", "IRT", "تهران", "", [("انگشتر",
 
 def test_alerts(spark):
     orders = spark.createDataFrame(ORDERS, ORDER)
-    assert [r.id for r in O.new_orders(orders, 99).collect()] == [100, 101] and [r.id for r in O.new_orders(orders, 0, lookback=1).collect()] == [101]
+    assert [r.id for r in O.new_orders(orders, 99).collect()] == [100, 101] and [r.id for r in O.new_orders(orders, 0, poll_limit=200, lookback=1).collect()] == [101]
     assert O.next_cursor(O.new_orders(orders, 99), 99).first()[0] == 101
     items = spark.createDataFrame([(101, p, f"n{p}", p) for p in range(1, 6)], "id bigint, position int, name string, quantity int")
     texts = {r.id: r.text for r in O.alerts(O.with_items(O.watched(orders), items)).collect()}
@@ -253,3 +253,99 @@ def test_stamps(spark):
     moment = F.lit("2024-06-01 00:00:00.000001").cast("timestamp")
     got = spark.range(1).select(T.tehran_stamp(moment).alias("a"), T.tehran_stamp(moment, True).alias("b"), T.utc_iso(moment).alias("c")).first()
     assert (got.a, got.b, got.c) == ("20240601T033000+0330", "20240601T033000000001+0330", "2024-06-01T00:00:00.000001+00:00")
+
+
+def test_greedy_chain_and_null_ids(spark):
+    rows = [(n, f"a{(n + 1) // 2}", f"b{n // 2}") for n in range(60)]  # each row shares a key with the next one
+    frame = spark.createDataFrame(rows, "n bigint, a string, b string")
+    assert sorted(r.n for r in D.greedy_accept(frame, "n", ["a", "b"]).collect()) == list(range(0, 60, 2))
+    nulls = spark.createDataFrame([(n, None, f"c{n}", f"s{n // 2}") for n in range(6)], "n bigint, id bigint, code string, sku string")
+    got = {r.n: r.reason for r in D.greedy_claims(nulls, "n", "id", "code", "sku").collect()}
+    assert got == {n: None if n % 2 == 0 else "NORMALIZED_SKU_CONFLICT" for n in range(6)}
+
+
+def test_batch_repeats_come_first_in_import_decisions(spark):
+    rows = spark.createDataFrame(
+        [(1, "1", "A", "PLAN"), (2, "1", "B", "PLAN"), (3, "2", "b", None), (4, "3", "a", "PLAN"), (5, "9", "Z", "SKIP_INVALID_PRICE"), (6, "9", "z", "PLAN"), (7, "8", "Q", "PLAN"), (8, "7", "S", "PLAN")],
+        "row_no bigint, legacy_id string, sku string, action string").withColumn("review_flags", F.array().cast("array<string>"))
+    ids = spark.createDataFrame([("8", 80)], "legacy_id string, product_id bigint")
+    skus = spark.createDataFrame([("S", 90)], "sku string, product_id bigint")
+    got = {r.row_no: (r.decision, r.existing_product) for r in M.import_decisions(rows, ids, skus).collect()}
+    assert got == {
+        1: ("CREATE_DRAFT", None), 2: ("SKIP_DUPLICATE_BATCH_LEGACY_ID", None), 3: ("CREATE_DRAFT", None), 4: ("SKIP_DUPLICATE_BATCH_SKU", None),
+        5: ("SKIP_INVALID_PRICE", None), 6: ("CREATE_DRAFT", None), 7: ("SKIP_EXISTING_LEGACY_ID", 80), 8: ("SKIP_SKU_CONFLICT", 90)}
+
+
+@pytest.mark.parametrize("change, why", [({"legacy_id": ""}, "STOP_MISSING_IDENTITY"), ({"sku": None}, "STOP_MISSING_IDENTITY"), ({"image_qa_run": False}, "STOP_IMAGE_QA_NOT_RUN"), ({"selected_media": 0}, "STOP_NO_SELECTED_MEDIA"), ({"final_price": None}, "STOP_NO_FINAL_PRICE")])
+def test_stop_checks_empty_the_import(spark, change, why):
+    schema = "row_no bigint, legacy_id string, sku string, import_action string, image_qa_run boolean, selected_media int, final_price bigint"
+    row = {"row_no": 1, "legacy_id": "1", "sku": "A", "import_action": "CREATE_DRAFT", "image_qa_run": True, "selected_media": 2, "final_price": 5}
+    none = spark.createDataFrame([], "legacy_id string, sku string, product_id bigint")
+    rows = spark.createDataFrame([{**row, **change}, {**row, "row_no": 2, "legacy_id": "2", "sku": "B"}, {**row, "row_no": 3, "import_action": None}], schema)
+    kept, blockers = M.stop_all_decisions(rows, none, none)
+    assert kept.count() == 0 and [(r.row_no, r.decision) for r in blockers.collect()] == [(1, why)]
+
+
+def test_hot_attachment_key_is_spread(spark):
+    images = spark.createDataFrame([("S", "x.jpg")] * 300, "sku string, image string").repartition(3)
+    known = spark.createDataFrame([("S|x.jpg", 5), ("S|x.jpg", 9)], "import_key string, attachment_id bigint")
+    got = M.attachment_actions(images, known)
+    assert got.count() == 300 and {(r.attachment_id, r.action) for r in got.collect()} == {(5, "REUSE")}
+
+
+def test_repeated_incoming_keys_give_one_row(spark):
+    current = spark.createDataFrame([(1, "old", 0)], "k bigint, v string, at int")
+    incoming = spark.createDataFrame([(1, "second", 2), (1, "first", 1), (2, "b", 1), (2, "b", 1), (None, "x", 9)], "k bigint, v string, at int")
+    assert sorted(tuple(r) for r in U.upsert(current, incoming, "k", order="at").collect()) == [(1, "second", 2), (2, "b", 1)]
+    assert U.upsert(current, incoming, "k").count() == 2
+
+
+def test_versions_follow_the_log(spark, tmp_path):
+    root = f"{tmp_path}/t"
+    assert writing.current_version(spark, root) is None
+    assert [writing.commit_version(spark.range(n), root) for n in (1, 2)] == [1, 2]
+    assert writing.read_current(spark, root).count() == 2 and spark.read.parquet(f"{root}/data/version=1").count() == 1
+
+
+def test_csv_and_json_keep_every_cell_and_item(spark, tmp_path):
+    cells = [(1, 'a "quoted", cell', "two\nlines"), (2, "", 'ends with "')]
+    writing.write_report_csv(spark.createDataFrame(cells, "id int, a string, b string"), [(c, c, "") for c in ("id", "a", "b")], f"{tmp_path}/r")
+    back = {r.id: (r.a, r.b) for r in reading.read_sheet_csv(spark, f"{tmp_path}/r", multiline=True).collect()}
+    assert back == {"1": ('a "quoted", cell', "two\nlines"), "2": (None, 'ends with "')}
+    (tmp_path / "p.json").write_text('[{"sku":"y"},{"legacy_id":"2","sku":"z"},{}]')
+    assert sorted((r.legacy_id or "", r.sku or "") for r in reading.read_products_json(spark, f"{tmp_path}/p.json", "legacy_id string, sku string").collect()) == [("", ""), ("", "y"), ("2", "z")]
+    (tmp_path / "l.json").write_text('{"sku":"y"}\n{"products":[{"sku":"q"},{"sku":"w"}]}\n')
+    assert sorted(r.sku for r in reading.read_products_json(spark, f"{tmp_path}/l.json", "legacy_id string, sku string", lines=True).collect()) == ["q", "w", "y"]
+    for name in "ab":
+        (tmp_path / f"in{name}.csv").write_text("n," + ",".join(__import__("shelfwise").constants.IMPORT_COLUMNS) + "\n5" + ",x" * 14 + "\n")
+    with pytest.raises(ValueError, match="row number"):
+        reading.read_import_csv(spark, f"{tmp_path}/in*.csv")
+    assert {r.row_number for r in reading.read_import_csv(spark, f"{tmp_path}/in*.csv", row_no="n").collect()} == {5}
+
+
+def test_rescan_loses_and_repeats_no_alert(spark, tmp_path):
+    schema = spark.createDataFrame([], "id bigint, status string").schema
+    source, outbox = f"{tmp_path}/in", f"{tmp_path}/out"
+    facts = spark.createDataFrame([(i, "10", "IRT", "", "x", [("n", 2)], 1) for i in range(1, 6)], "id bigint, total string, currency string, shipping_city string, billing_city string, first_items array<struct<name:string,quantity:int>>, item_count bigint")
+
+    def arrive(ids, progress):
+        spark.createDataFrame([(i, "processing") for i in ids], schema).write.mode("append").parquet(source)
+        SO.start_alerts(SO.order_stream(spark, source, schema, "*.parquet"), outbox, f"{tmp_path}/{progress}", enrich=lambda batch: batch.join(facts, "id")).awaitTermination()
+        return sorted(r.id for r in SO.read_outbox(spark, outbox).collect())
+
+    assert arrive([1, 2], "p1") == [1, 2]
+    assert arrive([2, 3], "p1") == [1, 2, 3]
+    assert arrive([4], "p2") == [1, 2, 3, 4]  # a fresh checkpoint reads everything again
+    assert "شهر: x" in SO.read_outbox(spark, outbox).first().text
+
+
+def test_weights_are_priced_exactly(spark):
+    from shelfwise.functions import pricing as R
+
+    rows = spark.createDataFrame([("2.00001", 650_000), ("2.00004", 85_000), ("999999999", 85_000), ("99999999999999999999", 1)], "w string, rate bigint").withColumn("w", F.col("w").cast("decimal(38,10)"))
+    got = rows.select(
+        R.sheet_price(F.lit("none"), F.lit(1).cast("bigint"), F.col("w"))["final_price"].alias("sheet"),
+        R.mode_price(F.lit("calc-weight-stone"), F.col("w"), F.lit(100_000).cast("bigint"), F.lit(None).cast("bigint"), F.col("rate")).alias("stone"),
+    ).collect()
+    assert got[0].sheet == 1_350_000 and got[1].stone == 270_003
+    assert got[2].stone == 999_999_999 * 85_000 + 100_000 and got[3].stone is None
