@@ -43,7 +43,7 @@ from shelfwise.session import cut_lineage
 
 LENGTH, GRAM, BUCKET, PARTS = 400, 32, 256, 4
 BITMAP_BITS = 24
-PIECE = 1 << 22
+PIECE = 1 << 20  # bytes of text, and at most so many bytes of contexts, worked on at a time
 _MASK = np.uint64((1 << 24) - 1)
 
 
@@ -106,7 +106,7 @@ def _found(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PIECE):
                 data, rows = buffers(part.column("text"))
                 at, row = anchors(data, rows, length)
                 view = memoryview(data.tobytes())
@@ -270,8 +270,8 @@ def _matrix(texts: list[bytes], span: int, flush_right: bool) -> np.ndarray:
     """Symbols (byte + 1; 0 beyond the text) by column."""
     pad = (lambda t: t.rjust(span, b"\0")) if flush_right else (lambda t: t.ljust(span, b"\0"))
     if not span:
-        return np.zeros((0, len(texts)), dtype=np.int64)
-    out = np.frombuffer(b"".join(map(pad, texts)), dtype=np.uint8).reshape(len(texts), span).astype(np.int64) + 1
+        return np.zeros((0, len(texts)), dtype=np.int16)
+    out = np.frombuffer(b"".join(map(pad, texts)), dtype=np.uint8).reshape(len(texts), span).astype(np.int16) + 1
     sizes = np.array([len(t) for t in texts])
     lane = np.arange(span)
     out[(lane < span - sizes[:, None]) if flush_right else (lane >= sizes[:, None])] = 0
@@ -305,7 +305,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         held.append(batch)
         size += batch.num_rows
-        if size >= 1 << 15:
+        if size >= 1 << 13:
             table = pa.Table.from_batches(held)
             core = table.column("core").to_numpy()
             cut = int(np.flatnonzero(core != core[-1])[-1]) + 1 if (core != core[-1]).any() else 0
