@@ -3,7 +3,7 @@
 * Content view: byte trigrams of the raw text, hashed into ``CONTENT`` bins; naive Bayes, read as the mean log-odds per
   trigram so that length does not inflate it.
 * Metadata view: source, language and layout figures (length, lines, line length, shares of capitals, symbols, digits
-  and blanks, repeated words), each cut into a few values; naive Bayes.
+  and blanks, repeated words, words equal to the one before), each cut into a few values; naive Bayes.
 
 Both start from a bounded sample of labelled rows (``labelled``, the least hashes of doc_id); a quarter of it is held back
 for calibration. In each round all documents are scored, and those one view is sure of are counted under that label for the
@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from shelfwise.llm.shared import slices
 from shelfwise.llm.words import NOT_SPACE, Words, buffers, mix
 
-CONTENT, VALUES, LABELLED, ROUNDS, SURE, KEEP = 2048, 64, 4000, 2, 0.97, 0.5
-FIELDS = ("source", "lang", "length", "lines", "line_length", "capitals", "symbols", "digits", "blanks", "repeats")
+CONTENT, VALUES, LABELLED, ROUNDS, SURE, KEEP = 2048, 64, 4000, 2, 0.995, 0.5
+FIELDS = ("source", "lang", "length", "lines", "line_length", "capitals", "symbols", "digits", "blanks", "repeats", "doubled")
 ADDED = T.StructType([T.StructField(c, T.DoubleType()) for c in ("content_score", "metadata_score", "quality_score")])
 
 
@@ -59,14 +59,16 @@ def metadata_view(part: pa.RecordBatch) -> np.ndarray:
     ascii_mark = ((data >= 33) & (data <= 47) | (data >= 58) & (data <= 64) | (data >= 91) & (data <= 96) | (data >= 123) & (data <= 126))
     words = Words(part.column("__text"), NOT_SPACE, spans=False)
     count = words.counts()
-    pairs = np.unique(np.stack([words.row_of().astype(np.uint64), words.hash]), axis=1)[0] if len(words) else np.empty(0)
-    distinct = np.bincount(pairs.astype(np.int64), minlength=n)
+    owner = words.row_of()
+    distinct = np.bincount(np.unique(np.stack([owner.astype(np.uint64), words.hash]), axis=1)[0].astype(np.int64), minlength=n) if len(words) else np.zeros(n)
+    again = (words.hash[1:] == words.hash[:-1]) & (owner[1:] == owner[:-1])  # words equal to the one before
+    doubled = np.bincount(owner[1:][again], minlength=n)
     log = lambda x: np.minimum(np.log2(np.maximum(x, 1)) * 2, VALUES - 1)
     step = lambda x: np.minimum(np.sqrt(x) * (VALUES - 1), VALUES - 1)
     named = lambda c: np.array([hash_value(v) for v in part.column(c).to_pylist()], dtype=np.float64)
     fields = [
         named("__source"), named("__lang"), log(size), log(lines), log(size / lines), step(share((data >= 65) & (data <= 90))), step(share(ascii_mark)),
-        step(share((data >= 48) & (data <= 57))), step(share((data == 32) | (data == 10))), step(1 - distinct / np.maximum(count, 1)),
+        step(share((data >= 48) & (data <= 57))), step(share((data == 32) | (data == 10))), step(1 - distinct / np.maximum(count, 1)), step(doubled / np.maximum(count, 1)),
     ]
     return np.stack(fields, axis=1).astype(np.int64)
 
