@@ -34,7 +34,7 @@ from shelfwise.llm.words import NOT_SPACE, Words, lower_table, mix, uniform
 from shelfwise.session import cut_lineage
 
 CLASSES, DIM, KNOWN = 1024, 16, 1 << 18
-NOISE, BATCH, RATE = 64, 2048, 0.08
+NOISE, BATCH, RATE = 64, 1024, 0.2
 START, END, OTHER = 0, 1, 2
 END_HASH = np.uint64(0x656E64)
 FLUSH = 1_000_000
