@@ -8,10 +8,13 @@ and stop at the latest time a component still waits for, so long texts need abou
 shingle and component.
 
 Equal texts are one node from the start. Nodes that agree in all components of a band share a bucket. A bucket is
-never expanded into pairs: in each round one member, the one met in most buckets, is compared with all the others, and a
-bucket goes on as long as members in different classes are left that were not compared. So every link that could join two
-classes is tested, and a group of near copies costs one comparison per member. Comparisons are exact on the shingle
-multisets (32-bit shingle hashes). Classes are connected components over the links, by minimum labels.
+never expanded into pairs: first the member met in most buckets is compared with all the others, which settles most
+groups of near copies with one comparison per member. Where members of different classes are left, a bound decides who
+can still match: a shingle that no other open text has is in no intersection and in every union. In each further round
+``HUBS`` members of a bucket, those outside its largest class first, are compared with the members of other classes they
+could match, and a bucket goes on until one class is left of those that had no turn. So every link that could join two
+classes is tested or ruled out, and none within a class is tested. Comparisons are exact on the shingle multisets (32-bit
+shingle hashes). Classes are connected components over the links, by minimum labels.
 
 Defined results: a text without words belongs only with equal texts; a text of fewer than five words is one shingle of all of
 them; null and empty texts are equal; the class id is the least doc_id of the class (null if it has none); repeated
@@ -24,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm.shared import bitmap_of, is_marked, slices
 from shelfwise.llm.words import ALNUM, Words, lower_table, mix, shingles, uniform
+from shelfwise.operators.keys import top_per_group
 from shelfwise.session import cut_lineage
 
 SHINGLE, COMPONENTS, ROWS, SIMILAR = 5, 128, 4, 0.8
@@ -142,23 +146,51 @@ def _bagged(bitmap):
                 hashes, weights, row = bags(part.column("__text"))
                 short = (hashes >> np.uint64(32)).astype(np.uint32)
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
-                packed, counted = [], []
+                packed, counted, totals = [], [], []
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     values, at = np.unique(short[a:b], return_inverse=True)
                     w = np.bincount(at, weights=weights[a:b], minlength=len(values)).astype(np.uint32)
                     packed.append(values.tobytes())
                     counted.append(b"" if (w == 1).all() else w.tobytes())
-                yield pa.RecordBatch.from_arrays([part.column("nid"), pa.array(packed, pa.binary()), pa.array(counted, pa.binary())], ["nid", "bag", "weights"])
+                    totals.append(int(w.sum()))
+                columns = [part.column("nid"), pa.array(packed, pa.binary()), pa.array(counted, pa.binary()), pa.array(totals, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["nid", "bag", "weights", "total"])
 
     return run
 
 
+def bag(values: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    v = np.frombuffer(values, np.uint32)
+    return v, np.frombuffer(weights, np.uint32).astype(np.int64) if weights else np.ones(len(v), np.int64)
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text and shingle."""
+    for batch in batches:
+        bags_ = [bag(v, w) for v, w in zip(batch.column("bag").to_pylist(), batch.column("weights").to_pylist())]
+        owner = np.repeat(np.arange(len(bags_)), [len(v) for v, _ in bags_])
+        shingle = np.concatenate([v for v, _ in bags_] or [np.empty(0, np.uint32)]).view(np.int32)
+        weight = np.concatenate([w for _, w in bags_] or [np.empty(0, np.int64)])
+        yield pa.RecordBatch.from_arrays([batch.column("nid").take(pa.array(owner)), pa.array(shingle), pa.array(weight)], ["nid", "shingle", "weight"])
+
+
+def own_weights(nids: DataFrame, bag_table: DataFrame) -> DataFrame:
+    """nid, total, own: the weight of a text's shingles, and of those that no other text of ``nids`` has."""
+    opened = bag_table.join(nids, "nid", "left_semi").select("nid", "bag", "weights").mapInArrow(_opened, "nid binary, shingle int, weight long")
+    single = opened.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.first("nid").alias("nid"), F.first("weight").alias("weight")).filter("n = 1")
+    own = single.groupBy("nid").agg(F.sum("weight").alias("own"))
+    return bag_table.select("nid", "total").join(nids, "nid", "left_semi").join(own, "nid", "left").select("nid", "total", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def could_match(total: Column, own: Column, other_total: Column, other_own: Column, least: float) -> Column:
+    """Whether two texts can reach the similarity: what is a text's own is not common, and what is the other's own is in the union."""
+    common = F.least(total - own, other_total - other_own)
+    union = F.greatest(total + other_own, other_total + own)
+    return common + 1e-9 >= least * union
+
+
 def _verified(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def bag(values: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
-            v = np.frombuffer(values, np.uint32)
-            return v, np.frombuffer(weights, np.uint32).astype(np.int64) if weights else np.ones(len(v), np.int64)
-
         for batch in batches:
             cells = [batch.column(c).to_pylist() for c in ("bag_a", "weights_a", "bag_b", "weights_b")]
             alike = [likeness(*bag(va, wa), *bag(vb, wb)) for va, wa, vb, wb in zip(*cells)]
@@ -173,25 +205,36 @@ def spot_of(nid: str):
 
 
 def components_of(links: DataFrame) -> DataFrame:
-    """nid, label: the least digest of each connected component, over all linked nodes.
+    """a, label: the least value of each connected component, over all linked values.
 
-    Each round a node takes the least label among its own and its neighbours', then the label of its label; rounds are
+    Each round a value takes the least label among its own and its neighbours', then the label of its label; rounds are
     written out and end when nothing changes.
     """
     both = cut_lineage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "nid"))
+    labels = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label"))
     while True:
-        near = both.join(labels, both.b == labels.nid).groupBy("a").agg(F.min("label").alias("near"))
-        met = labels.join(near, F.col("nid") == F.col("a"), "left").select("nid", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("mid"))
-        up = labels.select(F.col("nid").alias("of"), F.col("label").alias("up"))
-        new = cut_lineage(met.join(up, F.col("mid") == F.col("of"), "left").select("nid", "old", F.least("mid", F.coalesce("up", "mid")).alias("label")))
+        near = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        met = labels.join(near, "a", "left").select("a", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("mid"))
+        up = labels.select(F.col("a").alias("mid"), F.col("label").alias("up"))
+        new = cut_lineage(met.join(up, "mid", "left").select("a", "old", F.least("mid", F.coalesce("up", "mid")).alias("label")))
         if new.filter(F.col("old") != F.col("label")).isEmpty():
-            return new.select("nid", "label")
-        labels = new.select("nid", "label")
+            return new.select("a", "label")
+        labels = new.select("a", "label")
+
+
+def relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (nid, label) after new links between classes: only the labels that meet are worked on."""
+    one, two = (labels.select(F.col("nid").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab")
+    met = found.join(one, "a").join(two, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).filter("a != b")
+    changed = components_of(met).select(F.col("a").alias("label"), F.col("label").alias("new"))
+    return cut_lineage(labels.join(changed, "label", "left").select("nid", F.coalesce("new", "label").alias("label")))
+
+
+HUBS = 128
 
 
 def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", components: int = COMPONENTS, per_band: int = ROWS, least: float = SIMILAR) -> DataFrame:
-    """nid, class_id, class_size, n_copies for every distinct text."""
+    """nid, class_id, class_size, n_copies, keeper and first_id for every distinct text."""
     spark = docs.sparkSession
     source = nodes_of(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, nid binary, bands array<long>"
@@ -201,39 +244,56 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
     met = nodes.select("nid", F.explode("bands").alias("bucket"))
     shared = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     waiting = cut_lineage(met.join(shared, "bucket"))
-    bag_table, links = None, None
-    while not waiting.isEmpty():
-        degree = waiting.groupBy("nid").agg(F.sum("size").alias("degree"))
-        ranked = waiting.join(degree, "nid").select("bucket", "nid", "degree")
-        hubs = ranked.groupBy("bucket").agg(F.max_by("nid", F.struct("degree", "nid")).alias("hub"))
-        chosen = cut_lineage(waiting.join(hubs, "bucket"))
-        apart = F.col("nid") != F.col("hub")
-        if "label" in chosen.columns:  # only members of other classes than the hub's are still to be compared
-            own = chosen.filter(~apart).select("bucket", F.col("label").alias("hub_label"))
-            apart = apart & (F.col("label") != F.col("hub_label"))
-            tested = chosen.join(own, "bucket").filter(apart)
+    # every text that shares a bucket with another, with its shingles
+    wanted = cut_lineage(waiting.select("nid").distinct())
+    bitmap = spark.sparkContext.broadcast(bitmap_of(wanted.select(spot_of("nid").alias("spot")), BITMAP_BITS))
+    marked = source.select("nid", spot_of("nid").alias("spot"), "__text").mapInArrow(_bagged(bitmap), "nid binary, bag binary, weights binary, total long")
+    once = marked.groupBy("nid").agg(F.first("bag").alias("bag"), F.first("weights").alias("weights"), F.first("total").alias("total"))
+    bag_table = cut_lineage(once.join(wanted, "nid", "left_semi"))
+    sides = [bag_table.select(F.col("nid").alias(s), F.col("bag").alias(f"bag_{s}"), F.col("weights").alias(f"weights_{s}")) for s in ("a", "b")]
+
+    verify = lambda pairs: cut_lineage(
+        pairs.distinct().join(sides[0], "a").join(sides[1], "b").mapInArrow(_verified(least), "a binary, b binary, alike double")
+    )
+    pair = [F.least("nid", "hub").alias("a"), F.greatest("nid", "hub").alias("b")]
+
+    # first round: everyone in a bucket against its member met most
+    degree = waiting.groupBy("nid").agg(F.sum("size").alias("degree"))
+    hubs = waiting.join(degree, "nid").groupBy("bucket").agg(F.max_by("nid", F.struct("degree", "nid")).alias("hub"))
+    first = cut_lineage(waiting.select("bucket", "nid").join(hubs, "bucket"))
+    labels = relabelled(wanted.withColumn("label", F.col("nid")), verify(first.filter("nid != hub").select(*pair)))
+    left = first.filter("nid != hub").select("bucket", "nid")
+    weights = None
+    while True:
+        rest = left.join(labels, "nid")
+        still = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+        rest = cut_lineage(rest.join(still.filter("x != y").select("bucket"), "bucket"))
+        if rest.isEmpty():
+            break
+        if weights is None:
+            weights = cut_lineage(own_weights(rest.select("nid").distinct(), bag_table))
+            rest = rest.join(weights, "nid")
+            floor = rest.groupBy("bucket").agg(F.min("own").alias("floor"))
+            # who could match no one in the bucket, whatever the other is, is settled
+            rest = cut_lineage(rest.join(floor, "bucket").filter(F.col("total") - F.col("own") + 1e-9 >= least * (F.col("total") + F.col("floor"))))
         else:
-            tested = chosen.filter(apart)
-        pairs = cut_lineage(tested.select(F.least("nid", "hub").alias("a"), F.greatest("nid", "hub").alias("b")).distinct())
-        if bag_table is None:
-            wanted = cut_lineage(waiting.select("nid").distinct())
-            bitmap = spark.sparkContext.broadcast(bitmap_of(wanted.select(spot_of("nid").alias("spot")), BITMAP_BITS))
-            marked = source.select("nid", spot_of("nid").alias("spot"), "__text").mapInArrow(_bagged(bitmap), "nid binary, bag binary, weights binary")
-            once = marked.groupBy("nid").agg(F.first("bag").alias("bag"), F.first("weights").alias("weights"))
-            bag_table = cut_lineage(once.join(wanted, "nid", "left_semi"))
-        sides = [bag_table.select(F.col("nid").alias(s), F.col("bag").alias(f"bag_{s}"), F.col("weights").alias(f"weights_{s}")) for s in ("a", "b")]
-        found = cut_lineage(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_verified(least), "a binary, b binary, alike double"))
-        links = found if links is None else cut_lineage(links.unionByName(found))
-        labels = components_of(links)
-        rest = chosen.filter(F.col("nid") != F.col("hub")).select("bucket", "nid")
-        rest = rest.join(labels, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
-        open_buckets = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size"))
-        waiting = cut_lineage(rest.join(open_buckets.filter("x != y").select("bucket", "size"), "bucket"))
-    labelled = nodes.drop("bands")
-    labelled = labelled.join(labels, "nid", "left") if links is not None else labelled.withColumn("label", F.col("nid"))
-    labelled = labelled.withColumn("label", F.coalesce("label", "nid"))
-    sums = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("n_copies").alias("class_size"), F.min_by("nid", F.struct(F.col("doc_id").isNull(), "doc_id", "nid")).alias("keeper"))
-    return labelled.join(sums, "label").select("nid", "class_id", "class_size", "n_copies", F.col("keeper"), F.col("doc_id").alias("first_id"))
+            rest = rest.join(weights, "nid")
+        sizes = rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
+        # members outside the largest class come first: once they have had their turn, one class is left
+        ranked = rest.join(largest, "bucket").withColumn("inside", F.col("label") == F.col("largest"))
+        turn = top_per_group(ranked, ["bucket"], [F.asc("inside"), F.asc("own"), F.asc("nid")], HUBS)
+        chosen = cut_lineage(turn.select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ("label", "total", "own")], F.col("nid").alias("hub")))
+        possible = could_match(F.col("total"), F.col("own"), F.col("hub_total"), F.col("hub_own"), least)
+        one, two = rest.alias("one"), chosen.alias("two")
+        tested = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("label") != F.col("hub_label")) & possible)
+        labels = relabelled(labels, verify(tested.select(*pair)))
+        left = cut_lineage(rest.select("bucket", "nid").join(chosen.select("bucket", F.col("hub").alias("nid")), ["bucket", "nid"], "left_anti"))
+    labelled = nodes.drop("bands").join(labels, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+    sums = labelled.groupBy("label").agg(
+        F.min("doc_id").alias("class_id"), F.sum("n_copies").alias("class_size"), F.min_by("nid", F.struct(F.col("doc_id").isNull(), "doc_id", "nid")).alias("keeper")
+    )
+    return labelled.join(sums, "label").select("nid", "class_id", "class_size", "n_copies", "keeper", F.col("doc_id").alias("first_id"))
 
 
 def classify(docs: DataFrame, **options) -> DataFrame:
