@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.llm.shared import slices
 from shelfwise.llm.words import NOT_SPACE, Words, lower_table, mix, uniform
@@ -152,9 +152,13 @@ class Counts:
 
 def gather(counts: DataFrame, classes: int, known: int) -> Counts:
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "hash").limit(known).toArrow()
-    keys, n = top.column("hash").to_numpy().astype(np.int64).view(np.uint64), top.column("n").to_numpy().astype(np.int64)
-    return Counts(keys, n, totals.n, totals.v, classes)
+    # the least count that no more than ``known`` tokens reach: from how many tokens have each count, not from a sort of all
+    reached = F.sum("tokens").over(Window.orderBy(F.desc("n")))
+    least = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).withColumn("reached", reached).filter(F.col("reached") <= known).agg(F.min("n").alias("n"))
+    top = counts.filter(F.col("n") >= least.scalar()).toArrow()
+    keys, n = top.column("hash").to_numpy().astype(np.int64), top.column("n").to_numpy().astype(np.int64)
+    order = np.lexsort((keys, -n))
+    return Counts(keys[order].view(np.uint64), n[order], totals.n, totals.v, classes)
 
 
 class Model:
