@@ -253,7 +253,7 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
     sides = [bag_table.select(F.col("nid").alias(s), F.col("bag").alias(f"bag_{s}"), F.col("weights").alias(f"weights_{s}")) for s in ("a", "b")]
 
     verify = lambda pairs: cut_lineage(
-        pairs.distinct().join(sides[0], "a").join(sides[1], "b").mapInArrow(_verified(least), "a binary, b binary, alike double")
+        pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_verified(least), "a binary, b binary, alike double")
     )
     pair = [F.least("nid", "hub").alias("a"), F.greatest("nid", "hub").alias("b")]
 
@@ -261,7 +261,8 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
     degree = waiting.groupBy("nid").agg(F.sum("size").alias("degree"))
     hubs = waiting.join(degree, "nid").groupBy("bucket").agg(F.max_by("nid", F.struct("degree", "nid")).alias("hub"))
     first = cut_lineage(waiting.select("bucket", "nid").join(hubs, "bucket"))
-    labels = relabelled(wanted.withColumn("label", F.col("nid")), verify(first.filter("nid != hub").select(*pair)))
+    done = cut_lineage(first.filter("nid != hub").select(*pair).distinct())
+    labels = relabelled(wanted.withColumn("label", F.col("nid")), verify(done))
     left = first.filter("nid != hub").select("bucket", "nid")
     weights = None
     while True:
@@ -287,7 +288,10 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
         possible = could_match(F.col("total"), F.col("own"), F.col("hub_total"), F.col("hub_own"), least)
         one, two = rest.alias("one"), chosen.alias("two")
         tested = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("label") != F.col("hub_label")) & possible)
-        labels = relabelled(labels, verify(tested.select(*pair)))
+        # two texts that met in a bucket before need no second comparison
+        fresh = cut_lineage(tested.select(*pair).distinct().join(done, ["a", "b"], "left_anti"))
+        done = done.unionByName(fresh)
+        labels = relabelled(labels, verify(fresh))
         left = cut_lineage(rest.select("bucket", "nid").join(chosen.select("bucket", F.col("hub").alias("nid")), ["bucket", "nid"], "left_anti"))
     labelled = nodes.drop("bands").join(labels, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     sums = labelled.groupBy("label").agg(
