@@ -102,21 +102,18 @@ def with_parts(docs: DataFrame, text: str, words: Lexicon, name: str) -> DataFra
     return computed(staged, **{name: parts(F.col("__used"))}).drop("__used")
 
 
-def with_next(rows: DataFrame, span: int = SPAN) -> DataFrame:
-    """``rows`` (doc_id, text, others) with ``next``, a struct of text and others of the text after it in descending doc_id
-    (nulls last; ties by text), after the last the first.
+def with_followers(rows: DataFrame, span: int = SPAN) -> DataFrame:
+    """``rows`` (doc_id, text) with ``run`` and ``follower`` false, and for each run one row more (``follower`` true): the text
+    that comes after the run's last one in descending doc_id (nulls last; ties by text), after the last run the first text.
 
-    Ids are cut into runs of ``span`` consecutive values, so a group holds at most ``span`` distinct ids whatever the
-    input. A run's last row needs the first row of the next run that has any; runs find each other the same way, over
-    runs of runs.
+    Ids are cut into runs of ``span`` consecutive values, so a run holds at most ``span`` distinct ids whatever the
+    input. Runs find the next one that has rows the same way, over runs of runs; texts do not move for that, the first text of a
+    run is picked in each task before the shuffle.
     """
-    others = [c for c in rows.columns if c != "doc_id"]
     rows = rows.withColumn("run", F.floor(F.col("doc_id") / span))
-    inside = Window.partitionBy("run").orderBy(F.desc_nulls_last("doc_id"), F.asc("text"))
-    first = F.min_by(F.struct(*others), F.struct(-F.coalesce(F.col("doc_id"), F.lit(0)), F.col("text")))
-    firsts = rows.groupBy("run").agg(first.alias("head"))
-    runs = cut_lineage(rows.groupBy("run").agg(F.count(F.lit(1)).alias("n")))
-    above = runs.withColumn("block", F.floor(F.col("run") / span))
+    first = F.min_by("text", F.struct(-F.coalesce(F.col("doc_id"), F.lit(0)), F.col("text")))
+    heads = cut_lineage(rows.groupBy("run").agg(first.alias("text")))
+    above = heads.select("run", F.floor(F.col("run") / span).alias("block"))
     in_block = Window.partitionBy("block").orderBy(F.desc_nulls_last("run"))
     all_blocks = Window.orderBy(F.desc_nulls_last("block"))
     everything = all_blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -129,10 +126,19 @@ def with_next(rows: DataFrame, span: int = SPAN) -> DataFrame:
     inner = above.select("run", "block", F.lead("run").over(in_block).alias("in_next"), F.lead(F.lit(1)).over(in_block).isNull().alias("last_in"))
     following = F.when(~F.col("last_in"), F.col("in_next")).when(F.col("final"), F.col("very_first")).otherwise(F.col("next_head"))
     linked = inner.join(blocks, inner.block.eqNullSafe(blocks.block)).select("run", following.alias("next_run"))
-    heads = linked.join(firsts.withColumnRenamed("run", "of_run"), F.col("next_run").eqNullSafe(F.col("of_run"))).select(F.col("run").alias("from_run"), "head")
-    ahead = rows.withColumn("in_run", F.lead(F.struct(*others)).over(inside))
-    met = ahead.join(heads, F.col("run").eqNullSafe(F.col("from_run")) & F.col("in_run").isNull(), "left")
-    return met.select("doc_id", *others, F.coalesce("in_run", "head").alias("next"))
+    texts = heads.select(F.col("run").alias("of_run"), "text")
+    followers = linked.join(texts, F.col("next_run").eqNullSafe(F.col("of_run")))
+    no_id = F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id")
+    return rows.withColumn("follower", F.lit(False)).unionByName(followers.select(no_id, "text", "run", F.lit(True).alias("follower")))
+
+
+def with_next(rows: DataFrame) -> DataFrame:
+    """Rows of ``with_followers``, with whatever columns were added, each with ``next``: a struct of the added columns and the
+    text of the row after it. One shuffle by run."""
+    others = [c for c in rows.columns if c not in ("doc_id", "run", "follower")]
+    order = [F.asc("follower"), F.desc_nulls_last("doc_id"), F.asc("text")]
+    following = F.lead(F.struct(*others)).over(Window.partitionBy("run").orderBy(*order))
+    return rows.withColumn("next", following).filter("not follower").select("doc_id", *others, "next")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -146,7 +152,7 @@ def compare_with_edited(docs: DataFrame, low: float = LOW, high: float = HIGH) -
     """doc_id, text, edited, fingerprint, edited_fingerprint, near_edited and near_next of every document."""
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = Lexicon(lexicon(rows, low=low, high=high))
-    rows = with_next(with_parts(rows, "text", words, "own"))
+    rows = with_next(with_parts(with_followers(rows), "text", words, "own"))
     rows = with_parts(rows.withColumn("edited", edited(F.col("text"), F.col("next.text"))), "edited", words, "changed")
     return rows.select(
         "doc_id", "text", "edited", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
