@@ -19,13 +19,14 @@ labels of both kinds every score is 0.5 and every document is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfwise.llm.shared import slices
-from shelfwise.llm.words import NOT_SPACE, Words, buffers, mix
+from shelfwise.llm.words import NOT_SPACE, Words, buffers, byte_class, mix
 
 CONTENT, VALUES, LABELLED, ROUNDS, SURE, KEEP = 2048, 64, 4000, 2, 0.995, 0.5
 FIELDS = ("source", "lang", "length", "lines", "line_length", "capitals", "symbols", "digits", "blanks", "repeats", "doubled")
@@ -48,19 +49,30 @@ def content_view(part: pa.RecordBatch) -> np.ndarray:
     return out / np.maximum(out.sum(axis=1, keepdims=True), 1)
 
 
+_MARKS = byte_class([(33, 47), (58, 64), (91, 96), (123, 126)])
+
+
 def metadata_view(part: pa.RecordBatch) -> np.ndarray:
     """Value of each field (rows x fields), each below VALUES."""
     data, rows = buffers(part.column("__text"))
     n = part.num_rows
     size = np.diff(rows)
-    total = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[rows])
+    full = np.flatnonzero(size)
+
+    def total(mask: np.ndarray) -> np.ndarray:
+        out = np.zeros(n, dtype=np.int64)
+        if len(full):
+            out[full] = np.add.reduceat(mask, rows[full], dtype=np.int32)
+        return out
+
     share = lambda mask: total(mask) / np.maximum(size, 1)
     lines = total(data == 10) + 1
-    ascii_mark = ((data >= 33) & (data <= 47) | (data >= 58) & (data <= 64) | (data >= 91) & (data <= 96) | (data >= 123) & (data <= 126))
+    ascii_mark = _MARKS[data]
     words = Words(part.column("__text"), NOT_SPACE, spans=False)
     count = words.counts()
     owner = words.row_of()
-    distinct = np.bincount(np.unique(np.stack([owner.astype(np.uint64), words.hash]), axis=1)[0].astype(np.int64), minlength=n) if len(words) else np.zeros(n)
+    first = np.unique(words.hash ^ mix(owner), return_index=True)[1]  # each word of a text once
+    distinct = np.bincount(owner[first], minlength=n)
     again = (words.hash[1:] == words.hash[:-1]) & (owner[1:] == owner[:-1])  # words equal to the one before
     doubled = np.bincount(owner[1:][again], minlength=n)
     log = lambda x: np.minimum(np.log2(np.maximum(x, 1)) * 2, VALUES - 1)
@@ -73,6 +85,7 @@ def metadata_view(part: pa.RecordBatch) -> np.ndarray:
     return np.stack(fields, axis=1).astype(np.int64)
 
 
+@lru_cache(maxsize=1 << 16)
 def hash_value(value: str | None) -> int:
     if value is None:
         return 0
