@@ -15,7 +15,7 @@ from shelfwise.session import cut_lineage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the co-trained classifier rejects go."""
+    """Documents the co-trained classifier rejects for their quality or as toxic go."""
     return cotraining.keep_good(docs, table(spark, sf_dir, "labels"))
 
 

@@ -11,9 +11,14 @@ other view. Naive Bayes needs only such counts, so a round is one pass whose tas
 and the pseudo-labels cover the whole corpus. In the end both views are calibrated by Platt scaling and combined by a logistic
 model of the two, and all documents are scored.
 
+The same views are fitted a second time on ``toxic``. A toxic text holds few toxic words, which the mean trigram odds hardly
+show, so its content view has two more figures: the strongest and the sum of the odds of its words (runs of letters and
+digits, lower-cased, by 64-bit hash). A word's odds are those of the labelled documents that hold it, less two standard errors,
+and only words above zero count. Both targets share every pass.
+
 Defined results: null and empty texts are scored by their metadata and the calibrated base rate; null source or language is a
-value of its own; ids labelled both ways, null ids and null labels take no part; repeated documents are scored each; without
-labels of both kinds every score is 0.5 and every document is kept.
+value of its own; ids labelled both ways, null ids and null labels take no part, for each target on its own; repeated documents are scored each; without labels of both kinds every score of that
+target is 0.5 and drops no document.
 """
 
 from __future__ import annotations
@@ -23,14 +28,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfwise.llm.shared import slices
-from shelfwise.llm.words import NOT_SPACE, Words, buffers, byte_class, mix
+from shelfwise.llm.words import ALNUM, NOT_SPACE, Words, buffers, byte_class, lower_table, mix
+from shelfwise.session import cut_lineage
 
-CONTENT, VALUES, LABELLED, ROUNDS, SURE, KEEP = 2048, 64, 4000, 2, 0.995, 0.5
+CONTENT, VALUES, LABELLED, ROUNDS, SURE, KEEP, TOXIC = 2048, 64, 4000, 2, 0.995, 0.5, 0.5
+SURE_BY = 2  # standard errors a word's odds are lowered by
 FIELDS = ("source", "lang", "length", "lines", "line_length", "capitals", "symbols", "digits", "blanks", "repeats", "doubled")
-ADDED = T.StructType([T.StructField(c, T.DoubleType()) for c in ("content_score", "metadata_score", "quality_score")])
+ADDED = T.StructType([T.StructField(c, T.DoubleType()) for c in ("content_score", "metadata_score", "quality_score", "toxic_score")])
 
 
 def content_view(part: pa.RecordBatch) -> np.ndarray:
@@ -49,6 +56,35 @@ def content_view(part: pa.RecordBatch) -> np.ndarray:
     return out / np.maximum(out.sum(axis=1, keepdims=True), 1)
 
 
+def word_view(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of each text, and their rows."""
+    words = Words(part.column("__text"), ALNUM, lower_table(), spans=False)
+    owner = words.row_of()
+    first = np.sort(np.unique(words.hash ^ mix(owner), return_index=True)[1])
+    return words.hash[first], owner[first]
+
+
+class WordOdds:
+    """Words that speak for a label: sorted hashes and their odds."""
+
+    def __init__(self, keys: np.ndarray, odds: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.odds = keys[order], odds[order]
+
+    def figures(self, part: pa.RecordBatch) -> np.ndarray:
+        """Strongest odds, and logarithm of one and their sum, in each text (rows x 2)."""
+        out = np.zeros((part.num_rows, 2))
+        if len(self.keys):
+            words = Words(part.column("__text"), ALNUM, lower_table(), spans=False)
+            at = np.minimum(np.searchsorted(self.keys, words.hash), len(self.keys) - 1)
+            met = np.flatnonzero(self.keys[at] == words.hash)
+            owner = words.row_of()[met]
+            first = np.unique(words.hash[met] ^ mix(owner), return_index=True)[1]  # each word of a text once
+            np.maximum.at(out[:, 0], owner[first], self.odds[at[met[first]]])
+            out[:, 1] = np.log1p(np.bincount(owner[first], weights=self.odds[at[met[first]]], minlength=part.num_rows))
+        return out
+
+
 _MARKS = byte_class([(33, 47), (58, 64), (91, 96), (123, 126)])
 
 
@@ -150,24 +186,43 @@ def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class Calibrated:
-    """Both views with their Platt scales, and the combination."""
+    """Both views with their Platt scales, and the combination; ``words``: figures of the content view beside the trigrams."""
 
-    def __init__(self, views: Views, content: np.ndarray, metadata: np.ndarray, label: np.ndarray):
+    def __init__(self, views: Views, content: np.ndarray, metadata: np.ndarray, label: np.ndarray, words: np.ndarray | None = None):
         self.views = views
-        raw = views.odds(content, metadata)
+        raw = self.raw(content, metadata, words)
         self.scale, self.each = raw.std(axis=0) + 1e-9, []
-        for v in (0, 1):
-            self.each.append(logistic(raw[:, v : v + 1] / self.scale[v], label))
+        self.columns = ([0, *range(2, raw.shape[1])], [1])
+        for own in self.columns:
+            self.each.append(logistic(raw[:, own] / self.scale[own], label))
         self.both = logistic(self.logits(raw), label, decay=1.0)
 
+    def raw(self, content: np.ndarray, metadata: np.ndarray, words: np.ndarray | None) -> np.ndarray:
+        odds = self.views.odds(content, metadata)
+        return odds if words is None else np.column_stack([odds, words])
+
     def logits(self, raw: np.ndarray) -> np.ndarray:
-        return np.stack([np.clip(raw[:, v] / self.scale[v] * self.each[v][0] + self.each[v][1], -12, 12) for v in (0, 1)], axis=1)
+        return np.stack([np.clip(raw[:, own] / self.scale[own] @ w[:-1] + w[-1], -12, 12) for own, w in zip(self.columns, self.each)], axis=1)
 
-    def scores(self, content: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        z = self.logits(self.views.odds(content, metadata))
+    def scores(self, content: np.ndarray, metadata: np.ndarray, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        z = self.logits(self.raw(content, metadata, words))
         return 1 / (1 + np.exp(-z[:, 0])), 1 / (1 + np.exp(-z[:, 1])), probability(z, self.both)
 
 
+class Fitted:
+    """The calibrated views of each target (none without labels of both kinds), and the words of the second."""
+
+    def __init__(self, quality: Calibrated | None, toxic: Calibrated | None, words: WordOdds):
+        self.quality, self.toxic, self.words = quality, toxic, words
+
+    def scores(self, part: pa.RecordBatch, content: np.ndarray, metadata: np.ndarray) -> tuple[list, list]:
+        """Scores of a batch by content, by metadata and by both, for each target."""
+        none = [np.full(part.num_rows, 0.5)] * 3
+        quality = self.quality.scores(content, metadata) if self.quality else none
+        toxic = self.toxic.scores(content, metadata, self.words.figures(part)) if self.toxic else none
+        return list(quality), list(toxic)
+
+
 def prepared(docs: DataFrame) -> DataFrame:
     named = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
     return docs.select(
@@ -175,19 +230,46 @@ def prepared(docs: DataFrame) -> DataFrame:
     )
 
 
-def sample_of(labels: DataFrame, labelled: int) -> DataFrame:
-    """At most ``labelled`` ids with one label, those of the least hashes."""
-    rows = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-    one = rows.groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high")).filter("low = high")
-    order = F.xxhash64(F.lit("label"), F.col("doc_id"))
-    return one.select("doc_id", F.col("low").cast("int").alias("quality"), order.alias("order")).orderBy("order", "doc_id").limit(labelled)
+def label_order(doc_id: Column) -> Column:
+    return F.xxhash64(F.lit("label"), doc_id)
+
+
+def sample_of(labels: DataFrame, labelled: int, target: str = "quality") -> DataFrame:
+    """At most ``labelled`` ids with one label of ``target``, those of the least hashes."""
+    value = F.col(target) if target in labels.columns else F.lit(None).cast("int")
+    rows = labels.select("doc_id", value.alias(target)).filter(F.col("doc_id").isNotNull() & F.col(target).isNotNull())
+    one = rows.groupBy("doc_id").agg(F.min(target).alias("low"), F.max(target).alias("high")).filter("low = high")
+    return one.select("doc_id", F.col("low").cast("int").alias(target), label_order(F.col("doc_id")).alias("order")).orderBy("order", "doc_id").limit(labelled)
+
+
+def learnt(rows: DataFrame, sample: DataFrame) -> DataFrame:
+    """The documents of the sampled ids."""
+    return rows.join(F.broadcast(sample), "doc_id").drop("doc_id")
+
 
+def word_odds(seen: DataFrame, taught: DataFrame, sizes: np.ndarray) -> WordOdds:
+    """Words whose odds of label 1 are above 0 by more than ``SURE_BY`` standard errors, from ``sizes`` documents of each label."""
+    rows = seen.select("order", F.explode("words").alias("word")).join(F.broadcast(taught), "order")
+    counts = rows.groupBy("word").agg(*[F.count(F.when(F.col("label") == y, 1)).alias(f"n{y}") for y in (0, 1)])
+    share = lambda y: (F.col(f"n{y}") + 0.5) / F.lit(float(sizes[y] + 1))
+    error = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+    found = counts.select("word", (F.log(share(1)) - F.log(share(0)) - SURE_BY * error).alias("odds")).filter("odds > 0").toArrow()
+    return WordOdds(found.column("word").to_numpy().astype(np.int64).view(np.uint64), found.column("odds").to_numpy().astype(np.float64))
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, sure: float = SURE) -> Calibrated | None:
-    """The calibrated views; none if the labelled documents are not of both kinds."""
+
+def held_back(label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows for calibration and rows for teaching; all for both if the held ones are not of both kinds."""
+    held = np.arange(len(label)) % 4 == 3
+    if len(set(label[held].tolist())) < 2:
+        held = np.ones(len(label), dtype=bool)
+    return held, ~held if not held.all() else held
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, sure: float = SURE) -> Fitted | None:
+    """The calibrated views; none if the labelled documents are not of both kinds for either target."""
     spark = docs.sparkSession
     rows = prepared(docs).select("doc_id", "__text", "__source", "__lang")
-    picked = sample_of(labels, labelled).toArrow()
+    picked = sample_of(labels, labelled).join(sample_of(labels, labelled, "toxic"), ["doc_id", "order"], "full").select("doc_id", "order", "quality", "toxic").toArrow()
     if not picked.num_rows:
         return None
     sample = spark.createDataFrame(picked)
@@ -197,56 +279,90 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: in
             for part in slices(batch, "__text"):
                 if part.num_rows:
                     a, b = content_view(part).astype(np.float16), metadata_view(part).astype(np.uint8)
+                    words, owner = word_view(part)
+                    begin = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("quality"), part.column("order"), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())],
-                        ["quality", "order", "content", "metadata"],
+                        [
+                            part.column("quality"), part.column("toxic"), part.column("order"), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary()),
+                            pa.ListArray.from_arrays(pa.array(begin), pa.array(words.view(np.int64))),
+                        ],
+                        ["quality", "toxic", "order", "content", "metadata", "words"],
                     )
 
-    found = rows.join(F.broadcast(sample), "doc_id").mapInArrow(seen, "quality int, order long, content binary, metadata binary").orderBy("order").limit(labelled).toArrow()
-    label = found.column("quality").to_numpy()
-    if len(set(label.tolist())) < 2:
-        return None
+    views = cut_lineage(learnt(rows, sample).mapInArrow(seen, "quality int, toxic int, order long, content binary, metadata binary, words array<long>"))
+    found = views.drop("words").orderBy("order").limit(labelled).toArrow()
     content = np.frombuffer(b"".join(found.column("content").to_pylist()), np.float16).reshape(-1, CONTENT).astype(np.float64)
     metadata = np.frombuffer(b"".join(found.column("metadata").to_pylist()), np.uint8).reshape(-1, len(FIELDS)).astype(np.int64)
-    held = np.arange(len(label)) % 4 == 3
-    if len(set(label[held].tolist())) < 2:
-        held = np.ones(len(label), dtype=bool)
-    taught = ~held if not held.all() else held
-    own = Views()
-    own.add(label[taught], content[taught], metadata[taught])
-    model = Calibrated(own, content[held], metadata[held], label[held])
-    unlabelled = rows.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
+    order = found.column("order").to_numpy()
+    words, targets, models = WordOdds(np.empty(0, np.uint64), np.empty(0)), {}, {}
+    for target in ("quality", "toxic"):
+        marked = found.column(target)
+        at = np.flatnonzero(marked.is_valid().to_numpy())
+        label = marked.drop_null().to_numpy().astype(np.int64)
+        if len(set(label.tolist())) < 2:
+            continue
+        held, taught = held_back(label)
+        figures = None
+        if target == "toxic":
+            known = pa.table({"order": order[at[taught]], "label": label[taught]})
+            words = word_odds(views, spark.createDataFrame(known), np.bincount(label[taught], minlength=2))
+            figures = word_figures(views, words, order[at[held]])
+        own = Views()
+        own.add(label[taught], content[at[taught]], metadata[at[taught]])
+        targets[target] = (own, content[at[held]], metadata[at[held]], label[held], figures)
+        models[target] = Calibrated(*targets[target])
+    if not models:
+        return None
+    fitted = Fitted(models.get("quality"), models.get("toxic"), words)
+    marks = sample.select("doc_id", *[F.col(t).isNotNull().alias(f"__{t}") for t in ("quality", "toxic")])
+    unlabelled = rows.join(F.broadcast(marks), "doc_id", "left").filter("not coalesce(__quality and __toxic, false)")
     for _ in range(rounds):
-        model = Calibrated(own.plus(pseudo_counts(unlabelled, model, sure)), content[held], metadata[held], label[held])
-    return model
+        counts = pseudo_counts(unlabelled, fitted, sure)
+        for target, (own, *rest) in targets.items():
+            models[target] = Calibrated(own.plus(counts[target]), *rest)
+        fitted = Fitted(models.get("quality"), models.get("toxic"), words)
+    return fitted
 
 
-def pseudo_counts(rows: DataFrame, model: Calibrated, sure: float) -> np.ndarray:
-    """Counts each view gets from the documents the other one is sure of, over all rows."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def word_figures(views: DataFrame, words: WordOdds, order: np.ndarray) -> np.ndarray:
+    """``WordOdds.figures`` of the sampled documents of these orders."""
+    spark = views.sparkSession
+    odds = spark.createDataFrame(pa.table({"word": words.keys.view(np.int64), "odds": words.odds}))
+    met = views.select("order", F.explode("words").alias("word")).join(F.broadcast(odds), "word")
+    found = met.groupBy("order").agg(F.max("odds").alias("most"), F.log1p(F.sum("odds")).alias("sum")).toArrow().to_pydict()
+    by = dict(zip(found["order"], zip(found["most"], found["sum"])))
+    return np.array([by.get(int(o), (0.0, 0.0)) for o in order]).reshape(-1, 2)
+
+
+def pseudo_counts(rows: DataFrame, fitted: Fitted, sure: float) -> dict[str, np.ndarray]:
+    """Counts each view of each target gets from the documents the other view is sure of, over all rows without that label."""
+    shared = rows.sparkSession.sparkContext.broadcast(fitted)
+    size = Views().flat().size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sums = shared.value, Views()
+        held, both = shared.value, (Views(), Views())
         for batch in batches:
             for part in slices(batch, "__text"):
                 if part.num_rows:
                     a, b = content_view(part), metadata_view(part)
-                    by_content, by_metadata, _ = held.scores(a, b)
-                    for p, to_content in ((by_metadata, True), (by_content, False)):
-                        label = np.where(p >= sure, 1, np.where(p <= 1 - sure, 0, -1))
-                        sums.add(label, a if to_content else None, None if to_content else b)
-        flat = sums.flat()
+                    for sums, scores, name in zip(both, held.scores(part, a, b), ("__quality", "__toxic")):
+                        by_content, by_metadata, _ = scores
+                        free = ~part.column(name).fill_null(False).to_numpy(zero_copy_only=False)
+                        for p, to_content in ((by_metadata, True), (by_content, False)):
+                            label = np.where(~free, -1, np.where(p >= sure, 1, np.where(p <= 1 - sure, 0, -1)))
+                            sums.add(label, a if to_content else None, None if to_content else b)
+        flat = np.concatenate([sums.flat() for sums in both])
         at = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(flat[at])], ["at", "value"])
 
-    found = rows.select("__text", "__source", "__lang").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
-    out = np.zeros(Views().flat().size)
+    found = rows.select("__text", "__source", "__lang", "__quality", "__toxic").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(2 * size)
     out[found.column("at").to_numpy()] = found.column("value").to_numpy()
-    return out
+    return {"quality": out[:size], "toxic": out[size:]}
 
 
 def score(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, sure: float = SURE) -> DataFrame:
-    """Every document with its columns, ``content_score``, ``metadata_score`` and ``quality_score`` (0 to 1)."""
+    """Every document with its columns, ``content_score``, ``metadata_score``, ``quality_score`` and ``toxic_score`` (0 to 1)."""
     model = fit(docs, labels, labelled, rounds, sure)
     rows = prepared(docs).drop(*ADDED.names)
     if model is None:
@@ -257,13 +373,16 @@ def score(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "__text"):
-                scores = shared.value.scores(content_view(part), metadata_view(part)) if part.num_rows else [np.empty(0)] * 3
+                scores = [np.empty(0)] * 4
+                if part.num_rows:
+                    quality, toxic = shared.value.scores(part, content_view(part), metadata_view(part))
+                    scores = [*quality, toxic[2]]
                 yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in kept], *map(pa.array, scores)], [*[f.name for f in kept], *ADDED.names])
 
     return rows.mapInArrow(run, T.StructType([*kept, *ADDED.fields]))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **options) -> DataFrame:
-    """The documents not rejected, with their own columns."""
-    good = score(docs, labels, **options).filter(F.col("quality_score") >= keep)
+def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP, toxic: float = TOXIC, **options) -> DataFrame:
+    """The documents not rejected for their quality or as toxic, with their own columns."""
+    good = score(docs, labels, **options).filter((F.col("quality_score") >= keep) & (F.col("toxic_score") <= toxic))
     return good.select([c for c in docs.columns])

@@ -196,7 +196,10 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     scored = cotraining.score(docs, table(spark, folder, "labels"))
     names = ("content_score", "metadata_score", "quality_score")
-    return scored.select("doc_id", *[F.round(n, 6).alias(n) for n in names], (F.col("quality_score") >= cotraining.KEEP).alias("keep"))
+    return scored.select(
+        "doc_id", *[F.round(n, 6).alias(n) for n in names], (F.col("quality_score") >= cotraining.KEEP).alias("keep"),
+        F.round("toxic_score", 6).alias("toxic_score"), (F.col("toxic_score") > cotraining.TOXIC).alias("toxic"),
+    )
 
 
 @query("op4_near_duplicates")

@@ -71,6 +71,20 @@ def test_cotraining_learns_and_keeps_clean(spark, documents, text_of):
     assert cotraining.score(docs.limit(0), labels).count() == 0
 
 
+def test_toxic_texts_are_found_and_dropped(spark, documents, text_of):
+    toxic = lambda i: i % 7 == 0
+    slip = lambda i, text: " ".join([*text.split()[:40], ("Vile!", "nasty,")[i // 14 % 2], *text.split()[40:]])
+    rows = [(i, slip(i, text_of(i, 80)) if toxic(i) else text_of(i, 81)) for i in range(600)]
+    docs = documents(rows)
+    labels = spark.createDataFrame([(i, int(i % 6 != 0), int(toxic(i))) for i in range(0, 600, 2)], "doc_id long, quality int, toxic int")
+    found = cotraining.score(docs, labels).collect()
+    assert sum((r.toxic_score > 0.5) == toxic(r.doc_id) for r in found) >= 0.99 * len(found)
+    only = labels.withColumn("quality", F.lit(1))
+    left = {r.doc_id for r in cotraining.keep_good(docs, only).collect()}
+    assert len(left ^ {i for i, _ in rows if not toxic(i)}) <= 6
+    assert {r.toxic_score for r in cotraining.score(docs, labels.drop("toxic")).collect()} == {0.5}
+
+
 # 3 sharding
 
 
