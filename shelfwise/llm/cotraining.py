@@ -17,7 +17,8 @@ digits, lower-cased, by 64-bit hash). A word's odds are those of the labelled do
 and only words above zero count. Both targets share every pass.
 
 Defined results: null and empty texts are scored by their metadata and the calibrated base rate; null source or language is a
-value of its own; ids labelled both ways, null ids and null labels take no part, for each target on its own; repeated documents are scored each; without labels of both kinds every score of that
+value of its own; ids labelled both ways, null ids and null labels take no part, for each target on its own; of the documents of one
+labelled id one is learnt from; repeated documents are scored each; without labels of both kinds every score of that
 target is 0.5 and drops no document.
 """
 
@@ -243,8 +244,11 @@ def sample_of(labels: DataFrame, labelled: int, target: str = "quality") -> Data
 
 
 def learnt(rows: DataFrame, sample: DataFrame) -> DataFrame:
-    """The documents of the sampled ids."""
-    return rows.join(F.broadcast(sample), "doc_id").drop("doc_id")
+    """One document of each sampled id."""
+    own = F.struct("__text", "__source", "__lang")
+    joined = rows.join(F.broadcast(sample), "doc_id")
+    one = joined.groupBy("doc_id", "quality", "toxic", "order").agg(F.min_by(own, F.struct(F.xxhash64(own), own)).alias("own"))
+    return one.select("quality", "toxic", "order", "own.*")
 
 
 def word_odds(seen: DataFrame, taught: DataFrame, sizes: np.ndarray) -> WordOdds:
@@ -290,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: in
                     )
 
     views = cut_lineage(learnt(rows, sample).mapInArrow(seen, "quality int, toxic int, order long, content binary, metadata binary, words array<long>"))
-    found = views.drop("words").orderBy("order").limit(labelled).toArrow()
+    found = views.drop("words").orderBy("order").toArrow()
     content = np.frombuffer(b"".join(found.column("content").to_pylist()), np.float16).reshape(-1, CONTENT).astype(np.float64)
     metadata = np.frombuffer(b"".join(found.column("metadata").to_pylist()), np.uint8).reshape(-1, len(FIELDS)).astype(np.int64)
     order = found.column("order").to_numpy()

@@ -85,6 +85,15 @@ def test_toxic_texts_are_found_and_dropped(spark, documents, text_of):
     assert {r.toxic_score for r in cotraining.score(docs, labels.drop("toxic")).collect()} == {0.5}
 
 
+def test_repeats_of_one_id_leave_the_sample_whole(spark, documents, text_of):
+    junk = lambda i: " ".join(w.upper() + "!!" for w in text_of(i, 60).split())
+    rows = [(i, junk(i) if i % 5 == 0 else text_of(i, 60)) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 5 != 0), 0) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
+    least = cotraining.sample_of(labels, 1).first().doc_id
+    found = cotraining.score(documents(rows + [rows[least]] * 100), labels, labelled=100).collect()
+    assert sum((r.quality_score >= 0.5) == (r.doc_id % 5 != 0) for r in found) >= 0.98 * len(found)
+
+
 # 3 sharding
 
 
