@@ -1,16 +1,18 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation.
 
-Tokens are lower-cased (A-Z) runs of bytes other than blanks, then one end mark per text. The ``classes`` - 3 most frequent
-tokens, the end mark and "any other" are the classes of the neural model; a token of the last kind is spelt out by its
-smoothed count among the others, so the model is a distribution over all tokens, unseen ones included.
+Tokens are lower-cased (A-Z) runs of bytes other than blanks, then one end mark per text. Every token that occurs ``OWN`` times
+and the square root of all training tokens over ``ROOT`` times, and the ``classes`` - 3 most frequent ones in any case, has
+vectors of its own, as context and as target, so the vocabulary grows with the corpus. Any rarer token is "other", spelt out
+by its smoothed count among the others, so the model is a distribution over all tokens, unseen ones included.
 
-Model: the two tokens before predict a vector h = r[c1] C1 + r[c2] C2, and class w scores h.q[w] + b[w]. As the score is a
-sum of a part of c1 and a part of c2, all normalisers come from one product of two class-by-class matrices, and a token
-costs three look-ups.
+Model: the two tokens before predict a vector h = r[c1] C1 + r[c2] C2. The output has two levels of about the root of the
+vocabulary each: first ``classes`` classes (other, the end mark, the most frequent tokens, and bins of tokens of like frequency),
+scoring h.q[k] + b[k], then the members of a bin, scoring h.u[w] + c[w]. Normalisers are matrix products: of two tables for
+pairs of the ``TABLE`` most frequent contexts, of h and q for the distinct other pairs of a batch, of h and u bin by bin.
 
 Jobs: (1) token counts over all training texts, summed per task before the shuffle; (2) two passes of training: every
-task walks its own texts from the shared parameters and the parameters are averaged by tokens seen (the first pass
-takes an eighth of the texts, the second all of them); (3) scoring of all texts; tokens beyond the ``known`` most frequent
+task walks its own texts from the shared parameters and each row of parameters is averaged by how often tasks met it (the first
+pass takes an eighth of the texts, the second all of them); (3) scoring of all texts; tokens beyond the ``known`` most frequent
 ones, whose counts every worker holds, find their counts by a join. The driver holds the model and the ``known`` counts,
 both of a size set by parameters.
 
@@ -38,6 +40,7 @@ NOISE, BATCH, RATE = 64, 1024, 0.2
 START, END, OTHER = 0, 1, 2
 END_HASH = np.uint64(0x656E64)
 FLUSH = 1_000_000
+OWN, ROOT, TABLE, PEERS = 16, 256, 2048, 4  # PEERS: noise members of a bin per target
 
 
 def held_out(doc_id: Column) -> Column:
@@ -117,6 +120,33 @@ class Lookup:
         return out
 
 
+@dataclass
+class Layout:
+    """Vocabulary: start, end, other, ``heads`` tokens that are classes, then ``bins`` of ``width`` members each."""
+
+    classes: int
+    own: int
+    heads: int
+    bins: int
+    width: int
+
+    @property
+    def cut(self) -> int:
+        """First member of a bin."""
+        return 3 + self.heads
+
+    @property
+    def size(self) -> int:
+        return self.cut + self.bins * self.width
+
+    def class_of(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids < self.cut, ids, self.cut + (ids - self.cut) // self.width)
+
+    def members(self) -> np.ndarray:
+        """Tokens in each bin."""
+        return np.clip(self.own - self.heads - np.arange(self.bins) * self.width, 0, self.width)
+
+
 @dataclass
 class Counts:
     """Most frequent tokens (descending) with their counts, and totals."""
@@ -127,26 +157,46 @@ class Counts:
     distinct: int
     classes: int
 
-    def class_of(self, known: np.ndarray) -> np.ndarray:
-        """Class of tokens given by their position in ``keys``."""
+    def layout(self) -> Layout:
+        """Tokens with vectors of their own and how they are dealt to classes."""
+        least = max(OWN, self.total**0.5 / ROOT)
+        own = max(min(len(self.keys), self.classes - 3), int((self.n >= least).sum()))
+        bins = (self.classes - 3) // 2
+        if own <= self.classes - 3 or not bins:
+            return Layout(self.classes, min(own, self.classes - 3), self.classes - 3, 0, 1)
+        heads = self.classes - 3 - bins
+        return Layout(self.classes, own, heads, bins, -(-(own - heads) // bins))
+
+    def id_of(self, known: np.ndarray) -> np.ndarray:
+        """Vocabulary number of tokens given by their position in ``keys``."""
         table = np.full(len(self.keys) + 1, OTHER, dtype=np.int64)
-        table[: self.classes - 3] = np.arange(3, 3 + len(table[: self.classes - 3]))
+        own = self.layout().own
+        table[:own] = np.arange(3, 3 + own)
         table[:-1][self.keys == END_HASH] = END
-        table[-1] = OTHER
         return table[known]
 
     def class_share(self) -> np.ndarray:
         """Share of each class among the training tokens, every class but the start having a little."""
         share = np.full(self.classes, 0.5)
-        known = self.class_of(np.arange(len(self.keys)))
+        known = self.layout().class_of(self.id_of(np.arange(len(self.keys))))
         share += np.bincount(known, weights=self.n, minlength=self.classes)
         share[OTHER] += self.total - self.n.sum()
         share[START] = 0
         return share / share.sum()
 
+    def member_logs(self) -> np.ndarray:
+        """Logarithm of the share of each member in its bin (places that hold no token: next to nothing)."""
+        at = self.layout()
+        out = np.full(at.bins * at.width, -1e4)
+        if at.bins:
+            n = self.n[at.heads : at.own] + 0.5
+            bins = np.arange(len(n)) // at.width
+            out[: len(n)] = np.log(n / np.bincount(bins, weights=n)[bins])
+        return out
+
     def others(self) -> tuple[int, int]:
         """Tokens and distinct tokens without a class of their own."""
-        own = self.class_of(np.arange(len(self.keys))) != OTHER
+        own = self.id_of(np.arange(len(self.keys))) != OTHER
         return int(self.total - self.n[own].sum()), int(self.distinct - own.sum())
 
 
@@ -155,42 +205,102 @@ def gather(counts: DataFrame, classes: int, known: int) -> Counts:
     # the least count that no more than ``known`` tokens reach: from how many tokens have each count, not from a sort of all
     reached = F.sum("tokens").over(Window.orderBy(F.desc("n")))
     least = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).withColumn("reached", reached).filter(F.col("reached") <= known).agg(F.min("n").alias("n"))
-    top = counts.filter(F.col("n") >= least.scalar()).toArrow()
+    # and every token that has vectors of its own
+    own = max(OWN, (totals.n or 0) ** 0.5 / ROOT)
+    top = counts.filter((F.col("n") >= least.scalar()) | (F.col("n") >= own)).toArrow()
     keys, n = top.column("hash").to_numpy().astype(np.int64), top.column("n").to_numpy().astype(np.int64)
     order = np.lexsort((keys, -n))
     return Counts(keys[order].view(np.uint64), n[order], totals.n, totals.v, classes)
 
 
 class Model:
-    """Parameters as one flat vector: r, q (classes x dim), C1, C2 (dim x dim), b."""
+    """Parameters as rows of dim + 1: r (vocabulary), u with c (members), q with b (classes), C1, C2 (dim each)."""
 
-    def __init__(self, flat: np.ndarray, classes: int, dim: int):
-        self.flat, self.classes, self.dim = flat, classes, dim
-        a, c = classes * dim, dim * dim
-        self.r, self.q = flat[:a].reshape(classes, dim), flat[a : 2 * a].reshape(classes, dim)
-        self.c1, self.c2 = flat[2 * a : 2 * a + c].reshape(dim, dim), flat[2 * a + c : 2 * a + 2 * c].reshape(dim, dim)
-        self.b = flat[2 * a + 2 * c :]
+    def __init__(self, flat: np.ndarray, layout: Layout, dim: int):
+        self.flat, self.layout, self.dim = flat, layout, dim
+        edges = np.cumsum([0, layout.size, layout.bins * layout.width, layout.classes, dim, dim])
+        self.at_u, self.at_q = int(edges[1]), int(edges[2])
+        self.r, u, q, c1, c2 = (flat[low:high] for low, high in zip(edges[:-1], edges[1:]))
+        self.r, self.c1, self.c2 = self.r[:, :dim], c1[:, :dim], c2[:, :dim]
+        self.u, self.c, self.q, self.b = u[:, :dim], u[:, dim], q[:, :dim], q[:, dim]
 
     @classmethod
-    def fresh(cls, share: np.ndarray, dim: int, seed: int) -> Model:
+    def fresh(cls, share: np.ndarray, dim: int, seed: int, layout: Layout | None = None, member_logs: np.ndarray | None = None) -> Model:
         classes = len(share)
+        layout = layout or Layout(classes, classes - 3, classes - 3, 0, 1)
         rng = np.random.default_rng(seed)
-        flat = np.concatenate([
-            rng.normal(0, 0.3, classes * dim), rng.normal(0, 0.1, classes * dim), np.eye(dim).ravel(), 0.5 * np.eye(dim).ravel(),
-            np.log(np.maximum(share, 1e-12)),
-        ])
-        return cls(flat, classes, dim)
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores given the token before and the one before that, and the log normaliser of each such pair."""
-        one = (self.r @ self.c1 @ self.q.T).astype(np.float32)
-        two = (self.r @ self.c2 @ self.q.T + self.b).astype(np.float32)
+        model = cls(np.zeros((layout.size + layout.bins * layout.width + classes + 2 * dim, dim + 1), np.float32), layout, dim)
+        model.r[:] = rng.normal(0, 0.3, model.r.shape)
+        model.r[layout.cut :] *= 0.2
+        model.q[:], model.u[:] = rng.normal(0, 0.1, model.q.shape), rng.normal(0, 0.1, model.u.shape)
+        model.c1[:], model.c2[:] = np.eye(dim), 0.5 * np.eye(dim)
+        model.b[:] = np.log(np.maximum(share, 1e-12))
+        if member_logs is not None:
+            model.c[:] = member_logs
+        return model
+
+    def tables(self, contexts: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class scores given the token before and the one before that, and the log normaliser of each such pair, for the first contexts."""
+        r = self.r[: self.layout.classes if contexts is None else contexts]
+        one = (r @ self.c1 @ self.q.T).astype(np.float32)
+        two = (r @ self.c2 @ self.q.T + self.b).astype(np.float32)
         two[:, START] = -1e4
         m1, m2 = one.max(axis=1, keepdims=True), two.max(axis=1, keepdims=True)
         norm = np.exp(one - m1) @ np.exp(two - m2).T
         return one, two, np.log(np.maximum(norm, 1e-37)) + m1 + m2.T
 
 
+def log_sums(h: np.ndarray, rows: np.ndarray, bias: np.ndarray, step: int = 1024) -> np.ndarray:
+    """log sum over rows of exp(h.row + bias), for each h."""
+    out = np.empty(len(h), dtype=np.float32)
+    turned = np.ascontiguousarray(rows.T)
+    for low in range(0, len(h), step):
+        x = h[low : low + step] @ turned
+        x += bias
+        most = x.max(axis=1, keepdims=True)
+        x -= most
+        np.exp(x, out=x)
+        out[low : low + step] = np.log(x.sum(axis=1)) + most[:, 0]
+    return out
+
+
+class Scorer:
+    """Log probabilities of vocabulary numbers after two others, all levels taken together."""
+
+    def __init__(self, model: Model, table: int = TABLE):
+        self.model, self.layout = model, model.layout
+        self.table = min(table, model.layout.size)
+        self.norm = model.tables(self.table)[2]
+        self.one, self.two = model.r @ model.c1, model.r @ model.c2
+        self.q, self.b = np.ascontiguousarray(model.q), model.b.copy()
+        self.b[START] = -1e4
+
+    def __call__(self, ids: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+        at = self.layout
+        h = self.one[c1] + self.two[c2]
+        k = at.class_of(ids)
+        out = np.einsum("ij,ij->i", h, self.q[k]) + self.b[k]
+        near = (c1 < self.table) & (c2 < self.table)
+        out[near] -= self.norm[c1[near], c2[near]]
+        far = np.flatnonzero(~near)
+        if len(far):
+            _, first, back = np.unique(c1[far] * at.size + c2[far], return_index=True, return_inverse=True)
+            out[far] -= log_sums(h[far[first]], self.q, self.b)[back]
+        tail = np.flatnonzero(ids >= at.cut)
+        if len(tail):
+            u = self.model.u.reshape(at.bins, at.width, -1)
+            c = self.model.c.reshape(at.bins, at.width)
+            bins = (ids[tail] - at.cut) // at.width
+            order = np.argsort(bins, kind="stable")
+            edges = np.searchsorted(bins[order], np.arange(at.bins + 1))
+            for bin_ in np.flatnonzero(np.diff(edges)):
+                rows = tail[order[edges[bin_] : edges[bin_ + 1]]]
+                slot = (ids[rows] - at.cut) % at.width
+                own = np.einsum("ij,ij->i", h[rows], u[bin_][slot]) + c[bin_][slot]
+                out[rows] += own - log_sums(h[rows], u[bin_], c[bin_])
+        return out
+
+
 def contexts(classes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes one and two places before each token of its text; the start class before the text."""
     one, two = np.empty_like(classes), np.empty_like(classes)
@@ -202,78 +312,142 @@ def contexts(classes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.nda
     return one, two
 
 
-def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], seed: int, noise: int = NOISE, batch: int = BATCH, rate: float = RATE) -> int:
-    """Noise-contrastive steps (Adagrad) in place over (target, before, before that); gives the tokens seen."""
+def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], seed: int, noise: int = NOISE, batch: int = BATCH, rate: float = RATE) -> tuple[int, np.ndarray]:
+    """Noise-contrastive steps (Adagrad) in place over (target, before, before that); gives the tokens seen and how often each row was met."""
     rng = np.random.default_rng(seed)
     pool = rng.choice(len(share), size=1 << 16, p=share)
     prior = np.log(noise * np.maximum(share, 1e-12))
-    squares = np.full(len(model.flat), 1e-2)
-    grad = Model(np.zeros(len(model.flat)), model.classes, model.dim)
-    lanes = np.arange(model.dim)
-    spread = lambda ids, rows: np.bincount((ids[:, None] * model.dim + lanes).ravel(), weights=rows.ravel(), minlength=model.classes * model.dim).reshape(model.classes, model.dim)
+    at, dim = model.layout, model.dim
+    squares = np.full(model.flat.shape, 1e-2, dtype=np.float32)
+    squares[at.cut : model.at_q] = 1e-5  # a rare token has few steps
+    met = np.zeros(len(model.flat), dtype=np.int64)
+    members, place = at.members(), np.zeros(len(model.flat), dtype=np.int64)
+    at_c = model.at_q + at.classes
     seen = 0
+
+    def move(rows: np.ndarray, step: np.ndarray) -> None:
+        own = squares[rows] + step * step
+        squares[rows] = own
+        model.flat[rows] += rate * step / np.sqrt(own)
+
+    def spread(rows: np.ndarray, steps: np.ndarray, n: int) -> None:
+        """One step for each distinct row."""
+        place[rows] = np.arange(len(rows))
+        back = place[rows]
+        first = np.flatnonzero(back == np.arange(len(rows)))
+        width = steps.shape[1]
+        total = np.bincount((back[:, None] * width + np.arange(width)).ravel(), weights=steps.ravel(), minlength=len(rows) * width).reshape(-1, width)
+        met[rows[first]] += np.bincount(back, minlength=len(rows))[first]
+        move(rows[first], (total[first] / n).astype(np.float32))
+
     for targets, ones, twos in streams:
         for low in range(0, len(targets), batch):
             t, c1, c2 = targets[low : low + batch], ones[low : low + batch], twos[low : low + batch]
+            k = at.class_of(t)
             s = pool[rng.integers(0, len(pool), noise)]
-            r1, r2, qt, qs = model.r[c1], model.r[c2], model.q[t], model.q[s]
+            r1, r2, qt, qs = model.r[c1], model.r[c2], model.q[k], model.q[s]
             h = r1 @ model.c1 + r2 @ model.c2
-            up = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", h, qt) + model.b[t] - prior[t], -30, 30)))
+            up = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", h, qt) + model.b[k] - prior[k], -30, 30)))
             down = -1 / (1 + np.exp(-np.clip(h @ qs.T + model.b[s] - prior[s], -30, 30)))
             back = up[:, None] * qt + down @ qs
             n = len(t)
-            grad.q[:] = spread(t, up[:, None] * h) + spread(s, down.T @ h)
-            grad.b[:] = np.bincount(t, weights=up, minlength=model.classes) + np.bincount(s, weights=down.sum(axis=0), minlength=model.classes)
-            grad.c1[:], grad.c2[:] = r1.T @ back, r2.T @ back
-            grad.r[:] = spread(c1, back @ model.c1.T) + spread(c2, back @ model.c2.T)
-            step = grad.flat / n
-            squares += step * step
-            model.flat += rate * step / np.sqrt(squares)
+            one = lambda x: np.ones((len(x), 1))
+            tail = np.flatnonzero(t >= at.cut)
+            if len(tail):
+                own, ht = t[tail] - at.cut, h[tail]
+                bins = own // at.width
+                peers = bins[:, None] * at.width + (rng.random((len(tail), PEERS)) * members[bins][:, None]).astype(np.int64)
+                even = np.log(PEERS / members[bins])
+                ut, us = model.u[own], model.u[peers]
+                up2 = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", ht, ut) + model.c[own] - even, -30, 30)))
+                down2 = -1 / (1 + np.exp(-np.clip(np.einsum("ij,ikj->ik", ht, us) + model.c[peers] - even[:, None], -30, 30)))
+                back[tail] += up2[:, None] * ut + np.einsum("ik,ikj->ij", down2, us)
+                hb = np.hstack([ht, one(ht)])
+                steps = np.concatenate([up2[:, None] * hb, (down2[:, :, None] * hb[:, None, :]).reshape(-1, dim + 1)])
+            g1, g2 = r1.T @ back, r2.T @ back
+            both = np.concatenate([back @ model.c1.T, back @ model.c2.T])
+            hb = np.hstack([h, one(h)])
+            spread(np.concatenate([k, s]) + model.at_q, np.concatenate([up[:, None] * hb, down.T @ hb]), n)
+            if len(tail):
+                spread(np.concatenate([own, peers.ravel()]) + model.at_u, steps, n)
+            spread(np.concatenate([c1, c2]), np.hstack([both, np.zeros((2 * n, 1))]), n)
+            move(np.arange(at_c, at_c + 2 * dim), np.hstack([np.concatenate([g1, g2]) / n, np.zeros((2 * dim, 1))]).astype(np.float32))
             seen += n
-    return seen
+    met[at_c:] = seen
+    return seen, met
+
+
+def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean of the rows with one number, weighted by how often each was met."""
+    at, met, values, held = [], [], [], 0
+
+    def combined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows, place = np.unique(np.concatenate(at), return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        edge = np.searchsorted(place[order], np.arange(len(rows)))
+        return rows, np.add.reduceat(np.concatenate(met)[order], edge), np.add.reduceat(np.concatenate(values)[order], edge, axis=0)
+
+    for batch in batches:
+        if batch.num_rows:
+            n = batch.column("met").to_numpy()
+            at.append(batch.column("at").to_numpy())
+            met.append(n)
+            values.append(np.frombuffer(b"".join(batch.column("value").to_pylist()), np.float32).reshape(len(n), -1).astype(np.float64) * n[:, None])
+            held += len(n)
+            if held > FLUSH // 8:
+                at, met, values = ([x] for x in combined())
+                held = 0
+    if at:
+        rows, n, total = combined()
+        yield packed(rows, n, (total / n[:, None]).astype(np.float32))
+
+
+def packed(at: np.ndarray, met: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(met), pa.array([x.tobytes() for x in values], pa.binary())], ["at", "met", "value"])
 
 
-def averaged(training: DataFrame, counts, flat: np.ndarray, classes: int, dim: int, seed: int) -> np.ndarray:
-    """One pass: every task trains from ``flat`` on its texts; parameters averaged by tokens seen."""
+def averaged(training: DataFrame, counts, flat: np.ndarray, dim: int, seed: int) -> np.ndarray:
+    """One pass: every task trains from ``flat`` on its texts; each row averaged by how often tasks met it."""
     context = training.sparkSession.sparkContext
     shared = context.broadcast(flat)
+    form = "at int, met long, value binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Counts = counts.value
-        find, share = Lookup(known.keys), known.class_share()
-        model = Model(shared.value.copy(), classes, dim)
+        find, share, layout = Lookup(known.keys), known.class_share(), known.layout()
+        numbers = known.id_of(np.arange(-1, len(known.keys)))
+        model = Model(shared.value.copy(), layout, dim)
         part_id = TaskContext.get().partitionId()
 
         def streams():
             for batch in batches:
                 for part in slices(batch, "text"):
                     values, begin = _tokens(part)
-                    ids = known.class_of(find(values))
+                    ids = numbers[find(values) + 1]
                     one, two = contexts(ids, begin)
                     mixed = np.argsort(mix(np.arange(len(ids), dtype=np.uint64)))
                     yield ids[mixed], one[mixed], two[mixed]
 
-        seen = train(model, share, streams(), seed + part_id)
-        if seen:
-            n = len(model.flat)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(n, dtype=np.int32)), pa.array(model.flat * seen), pa.array(np.full(n, seen, dtype=np.int64))],
-                ["at", "value", "seen"],
-            )
+        _, met = train(model, share, streams(), seed + part_id)
+        rows = np.flatnonzero(met)
+        for low in range(0, len(rows), 1 << 16):
+            some = rows[low : low + (1 << 16)]
+            yield packed(some, met[some], model.flat[some])
 
-    parts = training.select("text").mapInArrow(run, "at int, value double, seen long")
-    mean = parts.groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("value")).toArrow()
+    parts = training.select("text").mapInArrow(run, form)
+    mean = parts.repartition("at").mapInArrow(summed, form).toArrow()
     out = flat.copy()
-    out[mean.column("at").to_numpy()] = mean.column("value").to_numpy()
+    if mean.num_rows:
+        out[mean.column("at").to_numpy()] = np.frombuffer(b"".join(mean.column("value").to_pylist()), np.float32).reshape(mean.num_rows, -1)
     return out
 
 
 def fit(training: DataFrame, counts: Counts, dim: int = DIM, seed: int = 1) -> np.ndarray:
     shared = training.sparkSession.sparkContext.broadcast(counts)
-    flat = Model.fresh(counts.class_share(), dim, seed).flat
+    flat = Model.fresh(counts.class_share(), dim, seed, counts.layout(), counts.member_logs()).flat
     eighth = training.filter(F.pmod(F.xxhash64("text"), F.lit(8)) == 0)
     for rows in (eighth, training):
-        flat = averaged(rows, shared, flat, counts.classes, dim, seed)
+        flat = averaged(rows, shared, flat, dim, seed)
     return flat
 
 
@@ -297,16 +471,17 @@ def score(docs: DataFrame, classes: int = CLASSES, dim: int = DIM, known: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, params = shared.value
         find = Lookup(counted.keys)
-        one, two, norm = Model(params, classes, dim).tables()
+        prob_of = Scorer(Model(params, counted.layout(), dim))
+        numbers = counted.id_of(np.arange(-1, len(counted.keys)))
         logs = np.log10(np.append(counted.n, 0) + 0.5)
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
                 values, begin = _tokens(part)
                 at = find(values)
-                ids = counted.class_of(at)
+                ids = numbers[at + 1]
                 c1, c2 = contexts(ids, begin)
-                prob = (one[c1, ids] + two[c2, ids] - norm[c1, c2]).astype(np.float64) / np.log(10)
+                prob = prob_of(ids, c1, c2).astype(np.float64) / np.log(10)
                 known_log = np.where(at >= 0, logs[at], 0.0)
                 per = lambda x: np.add.reduceat(x, begin[:-1])
                 n = part.num_rows

@@ -363,3 +363,23 @@ def test_language_model_probabilities_sum_to_one():
     one, two, norm = logbilinear.Model.fresh(share, 4, 1).tables()
     total = np.exp(one[:, None, :] + two[None, :, :] - norm[:, :, None])[..., 1:].sum(axis=2)
     assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_language_model_vocabulary_grows_with_the_counts():
+    import numpy as np
+
+    n = np.arange(400, 0, -1)
+    counts = logbilinear.Counts(np.arange(1, 401, dtype=np.uint64), n, int(n.sum()) + 50, 430, 24)
+    layout = counts.layout()
+    assert layout.own == 385 and len(set(counts.id_of(np.arange(400)).tolist())) == 386  # all that occur 16 times, and "other"
+    rng = np.random.default_rng(3)
+    model = logbilinear.Model.fresh(counts.class_share(), 8, 1, layout, counts.member_logs())
+    share, ids = counts.class_share(), rng.integers(3, 3 + layout.own, 20_000)
+    one = np.roll(ids, 1)
+    logbilinear.train(model, share, iter([(ids, one, np.roll(ids, 2))]), 1)
+    score = logbilinear.Scorer(model, 30)
+    every = np.concatenate([[logbilinear.END, logbilinear.OTHER], np.arange(3, 3 + layout.own)])
+    for c1, c2 in ((5, 7), (300, 9), (387, 350), (logbilinear.OTHER, logbilinear.START)):
+        logs = score(every, np.full(len(every), c1), np.full(len(every), c2)).astype(np.float64)
+        assert abs(np.exp(logs).sum() - 1) < 1e-3
+    assert not np.allclose(score(every, np.full(len(every), 300), np.full(len(every), 9)), score(every, np.full(len(every), 301), np.full(len(every), 9)))
