@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding
+from shelfwise.llm import alignment, bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding, stringkernel, turnrepair
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -259,3 +259,90 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_language_model")
 def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return logbilinear.score(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    documents, _ = alignment.align(table(spark, folder, "documents"))
+    return documents
+
+
+@query("op12_language")
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = stringkernel.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"), keep_text=False)
+    return found.select("doc_id", "held_out", "lang_pred", F.round("score", 6).alias("score"))
+
+
+def _reached(state: str, cost: str = "0", letter: str = "", line: str = "''") -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+
+
+def _cheapest(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+_TURN = "chr(10) || '{}:' || text"
+_STAY = "CASE WHEN gone THEN 1000000000 WHEN truncated THEN 5 ELSE 0 END"
+_KEEP = lambda state, role: _reached(state, f"(CASE WHEN i = '{role}' THEN {_STAY} ELSE 1000000000 END)", "K", "chr(10) || role || ':' || text")
+_REROLE = lambda state, role: _reached(state, f"1 + ({_STAY})", "R", _TURN.format(role))
+_INSERT = lambda state, role: _reached(state, "5", "I", f"chr(10) || '{role}:'")
+_AFTER_ROW = [
+    _reached("s0", "2", "D"),
+    _cheapest(_reached("s1", "2", "D"), _KEEP("s0", "s")),
+    _cheapest(_reached("s2", "2", "D"), *[_KEEP(s, "u") for s in ("s0", "s1", "s3")], *[_REROLE(s, "user") for s in ("s0", "s1", "s3")]),
+    _cheapest(_reached("s3", "2", "D"), _KEEP("s2", "a"), _REROLE("s2", "assistant")),
+]
+_SPACES = r"\x20\x09-\x0D"
+
+OP13_SQL = f"""
+WITH RECURSIVE
+crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(i))
+),
+keyed AS (
+  SELECT conv_id, coalesce('=' || CAST(conv_id AS VARCHAR), '') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT)) AS b
+  FROM conversations
+),
+kinds AS (
+  SELECT keyed.*, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc
+),
+d AS (
+  SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(2) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS k, substr(role, 1, 1) AS i FROM d),
+f AS (
+  SELECT n.*, NOT regexp_matches(text, '[^{_SPACES}]') AS blank, row_number() OVER (PARTITION BY conv, role, text ORDER BY k) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][{_SPACES}]*$') AS cut, i || lead(i) OVER (PARTITION BY conv ORDER BY k) AS pair
+  FROM n
+),
+r AS (SELECT *, blank OR again AS gone, cut AS truncated FROM f),
+ends AS (
+  SELECT conv, max(k) AS last, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+    count_if(again AND NOT blank) AS duplicate, count_if(cut AND NOT blank AND NOT again) AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv
+),
+dp AS (
+  SELECT conv, 0 AS k, {{'c': 0, 'a': '', 't': ''}} AS s0, {{'c': 1000000000, 'a': '', 't': ''}} AS s1,
+    {_INSERT("{'c': 0, 'a': '', 't': ''}", "user")} AS s2, {{'c': 10, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS s3
+  FROM ends
+  UNION ALL
+  SELECT conv, k, b0, b1, u, {_cheapest("b3", _INSERT("u", "assistant"))}
+  FROM (SELECT *, {_cheapest("b2", *[_INSERT(s, "user") for s in ("b0", "b1", "b3")])} AS u
+    FROM (SELECT r.conv, CAST(r.k AS INTEGER) AS k, {", ".join(f"{way} AS b{s}" for s, way in enumerate(_AFTER_ROW))} FROM dp JOIN r ON r.conv = dp.conv AND r.k = dp.k + 1))
+),
+done AS (SELECT dp.conv, ends.* EXCLUDE (conv), {_cheapest("s0", "s3")} AS best FROM dp JOIN ends ON ends.conv = dp.conv AND dp.k = ends.last),
+everyone AS (SELECT DISTINCT conv, conv_id FROM keyed)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+  coalesce(best.a, '') AS audit, sha256(substr(coalesce(best.t, ''), 2)) AS repaired_sha256
+FROM everyone LEFT JOIN done ON done.conv = everyone.conv
+"""
+
+
+@query("op13_turn_repair", OP13_SQL)
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turnrepair.repair_damaged(table(spark, folder, "conversations"))
