@@ -9,6 +9,7 @@ from shelfwise.functions import text as T
 from shelfwise.functions.classify import sync_pricing_mode, sync_stock
 from shelfwise.functions.identity import shop_sku
 from shelfwise.operators.keys import HOT_ROWS, lookup
+from shelfwise.sources.keyed import KeyedTable
 
 
 def last_per_key(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -185,3 +186,20 @@ def apply_prices(store: DataFrame, audit: DataFrame) -> tuple[DataFrame, DataFra
         .drop("__price")
     )
     return updated, audit.join(store.select("id"), "id", "left_anti")
+
+
+def apply_prices_to(table: KeyedTable, audit: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Set the prices of ``audit`` in a keyed store table; gives the audit rows whose product is gone and the buckets written."""
+    gone = audit.join(table.lookup(audit), "id", "left_anti")
+    _, touched = table.merge(audit, lambda held, new: apply_prices(held, new)[0])
+    return gone, touched
+
+
+def sync_into(mapping: KeyedTable, items: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Upsert mapping rows into the keyed mapping table; gives the changed rows and the buckets written."""
+    return mapping.merge(items, lambda held, new: upsert(held, new, "legacy_id"))
+
+
+def merge_products_into(store: KeyedTable, incoming: DataFrame) -> tuple[DataFrame, list[int]]:
+    """``merge_products`` into a keyed store table; gives the changed rows and the buckets written."""
+    return store.merge(incoming, merge_products)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from shelfwise import constants as K
 from shelfwise.functions.parsing import meta_keys
 from shelfwise.operators import repricing as R
-from shelfwise.operators.upsert import apply_prices
+from shelfwise.operators.upsert import apply_prices, apply_prices_to
+from shelfwise.sources.keyed import KeyedTable
 from shelfwise.sources.reading import published_products
 from shelfwise.sources.writing import commit_version, write_run
 
@@ -56,3 +57,9 @@ def apply(store: DataFrame, planned: Repricing, audit_root: str, table_root: str
     updated, gone = apply_prices(store, audit)
     commit_version(updated, table_root)
     return gone
+
+
+def apply_to(table: KeyedTable, planned: Repricing, audit_root: str, stamp: str) -> tuple[DataFrame, list[int]]:
+    """Audit first, then the changed prices into a keyed table; gives the audit rows whose product is gone and the buckets written."""
+    write_run(planned.audit, audit_root, stamp)
+    return apply_prices_to(table, table.spark.read.parquet(f"{audit_root}/run_stamp={stamp}"))

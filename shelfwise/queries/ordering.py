@@ -87,6 +87,20 @@ def stream_new_orders(spark, folder):
     return SO.read_outbox(spark, f"{work}/outbox").select("id", "text")
 
 
+@query("stream_rescan", _ALERTS + "SELECT id, text, count(*) AS times FROM texts GROUP BY ALL")
+def stream_rescan(spark, folder):
+    """The alerts after two full reads with fresh checkpoints, the first one in bounded steps: each order once."""
+    known = _orders(spark, folder).drop("status")
+    work = _run_folder(spark, "rescan")
+    status = F.when(F.col("o_orderstatus") == "F", "processing").when(F.col("o_orderstatus") == "O", "on-hold").otherwise("pending")
+    bare = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"), status.alias("status"))
+    bare.repartition(6, "id").write.parquet(f"{work}/in")
+    for run, files in (("first", 2), ("second", None)):
+        stream = SO.order_stream(spark, f"{work}/in", bare.schema, "*.parquet", files)
+        SO.start_alerts(stream, f"{work}/outbox", f"{work}/{run}", enrich=lambda batch: _with_items(spark, folder, batch.join(known, "id"))).awaitTermination()
+    return SO.read_outbox(spark, f"{work}/outbox").groupBy("id", "text").agg(F.count(F.lit(1)).alias("times"))
+
+
 @query("stream_inventory_audit", """
 WITH f AS (SELECT event_id AS id, user_id AS sku, CAST(floor(value) AS BIGINT) % 5 - 1 AS q, event_type <> 'error' AS m FROM events),
 found AS (SELECT 'zero_visible' AS label FROM f WHERE m AND q = 0 UNION ALL SELECT 'negative_stock' FROM f WHERE q < 0

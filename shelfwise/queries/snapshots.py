@@ -8,7 +8,9 @@ from shelfwise.operators import audit as A, dedup as D, upsert as U
 from shelfwise.operators.keys import mark_repeats
 from shelfwise.plans import sync
 from shelfwise.queries import views as V
-from shelfwise.registry import query, table
+from shelfwise.queries.ordering import _run_folder
+from shelfwise.registry import ORACLES, query, table
+from shelfwise.sources.keyed import KeyedTable
 
 _STAMP = "2024-06-01T00:00:00+00:00"
 _ITEMS = f"""
@@ -50,6 +52,27 @@ def upsert_mapping(spark, folder):
     return _sync(spark, folder)[1]
 
 
+@query("keyed_sync", ORACLES["upsert_mapping"])
+def keyed_sync(spark, folder):
+    """The mapping of ``upsert_mapping``, kept as a keyed table that gets its changes only."""
+    mapping = KeyedTable.create(V.view(spark, folder, V.MAPPING), _run_folder(spark, "mapping"), "legacy_id", buckets=32)
+    sync.apply(V.view(spark, folder, V.FEED), mapping, _STAMP)
+    return mapping.read()
+
+
+@query("keyed_rerun", ORACLES["upsert_mapping"].replace("SELECT coalesce(i.legacy_id", ", after AS (SELECT coalesce(i.legacy_id", 1) + """)
+SELECT 1 AS run, count(*) AS changed FROM after a LEFT JOIN mapping m ON a.legacy_id = m.legacy_id
+WHERE m.legacy_id IS NULL OR a.sku IS DISTINCT FROM m.sku OR a.product_id IS DISTINCT FROM m.product_id OR a.wc_status IS DISTINCT FROM m.wc_status
+  OR a.exact_stock IS DISTINCT FROM m.exact_stock OR a.pricing_mode IS DISTINCT FROM m.pricing_mode OR a.last_sync_utc IS DISTINCT FROM m.last_sync_utc
+UNION ALL SELECT 2, 0""")
+def keyed_rerun(spark, folder):
+    """Rows each of two runs of the same sync changes: the second one none."""
+    mapping = KeyedTable.create(V.view(spark, folder, V.MAPPING), _run_folder(spark, "mapping"), "legacy_id", buckets=32)
+    first, second = (sync.apply(V.view(spark, folder, V.FEED), mapping, _STAMP)[0] for _ in range(2))
+    counts = first.agg(F.count(F.lit(1)).alias("changed")).withColumn("run", F.lit(1))
+    return counts.unionByName(second.agg(F.count(F.lit(1)).alias("changed")).withColumn("run", F.lit(2))).select("run", "changed")
+
+
 _OLD = """SELECT concat('P', CAST(p_partkey AS STRING)) AS sku, p_name AS name, CASE WHEN p_partkey % 3 = 0 THEN 'publish' ELSE 'draft' END AS status,
   p_partkey * 1000 AS price, p_partkey % 4 AS stock, CASE WHEN p_partkey % 4 > 0 THEN 'instock' ELSE 'outofstock' END AS stock_status,
   p_partkey % 5 + 10 AS c1, CAST(p_partkey AS STRING) AS m1 FROM {part}"""
@@ -72,6 +95,35 @@ def merge_products(spark, folder):
     return merged.withColumn("category_ids", F.concat_ws("|", F.array_sort("category_ids"))).withColumn("meta", F.concat_ws(";", pairs))
 
 
+@query("keyed_products", ORACLES["merge_products"])
+def keyed_products(spark, folder):
+    """The products of ``merge_products``, merged into a keyed table in two steps with a compaction after each."""
+    old = V.view(spark, folder, _OLD).withColumn("category_ids", F.array("c1")).withColumn("meta", F.create_map(F.lit("a"), "m1"))
+    new = V.view(spark, folder, _NEW).withColumn("category_ids", F.array("c1")).withColumn("meta", F.create_map(F.lit("a"), F.col("m1"), F.lit("b"), F.col("m2")))
+    store = KeyedTable.create(old.drop("c1", "m1"), _run_folder(spark, "products"), "sku", buckets=32)
+    for half in (0, 1):
+        U.merge_products_into(store, new.filter(F.pmod(F.xxhash64("sku"), F.lit(2)) == half).drop("c1", "m1", "m2"))
+        store.compact()
+    pairs = F.transform(F.array_sort(F.map_entries("meta")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return store.read().withColumn("category_ids", F.concat_ws("|", F.array_sort("category_ids"))).withColumn("meta", F.concat_ws(";", pairs))
+
+
+_PRICED = """SELECT p_partkey AS id, CAST(p_partkey * 1000 AS STRING) AS regular_price, CASE WHEN p_partkey % 4 = 0 THEN '5' END AS sale_price FROM {part}"""
+_MOVES = "SELECT p_partkey * 3 AS id, p_partkey * 2000 AS new_regular_price FROM {part}"
+
+
+@query("keyed_prices", f"""WITH store AS ({V.as_sql(_PRICED)}), moves AS ({V.as_sql(_MOVES)})
+SELECT s.id, coalesce(CAST(m.new_regular_price AS VARCHAR), s.regular_price) AS regular_price, CASE WHEN m.id IS NULL THEN s.sale_price END AS sale_price, false AS gone
+FROM store s LEFT JOIN moves m ON m.id = s.id
+UNION ALL SELECT m.id, CAST(m.new_regular_price AS VARCHAR), NULL, true FROM moves m WHERE m.id NOT IN (SELECT id FROM store)""")
+def keyed_prices(spark, folder):
+    """A keyed store after a price write-back, and the price rows whose product is gone."""
+    store = KeyedTable.create(V.view(spark, folder, _PRICED), _run_folder(spark, "prices"), "id", buckets=32)
+    gone, _ = U.apply_prices_to(store, V.view(spark, folder, _MOVES))
+    missing = gone.select("id", F.col("new_regular_price").cast("string").alias("regular_price"), F.lit(None).cast("string").alias("sale_price"), F.lit(True).alias("gone"))
+    return store.read().withColumn("gone", F.lit(False)).unionByName(missing)
+
+
 _DRAFTS = """SELECT p_partkey + 1000 AS product_id, CAST(p_partkey AS STRING) AS legacy_id, CASE WHEN p_partkey % 8 = 0 THEN 'publish' ELSE 'draft' END AS status,
   p_name AS title, '' AS description, p_partkey * 1000 AS regular_price FROM {part}"""
 _ENRICHED = """SELECT p_partkey + 1100 AS product_id, CASE WHEN p_partkey % 9 = 0 THEN '?' ELSE CAST(p_partkey + 100 AS STRING) END AS legacy_id,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions import text as T
 from shelfwise.operators.prepared import report
+from shelfwise.sources.keyed import folder_names, publish, read_text
 
 
 def write_report_csv(rows: DataFrame, layout, path: str) -> None:
@@ -26,27 +28,32 @@ def write_run(rows: DataFrame, root: str, stamp: str) -> None:
 
 
 def commit_version(rows: DataFrame, root: str) -> int:
-    """Write the next full table version, then append its number to the version log; gives the number.
+    """Write the next full table version and publish its number in the log; gives the number.
 
-    The number follows the log. A folder left by a run that never reached the log is of no version and is replaced; one that is
-    in the log is never written again.
+    The rows lie in a folder of their own, which counts once the log names it. Of two writers with one number the second fails
+    (``keyed.LostRace``) and its folder is of no version.
     """
-    version = (current_version(rows.sparkSession, root) or 0) + 1
-    rows.write.mode("overwrite").parquet(f"{root}/data/version={version}")
-    rows.sparkSession.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    spark = rows.sparkSession
+    version = (current_version(spark, root) or 0) + 1
+    folder = f"version={version}-{uuid.uuid4().hex[:12]}"
+    rows.write.parquet(f"{root}/data/{folder}")
+    publish(spark, f"{root}/log", f"{version:012d}", folder)
     return version
 
 
+def _entries(spark: SparkSession, root: str) -> list[str]:
+    return sorted(n for n in folder_names(spark, f"{root}/log") if not n.startswith("."))
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Newest committed version; none before the first one."""
-    try:
-        log = spark.read.schema("version bigint").parquet(f"{root}/log")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return log.agg(F.max("version")).first()[0]
+    entries = _entries(spark, root)
+    return int(entries[-1]) if entries else None
+
+
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{root}/data/{read_text(spark, f'{root}/log/{version:012d}')}")
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/data/version={current_version(spark, root)}")
+    return read_version(spark, root, current_version(spark, root))
