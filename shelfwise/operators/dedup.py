@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.operators.keys import HOT_ROWS, lookup, repeated_values, top_per_group
 from shelfwise.session import cut_lineage
 
 ROUND_CAP = 100
+WALK_ROWS = 200_000
 
 
 def round_robin(links: DataFrame, cap: int = ROUND_CAP) -> DataFrame:
@@ -40,31 +42,97 @@ def duplicate_codes(records: DataFrame, code: Column) -> DataFrame:
     return repeated_values(records, F.nullif(F.lower(code), F.lit("")), "code")
 
 
-def greedy_accept(df: DataFrame, order: str, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def _round(undecided: DataFrame, order: str, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that come first on every key they have, rows that share no key with these and are not among them)."""
+    claimed = sum(F.col(k).isNotNull().cast("int") for k in keys)
+    firsts = [undecided.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min(order).alias(order)).select(order) for k in keys]
+    first_on = reduce(DataFrame.unionByName, firsts).groupBy(order).agg(F.count(F.lit(1)).alias("__firsts"))
+    marked = undecided.join(first_on, order, "left").withColumn("__first", claimed == F.coalesce("__firsts", F.lit(0)))
+    marked = cut_lineage(marked.select(order, *keys, "__first"))
+    winners, rest = marked.filter("__first").drop("__first"), marked.filter("not __first").drop("__first")
+    for k in keys:
+        taken = winners.filter(F.col(k).isNotNull()).select(k).withColumn("__taken", F.lit(True))
+        rest = lookup(rest, taken, k, [order], hot_rows=hot_rows, counted=undecided).filter(F.col("__taken").isNull()).drop("__taken")
+    return winners, cut_lineage(rest)
+
+
+def _walked(rows: DataFrame, order: str, keys: Sequence[str]) -> DataFrame:
+    """Accepted rows of the sequential walk through each ``__walk`` group."""
+
+    def walk(group: pa.Table) -> pa.Table:
+        group = group.sort_by(order)
+        claimed: set[tuple[int, object]] = set()
+        kept = []
+        for at, row in enumerate(zip(*[group.column(k).to_pylist() for k in keys])):
+            own = [(i, value) for i, value in enumerate(row) if value is not None]
+            if claimed.isdisjoint(own):
+                claimed.update(own)
+                kept.append(at)
+        return group.select([order, *keys]).take(pa.array(kept, pa.int64()))
+
+    return cut_lineage(rows.groupBy("__walk").applyInArrow(walk, rows.select(order, *keys).schema))
+
+
+def components(rows: DataFrame, order: str, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows with ``component``: the least ``order`` among all rows they are linked to by shared keys, over any number of links.
+
+    Every component hooks onto the least one it shares a key with, hooks are followed to their ends by doubling, and the
+    merged components go on, so both loops take about the logarithm of the longest chain.
+    """
+    named = [rows.filter(F.col(k).isNotNull()).select(order, F.concat_ws(":", F.lit(k), F.col(k).cast("string")).alias("__key")) for k in keys]
+    member = cut_lineage(reduce(DataFrame.unionByName, named))
+    labels = cut_lineage(rows.select(order, F.col(order).alias("component")))
+    while True:
+        met = member.join(labels, order)
+        low = met.groupBy("__key").agg(F.min("component").alias("__low"))
+        hooks = lookup(met, low, "__key", [order], hot_rows=hot_rows).groupBy("component").agg(F.min("__low").alias("__to"))
+        hooks = cut_lineage(hooks.filter("__to < component"))
+        if hooks.isEmpty():
+            return rows.join(labels, order)
+        while True:
+            further = hooks.select(F.col("component").alias("__to"), F.col("__to").alias("__end"))
+            hooks = cut_lineage(lookup(hooks, further, "__to", ["component"], hot_rows=hot_rows))
+            moved = hooks.filter("__end is not null").limit(1).count()
+            hooks = hooks.select("component", F.coalesce("__end", "__to").alias("__to"))
+            if not moved:
+                break
+        labels = lookup(labels, hooks, "component", [order], hot_rows=hot_rows)
+        labels = cut_lineage(labels.select(order, F.coalesce("__to", "component").alias("component")))
+
+
+def greedy_accept(df: DataFrame, order: str, keys: Sequence[str], hot_rows: int = HOT_ROWS, walk_rows: int = WALK_ROWS) -> DataFrame:
     """Rows accepted by walking in ``order`` and refusing any row that shares a key with an accepted one.
 
-    A null key claims nothing. Rows that are the only ones on all their keys are accepted at once. Each further round
-    accepts the undecided rows that come first on every key (an aggregate per key, then a count per row), drops the undecided
-    rows that share a key with them, and repeats until nothing is undecided. The first undecided row is always accepted, so
-    the loop ends. Every round is written to the shared folder, so a lost executor costs one round.
+    A null key claims nothing. A round accepts the undecided rows that come first on every key (an aggregate per key, then a count
+    per row), which are all rows alone on their keys and most others, and drops the undecided rows that share a key with them.
+    What is left are rows that wait for others; rows without a chain of shared keys between them don't
+    bear on each other. Up to ``walk_rows`` rows are walked as they are; of more, each connected component of up to ``walk_rows``
+    rows is walked whole, many to a task, and only larger ones take further rounds. Every step is written to the shared folder, so
+    a lost executor costs one step.
     """
-    claimed = sum(F.col(k).isNotNull().cast("int") for k in keys)
     undecided = cut_lineage(df.select(order, *keys))
     accepted: list[DataFrame] = []
+    rounds = 1
     while True:
-        firsts = [undecided.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min(order).alias(order)).select(order) for k in keys]
-        first_on = reduce(DataFrame.unionByName, firsts).groupBy(order).agg(F.count(F.lit(1)).alias("__firsts"))
-        winners = undecided.join(first_on, order, "left").filter(claimed == F.coalesce("__firsts", F.lit(0))).select(order, *keys)
-        winners = cut_lineage(winners)
-        if winners.isEmpty():
+        for _ in range(rounds):
+            winners, undecided = _round(undecided, order, keys, hot_rows)
+            accepted.append(winners)
+        left = undecided.limit(walk_rows + 1).count()
+        if left <= walk_rows:
+            if left:
+                accepted.append(_walked(undecided.withColumn("__walk", F.lit(0)), order, keys))
+            break
+        parts = cut_lineage(components(undecided, order, keys, hot_rows))
+        sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("__size"))
+        large = cut_lineage(sizes.filter(F.col("__size") > walk_rows).select("component"))  # at most rows / walk_rows
+        small = parts.join(F.broadcast(large), "component", "left_anti")
+        walks = max(1, undecided.count() // walk_rows)
+        accepted.append(_walked(small.withColumn("__walk", F.pmod(F.xxhash64("component"), F.lit(walks))), order, keys))
+        undecided = cut_lineage(parts.join(F.broadcast(large), "component", "left_semi").select(order, *keys))
+        if undecided.isEmpty():
             break
-        accepted.append(winners)
-        rest = undecided.join(winners.select(order), order, "left_anti")
-        for k in keys:
-            taken = winners.filter(F.col(k).isNotNull()).select(k).withColumn("__taken", F.lit(True))
-            rest = lookup(rest, taken, k, [order], hot_rows=hot_rows, counted=undecided).filter(F.col("__taken").isNull()).drop("__taken")
-        undecided = cut_lineage(rest.select(order, *keys))
-    return reduce(DataFrame.unionByName, accepted) if accepted else undecided
+        rounds *= 2
+    return reduce(DataFrame.unionByName, accepted)
 
 
 def greedy_claims(

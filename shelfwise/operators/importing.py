@@ -292,9 +292,11 @@ def import_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, ho
     """Planned records against the batch and the store: repeats inside the batch skip, then an existing id, then a SKU conflict
     (flagged), else create.
 
-    Records that already carry a SKIP action keep it; one without an action is open.
+    Records that already carry a SKIP action keep it; one without an action is open. Everything is decided on four written
+    columns; the wide records meet their decisions once, by ``row_no``.
     """
-    joined = _decided(batch_repeats(records, hot_rows), by_id, by_sku, hot_rows)
+    narrow = cut_lineage(records.select("row_no", "legacy_id", "sku", "action"))
+    joined = _decided(batch_repeats(narrow, hot_rows), by_id, by_sku, hot_rows)
     skipped = F.coalesce(F.col("action"), F.lit("")).startswith("SKIP_")
     decision = (
         F.when(skipped, F.col("action"))
@@ -308,17 +310,9 @@ def import_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, ho
         .when(F.col("decision") == "SKIP_DUPLICATE_BATCH_LEGACY_ID", "DUPLICATE_BATCH_LEGACY_ID")
         .when(F.col("decision") == "SKIP_DUPLICATE_BATCH_SKU", "DUPLICATE_BATCH_SKU")
     )
-    return (
-        joined.withColumn("decision", decision)
-        .withColumn(
-            "existing_product",
-            F.when(F.col("decision") == "SKIP_EXISTING_LEGACY_ID", F.col("id_product")).when(
-                F.col("decision") == "SKIP_SKU_CONFLICT", F.col("sku_product")
-            ),
-        )
-        .withColumn("review_flags", F.array_distinct(F.concat("review_flags", F.array_compact(F.array(flag)))))
-        .drop("id_product", "sku_product", "batch_repeat")
-    )
+    existing = F.when(F.col("decision") == "SKIP_EXISTING_LEGACY_ID", F.col("id_product")).when(F.col("decision") == "SKIP_SKU_CONFLICT", F.col("sku_product"))
+    decided = joined.withColumn("decision", decision).select("row_no", "decision", existing.alias("existing_product"))
+    return records.join(decided, "row_no").withColumn("review_flags", F.array_distinct(F.concat("review_flags", F.array_compact(F.array(flag)))))
 
 
 def stop_all_decisions(records: DataFrame, by_id: DataFrame, by_sku: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
