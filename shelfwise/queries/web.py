@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import urls as U
 from shelfwise.functions import text as T
-from shelfwise.operators import documents as D, enrich as E, pages as P, selection as S
+from shelfwise.operators import documents as D, enrich as E, pages as P, patterns as PT, selection as S
 from shelfwise.queries import catalog as C, views as V
 from shelfwise.registry import query, table
 
@@ -288,3 +288,38 @@ def doc_public_section(spark, folder):
     )
     cut = D.public_sections(table(spark, folder, "documents").select("doc_id", wrapped.alias("text")))
     return cut.select("doc_id", F.md5("body").alias("body_md5"), "error")
+
+
+# Phrases of five words: all of the benchmark items and the first of every conversation turn.
+_PHRASES = """
+p AS (
+  SELECT DISTINCT array_to_string(list_slice(w, i, i + 4), ' ') AS pattern
+  FROM (SELECT w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT string_split(text, ' ') AS w FROM benchmark) WHERE len(w) >= 5)
+  UNION
+  SELECT array_to_string(list_slice(string_split(text, ' '), 1, 5), ' ') FROM conversations WHERE len(string_split(text, ' ')) >= 5
+)"""
+
+
+def _phrases(spark, folder):
+    words = F.split("text", " ")
+    every = F.transform(F.sequence(F.lit(1), F.size("w") - 4), lambda i: F.array_join(F.slice("w", i, F.lit(5)), " "))
+    items = table(spark, folder, "benchmark").select(words.alias("w")).filter(F.size("w") >= 5).select(F.explode(every).alias("pattern"))
+    turns = table(spark, folder, "conversations").select(words.alias("w")).filter(F.size("w") >= 5)
+    return items.unionByName(turns.select(F.array_join(F.slice("w", 1, 5), " ").alias("pattern"))).distinct()
+
+
+@query("phrase_matches", f"WITH {_PHRASES.strip()} SELECT doc_id, pattern FROM documents JOIN p ON contains(text, pattern)")
+def phrase_matches(spark, folder):
+    """Documents and the phrases they contain, thousands of phrases at once."""
+    return PT.matches(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text", _phrases(spark, folder))
+
+
+@query("phrase_redact", f"""WITH {_PHRASES.strip()}, m AS (
+  SELECT doc_id, list(pattern ORDER BY length(pattern) DESC, pattern) AS own FROM documents JOIN p ON contains(text, pattern) GROUP BY doc_id)
+SELECT d.doc_id, sha256(coalesce(list_reduce(list_prepend(d.text, own), lambda t, s: replace(t, s, '********')), d.text)) AS text_sha256
+FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id""")
+def phrase_redact(spark, folder):
+    """Documents with every phrase replaced."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    clean = PT.redacted(docs, "doc_id", "text", _phrases(spark, folder), "pattern")
+    return clean.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
