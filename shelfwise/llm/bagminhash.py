@@ -10,10 +10,11 @@ shingle and component.
 Equal texts are one node from the start. Nodes that agree in all components of a band share a bucket. A bucket is
 never expanded into pairs: first the member met in most buckets is compared with all the others, which settles most
 groups of near copies with one comparison per member. Where members of different classes are left, a bound decides who
-can still match: a shingle that no other open text has is in no intersection and in every union. In each further round some
-members of a bucket (``FIRST_HUBS``, then twice as many up to ``HUBS``), those outside its largest class first, are compared with the
-members of other classes they could match, and a bucket goes on until one class is left of those that had no turn. Two texts
-that share several buckets meet in the first of them only. So every link that could join two
+can still match: a shingle that no other open text has is in no intersection and in every union. In each further round
+``HUBS`` members of a bucket, those outside its largest class first, are compared with the members of other classes they
+could match, and a bucket goes on until one class is left of those that had no turn. Two texts that share several buckets
+meet in the first of them only, and not at all if their likenesses to the bucket's first member differ too much: weighted
+Jaccard distance obeys the triangle inequality. So every link that could join two
 classes is tested or ruled out, and none within a class is tested. Comparisons are exact on the shingle multisets (32-bit
 shingle hashes). Classes are connected components over the links, by minimum labels.
 
@@ -231,7 +232,7 @@ def relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
     return cut_lineage(labels.join(changed, "label", "left").select("nid", F.coalesce("new", "label").alias("label")))
 
 
-FIRST_HUBS, HUBS = 8, 128
+HUBS = 128
 
 
 def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", components: int = COMPONENTS, per_band: int = ROWS, least: float = SIMILAR) -> DataFrame:
@@ -253,7 +254,7 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
     bag_table = cut_lineage(once.join(wanted, "nid", "left_semi"))
     sides = [bag_table.select(F.col("nid").alias(s), F.col("bag").alias(f"bag_{s}"), F.col("weights").alias(f"weights_{s}")) for s in ("a", "b")]
 
-    verify = lambda pairs: cut_lineage(
+    verify = lambda pairs, least=least: cut_lineage(
         pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_verified(least), "a binary, b binary, alike double")
     )
     pair = [F.least("nid", "hub").alias("a"), F.greatest("nid", "hub").alias("b")]
@@ -264,9 +265,11 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
     hubs = waiting.join(degree, "nid").groupBy("bucket").agg(F.max_by("nid", F.struct("degree", "nid")).alias("hub"))
     first = cut_lineage(waiting.select("bucket", "nid").join(hubs, "bucket"))
     done = cut_lineage(first.filter("nid != hub").select(*pair).distinct())
-    labels = relabelled(wanted.withColumn("label", F.col("nid")), verify(done))
-    left = first.filter("nid != hub").select("bucket", "nid")
-    weights, hubs = None, FIRST_HUBS
+    measured = verify(done, 0.0)
+    labels = relabelled(wanted.withColumn("label", F.col("nid")), measured.filter(F.col("alike") >= least).select("a", "b"))
+    near = F.col("alike").alias("near")
+    left = cut_lineage(first.filter("nid != hub").select("bucket", "nid", *pair).join(measured, ["a", "b"]).select("bucket", "nid", near))
+    weights = None
     while True:
         rest = left.join(labels, "nid")
         still = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
@@ -285,19 +288,19 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
         largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
         # members outside the largest class come first: once they have had their turn, one class is left
         ranked = rest.join(largest, "bucket").withColumn("inside", F.col("label") == F.col("largest"))
-        turn = top_per_group(ranked, ["bucket"], [F.asc("inside"), F.asc("own"), F.asc("nid")], hubs)
-        hubs = min(2 * hubs, HUBS)
-        chosen = cut_lineage(turn.join(own_bands, "nid").select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ("label", "total", "own", "bands")], F.col("nid").alias("hub")))
+        turn = top_per_group(ranked, ["bucket"], [F.asc("inside"), F.asc("own"), F.asc("nid")], HUBS)
+        chosen = cut_lineage(turn.join(own_bands, "nid").select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ("label", "total", "own", "bands", "near")], F.col("nid").alias("hub")))
         possible = could_match(F.col("total"), F.col("own"), F.col("hub_total"), F.col("hub_own"), least)
         one, two = rest.join(own_bands, "nid").alias("one"), chosen.alias("two")
         # of all buckets two texts share, they meet in the first
         met_first = F.element_at(F.array_intersect("bands", "hub_bands"), 1) == F.col("one.bucket")
+        met_first &= F.abs(F.col("near") - F.col("hub_near")) <= 1 - least + 1e-9
         tested = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("label") != F.col("hub_label")) & possible & met_first)
         # two texts that met in a bucket before need no second comparison
         fresh = cut_lineage(tested.select(*pair).distinct().join(done, ["a", "b"], "left_anti"))
         done = done.unionByName(fresh)
         labels = relabelled(labels, verify(fresh))
-        left = cut_lineage(rest.select("bucket", "nid").join(chosen.select("bucket", F.col("hub").alias("nid")), ["bucket", "nid"], "left_anti"))
+        left = cut_lineage(rest.select("bucket", "nid", "near").join(chosen.select("bucket", F.col("hub").alias("nid")), ["bucket", "nid"], "left_anti"))
     labelled = nodes.drop("bands").join(labels, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     sums = labelled.groupBy("label").agg(
         F.min("doc_id").alias("class_id"), F.sum("n_copies").alias("class_size"), F.min_by("nid", F.struct(F.col("doc_id").isNull(), "doc_id", "nid")).alias("keeper")
