@@ -351,7 +351,7 @@ def settled(contexts: DataFrame, bucket: int) -> DataFrame:
 
 
 def _removed(length: int):
-    """doc_id, n_bytes, spans and kept digest from the repeated strings of each document."""
+    """doc_id, dk, n_bytes, spans and kept digest from the repeated strings of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = sides(length)
@@ -381,18 +381,23 @@ def _removed(length: int):
                 spans.append([{"start": s, "end": e} for s, e in merged])
                 digests.append(kept.hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(digests, pa.string())],
-                ["doc_id", "n_bytes", "removed", "kept_sha256"],
+                [batch.column("doc_id"), batch.column("dk"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(digests, pa.string())],
+                ["doc_id", "dk", "n_bytes", "removed", "kept_sha256"],
             )
 
     return run
 
 
+def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, text (nulls empty) and dk, the key that equal rows share."""
+    rows = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    return rows.withColumn("dk", row_key(F.col("doc_id"), F.col("text")))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET, text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, removed (byte spans, end exclusive) and kept_sha256 of every document."""
+    """doc_id, dk (see ``keyed``), n_bytes, removed (byte spans, end exclusive) and kept_sha256 of every document."""
     context = docs.sparkSession.sparkContext
-    rows = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("dk", row_key(F.col("doc_id"), F.col("text")))
+    rows = keyed(docs, text)
     found = cut_lineage(rows.select("dk", "text").mapInArrow(_found(length), "core long, un long, dk long, at long"))
     twice = found.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
     again = cut_lineage(found.join(twice, "core", "left_semi"))
@@ -415,7 +420,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
     layout = f"doc_id {kind}, dk long, text string"
     here = rows.select("doc_id", "dk", "text")
     none = F.lit(None).cast(hits.schema["hits"].dataType).alias("hits")
-    apart = here.mapInArrow(_marked(marks, False), layout).select("doc_id", "text", none)
-    moved = here.mapInArrow(_marked(marks, True), layout).join(hits, "dk", "left").select("doc_id", "text", "hits")
-    out = f"doc_id {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept_sha256 string"
+    apart = here.mapInArrow(_marked(marks, False), layout).select("doc_id", "dk", "text", none)
+    moved = here.mapInArrow(_marked(marks, True), layout).join(hits, "dk", "left").select("doc_id", "dk", "text", "hits")
+    out = f"doc_id {kind}, dk long, n_bytes long, removed array<struct<start:long,end:long>>, kept_sha256 string"
     return apart.mapInArrow(_removed(length), out).unionByName(moved.mapInArrow(_removed(length), out))

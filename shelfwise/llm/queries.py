@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import alignment, bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding, stringkernel, turnrepair
+from shelfwise.llm import alignment, bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding, stringkernel, turnrepair, wordruns
+from shelfwise.operators.keys import lookup
+from shelfwise.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,9 +211,12 @@ def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_repeats")
 def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    found = bwtmerge.repeated_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = cut_lineage(bwtmerge.repeated_spans(docs))
+    shared = cut_lineage(wordruns.shared_words(bwtmerge.keyed(docs).select("dk", "text")))
+    found = lookup(found, shared, "dk", ["doc_id", "kept_sha256"])
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256", F.coalesce("n_shared_words", F.lit(0)).cast("long").alias("n_shared_words"))
 
 
 _TEMPLATE_ROWS = ", ".join(f"('{name}', {number}, '{text}')" for number, (name, text) in enumerate(licenses.TEMPLATES))

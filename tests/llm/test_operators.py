@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding
+from shelfwise.llm import bagminhash, bwtmerge, cotraining, decontaminate, imatch, licenses, logbilinear, mixing, preference, sharding, wordruns
 
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -205,6 +205,39 @@ def test_repeats_equal_brute_force(spark, documents, text_of, bucket):
         assert bwtmerge.repeated_spans(documents(rows).limit(0)).count() == 0
 
 
+def brute_shared_words(rows, run):
+    runs = {}
+    for i, (doc_id, text) in enumerate(rows):
+        w = words(text)
+        for k in range(len(w) - run + 1):
+            runs.setdefault(tuple(w[k : k + run]), set()).add((doc_id, text or ""))
+    out = []
+    for doc_id, text in rows:
+        w = words(text)
+        hit = set()
+        for k in range(len(w) - run + 1):
+            if len(runs[tuple(w[k : k + run])]) > 1:
+                hit.update(range(k, k + run))
+        out.append((doc_id or -1, len(hit)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("run", [50, 20, 5])
+def test_shared_word_runs_equal_brute_force(spark, documents, text_of, run):
+    passage = text_of(1, 55)
+    rows = [(i, f"{text_of(20 + i, 10 + 7 * i)} {passage} {text_of(40 + i, 60)}") for i in range(5)]
+    rows += [(10 + i, near_copy(text_of(90, 260), 40 * i + 5, 40 * i + 25)) for i in range(5)]
+    rows += [(20, passage), (21, text_of(1, 50)), (22, text_of(1, 49)), (23, f"{text_of(5, 60)} {text_of(5, 60)}"), (24, None), (25, "")]
+    rows += [(26, text_of(6, 80)), (26, text_of(6, 80)), (27, text_of(7, 80)), (28, text_of(7, 80).upper().replace(" ", ", ")), (None, passage), (29, "a " * 200), (30, "a " * 120)]
+    rows += [(40, f"{text_of(91, 30)} {text_of(92, 70)}"), (41, f"{text_of(92, 70)} {text_of(93, 30)}"), (42, f"{text_of(94, 9)} {' '.join(text_of(92, 70).split()[12:63])} {text_of(95, 9)}")]
+    rows += [(50, f"{text_of(96, 150_000)} {passage}")]
+    keys = bwtmerge.keyed(documents(rows, dk="clash"))
+    found = keys.join(wordruns.shared_words(keys.select("dk", "text"), run), "dk", "left").select("doc_id", "n_shared_words").collect()
+    assert sorted((r.doc_id or -1, r.n_shared_words or 0) for r in found) == brute_shared_words(rows, run)
+    if run == 50:
+        assert wordruns.shared_words(keys.select("dk", "text").limit(0), run).count() == 0
+
+
 # 6 preference pairs
 
 
