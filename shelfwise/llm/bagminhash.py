@@ -14,7 +14,8 @@ can still match: a shingle that no other open text has is in no intersection and
 ``HUBS`` members of a bucket, those outside its largest class first, are compared with the members of other classes they
 could match, and a bucket goes on until one class is left of those that had no turn. Two texts that share several buckets
 meet in the first of them only, and not at all if their likenesses to the bucket's first member differ too much: weighted
-Jaccard distance obeys the triangle inequality. So every link that could join two
+Jaccard distance obeys the triangle inequality. Nor do they if they cannot share enough shingles even by the sums of their weights
+over ``PARTS`` parts of the hash range, of which two texts have at most the lesser in common. So every link that could join two
 classes is tested or ruled out, and none within a class is tested. Comparisons are exact on the shingle multisets (32-bit
 shingle hashes). Classes are connected components over the links, by minimum labels.
 
@@ -38,6 +39,7 @@ from shelfwise.session import cut_lineage
 
 SHINGLE, COMPONENTS, ROWS, SIMILAR = 5, 128, 4, 0.8
 BITMAP_BITS = 23
+PARTS = 128
 _SLICE = 8 << 20
 
 
@@ -148,15 +150,16 @@ def _bagged(bitmap):
                 hashes, weights, row = bags(part.column("__text"))
                 short = (hashes >> np.uint64(32)).astype(np.uint32)
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
-                packed, counted, totals = [], [], []
+                packed, counted, totals, parts = [], [], [], []
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     values, at = np.unique(short[a:b], return_inverse=True)
                     w = np.bincount(at, weights=weights[a:b], minlength=len(values)).astype(np.uint32)
                     packed.append(values.tobytes())
                     counted.append(b"" if (w == 1).all() else w.tobytes())
                     totals.append(int(w.sum()))
-                columns = [part.column("nid"), pa.array(packed, pa.binary()), pa.array(counted, pa.binary()), pa.array(totals, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["nid", "bag", "weights", "total"])
+                    parts.append(np.bincount(values % PARTS, weights=w, minlength=PARTS).astype(np.int32))
+                columns = [part.column("nid"), pa.array(packed, pa.binary()), pa.array(counted, pa.binary()), pa.array(totals, pa.int64()), pa.array(parts, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, ["nid", "bag", "weights", "total", "parts"])
 
     return run
 
@@ -191,6 +194,12 @@ def could_match(total: Column, own: Column, other_total: Column, other_own: Colu
     return common + 1e-9 >= least * union
 
 
+def parts_match(parts: Column, other: Column, total: Column, other_total: Column, least: float) -> Column:
+    """Whether the weights by part of the hash range, whose lesser ones bound what is common, allow the similarity."""
+    common = F.aggregate(F.zip_with(parts, other, lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda n, x: n + x)
+    return common + 1e-9 >= least * (total + other_total - common)
+
+
 def _verified(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,8 +258,8 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
     # every text that shares a bucket with another, with its shingles
     wanted = cut_lineage(waiting.select("nid").distinct())
     bitmap = spark.sparkContext.broadcast(bitmap_of(wanted.select(spot_of("nid").alias("spot")), BITMAP_BITS))
-    marked = source.select("nid", spot_of("nid").alias("spot"), "__text").mapInArrow(_bagged(bitmap), "nid binary, bag binary, weights binary, total long")
-    once = marked.groupBy("nid").agg(F.first("bag").alias("bag"), F.first("weights").alias("weights"), F.first("total").alias("total"))
+    marked = source.select("nid", spot_of("nid").alias("spot"), "__text").mapInArrow(_bagged(bitmap), "nid binary, bag binary, weights binary, total long, parts array<int>")
+    once = marked.groupBy("nid").agg(*[F.first(c).alias(c) for c in ("bag", "weights", "total", "parts")])
     bag_table = cut_lineage(once.join(wanted, "nid", "left_semi"))
     sides = [bag_table.select(F.col("nid").alias(s), F.col("bag").alias(f"bag_{s}"), F.col("weights").alias(f"weights_{s}")) for s in ("a", "b")]
 
@@ -259,7 +268,7 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
     )
     pair = [F.least("nid", "hub").alias("a"), F.greatest("nid", "hub").alias("b")]
 
-    own_bands = nodes.join(wanted, "nid", "left_semi").select("nid", "bands")
+    traits = nodes.select("nid", "bands").join(bag_table.select("nid", "parts"), "nid")
     # first round: everyone in a bucket against its member met most
     degree = waiting.groupBy("nid").agg(F.sum("size").alias("degree"))
     hubs = waiting.join(degree, "nid").groupBy("bucket").agg(F.max_by("nid", F.struct("degree", "nid")).alias("hub"))
@@ -289,13 +298,14 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
         # members outside the largest class come first: once they have had their turn, one class is left
         ranked = rest.join(largest, "bucket").withColumn("inside", F.col("label") == F.col("largest"))
         turn = top_per_group(ranked, ["bucket"], [F.asc("inside"), F.asc("own"), F.asc("nid")], HUBS)
-        chosen = cut_lineage(turn.join(own_bands, "nid").select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ("label", "total", "own", "bands", "near")], F.col("nid").alias("hub")))
+        chosen = cut_lineage(turn.join(traits, "nid").select("bucket", *[F.col(c).alias(f"hub_{c}") for c in ("label", "total", "own", "bands", "near", "parts")], F.col("nid").alias("hub")))
         possible = could_match(F.col("total"), F.col("own"), F.col("hub_total"), F.col("hub_own"), least)
-        one, two = rest.join(own_bands, "nid").alias("one"), chosen.alias("two")
+        one, two = rest.join(traits, "nid").alias("one"), chosen.alias("two")
         # of all buckets two texts share, they meet in the first
         met_first = F.element_at(F.array_intersect("bands", "hub_bands"), 1) == F.col("one.bucket")
         met_first &= F.abs(F.col("near") - F.col("hub_near")) <= 1 - least + 1e-9
-        tested = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("label") != F.col("hub_label")) & possible & met_first)
+        alike = parts_match(F.col("parts"), F.col("hub_parts"), F.col("total"), F.col("hub_total"), least)
+        tested = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("label") != F.col("hub_label")) & possible & met_first & alike)
         # two texts that met in a bucket before need no second comparison
         fresh = cut_lineage(tested.select(*pair).distinct().join(done, ["a", "b"], "left_anti"))
         done = done.unionByName(fresh)

@@ -174,6 +174,23 @@ def test_near_duplicates_equal_brute_force(spark, documents, text_of):
     assert bagminhash.classify(docs.limit(0)).count() == 0
 
 
+def test_part_sums_rule_out_no_similar_texts(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(400):
+        a = np.bincount(rng.integers(0, 300, 400), minlength=300) * rng.integers(0, 3, 300)
+        b = np.maximum(a + rng.integers(-1, 2, 300) * (rng.random(300) < rng.random() / 2), 0)
+        parts = [np.bincount(np.arange(300) % bagminhash.PARTS, weights=x, minlength=bagminhash.PARTS).astype(int).tolist() for x in (a, b)]
+        alike = float(np.minimum(a, b).sum() / np.maximum(a, b).sum())
+        rows.append((alike, *parts, int(a.sum()), int(b.sum())))
+    table = spark.createDataFrame(rows, "alike double, a array<int>, b array<int>, ta long, tb long")
+    kept = table.select("alike", bagminhash.parts_match(F.col("a"), F.col("b"), F.col("ta"), F.col("tb"), 0.8).alias("possible")).collect()
+    assert all(r.possible for r in kept if r.alike >= 0.8)
+    assert 0 < sum(r.alike >= 0.8 for r in kept) and not all(r.possible for r in kept)
+
+
 # 5 repeats
 
 
