@@ -97,7 +97,7 @@ CATEGORY_CODES = (("rings", "RNG"), ("necklaces", "NEC"), ("bracelets", "BRC"))
 CATEGORY_IDS = (("rings", 17), ("necklaces", 18), ("bracelets", 19))
 SKU_CATEGORY_CODES = ("RNG", "NEC", "BRC", "SET", "EAR")
 SKU_GENDER_CODES = ("W", "M", "U")
-SKU_PREFIX = "RAD"
+SKU_PREFIX = "SKU"
 
 # Import file columns
 IMPORT_COLUMNS = (

@@ -9,47 +9,70 @@ from shelfwise.functions import text as T
 
 _S = f"[{K.WHITESPACE}]*"
 
-# Text patterns per stone class, first match named in the evidence
-NO_STONE = tuple(f"{word}{_S}(?:نگین|سنگ)" for word in ("بدون", "فاقد", "بی"))
+# Text patterns per stone class, the first that matches is named in the evidence
+NO_STONE = (
+    r"بدون\s*(?:نگین|سنگ)",
+    r"فاقد\s*(?:نگین|سنگ)",
+    r"بی\s*(?:نگین|سنگ)",
+)
 LARGE_STONE = (
-    f"(?:نگین|سنگ){_S}(?:بسیار{_S})?(?:درشت|بزرگ)",
-    f"(?:درشت|بزرگ){_S}(?:نگین|سنگ)",
-    f"(?:فیروزه|عقیق|اونیکس|یاقوت|زمرد){_S}(?:درشت|بزرگ)",
+    r"(?:نگین|سنگ)\s*(?:بسیار\s*)?(?:درشت|بزرگ)",
+    r"(?:درشت|بزرگ)\s*(?:نگین|سنگ)",
+    r"(?:فیروزه|عقیق|اونیکس|یاقوت|زمرد)\s*(?:درشت|بزرگ)",
 )
 SMALL_STONE = (
-    f"(?:نگین|سنگ){_S}(?:ریز|کوچک)",
-    f"(?:ریز|کوچک){_S}(?:نگین|سنگ)",
-    f"نگین{_S}کاری{_S}(?:ریز|ظریف)",
+    r"(?:نگین|سنگ)\s*(?:ریز|کوچک)",
+    r"(?:ریز|کوچک)\s*(?:نگین|سنگ)",
+    r"نگین\s*کاری\s*(?:ریز|ظریف)",
 )
 ANY_STONE = "نگین|سنگ|فیروزه|عقیق|اونیکس|یاقوت|زمرد|agate|turquoise|onyx|gem"
 TITLE_NO_STONE = f"(?:بدون|فاقد|بی){_S}(?:نگین|سنگ)"
 TITLE_LARGE_STONE = "(?:نگین|عقیق).{0,20}(?:درشت|بزرگ)|(?:درشت|بزرگ).{0,20}(?:نگین|عقیق)"
 
 
+# Evidence where no pattern is named
+EVIDENCE_MENTION = "text mentions a stone but does not establish size"
+EVIDENCE_RINGS = "gemstone pricing classification applies only to rings"
+EVIDENCE_NONE = "no explicit text or readable image evidence"
+
+
+def _regex(pattern: str) -> str:
+    return pattern.replace("\\s*", _S)
+
+
 def _any(text: Column, patterns: tuple[str, ...]) -> Column:
-    return text.rlike("|".join(patterns))
+    return text.rlike("|".join(map(_regex, patterns)))
+
+
+def _first_match(text: Column, patterns: tuple[str, ...]) -> Column:
+    return F.coalesce(*[F.when(text.rlike(_regex(p)), F.lit(p)) for p in patterns])
+
+
+def _verdict(stone_class: str, confidence: float, source: str, review: bool, *evidence: Column) -> Column:
+    return F.struct(
+        F.lit(stone_class).alias("stone_class"),
+        F.lit(confidence).alias("confidence"),
+        F.lit(source).alias("source"),
+        F.lit(review).alias("review"),
+        F.array_compact(F.array(*evidence)).alias("evidence"),
+    )
 
 
 def classify_text(*parts: Column) -> Column:
-    """struct(stone_class, confidence, source, review); null when the text says nothing about stones."""
+    """struct(stone_class, confidence, source, review, evidence); null when the text says nothing about stones."""
     text = T.classifier_text(*parts)
     none, large, small = _any(text, NO_STONE), _any(text, LARGE_STONE), _any(text, SMALL_STONE)
     hits = none.cast("int") + large.cast("int") + small.cast("int")
 
-    def verdict(stone_class: str, confidence: float, source: str, review: bool) -> Column:
-        return F.struct(
-            F.lit(stone_class).alias("stone_class"),
-            F.lit(confidence).alias("confidence"),
-            F.lit(source).alias("source"),
-            F.lit(review).alias("review"),
-        )
-
+    named = (("no_stone", NO_STONE), ("large_stone", LARGE_STONE), ("small_stone", SMALL_STONE))
+    each = [F.concat(F.lit(f"matched {name}: "), _first_match(text, patterns)) for name, patterns in named]
+    clear = {name: F.concat(F.lit("matched explicit text pattern: "), _first_match(text, patterns)) for name, patterns in named}
     return (
-        F.when(hits > 1, verdict("uncertain", 0.25, "text_conflict", True))
-        .when(none, verdict("no_stone", 0.98, "text", False))
-        .when(large, verdict("large_stone", 0.92, "text", False))
-        .when(small, verdict("small_stone", 0.94, "text", False))
-        .when(text.rlike(ANY_STONE), verdict("uncertain", 0.55, "text_generic", True))
+        F.when(hits > 1, _verdict("uncertain", 0.25, "text_conflict", True, *each))
+        .when(none, _verdict("no_stone", 0.98, "text", False, clear["no_stone"]))
+        .when(large, _verdict("large_stone", 0.92, "text", False, clear["large_stone"]))
+        .when(small, _verdict("small_stone", 0.94, "text", False, clear["small_stone"]))
+        .when(text.rlike(ANY_STONE), _verdict("uncertain", 0.55, "text_generic", True, F.lit(EVIDENCE_MENTION)))
     )
 
 
@@ -62,26 +85,18 @@ def classify_images(readable: Column, qualifying: Column) -> Column:
         F.when(agreed, confidence).when(readable > 0, 0.30).otherwise(0.0).alias("confidence"),
         F.lit("multi_image_heuristic").alias("source"),
         F.when(agreed, False).otherwise(True).alias("review"),
+        F.array(F.concat_ws(" ", qualifying.cast("string"), F.lit("of"), readable.cast("string"), F.lit("readable views qualify"))).alias("evidence"),
     )
 
 
 def classify_product(category: Column, text_parts: list[Column], readable: Column, qualifying: Column, images: Column) -> Column:
-    """Rings only; explicit text wins over images, images over nothing."""
+    """Rings only; explicit text wins over images, images over nothing. ``evidence`` says what decided."""
     is_ring = F.lower(T.strip(T.text_or_empty(category))) == "rings"
-
-    def fixed(confidence: float, source: str, review: bool) -> Column:
-        return F.struct(
-            F.lit("uncertain").alias("stone_class"),
-            F.lit(confidence).alias("confidence"),
-            F.lit(source).alias("source"),
-            F.lit(review).alias("review"),
-        )
-
     return F.coalesce(
-        F.when(~is_ring, fixed(1.0, "not_applicable", False)),
+        F.when(~is_ring, _verdict("uncertain", 1.0, "not_applicable", False, F.lit(EVIDENCE_RINGS))),
         classify_text(*text_parts),
         F.when(images > 0, classify_images(readable, qualifying)),
-        fixed(0.0, "insufficient_evidence", True),
+        _verdict("uncertain", 0.0, "insufficient_evidence", True, F.lit(EVIDENCE_NONE)),
     )
 
 

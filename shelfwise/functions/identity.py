@@ -76,6 +76,11 @@ def extract_code(title: Column, visible_text: Column) -> Column:
     return F.coalesce(token(visible_text, EXPLICIT_CODE), token(title, CODE_MARK), token(visible_text, CODE_MARK))
 
 
+def base64_text(value: Column) -> Column:
+    """Base64 of the UTF-8 bytes on one line, the form in which a code is passed on safely."""
+    return F.replace(F.base64(F.encode(value, "UTF-8")), F.lit("\r\n"))
+
+
 def code_to_sku(code: Column) -> Column:
     """struct(code_raw, code, sku, normalized, reason, review)."""
     raw = T.strip(T.text_or_empty(code))

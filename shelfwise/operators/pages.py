@@ -18,12 +18,11 @@ from shelfwise.functions.htmlwalk import walk_page
 from shelfwise.operators.keys import HOT_ROWS, lookup
 from shelfwise.operators.staging import computed
 
-_PAIR = "array<struct<label:string,value:string>>"
 PAGE_FIELDS = (
     "page_id bigint, url string, heading string, body_text string, price_parts array<string>, description_text string, "
     "meta_description string, jsonld_name string, jsonld_description string, jsonld_price string, jsonld_currency string, "
     "links array<struct<href:string,text:string>>, photos array<string>, gallery array<string>, gallery_marked boolean, "
-    f"spec_chunks array<string>, spec_pairs {_PAIR}, walk_error string"
+    "spec_chunks array<string>, cell_runs array<struct<heading:string,cells:array<string>>>, walk_error string"
 )
 _STOP = f"(?s)\\n[{K.WHITESPACE}]*(?:توضیحات|نظرات|دیدگاه|محصولات مرتبط)[{K.WHITESPACE}]*\\n.*"
 _LABEL_EDGE = " .،؛:：-"
@@ -136,7 +135,8 @@ def photo_urls(photos: Column, site_host: str) -> Column:
 
 def gallery_urls(gallery: Column, marked: Column, site_host: str) -> Column:
     """Canonical gallery in page order: product paths win, others only on pages marked as a product."""
-    canonical = F.array_distinct(F.array_compact(F.transform(gallery, lambda u: U.canonical_image_url(u, site_host))))
+    encoded = F.transform(gallery, U.iri_to_uri)
+    canonical = F.array_distinct(F.array_compact(F.transform(encoded, lambda u: U.canonical_image_url(u, site_host))))
     wanted = F.filter(canonical, lambda u: ~F.lower(U.base_name(U.path(u))).rlike(_SKIP_NAMES))
     targeted = F.filter(wanted, lambda u: F.lower(U.path(u)).rlike(_PRODUCT_PATHS))
     other = F.filter(wanted, lambda u: ~F.lower(U.path(u)).rlike(_PRODUCT_PATHS))
@@ -150,6 +150,17 @@ def split_spec_text(chunk: Column) -> Column:
     return F.split(dots, f"[{K.WHITESPACE}]*·[{K.WHITESPACE}]*|[\\r\\n]+")
 
 
+def cell_pairs(runs: Column) -> Column:
+    """Labels and values of tables and description lists: a heading cell and the cells after it, two by two."""
+    def paired(run: Column) -> Column:
+        cells = F.concat(F.filter(F.array(run["heading"]), lambda heading: heading != ""), run["cells"])
+        labels, values = F.filter(cells, lambda _, i: i % 2 == 0), F.filter(cells, lambda _, i: i % 2 == 1)
+        both = F.zip_with(labels, values, lambda label, value: F.struct(label.alias("label"), value.alias("value")))
+        return F.filter(both, lambda pair: pair["value"].isNotNull())
+
+    return F.flatten(F.transform(runs, paired))
+
+
 def _clean_pairs(rows: DataFrame, label_max: int | None, value_max: int | None) -> DataFrame:
     """Normalised labels and values; longer ones than asked for are left out."""
     label = F.trim(T.normalize_text(F.col("raw_label")), F.lit(_LABEL_EDGE))
@@ -192,7 +203,7 @@ def spec_rows(walked: DataFrame, label_max: int | None = K.SPEC_LABEL_MAX, value
         )
     )
     cells = F.transform(
-        "spec_pairs",
+        cell_pairs(F.col("cell_runs")),
         lambda pair, i: F.struct(
             F.lit(_PAIRS_BLOCK).alias("block"), i.alias("position"), pair["label"].alias("label"), pair["value"].alias("value")
         ),

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions import parsing as P, pricing as R, text as T
-from shelfwise.functions.classify import classify_product
+from shelfwise.functions.classify import EVIDENCE_MENTION, EVIDENCE_NONE, classify_product
 from shelfwise.operators.importing import blocked_action
 
-# Review texts
-TEXT_MENTION = "text mentions a stone but does not establish size"
+# Review texts, and characters of a description shown as the short one
 IMAGES_UNCLEAR = "images do not establish stone size with high confidence"
-NO_EVIDENCE = "no explicit text or readable image evidence"
 MIXED_TEXT = "conflicting stone patterns in text"
+SHORT_LENGTH = 500
 
 
 def with_safe_price(df: DataFrame, category: str, stone_class: str, confidence: str, weight: str, legacy_price: str) -> DataFrame:
@@ -67,12 +66,12 @@ def with_safe_price(df: DataFrame, category: str, stone_class: str, confidence:
     return staged.withColumn("price", price).drop("__confidence", "__weight", "__legacy", "__rate", "__raw")
 
 
-def prepare(products: DataFrame, qa_run: bool) -> DataFrame:
+def prepare(products: DataFrame, qa_run: bool, short_length: int = SHORT_LENGTH) -> DataFrame:
     """Assemble prepared products.
 
     ``products``: legacy_id, code, sku, title, category, short_description, description, weight_text,
     legacy_price_text, images, missing_images, readable_views, qualifying_views, qa_status, featured_approved,
-    review_reasons.
+    review_reasons. A product without a short description shows the first ``short_length`` characters of its description.
     """
     named = (
         products.withColumn("title", T.strip(T.text_or_empty(F.col("title"))))
@@ -96,9 +95,9 @@ def prepare(products: DataFrame, qa_run: bool) -> DataFrame:
     evidence = F.when(
         F.col("stone.review"),
         F.when(F.col("stone.source") == "text_conflict", MIXED_TEXT)
-        .when(F.col("stone.source") == "text_generic", TEXT_MENTION)
+        .when(F.col("stone.source") == "text_generic", EVIDENCE_MENTION)
         .when(F.col("stone.source") == "multi_image_heuristic", IMAGES_UNCLEAR)
-        .otherwise(NO_EVIDENCE),
+        .otherwise(EVIDENCE_NONE),
     )
     qa_failed = F.lit(qa_run) & (F.coalesce("qa_status", F.lit("FAIL")) != "PASS")
     reasons = F.array_distinct(
@@ -128,7 +127,7 @@ def prepare(products: DataFrame, qa_run: bool) -> DataFrame:
         F.col("missing_images"),
         F.lit(qa_run),
     )
-    short = F.coalesce(F.nullif("__short", F.lit("")), F.nullif(F.substring("__description", 1, 500), F.lit("")), F.col("title"))
+    short = F.coalesce(F.nullif("__short", F.lit("")), F.nullif(F.substring("__description", 1, short_length), F.lit("")), F.col("title"))
     return (
         priced.withColumn("review_reasons", reasons)
         .withColumn("requires_review", F.size("review_reasons") > 0)

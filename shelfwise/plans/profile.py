@@ -1,4 +1,4 @@
-"""Catalog profile: every result frame of the report over one set of typed rows."""
+"""Catalog profile: every result frame of the report over one set of typed rows, parsed and written once."""
 
 from __future__ import annotations
 
@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 
 from shelfwise import constants as K
 from shelfwise.operators import profile as P
+from shelfwise.session import cut_lineage
 
 
 def run(cells: DataFrame) -> dict[str, DataFrame]:
-    rows = P.catalog_rows(P.drop_blank_rows(cells))
+    rows = cut_lineage(P.catalog_rows(P.drop_blank_rows(cells)))
     valid = P.valid_rows(rows)
     counts = P.category_counts(valid)
     return {

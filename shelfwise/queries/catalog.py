@@ -327,15 +327,26 @@ def catalog_scan(spark, folder):
     return read.select("row_no", "id_cell", "title_cell", "category_cell", "price_cell", "weight_cell", "code_cell", "seo_description_cell")
 
 
-@query("catalog_report", _PLAN + """
-SELECT row_no, CAST(legacy_id AS VARCHAR) AS legacy_product_id, sku AS current_sku, coalesce(CAST(final_price AS VARCHAR), '') AS final_price_toman,
-  regexp_replace(review_flags, '[|]', ' | ', 'g') AS review_flags, CAST(stock AS VARCHAR) AS stock, 'MISSING' AS weight_default FROM plan""")
+# What the report shows of a planned record; a record without a page shows the rest as its layout says
+_SHOWN = {
+    "new_public_title": "p.title", "title": "p.title", "title_cleanup_applied": "CASE WHEN p.title_status = 'CLEANED' THEN 'True' ELSE 'False' END",
+    "title_cleanup_status": "p.title_status", "extracted_title_code": "p.title_code", "current_sku": "p.sku", "sku": "p.sku", "sku_source": "p.sku_source",
+    "sku_title_match": "p.sku_title_match", "legacy_product_id": "p.legacy_id", "legacy_id": "p.legacy_id", "legacy_raw_code": "trim(q.code_cell)",
+    "identity_key": "p.identity_key", "category_raw": "q.category", "category": "p.category", "weight_grams": "rtrim(rtrim(CAST(q.w AS VARCHAR), '0'), '.')",
+    "excel_price_toman": "p.sheet_price", "pre_discount_price_toman": "p.pre_discount_price", "computed_price_toman": "CASE WHEN p.sheet_price IS NOT NULL THEN CAST(q.w * p.rate_used AS BIGINT) END",
+    "final_price_toman": "p.final_price", "regular_price_toman": "p.final_price", "price_source": "p.price_source", "rate_used": "p.rate_used",
+    "stone_class": "p.stone_class", "weight_source": "CASE WHEN q.w IS NULL THEN 'MISSING' ELSE 'EXCEL' END", "stock": "p.stock",
+    "review_flags": "replace(p.review_flags, '|', ' | ')", "specs_found_count": "'0'", "images_found": "'0'", "price_changed": "'False'", "description_source": "'SEO_FALLBACK'",
+    "wp_id": "''", "old_public_title": "''", "legacy_url": "''", "description_updated": "''", "stone_type": "''", "stone_color": "''", "band_type": "''",
+    "silver_purity": "''", "spec_weight": "''", "unknown_spec_labels_seen": "''", "image_status": "''", "image_discovery_strategy": "''", "action": "''",
+    "wordpress_product_id": "''",
+}
+
+
+@query("catalog_report", _PLAN + "SELECT p.row_no, " + ", ".join(f"coalesce(CAST({shown} AS VARCHAR), '') AS {name}" for name, shown in _SHOWN.items())
+    + " FROM plan p JOIN priced q ON p.row_no = q.row_no")
 def catalog_report(spark, folder):
     from shelfwise.operators.prepared import SHEET_REPORT, report
 
-    records = _records(spark, folder).drop("weight_source")
-    shown = report(records, (("row_no", "row_no", ""), *SHEET_REPORT[:44]))
-    return shown.select(
-        F.col("row_no").cast("bigint").alias("row_no"), "legacy_product_id", "current_sku", "final_price_toman", "review_flags", "stock",
-        F.col("weight_source").alias("weight_default"),
-    )
+    shown = report(_records(spark, folder), (("row_no", "row_no", ""), *SHEET_REPORT))
+    return shown.withColumn("row_no", F.col("row_no").cast("bigint"))

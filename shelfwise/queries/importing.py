@@ -30,7 +30,7 @@ typed AS (
 ruled AS (
   SELECT *,
     CASE WHEN contains(k, 'SAMPLE') THEN 'SAMPLE row detected; replace sample SKU/content before import'
-      WHEN NOT regexp_matches(k, '^RAD-(RNG|NEC|BRC)-(W|M|U)-[0-9]{{4,}}$') THEN 'sku must match RAD-(RNG|NEC|BRC)-(W|M|U)-NNNN' END AS early,
+      WHEN NOT regexp_matches(k, '^SKU-(RNG|NEC|BRC)-(W|M|U)-[0-9]{{4,}}$') THEN 'sku must match SKU-(RNG|NEC|BRC)-(W|M|U)-NNNN' END AS early,
     CASE WHEN trim(title_fa) = '' THEN 'title_fa is required' WHEN short_description = '' THEN 'short_description is required'
       WHEN long_description = '' THEN 'long_description is required'
       WHEN cat NOT IN ('rings', 'necklaces', 'bracelets') THEN 'category must be rings, necklaces, or bracelets'
@@ -105,7 +105,7 @@ def import_prices(spark, folder):
     return M.price_rows(fine, V.rate(spark)).select("row_number", "sku", "price")
 
 
-_STORE_SKUS = "SELECT p_partkey + 90000 AS product_id, concat('RAD-RNG-U-', CAST(p_partkey * 2 + 10000 AS STRING)) AS sku FROM {part}"
+_STORE_SKUS = "SELECT p_partkey + 90000 AS product_id, concat('SKU-RNG-U-', CAST(p_partkey * 2 + 10000 AS STRING)) AS sku FROM {part}"
 
 
 @query("import_actions", _VALIDATED + f""", known AS ({V.as_sql(_STORE_SKUS)})

@@ -65,16 +65,25 @@ _TITLES = """SELECT p_partkey AS id, concat(p_name, ' ', CASE p_size % 10 WHEN 0
   WHEN 3 THEN 'عقيق بزرگ' WHEN 4 THEN 'سنگ' WHEN 5 THEN 'agate' WHEN 6 THEN 'بی نگین و سنگ درشت' WHEN 7 THEN 'نگین کاری ظریف' ELSE 'ساده' END) AS title FROM {part}"""
 
 
+def _first(text: str, patterns: tuple[str, ...]) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({text}, '{p}') THEN '{p}'" for p in patterns) + " END"
+
+
 @query("stone_text_classes", f"""WITH t AS ({V.as_sql(_TITLES)}), n AS (SELECT id, translate(lower(title), 'يك', 'یک') AS t FROM t),
 h AS (SELECT *, regexp_matches(t, '(بدون|فاقد|بی) *(نگین|سنگ)') AS a,
   regexp_matches(t, '(نگین|سنگ) *(بسیار *)?(درشت|بزرگ)|(درشت|بزرگ) *(نگین|سنگ)|(فیروزه|عقیق|اونیکس|یاقوت|زمرد) *(درشت|بزرگ)') AS b,
   regexp_matches(t, '(نگین|سنگ) *(ریز|کوچک)|(ریز|کوچک) *(نگین|سنگ)|نگین *کاری *(ریز|ظریف)') AS c,
   regexp_matches(t, 'نگین|سنگ|فیروزه|عقیق|اونیکس|یاقوت|زمرد|agate|turquoise|onyx|gem') AS g FROM n)
 SELECT id, CASE WHEN CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) > 1 THEN 'uncertain' WHEN a THEN 'no_stone' WHEN b THEN 'large_stone' WHEN c THEN 'small_stone' WHEN g THEN 'uncertain' END AS stone_class,
-  CASE WHEN CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) > 1 THEN 0.25 WHEN a THEN 0.98 WHEN b THEN 0.92 WHEN c THEN 0.94 WHEN g THEN 0.55 END::DOUBLE AS confidence FROM h""")
+  CASE WHEN CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) > 1 THEN 0.25 WHEN a THEN 0.98 WHEN b THEN 0.92 WHEN c THEN 0.94 WHEN g THEN 0.55 END::DOUBLE AS confidence,
+  CASE WHEN CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) > 1
+      THEN concat_ws(' | ', 'matched no_stone: ' || {_first("t", C.NO_STONE)}, 'matched large_stone: ' || {_first("t", C.LARGE_STONE)}, 'matched small_stone: ' || {_first("t", C.SMALL_STONE)})
+    WHEN a OR b OR c THEN concat('matched explicit text pattern: ', coalesce({_first("t", C.NO_STONE)}, {_first("t", C.LARGE_STONE)}, {_first("t", C.SMALL_STONE)}))
+    WHEN g THEN 'text mentions a stone but does not establish size' END AS evidence FROM h""")
 def stone_text_classes(spark, folder):
     verdict = V.view(spark, folder, _TITLES).withColumn("v", C.classify_text(F.col("title")))
-    return verdict.select("id", F.col("v.stone_class").alias("stone_class"), F.col("v.confidence").alias("confidence"))
+    evidence = F.when(F.col("v").isNotNull(), F.concat_ws(" | ", "v.evidence"))
+    return verdict.select("id", F.col("v.stone_class").alias("stone_class"), F.col("v.confidence").alias("confidence"), evidence.alias("evidence"))
 
 
 _PREPARE = f"""SELECT p_partkey AS id, CASE WHEN p_partkey % 31 = 0 THEN '' ELSE CAST(p_partkey AS STRING) END AS legacy_id, CAST(p_partkey % 900 AS STRING) AS code,
@@ -98,18 +107,61 @@ SELECT id, stone_class, stone_source, final_price, p_desc AS short_description,
   CASE WHEN qa_status = 'PASS' THEN 'OPTIMIZED_OUTPUT_APPROVED' ELSE 'UNTOUCHED_ORIGINAL_FALLBACK' END AS image_action
 FROM (SELECT *, description AS p_desc FROM f)""")
 def prepared_products(spark, folder):
-    rows = V.view(spark, folder, _PREPARE).withColumn("review_reasons", F.array().cast("array<string>"))
-    done = Q.prepare(rows, qa_run=True)
-    return done.select(
+    return _prepared(spark, folder).select(
         "id", F.col("stone.stone_class").alias("stone_class"), F.col("stone.source").alias("stone_source"),
         F.col("price.final_price").alias("final_price"), "short_description", "import_action", "image_action",
     )
 
 
-@query("prepared_summary", f"""WITH p AS ({V.as_sql(_PREPARE)}) SELECT count(*) AS rows, count(*) FILTER (qa_status <> 'PASS') AS fallbacks FROM p""")
-def prepared_summary(spark, folder):
+_PREPARED = f"""WITH p AS ({V.as_sql(_PREPARE)}),
+s AS (SELECT *, lower(category) AS cat, lower(category) = 'rings' AS ring, contains(title, 'بدون نگین') AS none, contains(title, 'نگین') AS mention,
+  qualifying_views >= 2 AND qualifying_views * 100 >= readable_views * 66 AS vote, qa_status <> 'PASS' AS refused,
+  TRY_CAST(nullif(weight_text, '') AS BIGINT) AS w, TRY_CAST(nullif(legacy_price_text, '') AS BIGINT) AS l FROM p),
+c AS (SELECT *, CASE WHEN NOT ring THEN 'not_applicable' WHEN none THEN 'text' WHEN mention THEN 'text_generic' WHEN images > 0 THEN 'multi_image_heuristic' ELSE 'insufficient_evidence' END AS how FROM s),
+k AS (SELECT *, CASE WHEN how = 'text' THEN 'no_stone' WHEN how = 'multi_image_heuristic' AND vote THEN 'large_stone' ELSE 'uncertain' END AS stone FROM c),
+r AS (SELECT *, CASE WHEN ring AND stone = 'large_stone' THEN 590000 ELSE 650000 END AS rate FROM k),
+m AS (SELECT *, w * rate AS raw, greatest(l, w * rate) AS chosen FROM r),
+x AS (SELECT *, CAST(ceil(chosen / 50000.0) AS BIGINT) * 50000 AS final,
+  CASE WHEN chosen IS NULL OR cat = 'watches' OR legacy_id = '' OR sku = '' OR images = 0 OR missing_images > 0 THEN 'SKIP_INVALID_REVIEW' ELSE 'CREATE_DRAFT' END AS action,
+  concat_ws(' | ',
+    CASE WHEN how = 'text_generic' THEN 'text mentions a stone but does not establish size' WHEN how = 'multi_image_heuristic' AND NOT vote THEN '{Q.IMAGES_UNCLEAR}'
+      WHEN how = 'insufficient_evidence' THEN 'no explicit text or readable image evidence' END,
+    CASE WHEN cat = 'watches' THEN '{R.WARN_CATEGORY}' WHEN ring AND stone = 'uncertain' THEN '{R.WARN_SIZE}' END,
+    CASE WHEN l IS NULL AND raw IS NOT NULL THEN '{R.WARN_NO_PRICE}' WHEN l IS NOT NULL AND raw IS NULL THEN '{R.WARN_NO_WEIGHT}' WHEN l IS NULL THEN '{R.WARN_NOTHING}' END,
+    CASE WHEN abs(l - raw) * 100 >= greatest(1, least(l, raw)) * 30 AND l IS NOT NULL AND raw IS NOT NULL THEN CASE WHEN l > raw THEN '{R.FLAG_ABOVE}' ELSE '{R.FLAG_BELOW}' END END,
+    CASE WHEN cat = 'watches' THEN 'unsupported category' END, CASE WHEN chosen IS NULL THEN 'no safe final price' END, CASE WHEN images = 0 THEN 'no archived original images' END,
+    CASE WHEN missing_images > 0 THEN 'archived original image missing' END, CASE WHEN refused THEN 'optimized media rejected; original selected' END) AS reasons FROM m)
+"""
+
+
+def _prepared(spark, folder):
     rows = V.view(spark, folder, _PREPARE).withColumn("review_reasons", F.array().cast("array<string>"))
-    return Q.report_summary(Q.prepare(rows, qa_run=True)).select("rows", "fallbacks")
+    return Q.prepare(rows, qa_run=True)
+
+
+@query("prepared_summary", _PREPARED + """SELECT count(*) AS rows, count(*) FILTER (reasons <> '') AS needing_review,
+  count(*) FILTER (refused) AS fallbacks, count(*) FILTER (action = 'CREATE_DRAFT') AS creatable FROM x""")
+def prepared_summary(spark, folder):
+    return Q.report_summary(_prepared(spark, folder))
+
+
+_LINE = {
+    "legacy_id": "legacy_id", "legacy_code_raw": "''", "legacy_code": "code", "sku": "sku", "product_url": "''", "title": "title", "category": "cat", "weight_grams": "w",
+    "legacy_price_toman": "l", "stone_class": "stone", "stone_confidence": """CASE how WHEN 'not_applicable' THEN '1.0' WHEN 'text' THEN '0.98' WHEN 'text_generic' THEN '0.55'
+      WHEN 'insufficient_evidence' THEN '0.0' ELSE CASE WHEN NOT vote THEN '0.3' WHEN qualifying_views = 2 THEN '0.85' ELSE '0.87' END END""",
+    "stone_source": "how", "rate_toman_per_gram": "rate", "calculated_price_toman": "raw", "selected_pre_round_toman": "chosen", "final_price_toman": "final",
+    "selection_reason": """CASE WHEN chosen IS NULL THEN 'INVALID_DATA_REVIEW' WHEN l IS NULL THEN 'LEGACY_MISSING_USED_CALCULATED' WHEN raw IS NULL THEN 'WEIGHT_MISSING_USED_LEGACY_REVIEW'
+      WHEN l > raw THEN 'LEGACY_PRICE_HIGHER' WHEN raw > l THEN 'CALCULATED_FLOOR_HIGHER' ELSE 'EQUAL' END""",
+    "image_qa_status": "qa_status", "optimized_featured_approved": "'False'", "image_integrity_action": "CASE WHEN refused THEN 'UNTOUCHED_ORIGINAL_FALLBACK' ELSE 'OPTIMIZED_OUTPUT_APPROVED' END",
+    "conflict": "''", "requires_review": "CASE WHEN reasons <> '' THEN 'True' ELSE 'False' END", "review_reasons": "reasons", "import_action": "action",
+    "wordpress_product_id": "''", "attachment_ids": "''",
+}
+
+
+@query("prepared_report", _PREPARED + "SELECT id, " + ", ".join(f"coalesce(CAST({shown} AS VARCHAR), '') AS {name}" for name, shown in _LINE.items()) + " FROM x")
+def prepared_report(spark, folder):
+    lines = Q.report(_prepared(spark, folder), (("id", "id", ""), *Q.PREPARED_REPORT))
+    return lines.withColumn("id", F.col("id").cast("bigint"))
 
 
 _CODES = """SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN concat('AB-', CAST(p_partkey AS STRING), '.7') WHEN 1 THEN concat(' ', CAST(p_partkey AS STRING), ' ')
@@ -127,6 +179,12 @@ def code_to_sku(spark, folder):
     return coded.select("id", F.col("i.reason").alias("reason"), F.col("i.sku").alias("sku"))
 
 
+@query("encoded_codes", f"""WITH c AS ({V.as_sql(_CODES)}) SELECT id, to_base64(encode(code)) AS encoded, to_base64(encode(repeat(code, 20))) AS encoded_long FROM c""")
+def encoded_codes(spark, folder):
+    codes = V.view(spark, folder, _CODES)
+    return codes.select("id", I.base64_text(F.col("code")).alias("encoded"), I.base64_text(F.repeat("code", 20)).alias("encoded_long"))
+
+
 @query("amount_texts", """
 SELECT o_orderkey AS id, translate(format('{:,}', CAST(floor(o_totalprice) AS BIGINT) - 200000), '0123456789', '۰۱۲۳۴۵۶۷۸۹') AS toman FROM orders""")
 def amount_texts(spark, folder):
@@ -134,19 +192,26 @@ def amount_texts(spark, folder):
 
 
 @query("media_vote", """
-WITH v AS (SELECT label AS product_id, vec_id % 7 <> 0 AS readable, abs(CAST(embedding[1] AS DOUBLE)) AS share, abs(CAST(embedding[2] AS DOUBLE)) * 40 AS concentration FROM embeddings),
+WITH l AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 1000) AS BIGINT)) AS levels FROM embeddings),
+t AS (SELECT *, len(levels) AS n, CAST(list_sum(levels) AS BIGINT) AS total FROM l),
+v AS (SELECT vec_id // 5 AS product_id, vec_id % 7 <> 0 AS readable, CAST(len(list_filter(levels, lambda x: x * n > 2 * total)) AS DOUBLE) / n AS share,
+  CAST(list_max(levels) * n AS DOUBLE) / total AS concentration FROM t),
 n AS (SELECT product_id, count(*) AS views, count(*) FILTER (readable) AS readable, count(*) FILTER (readable AND share BETWEEN 0.008 AND 0.12 AND concentration >= 1.8) AS qualifying FROM v GROUP BY product_id),
 a AS (SELECT *, readable >= 2 AND qualifying >= 2 AND qualifying * 100 >= readable * 66 AS agreed FROM n)
 SELECT product_id, views, readable, qualifying, CASE WHEN agreed THEN 'large_stone' ELSE 'uncertain' END AS stone_class,
-  CASE WHEN agreed THEN least(0.89, round(0.85 + 0.02 * (qualifying - 2), 2)) WHEN readable > 0 THEN 0.3 ELSE 0.0 END::DOUBLE AS confidence, 'multi_image_heuristic' AS source, NOT agreed AS review FROM a""")
+  CASE WHEN agreed THEN least(0.89, round(0.85 + 0.02 * (qualifying - 2), 2)) WHEN readable > 0 THEN 0.3 ELSE 0.0 END::DOUBLE AS confidence, 'multi_image_heuristic' AS source, NOT agreed AS review, concat(qualifying, ' of ', readable, ' readable views qualify') AS evidence FROM a""")
 def media_vote(spark, folder):
-    def at(i):
-        return F.abs(F.get("embedding", i).cast("double"))
-
-    views = table(spark, folder, "embeddings").select(
-        F.col("label").alias("product_id"), (F.col("vec_id") % 7 != 0).alias("readable"), at(0).alias("share"), (at(1) * 40).alias("concentration")
+    levels = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 1000))
+    rows = computed(table(spark, folder, "embeddings").select("vec_id", "embedding"), levels=levels, n=F.size("embedding"))
+    summed = computed(rows, total=F.aggregate("levels", F.lit(0).cast("bigint"), lambda acc, x: acc + x))
+    strong = F.size(F.filter("levels", lambda x: x * F.col("n") > 2 * F.col("total")))
+    views = summed.select(
+        F.expr("vec_id div 5").alias("product_id"),
+        (F.col("vec_id") % 7 != 0).alias("readable"),
+        (strong.cast("double") / F.col("n")).alias("share"),
+        ((F.array_max("levels") * F.col("n")).cast("double") / F.col("total")).alias("concentration"),
     )
-    return M.view_votes(views)
+    return M.view_votes(views).withColumn("evidence", F.concat_ws("|", "evidence"))
 
 
 _METRICS = """SELECT l_orderkey AS product_id, l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey AS position, CAST(l_partkey AS STRING) AS original_path, concat('w', CAST(l_partkey AS STRING)) AS processed_path,
@@ -171,12 +236,18 @@ def media_rollup(spark, folder):
 
 
 @query("histogram_p95", """
-WITH h AS (SELECT doc_id, level, sum((doc_id * 31 + (level + 256 * ch) * 17 + n_chars) % 101) AS c FROM documents, range(256) AS a(level), range(3) AS b(ch) GROUP BY doc_id, level),
+WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents),
+h AS (SELECT doc_id, least(length(word), 255) AS level, count(*) AS c FROM w GROUP BY doc_id, level),
 r AS (SELECT doc_id, level, sum(c) OVER (PARTITION BY doc_id ORDER BY level) AS running, sum(c) OVER (PARTITION BY doc_id) AS total FROM h)
-SELECT doc_id, CAST(min(level) AS DOUBLE) AS p95 FROM r WHERE running >= total * 0.95 GROUP BY doc_id""")
+SELECT doc_id, CAST(min(level) AS DOUBLE) AS p95 FROM r WHERE running >= CAST(total AS DOUBLE) * 0.95::DOUBLE GROUP BY doc_id""")
 def histogram_p95(spark, folder):
-    bins = F.transform(F.sequence(F.lit(0), F.lit(767)), lambda i: (F.col("doc_id") * 31 + i * 17 + F.col("n_chars")) % 101)
-    rows = computed(table(spark, folder, "documents").select("doc_id", "n_chars"), histogram=bins)
+    """The length below which 95 % of a document's words lie; the channels are words by their first letter's code."""
+    words = table(spark, folder, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
+    bins = F.least(F.char_length("word"), F.lit(255)) + 256 * (F.ascii("word") % 3)
+    counts = words.groupBy("doc_id", bins.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
+    levels = F.transform(F.sequence(F.lit(0), F.lit(767)), lambda i: F.coalesce(F.try_element_at("found", i), F.lit(0).cast("bigint")))
+    rows = computed(found, histogram=levels)
     return M.histogram_percentile(rows, "histogram", 0.95, "p95").select("doc_id", "p95")
 
 

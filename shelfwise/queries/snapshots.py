@@ -17,7 +17,7 @@ _ITEMS = f"""
 WITH feed AS ({V.as_sql(V.FEED)}), mapping AS ({V.as_sql(V.MAPPING)}),
 items AS (
   SELECT f.legacy_id, trim(translate(f.title, 'يك0123456789', 'یک۰۱۲۳۴۵۶۷۸۹')) AS name,
-    concat('RAD-', CASE WHEN upper(trim(cat_code)) IN ('RNG','NEC','BRC','SET','EAR') THEN upper(trim(cat_code)) ELSE 'RNG' END, '-',
+    concat('SKU-', CASE WHEN upper(trim(cat_code)) IN ('RNG','NEC','BRC','SET','EAR') THEN upper(trim(cat_code)) ELSE 'RNG' END, '-',
       CASE WHEN upper(gender_code) IN ('W','M','U') THEN upper(gender_code) ELSE 'U' END, '-', CAST(f.legacy_id AS VARCHAR)) AS sku,
     CAST(greatest(coalesce(f.stock, 0), 0) AS BIGINT) AS exact_stock,
     CASE WHEN price_locked OR (is_special_gemstone AND stone_value <= 0) THEN 'manual_locked'

@@ -143,7 +143,7 @@ IMPORT_FILE = f"""
 SELECT
   p_partkey + 2 AS row_number,
   CASE WHEN p_partkey % 50 = 1 THEN 'SAMPLE-1' WHEN p_partkey % 47 = 2 THEN 'no sku'
-    ELSE concat('rad-', CASE p_partkey % 3 WHEN 0 THEN 'rng' WHEN 1 THEN 'NEC' ELSE 'BRC' END, '-U-',
+    ELSE concat('sku-', CASE p_partkey % 3 WHEN 0 THEN 'rng' WHEN 1 THEN 'NEC' ELSE 'BRC' END, '-U-',
       CAST(CASE WHEN p_partkey % 40 = 7 THEN p_partkey + 9997 ELSE p_partkey + 10000 END AS STRING)) END AS sku,
   CASE WHEN p_partkey % 60 = 1 THEN ' ' ELSE p_name END AS title_fa,
   CASE WHEN p_partkey % 70 = 2 THEN 'earrings' WHEN p_partkey % 71 = 3 THEN 'Rings'

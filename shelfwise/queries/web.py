@@ -60,13 +60,18 @@ def page_canonical_urls(spark, folder):
 
 
 @query("page_iri_to_uri", """
-SELECT page_id, concat('http://h.example.com/', url_encode(word), '/%20?q=', url_encode(word), '&r=1') AS uri
-FROM (SELECT page_id, regexp_replace(translate(regexp_extract(html, '<h1>([^<& ]*)', 1), '%*#$&+/=''()?,;:!@[]"', ''), '[^[:alnum:]]', '', 'g') AS word FROM pages)""")
+WITH i AS (SELECT page_id, concat(url, '/', regexp_extract(html, '<h1>([^<]*)', 1), '/%D9%85?q=', regexp_extract(html, '<title>([^<]*)', 1)) AS iri FROM pages),
+parts AS (SELECT page_id, regexp_extract(iri, '^https?://[^/?#]*') AS site, regexp_extract(iri, '^https?://[^/?#]*([^?#]*)', 1) AS names,
+  regexp_extract(iri, '^[^?#]*[?]([^#]*)', 1) AS asked, regexp_extract(iri, '(?s)^[^#]*#(.*)$', 1) AS mark FROM i),
+coded AS (SELECT page_id, site, replace(replace(url_encode(names), '%2F', '/'), '%25', '%') AS names, replace(url_encode(mark), '%25', '%') AS mark,
+  replace(replace(replace(url_encode(asked), '%3D', '='), '%26', '&'), '%25', '%') AS asked FROM parts)
+SELECT page_id, concat(site, names, CASE WHEN asked <> '' THEN concat('?', asked) ELSE '' END, CASE WHEN mark <> '' THEN concat('#', mark) ELSE '' END) AS uri FROM coded""")
 def page_iri_to_uri(spark, folder):
-    pages = table(spark, folder, "pages")
-    word = F.regexp_replace(F.regexp_extract("html", "<h1>([^<& ]*)", 1), "[^A-Za-z0-9]", "")
-    uri = F.concat(F.lit("http://h.example.com/"), word, F.lit("/%20?q="), word, F.lit("&r=1"))
-    return pages.select("page_id", U.iri_to_uri(uri).alias("uri"))
+    def inner(tag):
+        return F.regexp_extract("html", f"<{tag}>([^<]*)", 1)
+
+    iri = F.concat("url", F.lit("/"), inner("h1"), F.lit("/%D9%85?q="), inner("title"))
+    return table(spark, folder, "pages").select("page_id", U.iri_to_uri(iri).alias("uri"))
 
 
 def _walked(spark, folder):

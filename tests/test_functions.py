@@ -105,6 +105,13 @@ def test_identities(value):
     assert value(lambda a, b, c: I.shop_sku(a, b, c, "AB"), " nec", "x", "7") == "AB-NEC-U-7"
 
 
+def test_base64_text_is_one_line(value):
+    import base64
+
+    for text in ("", "کد ویژه/الف", "x" * 500):
+        assert value(I.base64_text, text) == base64.b64encode(text.encode()).decode()
+
+
 def test_stone_text(value):
     def stone(text):
         got = value(C.classify_text, text)
@@ -115,6 +122,15 @@ def test_stone_text(value):
     assert stone("نگین کاری ظریف") == ("small_stone", 0.94, False)
     assert stone("بدون سنگ با نگین ریز") == ("uncertain", 0.25, True)
     assert stone("عقیق") == ("uncertain", 0.55, True) and stone("نقره") is None
+    assert value(C.classify_text, "نگین درشت").evidence == [f"matched explicit text pattern: {C.LARGE_STONE[0]}"]
+    assert value(C.classify_text, "فاقد سنگ و نگین ریز").evidence == [f"matched no_stone: {C.NO_STONE[1]}", f"matched small_stone: {C.SMALL_STONE[0]}"]
+    assert value(C.classify_text, "عقیق").evidence == [C.EVIDENCE_MENTION]
+
+    def product(category, text, images):
+        return value(lambda c, t, n: C.classify_product(c, [t], n, n, n), category, text, images)
+
+    assert product("Necklaces", "نگین", 2).evidence == [C.EVIDENCE_RINGS] and product("rings", "x", 0).evidence == [C.EVIDENCE_NONE]
+    assert product("rings", "x", 3).evidence == ["3 of 3 readable views qualify"]
     assert value(C.stone_from_title, "انگشتر با نگین درشت عقیق") == "large_stone"
     assert value(C.stone_from_title, "انگشتر فاقد نگین درشت") == "no_stone"
 
@@ -144,6 +160,9 @@ def test_urls(value):
     assert value(lambda u: U.canonical_image_url(u, site), "http://shop.example.com/a/x-300x200.JPG?s=1#t") == "https://shop.example.com/a/x.JPG"
     assert value(lambda u: U.canonical_image_url(u, site), "https://other.example.com/x.jpg") is None
     assert value(U.iri_to_uri, "https://h/محصول/%D9?q=ا&r=1#ب") == "https://h/%D9%85%D8%AD%D8%B5%D9%88%D9%84/%D9?q=%D8%A7&r=1#%D8%A8"
+    assert value(U.iri_to_uri, "HTTP://h/a b~*+(c)?x=1+2&y=%41*#") == "http://h/a%20b~%2A%2B%28c%29?x=1%2B2&y=%41%2A"
+    assert value(U.iri_to_uri, "//h/é?#é") == "//h/%C3%A9#%C3%A9" and value(U.iri_to_uri, "é:b/c?") == "%C3%A9%3Ab/c"
+    assert value(U.iri_to_uri, "") == "" and value(U.iri_to_uri, "http://[h/x") is None
     assert value(U.product_id_in_path, "https://h/p/12") == 12 and value(U.product_id_in_path, "https://h/product/x") is None
 
 

@@ -20,15 +20,15 @@ def row(n, sku, category, mode, **more):
 
 
 GOOD = [
-    row(2, "RAD-RNG-U-1001", "rings", "silver_weight_only", weight_grams="6.80", image_filenames="a.jpg|b.png"),
-    row(3, "RAD-NEC-W-1002", "necklaces", "silver_weight_plus_stone", weight_grams="۵٫۰", stone_type="عقیق", stone_value_toman="۲۰۰٬۰۰۰"),
-    row(4, "RAD-BRC-M-1003", "bracelets", "legacy_mirror", legacy_price_toman="1500000"),
-    row(5, "rad-rng-u-1004", "Rings", "manual_locked", manual_price_toman="2500000", stock="3"),
+    row(2, "SKU-RNG-U-1001", "rings", "silver_weight_only", weight_grams="6.80", image_filenames="a.jpg|b.png"),
+    row(3, "SKU-NEC-W-1002", "necklaces", "silver_weight_plus_stone", weight_grams="۵٫۰", stone_type="عقیق", stone_value_toman="۲۰۰٬۰۰۰"),
+    row(4, "SKU-BRC-M-1003", "bracelets", "legacy_mirror", legacy_price_toman="1500000"),
+    row(5, "sku-rng-u-1004", "Rings", "manual_locked", manual_price_toman="2500000", stock="3"),
 ]
 
 
 def test_import_plan(spark):
-    store = spark.createDataFrame([("RAD-RNG-U-1004", 88)], "sku string, product_id bigint")
+    store = spark.createDataFrame([("SKU-RNG-U-1004", 88)], "sku string, product_id bigint")
     files = spark.createDataFrame([("a.jpg",)], "image string")
     rate = spark.createDataFrame([(85000,)], "rate bigint")
     got = csv_import.plan(spark.createDataFrame(GOOD, COLUMNS), store, rate, files)
@@ -41,13 +41,13 @@ def test_import_plan(spark):
 
 
 def test_one_bad_row_refuses_the_batch(spark):
-    bad = [row(6, "SAMPLE-1", "rings", "manual_locked"), row(7, "RAD-RNG-U-1001", "rings", "manual_locked", manual_price_toman="1"),
-           row(8, "RAD-RNG-U-1009", "rings", "manual_locked", manual_price_toman="1", image_filenames="x.jpg|b.png|a.jpg"), row(9, "RAD-NEC-U-1010", "rings", "manual_locked"),
-           row(10, "RAD-RNG-U-1011", "rings", "manual_locked", manual_price_toman="1", silver_purity="900"), row(11, "RAD-RNG-U-1012", "rings", "manual_locked", manual_price_toman="1", image_filenames="../x.jpg")]
+    bad = [row(6, "SAMPLE-1", "rings", "manual_locked"), row(7, "SKU-RNG-U-1001", "rings", "manual_locked", manual_price_toman="1"),
+           row(8, "SKU-RNG-U-1009", "rings", "manual_locked", manual_price_toman="1", image_filenames="x.jpg|b.png|a.jpg"), row(9, "SKU-NEC-U-1010", "rings", "manual_locked"),
+           row(10, "SKU-RNG-U-1011", "rings", "manual_locked", manual_price_toman="1", silver_purity="900"), row(11, "SKU-RNG-U-1012", "rings", "manual_locked", manual_price_toman="1", image_filenames="../x.jpg")]
     accepted, errors = M.batch_gate(M.validate_rows(spark.createDataFrame(GOOD + bad, COLUMNS).repartition(5), hot_rows=1))
     assert accepted.count() == 0
     assert {r.row_number: r.error for r in errors.collect()} == {
-        6: "SAMPLE row detected; replace sample SKU/content before import", 7: "duplicate SKU in CSV: RAD-RNG-U-1001",
+        6: "SAMPLE row detected; replace sample SKU/content before import", 7: "duplicate SKU in CSV: SKU-RNG-U-1001",
         8: "image filename(s) reused by another CSV row: b.png, a.jpg", 9: "SKU category code does not match category column",
         10: "silver_purity must equal 925", 11: M.IMAGE_MESSAGE}
 
@@ -234,9 +234,9 @@ def test_import_file_reader(spark, tmp_path):
     from shelfwise import constants as K
 
     header = "﻿" + ",".join(K.IMPORT_COLUMNS) + ",extra"
-    (tmp_path / "p.csv").write_text(header + "\n" + ",".join(["RAD-RNG-U-1001"] + ["x"] * 13) + ",e\n", encoding="utf-8")
+    (tmp_path / "p.csv").write_text(header + "\n" + ",".join(["SKU-RNG-U-1001"] + ["x"] * 13) + ",e\n", encoding="utf-8")
     got = reading.read_import_csv(spark, f"{tmp_path}/p.csv").first()
-    assert (got.row_number, got.sku) == (2, "RAD-RNG-U-1001") and "extra" not in got.asDict()
+    assert (got.row_number, got.sku) == (2, "SKU-RNG-U-1001") and "extra" not in got.asDict()
     (tmp_path / "q.csv").write_text("sku\nx\n")
     with pytest.raises(ValueError, match="title_fa"):
         reading.read_import_csv(spark, f"{tmp_path}/q.csv")
