@@ -32,6 +32,23 @@ def test_texts_never_meet_all_patterns(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_pairs_that_only_share_a_gram_are_dropped_before_any_shuffle_of_pairs(spark):
+    """The join on grams compares the pattern itself: texts are not joined again, and no pair is dealt out that is not a match."""
+    texts, patterns = frames(spark, TEXTS, [*PATTERNS, "x" * 40 + "common words" + "y" * 40])
+    plan = P.matches(texts, "id", "t", patterns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "Contains" not in plan and "isnotnull(coalesce" not in plan.lower() and "isnotnull(substring" not in plan.lower()
+
+
+def test_long_patterns_and_piece_borders(spark):
+    rng = random.Random(5)
+    body = "".join(rng.choice("ab ") for _ in range(9000))
+    texts = [(1, body), (2, body[:3000] + "!" + body[3000:]), (3, body[100:])]
+    patterns = [body[k : k + n] for k in (0, 2040, 2900, 4090, 8000) for n in (10, 50, P.HEAD, P.HEAD + 1, 900)]
+    want = {(i, p) for i, t in texts for p in patterns if p in t}
+    got = [tuple(r) for r in P.matches(*[frames(spark, texts, patterns)[0], "id", "t", frames(spark, texts, patterns)[1]]).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_first_marker_and_redaction(spark):
     texts, _ = frames(spark, TEXTS, [])
     markers = spark.createDataFrame([("secret", 2), ("abd", 1), ("abc", 3), ("needle", 0)], "marker string, rank int")
