@@ -1,9 +1,10 @@
-"""Follow-up messages from a stream: keyed state with a timer for each message that waits.
+"""Follow-up messages from a stream: keyed state with one timer for the messages that wait.
 
 A customer's state holds the messages that wait and the events newer than the watermark that call messages off, so events that come out of
-order within ``late`` give the same messages as in order. A timer on the due time wakes the customer; what still waits then is
-written, once for good (state, timers and output commit together with the checkpoint). A customer's events are handled by one
-task a batch, which keeps the waiting messages of that customer only.
+order within ``late`` give the same messages as in order. Both are lists that are read and written once for each batch a customer
+appears in. One timer, on the earliest due time, wakes the customer; all messages that are due by the watermark are then
+written together, once for good (state, timers and output commit together with the checkpoint), and the timer is set to the next one.
+A customer's events are handled by one task a batch, which keeps the waiting messages of that customer only.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ class Waiting(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.messages = handle.getMapState("messages", "rule string, event_id long", "at long")
-        self.recent = handle.getMapState("recent", "at long, kind string", "n int")
+        self.messages = handle.getListState("messages", "rule string, event_id long, at long")
+        self.recent = handle.getListState("recent", "at long, kind string")
+        self.timer = handle.getValueState("timer", "moment long")
 
     @staticmethod
     def wakes(due: int) -> int:
@@ -47,49 +49,57 @@ class Waiting(StatefulProcessor):
         after = bisect_right(off, at)
         return after < len(off) and off[after] <= at + length
 
+    def due(self, rule: str, at: int) -> int:
+        return at + self.rules[rule].hours * HOUR
+
+    def keep(self, held: dict[tuple[str, int], int], fired: bool = False) -> None:
+        """Write the messages that wait, and one timer on the earliest of them."""
+        before = self.timer.get()
+        before = None if before is None or before[0] is None else before[0]
+        if held:
+            self.messages.put([(rule, event_id, at) for (rule, event_id), at in held.items()])
+        else:
+            self.messages.clear()
+        wake = min((self.wakes(self.due(rule, at)) for (rule, _), at in held.items()), default=None)
+        if wake == before and not fired:
+            return
+        if before is not None and not fired:
+            self.handle.deleteTimer(before)
+        if wake is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(wake)
+            self.timer.update((wake,))
+
     def waiting(self) -> dict[tuple[str, int], int]:
-        return {(k[0], k[1]): v[0] for k, v in self.messages.iterator()}
-
-    def dropped(self, held: dict[tuple[str, int], int], gone: list[tuple[str, int]]) -> None:
-        """Forget messages, and timers no other message waits for."""
-        wake = lambda name, at: self.wakes(at + self.rules[name].hours * HOUR)
-        free = {wake(k[0], held[k]) for k in gone}
-        for k in gone:
-            self.messages.removeKey(k)
-            del held[k]
-        for moment in free - {wake(name, at) for (name, _), at in held.items()}:
-            self.handle.deleteTimer(moment)
+        return {(rule, event_id): at for rule, event_id, at in self.messages.get()}
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        events = sorted((int(e.at_micros), int(e.event_id), e.kind) for part in rows for e in part.itertuples())
+        events = sorted((int(at), int(event_id), kind) for part in rows for at, event_id, kind in zip(part["at_micros"], part["event_id"], part["kind"], strict=True))
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        recent = {(k[0], k[1]) for k, _ in self.recent.iterator()}
+        recent = set(map(tuple, self.recent.get()))
         new = {(at, kind) for at, _, kind in events}
         held = self.waiting()
         for name, rule in self.rules.items():
             length = rule.hours * HOUR
             off = sorted(at for at, kind in new if kind in rule.off)
-            self.dropped(held, [k for k, at in held.items() if k[0] == name and self.called_off(off, at, length)])
+            for k in [k for k, at in held.items() if k[0] == name and self.called_off(off, at, length)]:
+                del held[k]
             off = sorted(at for at, kind in new | recent if kind in rule.off)
-            for at, event_id, kind in events:
-                if kind in rule.on and not self.called_off(off, at, length):
-                    held[name, event_id] = at
-                    self.messages.updateValue((name, event_id), (at,))
-                    self.handle.registerTimer(self.wakes(at + length))
-        for at, kind in recent - new:
-            if at <= passed:
-                self.recent.removeKey((at, kind))
-        for at, kind in new - recent:
-            if at > passed:
-                self.recent.updateValue((at, kind), (1,))
+            held.update({(name, event_id): at for at, event_id, kind in events if kind in rule.on and not self.called_off(off, at, length)})
+        self.keep(held)
+        newer = sorted((k for k in new | recent if k[0] > passed), key=lambda k: (k[0], k[1] or ""))
+        if newer:
+            self.recent.put(newer)
+        elif recent:
+            self.recent.clear()
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        moment, held = expiredTimerInfo.getExpiryTimeInMs(), self.waiting()
-        due = {k: at + self.rules[k[0]].hours * HOUR for k, at in held.items()}
+        moment, held = timerValues.getCurrentWatermarkInMs(), self.waiting()
+        due = {k: self.due(k[0], at) for k, at in held.items()}
         ready = sorted(k for k in held if self.wakes(due[k]) <= moment)
-        for k in ready:
-            self.messages.removeKey(k)
+        self.keep({k: at for k, at in held.items() if self.wakes(due[k]) > moment}, fired=True)
         yield pd.DataFrame(
             {"customer": [key[0]] * len(ready), "rule": [k[0] for k in ready], "event_id": [k[1] for k in ready], "at_micros": [held[k] for k in ready], "due_micros": [due[k] for k in ready]}
         )

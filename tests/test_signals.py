@@ -136,3 +136,88 @@ def test_late_failures_change_no_closed_window(spark, tmp_path):
     assert got == {(1, minutes(-6 + i), 4) for i in range(7)}
     everything = S.failure_windows(spark.read.parquet(source), "customer", "moment")
     assert {r.n for r in everything.collect()} == {4, 5}
+
+
+class Calls:
+    """State, timers and the number of times each was asked for, as the engine hands them to a processor."""
+
+    def __init__(self):
+        self.n, self.timers = 0, set()
+
+    def getListState(self, name, schema):  # noqa: N802
+        return Held(self, [])
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return Held(self, None)
+
+    def getMapState(self, name, keys, values):  # noqa: N802
+        return Pairs(self)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.n += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.n += 1
+        self.timers.discard(at)
+
+
+class Held:
+    def __init__(self, calls, empty):
+        self.calls, self.empty, self.value = calls, empty, empty
+
+    def get(self):
+        self.calls.n += 1
+        return iter(self.value) if isinstance(self.value, list) else self.value
+
+    def put(self, value):
+        self.calls.n += 1
+        self.value = value
+
+    update = put
+
+    def clear(self):
+        self.put(self.empty)
+
+
+class Pairs:
+    def __init__(self, calls):
+        self.calls, self.value = calls, {}
+
+    def iterator(self):
+        self.calls.n += 1
+        return iter([*self.value.items()])
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls.n += 1
+        self.value[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        self.calls.n += 1
+        self.value.pop(key, None)
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs  # noqa: N815
+
+
+def test_state_is_asked_a_few_times_a_customer_however_many_events():
+    rule = U.FollowUp("review", ("purchase",), (), 1, promotional=False)
+    calls, many = Calls(), 400
+    waits = SU.Waiting([rule])
+    waits.init(calls)
+    rows = SU.pd.DataFrame({"at_micros": [i * 60_000_000 for i in range(many)], "event_id": range(many), "kind": ["purchase"] * many})
+    list(waits.handleInputRows((1,), iter([rows]), At(0)))
+    got, rounds = [], 0
+    for mark in (SU.HOUR // 1000 + 6_000_000, 10**9):  # after the hundredth message, after all
+        while due := sorted(t for t in calls.timers if t <= mark):
+            rounds += 1
+            got += [e for part in waits.handleExpiredTimer((1,), At(mark), At(due[0])) for e in part["event_id"]]
+            calls.timers.discard(due[0])
+    assert sorted(got) == list(range(many)) and rounds == 2 and calls.n < 30
