@@ -245,8 +245,11 @@ def histogram_p95(spark, folder):
     words = table(spark, folder, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
     bins = F.least(F.char_length("word"), F.lit(255)) + 256 * (F.ascii("word") % 3)
     counts = words.groupBy("doc_id", bins.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    found = counts.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
-    levels = F.transform(F.sequence(F.lit(0), F.lit(767)), lambda i: F.coalesce(F.try_element_at("found", i), F.lit(0).cast("bigint")))
+    found = counts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("found"))
+    none = F.lit(0).cast("bigint")
+    before = F.concat(F.array(F.lit(-1)), F.col("found.bin"))
+    filled = F.transform("found", lambda x, i: F.concat(F.array_repeat(none, x["bin"] - F.get(before, i) - 1), F.array(x["n"])))
+    levels = F.concat(F.flatten(filled), F.array_repeat(none, 767 - F.element_at("found.bin", -1)))
     rows = computed(found, histogram=levels)
     return M.histogram_percentile(rows, "histogram", 0.95, "p95").select("doc_id", "p95")
 
