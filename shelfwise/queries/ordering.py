@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import orders as O
 from shelfwise.queries import views as V
 from shelfwise.registry import query, table
-from shelfwise.session import shared_folder
+from shelfwise.session import cut_lineage, shared_folder
 from shelfwise.streaming import audits as SA, orders as SO
 
 _ORDERS = f"WITH orders_view AS ({V.as_sql(V.ORDERS)}), items_view AS ({V.as_sql(V.ITEMS)})"
@@ -90,14 +90,14 @@ def stream_new_orders(spark, folder):
 @query("stream_rescan", _ALERTS + "SELECT id, text, count(*) AS times FROM texts GROUP BY ALL")
 def stream_rescan(spark, folder):
     """The alerts after two full reads with fresh checkpoints, the first one in bounded steps: each order once."""
-    known = _orders(spark, folder).drop("status")
+    known = cut_lineage(_with_items(spark, folder, _orders(spark, folder).drop("status")))  # one pass over the lines for all batches
     work = _run_folder(spark, "rescan")
     status = F.when(F.col("o_orderstatus") == "F", "processing").when(F.col("o_orderstatus") == "O", "on-hold").otherwise("pending")
     bare = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"), status.alias("status"))
     bare.repartition(6, "id").write.parquet(f"{work}/in")
     for run, files in (("first", 2), ("second", None)):
         stream = SO.order_stream(spark, f"{work}/in", bare.schema, "*.parquet", files)
-        SO.start_alerts(stream, f"{work}/outbox", f"{work}/{run}", enrich=lambda batch: _with_items(spark, folder, batch.join(known, "id"))).awaitTermination()
+        SO.start_alerts(stream, f"{work}/outbox", f"{work}/{run}", enrich=lambda batch: batch.join(known, "id")).awaitTermination()
     return SO.read_outbox(spark, f"{work}/outbox").groupBy("id", "text").agg(F.count(F.lit(1)).alias("times"))
 
 
