@@ -101,7 +101,11 @@ def classify_product(category: Column, text_parts: list[Column], readable: Colum
 
 
 def stone_from_title(title: Column) -> Column:
-    text = T.normalize_text(title)
+    return stone_from_text(T.normalize_text(title))
+
+
+def stone_from_text(text: Column) -> Column:
+    """``stone_from_title`` of a title that is already in normal form."""
     return (
         F.when(text.rlike(TITLE_NO_STONE), "no_stone")
         .when(text.rlike(TITLE_LARGE_STONE), "large_stone")
@@ -111,7 +115,11 @@ def stone_from_title(title: Column) -> Column:
 
 def sheet_category(raw: Column) -> Column:
     """struct(category, flag): unknown categories count as rings and are flagged."""
-    text = T.normalize_text(raw)
+    return category_from_text(T.normalize_text(raw))
+
+
+def category_from_text(text: Column) -> Column:
+    """``sheet_category`` of a name that is already in normal form."""
     known = (
         F.when(text.contains("انگشتر"), "rings")
         .when(text.contains("گردنبند") | text.contains("مدال"), "necklaces")

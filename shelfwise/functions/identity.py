@@ -108,7 +108,15 @@ def code_to_sku(code: Column) -> Column:
 
 def derive_sku(title_code: Column, raw_code: Column, legacy_id: Column) -> Column:
     """struct(sku, source): title code, else a small whole number from the code column, else the id."""
-    digits = F.replace(T.normalize_text(raw_code), F.lit(" "), F.lit(""))
+    return sku_from_digits(title_code, code_digits(raw_code), legacy_id)
+
+
+def code_digits(raw_code: Column) -> Column:
+    return F.replace(T.normalize_text(raw_code), F.lit(" "), F.lit(""))
+
+
+def sku_from_digits(title_code: Column, digits: Column, legacy_id: Column) -> Column:
+    """``derive_sku`` from a column that holds the ``code_digits``, so that they are computed once."""
     number = F.when(digits.rlike("^[0-9]+$"), digits).try_cast("bigint")
     valid = number.between(1, 99_999)
     return F.struct(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions import identity as I, parsing as P, text as T
-from shelfwise.functions.classify import sheet_category, stone_from_title
+from shelfwise.functions.classify import category_from_text, stone_from_text
 from shelfwise.functions.pricing import sheet_price
 from shelfwise.operators.staging import computed
 
@@ -14,7 +14,8 @@ from shelfwise.operators.staging import computed
 def priced_records(cells: DataFrame, title_fallback: str = "محصول نقره") -> DataFrame:
     """Parse, classify and price every sheet row with a valid id.
 
-    Staged as a few projections so that no parsed value is computed twice.
+    Staged as a few projections so that no parsed value is computed twice and no generated method grows beyond what the
+    JVM compiles.
     """
     numbers = cells.select(
         "row_no",
@@ -47,14 +48,20 @@ def priced_records(cells: DataFrame, title_fallback: str = "محصول نقره"
     raw_title = F.when(
         T.is_blank(F.col("title_cell")), F.concat(F.lit("محصول "), F.col("legacy_id").cast("string"))
     ).otherwise(T.strip(F.col("title_cell")))
-    matched = parsed.withColumn("raw_title", raw_title).withColumn("title_match", I.title_match(F.col("raw_title")))
-    titled = matched.withColumn("identity", I.cleaned_title(F.col("raw_title"), F.col("title_match"), title_fallback))
+    matched = computed(
+        parsed,
+        raw_title=raw_title,
+        category_text=T.normalize_text(F.col("category_raw")),
+        code_digits=I.code_digits(F.col("code_cell")),
+    )
+    matched = computed(matched, title_match=I.title_match(F.col("raw_title")))
+    titled = computed(matched, identity=I.cleaned_title(F.col("raw_title"), F.col("title_match"), title_fallback))
+    titled = computed(titled, title_text=T.normalize_text(F.col("identity.cleaned")))
     priced = computed(
         titled,
-        identity=F.col("identity"),
-        sku_choice=I.derive_sku(F.col("identity.code"), F.col("code_cell"), F.col("legacy_id")),
-        shop=sheet_category(F.col("category_raw")),
-        stone=stone_from_title(F.col("identity.cleaned")),
+        sku_choice=I.sku_from_digits(F.col("identity.code"), F.col("code_digits"), F.col("legacy_id")),
+        shop=category_from_text(F.col("category_text")),
+        stone=stone_from_text(F.col("title_text")),
     )
     priced = computed(priced, decision=sheet_price(F.col("stone"), F.col("sheet_price"), F.col("weight")))
     flags = F.array_distinct(

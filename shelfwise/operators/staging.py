@@ -1,4 +1,4 @@
-"""Compute-once columns."""
+"""Compute-once columns and rows dealt over tasks."""
 
 from __future__ import annotations
 
@@ -16,3 +16,12 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     staged = df.select(*kept, *[value.alias(f"__{name}") for name, value in columns.items()])
     one = F.array(F.struct(*[F.col(f"__{name}").alias(name) for name in columns]))
     return staged.select(*kept, F.inline(one))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over all tasks by a hash of their columns.
+
+    A compact file is read by as many tasks as it has row groups, often one, and every narrow step after it stays there.
+    Spark joins small shuffle partitions again, so a small table still takes one task.
+    """
+    return df.repartition(F.xxhash64(*df.columns))

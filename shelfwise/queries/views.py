@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise import constants as K
-from shelfwise.operators.staging import computed
+from shelfwise.operators.staging import computed, spread
 from shelfwise.registry import table
 
 FA = "translate(CAST({0} AS STRING), '0123456789', '۰۱۲۳۴۵۶۷۸۹')"
@@ -129,8 +129,12 @@ def store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sheet(spark: SparkSession, folder: str) -> DataFrame:
-    """Sheet cells as if read from storage: their layout expressions are not inlined into the parsing."""
-    cells = view(spark, folder, SHEET)
+    """Sheet cells as if read from storage: their layout expressions are not inlined into the parsing.
+
+    A whole sheet fits one row group, so its rows are dealt over the tasks before they are laid out and parsed.
+    """
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    cells = spark.sql(SHEET, part=spread(parts))
     return computed(cells, **{c: F.col(c) for c in cells.columns})
 
 

@@ -167,3 +167,19 @@ def test_enrichment_updates_price_once(spark, records):
     assert (after.regular_price, after.title) == (10_400_000, "انگشتر نقره") and violations.count() == 0
     again, _ = EN.plan(drafts.withColumn("price", F.lit(10_400_000).cast("bigint")), cells, pages, "فروشگاه")
     assert again.first().update_price is False
+
+
+def test_one_sheet_file_is_priced_by_many_tasks(spark, tmp_path):
+    from shelfwise.queries import views as V
+
+    parts = spark.range(4000).selectExpr("id AS p_partkey", "concat('نقره ', id) AS p_name", "'Brand#11' AS p_brand", "CAST(id % 50 AS INT) AS p_size")
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))  # one file of one row group
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart
+    try:
+        priced = S.priced_records(V.sheet(spark, str(tmp_path)))
+        sizes = [r["count"] for r in priced.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    wanted = sum(i > 0 and i % 97 != 5 and not (i == 1 and i % 41 == 7) for i in range(4000))
+    assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes) and sum(sizes) == wanted
