@@ -27,10 +27,13 @@ CATEGORY_TEXT_DEFAULT = "زیورآلات نقره"
 
 
 def latest_by_id(records: DataFrame) -> DataFrame:
-    """One catalog row per legacy id, the last one in sheet order."""
-    columns = [c for c in records.columns if c != "legacy_id"]
-    last = F.max_by(F.struct(*columns), "row_no").alias("last")
-    return records.groupBy("legacy_id").agg(last).select("legacy_id", "last.*")
+    """One catalog row per legacy id, the last one in sheet order.
+
+    Each column is an aggregate of its own, so that columns nobody reads are neither sorted nor shuffled. All of them see the
+    rows in the same order and take the same one.
+    """
+    last = [F.max_by(c, "row_no").alias(c) for c in records.columns if c != "legacy_id"]
+    return records.groupBy("legacy_id").agg(*last)
 
 
 def split_drafts(drafts: DataFrame, records: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:

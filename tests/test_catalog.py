@@ -183,3 +183,17 @@ def test_one_sheet_file_is_priced_by_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     wanted = sum(i > 0 and i % 97 != 5 and not (i == 1 and i % 41 == 7) for i in range(4000))
     assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes) and sum(sizes) == wanted
+
+
+def test_latest_row_carries_only_the_columns_asked_for(spark):
+    from shelfwise.operators import enrich as E
+
+    rows = [(1, 5, "a", None, "s5"), (1, 7, None, 70, "s7"), (1, 6, "c", 60, "s6"), (2, 1, "d", None, None)]
+    sheet = spark.createDataFrame(rows, "legacy_id bigint, row_no bigint, title string, final_price bigint, seo_title string").repartition(3)
+    latest = E.latest_by_id(sheet)
+    assert {tuple(r) for r in latest.select("legacy_id", "row_no", "title", "final_price", "seo_title").collect()} == {(1, 7, None, 70, "s7"), (2, 1, "d", None, None)}
+    drafts = spark.createDataFrame([(11, 1), (12, 3)], "product_id bigint, legacy_id bigint")
+    matched, missing = E.split_drafts(drafts, sheet)
+    assert [tuple(r) for r in matched.select("product_id", "sheet_final_price").collect()] == [(11, 70)] and missing.first().product_id == 12
+    plan = latest.select("legacy_id", "final_price")._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by(final_price" in plan and "max_by(seo_title" not in plan and "max_by(struct" not in plan
