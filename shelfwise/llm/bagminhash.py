@@ -195,9 +195,13 @@ def could_match(total: Column, own: Column, other_total: Column, other_own: Colu
 
 
 def parts_match(parts: Column, other: Column, total: Column, other_total: Column, least: float) -> Column:
-    """Whether the weights by part of the hash range, whose lesser ones bound what is common, allow the similarity."""
+    """Whether the weights by part of the hash range, whose lesser ones bound what is common, allow the similarity.
+
+    The sum over the parts is named once: what stands twice in a condition is worked out before it, for every pair, even for those
+    that the terms before this one rule out.
+    """
     common = F.aggregate(F.zip_with(parts, other, lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda n, x: n + x)
-    return common + 1e-9 >= least * (total + other_total - common)
+    return common * (1 + least) + 1e-6 >= least * (total + other_total)
 
 
 def _verified(least: float):
@@ -302,14 +306,15 @@ def classes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", comp
         possible = could_match(F.col("total"), F.col("own"), F.col("hub_total"), F.col("hub_own"), least)
         one, two = rest.join(traits, "nid").alias("one"), chosen.alias("two")
         # of all buckets two texts share, they meet in the first
-        met_first = F.element_at(F.array_intersect("bands", "hub_bands"), 1) == F.col("one.bucket")
-        met_first &= F.abs(F.col("near") - F.col("hub_near")) <= 1 - least + 1e-9
+        met_first = F.abs(F.col("near") - F.col("hub_near")) <= 1 - least + 1e-9
+        met_first &= F.element_at(F.array_intersect("bands", "hub_bands"), 1) == F.col("one.bucket")
         alike = parts_match(F.col("parts"), F.col("hub_parts"), F.col("total"), F.col("hub_total"), least)
         tested = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("label") != F.col("hub_label")) & possible & met_first & alike)
         # two texts that met in a bucket before need no second comparison
         fresh = cut_lineage(tested.select(*pair).distinct().join(done, ["a", "b"], "left_anti"))
-        done = done.unionByName(fresh)
-        labels = relabelled(labels, verify(fresh))
+        if not fresh.isEmpty():
+            done = done.unionByName(fresh)
+            labels = relabelled(labels, verify(fresh))
         left = cut_lineage(rest.select("bucket", "nid", "near").join(chosen.select("bucket", F.col("hub").alias("nid")), ["bucket", "nid"], "left_anti"))
     labelled = nodes.drop("bands").join(labels, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     sums = labelled.groupBy("label").agg(

@@ -191,6 +191,26 @@ def test_part_sums_rule_out_no_similar_texts(spark):
     assert 0 < sum(r.alike >= 0.8 for r in kept) and not all(r.possible for r in kept)
 
 
+def test_part_sums_are_worked_out_once_for_a_pair(spark):
+    sides = spark.createDataFrame([([1, 2], [2, 1], 3, 3)], "a array<int>, b array<int>, ta long, tb long").alias("x"), spark.range(3)
+    possible = bagminhash.parts_match(F.col("a"), F.col("b"), F.col("ta"), F.col("tb"), 0.5)
+    joined = sides[0].join(sides[1], (F.col("ta") == F.col("id") + 1) & possible)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 1  # named twice, it would be worked out for every pair before the other terms
+    assert [r.id for r in joined.collect()] == [2]
+
+
+def test_rounds_without_new_pairs_relabel_nothing(spark, documents, text_of, monkeypatch):
+    # texts of one bucket that are alike to its first member in shares too far apart, so that no pair of a later round is tested
+    base = text_of(1, 200).split()
+    rows = [(0, " ".join(base)), *((1 + i, " ".join(base[:160] + text_of(50 + i, 40).split())) for i in range(6))]
+    calls = []
+    relabelled = bagminhash.relabelled
+    monkeypatch.setattr(bagminhash, "relabelled", lambda labels, found: calls.append(found.count()) or relabelled(labels, found))
+    found = bagminhash.classify(documents(rows)).collect()
+    assert len(found) == len(rows) and 0 not in calls[1:]
+
+
 # 5 repeats
 
 
