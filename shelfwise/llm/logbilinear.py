@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.llm.shared import slices
-from shelfwise.llm.words import NOT_SPACE, Words, lower_table, mix, uniform
+from shelfwise.llm.words import NOT_SPACE, Words, buffers, lower_table, mix
 from shelfwise.session import cut_lineage
 
 CLASSES, DIM, KNOWN = 1024, 16, 1 << 18
@@ -250,17 +250,28 @@ class Model:
         return one, two, np.log(np.maximum(norm, 1e-37)) + m1 + m2.T
 
 
-def log_sums(h: np.ndarray, rows: np.ndarray, bias: np.ndarray, step: int = 1024) -> np.ndarray:
-    """log sum over rows of exp(h.row + bias), for each h."""
+def log_sums(h: np.ndarray, rows: np.ndarray, bias: np.ndarray, cells: int = 1 << 16) -> np.ndarray:
+    """log sum over rows of exp(h.row + bias), for each h; ``cells`` scores at a time, so that they stay in a core's cache."""
     out = np.empty(len(h), dtype=np.float32)
-    turned = np.ascontiguousarray(rows.T)
+    h = np.hstack([h, np.ones((len(h), 1), np.float32)])
+    turned = np.ascontiguousarray(np.hstack([rows, bias[:, None]]).T)
+    # where no score can overflow or all of a sum vanish, none need be scaled down before
+    reach = np.sqrt((h[:, :-1] ** 2).sum(axis=1).max(initial=0) * (rows**2).sum(axis=1).max(initial=0))
+    plain = reach + np.abs(bias.max(initial=0)) < 60
+    one = np.ones(len(rows), np.float32)
+    step = max(1, cells // max(1, len(rows)))
+    held = np.empty((min(step, len(h)), len(rows)), np.float32)
     for low in range(0, len(h), step):
-        x = h[low : low + step] @ turned
-        x += bias
-        most = x.max(axis=1, keepdims=True)
-        x -= most
-        np.exp(x, out=x)
-        out[low : low + step] = np.log(x.sum(axis=1)) + most[:, 0]
+        part = h[low : low + step]
+        x = np.matmul(part, turned, out=held[: len(part)])
+        if plain:
+            np.exp(x, out=x)
+            out[low : low + step] = np.log(x @ one)
+        else:
+            most = x.max(axis=1, keepdims=True)
+            x -= most
+            np.exp(x, out=x)
+            out[low : low + step] = np.log(x @ one) + most[:, 0]
     return out
 
 
@@ -277,15 +288,16 @@ class Scorer:
 
     def __call__(self, ids: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
         at = self.layout
-        h = self.one[c1] + self.two[c2]
+        h = self.one.take(c1, axis=0)
+        h += self.two.take(c2, axis=0)
         k = at.class_of(ids)
-        out = np.einsum("ij,ij->i", h, self.q[k]) + self.b[k]
+        out = np.einsum("ij,ij->i", h, self.q.take(k, axis=0)) + self.b.take(k)
         near = (c1 < self.table) & (c2 < self.table)
-        out[near] -= self.norm[c1[near], c2[near]]
-        far = np.flatnonzero(~near)
+        close, far = np.flatnonzero(near), np.flatnonzero(~near)
+        out[close] -= self.norm.take(c1.take(close) * self.table + c2.take(close))
         if len(far):
             _, first, back = np.unique(c1[far] * at.size + c2[far], return_index=True, return_inverse=True)
-            out[far] -= log_sums(h[far[first]], self.q, self.b)[back]
+            out[far] -= log_sums(h.take(far[first], axis=0), self.q, self.b)[back]
         tail = np.flatnonzero(ids >= at.cut)
         if len(tail):
             u = self.model.u.reshape(at.bins, at.width, -1)
@@ -316,63 +328,100 @@ def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, n
     """Noise-contrastive steps (Adagrad) in place over (target, before, before that); gives the tokens seen and how often each row was met."""
     rng = np.random.default_rng(seed)
     pool = rng.choice(len(share), size=1 << 16, p=share)
-    prior = np.log(noise * np.maximum(share, 1e-12))
+    prior = np.log(noise * np.maximum(share, 1e-12)).astype(np.float32)
     at, dim = model.layout, model.dim
-    squares = np.full(model.flat.shape, 1e-2, dtype=np.float32)
-    squares[at.cut : model.at_q] = 1e-5  # a rare token has few steps
-    met = np.zeros(len(model.flat), dtype=np.int64)
-    members, place = at.members(), np.zeros(len(model.flat), dtype=np.int64)
+    # a row of parameters and the sums of its squared steps lie side by side: a row is fetched and put back once a batch
+    wide = dim + 1
+    state = np.full((len(model.flat), 2 * wide), 1e-2, dtype=np.float32)
+    state[:, :wide] = model.flat
+    state[at.cut : model.at_q, wide:] = 1e-5  # a rare token has few steps
+    met = np.zeros(len(state), dtype=np.int64)
+    members, place = at.members(), np.zeros(len(state), dtype=np.int32)
+    even = np.log(PEERS / np.maximum(members, 1)).astype(np.float32)
     at_c = model.at_q + at.classes
+    cells, spots = np.arange(wide), np.arange(max(2, PEERS + 1) * batch + noise, dtype=np.int32)
     seen = 0
 
-    def move(rows: np.ndarray, step: np.ndarray) -> None:
-        own = squares[rows] + step * step
-        squares[rows] = own
-        model.flat[rows] += rate * step / np.sqrt(own)
-
-    def spread(rows: np.ndarray, steps: np.ndarray, n: int) -> None:
-        """One step for each distinct row."""
-        place[rows] = np.arange(len(rows))
-        back = place[rows]
-        first = np.flatnonzero(back == np.arange(len(rows)))
-        width = steps.shape[1]
-        total = np.bincount((back[:, None] * width + np.arange(width)).ravel(), weights=steps.ravel(), minlength=len(rows) * width).reshape(-1, width)
-        met[rows[first]] += np.bincount(back, minlength=len(rows))[first]
-        move(rows[first], (total[first] / n).astype(np.float32))
-
+    def fetch(rows: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """Parameters of each place in ``rows``; the distinct rows, each at its last place, with what ``spread`` needs."""
+        place[rows] = spots[: len(rows)]
+        back = place.take(rows)
+        last = back == spots[: len(rows)]
+        first, again = np.flatnonzero(last), np.flatnonzero(~last)
+        to = (np.cumsum(last) - 1).take(back)
+        held = state.take(rows.take(first), axis=0)
+        return held[:, :wide].take(to, axis=0), (rows.take(first), first, again, to, held)
+
+    def move(held: np.ndarray, step: np.ndarray) -> None:
+        held[:, wide:] += step * step
+        step *= np.float32(rate)
+        step /= np.sqrt(held[:, wide:])
+        held[:, :wide] += step
+
+    def spread(found: tuple, steps: np.ndarray, n: int) -> None:
+        """One step for each distinct row: that of its last place, to which those of its other places are added."""
+        rows, first, again, to, held = found
+        total = steps.take(first, axis=0)
+        if len(again):
+            at_cell = (to.take(again)[:, None] * wide + cells).ravel()
+            total += np.bincount(at_cell, weights=steps.take(again, axis=0).ravel(), minlength=total.size).reshape(total.shape)
+        total *= np.float32(1 / n)
+        met[rows] += np.bincount(to, minlength=len(rows))
+        move(held, total)
+        state[rows] = held
+
+    mixers = state[at_c:]  # C1 and C2
     for targets, ones, twos in streams:
         for low in range(0, len(targets), batch):
             t, c1, c2 = targets[low : low + batch], ones[low : low + batch], twos[low : low + batch]
+            n = len(t)
             k = at.class_of(t)
             s = pool[rng.integers(0, len(pool), noise)]
-            r1, r2, qt, qs = model.r[c1], model.r[c2], model.q[k], model.q[s]
-            h = r1 @ model.c1 + r2 @ model.c2
-            up = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", h, qt) + model.b[k] - prior[k], -30, 30)))
-            down = -1 / (1 + np.exp(-np.clip(h @ qs.T + model.b[s] - prior[s], -30, 30)))
-            back = up[:, None] * qt + down @ qs
-            n = len(t)
-            one = lambda x: np.ones((len(x), 1))
+            # vectors have their bias as one more place, for which a predicted vector holds 1
+            r, contexts_found = fetch(np.concatenate([c1, c2]))
+            r1, r2 = r[:n, :dim], r[n:, :dim]
+            m1, m2 = mixers[:dim, :dim], mixers[dim:, :dim]
+            h = np.ones((n, wide), np.float32)
+            h[:, :dim] = r1 @ m1 + r2 @ m2
+            rows = np.concatenate([k, s])
+            q, classes_found = fetch(rows + model.at_q)
+            biased = q.copy()
+            biased[:, dim] -= prior.take(rows)
+            up = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", h, biased[:n]), -30, 30)))
+            down = h @ biased[n:].T
+            np.clip(down, -30, 30, out=down)
+            np.negative(down, out=down)
+            np.exp(down, out=down)
+            down += 1
+            np.divide(-1, down, out=down)
+            back = down @ q[n:, :dim]
+            back += up[:, None] * q[:n, :dim]
+            spread(classes_found, np.concatenate([up[:, None] * h, down.T @ h]), n)
             tail = np.flatnonzero(t >= at.cut)
             if len(tail):
-                own, ht = t[tail] - at.cut, h[tail]
+                own, ht = t[tail] - at.cut, h.take(tail, axis=0)
                 bins = own // at.width
                 peers = bins[:, None] * at.width + (rng.random((len(tail), PEERS)) * members[bins][:, None]).astype(np.int64)
-                even = np.log(PEERS / members[bins])
-                ut, us = model.u[own], model.u[peers]
-                up2 = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", ht, ut) + model.c[own] - even, -30, 30)))
-                down2 = -1 / (1 + np.exp(-np.clip(np.einsum("ij,ikj->ik", ht, us) + model.c[peers] - even[:, None], -30, 30)))
-                back[tail] += up2[:, None] * ut + np.einsum("ik,ikj->ij", down2, us)
-                hb = np.hstack([ht, one(ht)])
-                steps = np.concatenate([up2[:, None] * hb, (down2[:, :, None] * hb[:, None, :]).reshape(-1, dim + 1)])
-            g1, g2 = r1.T @ back, r2.T @ back
-            both = np.concatenate([back @ model.c1.T, back @ model.c2.T])
-            hb = np.hstack([h, one(h)])
-            spread(np.concatenate([k, s]) + model.at_q, np.concatenate([up[:, None] * hb, down.T @ hb]), n)
-            if len(tail):
-                spread(np.concatenate([own, peers.ravel()]) + model.at_u, steps, n)
-            spread(np.concatenate([c1, c2]), np.hstack([both, np.zeros((2 * n, 1))]), n)
-            move(np.arange(at_c, at_c + 2 * dim), np.hstack([np.concatenate([g1, g2]) / n, np.zeros((2 * dim, 1))]).astype(np.float32))
+                u, members_found = fetch(np.concatenate([own[:, None], peers], axis=1).ravel() + model.at_u)
+                u = u.reshape(len(tail), PEERS + 1, wide)  # a target and its peers
+                pull = np.einsum("ij,ikj->ik", ht, u)
+                pull -= even.take(bins)[:, None]
+                np.clip(pull, -30, 30, out=pull)
+                pull[:, 1:] *= -1
+                np.exp(pull, out=pull)
+                pull += 1
+                np.divide(1, pull, out=pull)
+                pull[:, 1:] *= -1
+                back[tail] += np.einsum("ik,ikj->ij", pull, u)[:, :dim]
+                spread(members_found, (pull[:, :, None] * ht[:, None, :]).reshape(-1, wide), n)
+            turn, ahead = np.zeros((2 * dim, wide), np.float32), np.zeros((2 * n, wide), np.float32)
+            turn[:dim, :dim], turn[dim:, :dim] = r1.T @ back, r2.T @ back
+            ahead[:n, :dim], ahead[n:, :dim] = back @ m1.T, back @ m2.T
+            spread(contexts_found, ahead, n)
+            turn *= np.float32(1 / n)
+            move(mixers, turn)
             seen += n
+    model.flat[:] = state[:, :wide]
     met[at_c:] = seen
     return seen, met
 
@@ -392,7 +441,7 @@ def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = batch.column("met").to_numpy()
             at.append(batch.column("at").to_numpy())
             met.append(n)
-            values.append(np.frombuffer(b"".join(batch.column("value").to_pylist()), np.float32).reshape(len(n), -1).astype(np.float64) * n[:, None])
+            values.append(unpacked(batch.column("value")).astype(np.float64) * n[:, None])
             held += len(n)
             if held > FLUSH // 8:
                 at, met, values = ([x] for x in combined())
@@ -403,7 +452,13 @@ def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def packed(at: np.ndarray, met: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(met), pa.array([x.tobytes() for x in values], pa.binary())], ["at", "met", "value"])
+    cuts = np.arange(len(values) + 1, dtype=np.int32) * np.int32(4 * values.shape[1])
+    value = pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(values, np.float32))])
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(met), value], ["at", "met", "value"])
+
+
+def unpacked(value: pa.Array) -> np.ndarray:
+    return buffers(value)[0].view(np.float32).reshape(len(value), -1)
 
 
 def averaged(training: DataFrame, counts, flat: np.ndarray, dim: int, seed: int) -> np.ndarray:
@@ -438,7 +493,9 @@ def averaged(training: DataFrame, counts, flat: np.ndarray, dim: int, seed: int)
     mean = parts.repartition("at").mapInArrow(summed, form).toArrow()
     out = flat.copy()
     if mean.num_rows:
-        out[mean.column("at").to_numpy()] = np.frombuffer(b"".join(mean.column("value").to_pylist()), np.float32).reshape(mean.num_rows, -1)
+        for batch in mean.to_batches():
+            if batch.num_rows:
+                out[batch.column("at").to_numpy()] = unpacked(batch.column("value"))
     return out
 
 

@@ -453,3 +453,80 @@ def test_language_model_vocabulary_grows_with_the_counts():
         logs = score(every, np.full(len(every), c1), np.full(len(every), c2)).astype(np.float64)
         assert abs(np.exp(logs).sum() - 1) < 1e-3
     assert not np.allclose(score(every, np.full(len(every), 300), np.full(len(every), 9)), score(every, np.full(len(every), 301), np.full(len(every), 9)))
+
+
+def test_language_model_steps_equal_a_slow_loop(monkeypatch):
+    import numpy as np
+
+    n = np.arange(400, 0, -1)
+    counts = logbilinear.Counts(np.arange(1, 401, dtype=np.uint64), n, int(n.sum()) + 50, 430, 24)
+    layout, share, dim, noise = counts.layout(), counts.class_share(), 8, 6
+    ids = np.random.default_rng(3).integers(3, 3 + layout.own, 60)
+    streams = [(ids, np.roll(ids, 1), np.roll(ids, 2))]
+    start = logbilinear.Model.fresh(share, dim, 1, layout, counts.member_logs()).flat
+    flat, squares, met = start.astype(float), np.full(start.shape, 1e-2), Counter()
+    at_u, at_q = layout.size, layout.size + layout.bins * layout.width
+    at_c = at_q + layout.classes
+    squares[layout.cut : at_q] = 1e-5
+    rng = np.random.default_rng(7)
+    pool = rng.choice(len(share), size=1 << 16, p=share)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for low in range(0, len(ids), 25):
+        t, c1, c2 = (x[low : low + 25] for x in streams[0])
+        s = pool[rng.integers(0, len(pool), noise)]
+        far = np.flatnonzero(t >= layout.cut)
+        bins = (t[far] - layout.cut) // layout.width
+        peers = bins[:, None] * layout.width + (rng.random((len(far), logbilinear.PEERS)) * layout.members()[bins][:, None]).astype(int)
+        peers = dict(zip(far.tolist(), peers.tolist()))
+        step = np.zeros(flat.shape)
+        for i in range(len(t)):
+            r1, r2 = flat[c1[i], :dim], flat[c2[i], :dim]
+            h = np.append(r1 @ flat[at_c : at_c + dim, :dim] + r2 @ flat[at_c + dim :, :dim], 1)
+            back = np.zeros(dim + 1)
+
+            def pull(row, wanted, log_noise):
+                weight = wanted - sigmoid(h @ flat[row] - log_noise)
+                step[row] += weight * h
+                back[:] += weight * flat[row]
+                met[row] += 1
+
+            for row, wanted in ((layout.class_of(t[i : i + 1])[0], 1), *((x, 0) for x in s)):
+                pull(at_q + row, wanted, np.log(noise * share[row] if share[row] else noise * 1e-12))
+                met[at_q + row] -= not wanted and i > 0  # a noise class counts once a batch
+            for row, wanted in ((t[i] - layout.cut, 1), *((x, 0) for x in peers[i])) if i in peers else ():
+                pull(at_u + row, wanted, np.log(logbilinear.PEERS / layout.members()[(t[i] - layout.cut) // layout.width]))
+            for row, vector, mixer in ((c1[i], r1, at_c), (c2[i], r2, at_c + dim)):
+                step[row, :dim] += flat[mixer : mixer + dim, :dim] @ back[:dim]
+                step[mixer : mixer + dim, :dim] += np.outer(vector, back[:dim])
+                met[row] += 1
+        step /= len(t)
+        squares += step**2
+        flat += 0.2 * step / np.sqrt(squares)
+    kinds, exp = set(), np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: kinds.add(x.dtype) or exp(x, *a, **k))
+    model = logbilinear.Model(start.copy(), layout, dim)
+    seen, found = logbilinear.train(model, share, iter(streams), 7, noise, 25, 0.2)
+    assert kinds == {np.dtype(np.float32)}  # in double precision a step costs nearly twice as much
+    assert seen == len(ids) and {i: x for i, x in enumerate(found[:at_c].tolist()) if x} == {i: x for i, x in met.items() if x}
+    assert np.allclose(model.flat, flat, atol=1e-4)
+
+
+def test_language_model_normalisers_of_all_sizes():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for scale in (0.5, 20):  # the larger scores overflow unless they are scaled down
+        h, rows = (rng.normal(0, scale, (n, 6)).astype(np.float32) for n in (40, 30))
+        bias = np.append(rng.normal(0, 1, 29), -1e4).astype(np.float32)
+        x = h.astype(float) @ rows.T.astype(float) + bias
+        expected = np.log(np.exp(x - x.max(axis=1, keepdims=True)).sum(axis=1)) + x.max(axis=1)
+        assert np.allclose(logbilinear.log_sums(h, rows, bias, 64), expected, rtol=1e-5, atol=1e-5)
+
+
+def test_language_model_rows_are_packed_as_they_are():
+    import numpy as np
+
+    values = np.arange(12, dtype=np.float32).reshape(4, 3)
+    one = logbilinear.packed(np.arange(4), np.arange(1, 5), values)
+    assert one.column("value").to_pylist() == [x.tobytes() for x in values]
+    assert (logbilinear.unpacked(one.slice(1, 2).column("value")) == values[1:3]).all()
