@@ -8,7 +8,8 @@ by its smoothed count among the others, so the model is a distribution over all
 Model: the two tokens before predict a vector h = r[c1] C1 + r[c2] C2. The output has two levels of about the root of the
 vocabulary each: first ``classes`` classes (other, the end mark, the most frequent tokens, and bins of tokens of like frequency),
 scoring h.q[k] + b[k], then the members of a bin, scoring h.u[w] + c[w]. Normalisers are matrix products: of two tables for
-pairs of the ``TABLE`` most frequent contexts, of h and q for the distinct other pairs of a batch, of h and u bin by bin.
+pairs of the ``TABLE`` most frequent contexts, of h and u bin by bin. Distinct other pairs of a batch multiply a row of each context:
+those of the ``HELD`` most frequent contexts are kept, that of a rarer one serves all its pairs; two rare ones take h and q.
 
 Jobs: (1) token counts over all training texts, summed per task before the shuffle; (2) two passes of training: every
 task walks its own texts from the shared parameters and each row of parameters is averaged by how often tasks met it (the first
@@ -40,7 +41,7 @@ NOISE, BATCH, RATE = 64, 1024, 0.2
 START, END, OTHER = 0, 1, 2
 END_HASH = np.uint64(0x656E64)
 FLUSH = 1_000_000
-OWN, ROOT, TABLE, PEERS = 16, 256, 2048, 4  # PEERS: noise members of a bin per target
+OWN, ROOT, TABLE, HELD, PEERS = 16, 256, 2048, 8192, 4  # PEERS: noise members of a bin per target
 
 
 def held_out(doc_id: Column) -> Column:
@@ -253,10 +254,10 @@ class Model:
 def log_sums(h: np.ndarray, rows: np.ndarray, bias: np.ndarray, cells: int = 1 << 16) -> np.ndarray:
     """log sum over rows of exp(h.row + bias), for each h; ``cells`` scores at a time, so that they stay in a core's cache."""
     out = np.empty(len(h), dtype=np.float32)
+    # where no score can overflow or all of a sum vanish, none need be scaled down before
+    reach = np.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0) * np.einsum("ij,ij->i", rows, rows).max(initial=0))
     h = np.hstack([h, np.ones((len(h), 1), np.float32)])
     turned = np.ascontiguousarray(np.hstack([rows, bias[:, None]]).T)
-    # where no score can overflow or all of a sum vanish, none need be scaled down before
-    reach = np.sqrt((h[:, :-1] ** 2).sum(axis=1).max(initial=0) * (rows**2).sum(axis=1).max(initial=0))
     plain = reach + np.abs(bias.max(initial=0)) < 60
     one = np.ones(len(rows), np.float32)
     step = max(1, cells // max(1, len(rows)))
@@ -278,38 +279,89 @@ def log_sums(h: np.ndarray, rows: np.ndarray, bias: np.ndarray, cells: int = 1 <
 class Scorer:
     """Log probabilities of vocabulary numbers after two others, all levels taken together."""
 
-    def __init__(self, model: Model, table: int = TABLE):
+    def __init__(self, model: Model, table: int = TABLE, held: int = HELD):
         self.model, self.layout = model, model.layout
         self.table = min(table, model.layout.size)
         self.norm = model.tables(self.table)[2]
         self.one, self.two = model.r @ model.c1, model.r @ model.c2
         self.q, self.b = np.ascontiguousarray(model.q), model.b.copy()
         self.b[START] = -1e4
+        self.held = min(held, model.layout.size)
+        (self.exp1, self.most1), (self.exp2, self.most2) = self.rows(self.one[: self.held]), self.rows(self.two[: self.held], self.b)
+
+    def rows(self, vectors: np.ndarray, bias: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """exp of the class scores of each context less their largest, and the largest."""
+        scores = vectors @ self.q.T
+        if bias is not None:
+            scores += bias
+        most = scores.max(axis=1)
+        scores -= most[:, None]
+        return np.exp(scores, out=scores), most
+
+    def pair_sums(self, p: np.ndarray, q: np.ndarray, step: int = 64) -> np.ndarray:
+        """Log normalisers of pairs of contexts: exp(a + b) is exp(a) exp(b), and the rows of exp(a) and exp(b) serve several pairs."""
+        out, sure = np.empty(len(p), dtype=np.float32), np.zeros(len(p), dtype=bool)
+
+        def put(at: np.ndarray, exp1: np.ndarray, i: np.ndarray, exp2: np.ndarray, j: np.ndarray, most: np.ndarray) -> None:
+            for low in range(0, len(at), step):
+                some = slice(low, low + step)
+                total = np.vecdot(exp1.take(i[some], axis=0), exp2.take(j[some], axis=0))
+                sure[at[some]] = total > 1e-30  # else nearly all of the sum may have vanished
+                out[at[some]] = np.log(np.maximum(total, 1e-37)) + most[some]
+
+        first, second = p < self.held, q < self.held
+        at = np.flatnonzero(first & second)
+        i, j = p.take(at), q.take(at)
+        put(at, self.exp1, i, self.exp2, j, self.most1.take(i) + self.most2.take(j))
+        # pairs of a held context and another, in the order of that other one: its row is made once
+        for rare, held, vectors, bias, at in ((p, q, self.one, None, np.flatnonzero(~first & second)), (q, p, self.two, self.b, np.flatnonzero(first & ~second))):
+            at = at.take(np.argsort(rare.take(at), kind="stable"))
+            begin = np.flatnonzero(np.diff(rare.take(at), prepend=-1))
+            place = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(at)))
+            edges = np.append(begin, len(at))
+            for low in range(0, len(begin), step):
+                some = slice(edges[low], edges[min(low + step, len(begin))])
+                exp, most = self.rows(vectors.take(rare.take(at.take(begin[low : low + step])), axis=0), bias)
+                i, j = place[some] - low, held.take(at[some])
+                if rare is p:
+                    put(at[some], exp, i, self.exp2, j, most.take(i) + self.most2.take(j))
+                else:
+                    put(at[some], self.exp1, j, exp, i, most.take(i) + self.most1.take(j))
+        rest = np.flatnonzero(~sure)
+        h = self.one.take(p.take(rest), axis=0)
+        h += self.two.take(q.take(rest), axis=0)
+        out[rest] = log_sums(h, self.q, self.b)
+        return out
 
-    def __call__(self, ids: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    def __call__(self, ids: np.ndarray, c1: np.ndarray, c2: np.ndarray, step: int = 1 << 15) -> np.ndarray:
         at = self.layout
         h = self.one.take(c1, axis=0)
-        h += self.two.take(c2, axis=0)
         k = at.class_of(ids)
-        out = np.einsum("ij,ij->i", h, self.q.take(k, axis=0)) + self.b.take(k)
+        out = self.b.take(k)
+        for low in range(0, len(ids), step):
+            some = slice(low, low + step)
+            h[some] += self.two.take(c2[some], axis=0)
+            out[some] += np.einsum("ij,ij->i", h[some], self.q.take(k[some], axis=0))
         near = (c1 < self.table) & (c2 < self.table)
         close, far = np.flatnonzero(near), np.flatnonzero(~near)
         out[close] -= self.norm.take(c1.take(close) * self.table + c2.take(close))
         if len(far):
-            _, first, back = np.unique(c1[far] * at.size + c2[far], return_index=True, return_inverse=True)
-            out[far] -= log_sums(h.take(far[first], axis=0), self.q, self.b)[back]
+            pairs, back = np.unique(c1.take(far) * at.size + c2.take(far), return_inverse=True)
+            out[far] -= self.pair_sums(pairs // at.size, pairs % at.size)[back]
         tail = np.flatnonzero(ids >= at.cut)
         if len(tail):
-            u = self.model.u.reshape(at.bins, at.width, -1)
-            c = self.model.c.reshape(at.bins, at.width)
-            bins = (ids[tail] - at.cut) // at.width
-            order = np.argsort(bins, kind="stable")
-            edges = np.searchsorted(bins[order], np.arange(at.bins + 1))
+            u, c = self.model.u, self.model.c
+            bins = (ids.take(tail) - at.cut) // at.width
+            order = np.argsort(bins.astype(np.min_scalar_type(at.bins)), kind="stable")
+            edges = np.cumsum(np.append(0, np.bincount(bins, minlength=at.bins)))
+            tail = tail.take(order)
+            own, h = ids.take(tail) - at.cut, h.take(tail, axis=0)
+            logs = c.take(own)
             for bin_ in np.flatnonzero(np.diff(edges)):
-                rows = tail[order[edges[bin_] : edges[bin_ + 1]]]
-                slot = (ids[rows] - at.cut) % at.width
-                own = np.einsum("ij,ij->i", h[rows], u[bin_][slot]) + c[bin_][slot]
-                out[rows] += own - log_sums(h[rows], u[bin_], c[bin_])
+                some, rows = slice(edges[bin_], edges[bin_ + 1]), slice(bin_ * at.width, (bin_ + 1) * at.width)
+                logs[some] += np.einsum("ij,ij->i", h[some], u[own[some]])
+                logs[some] -= log_sums(h[some], u[rows], c[rows])
+            out[tail] += logs
         return out
 
 
@@ -330,11 +382,12 @@ def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, n
     pool = rng.choice(len(share), size=1 << 16, p=share)
     prior = np.log(noise * np.maximum(share, 1e-12)).astype(np.float32)
     at, dim = model.layout, model.dim
-    # a row of parameters and the sums of its squared steps lie side by side: a row is fetched and put back once a batch
+    # parameters and the sums of their squared steps: a row is fetched and put back once a batch, as one value, without a loop over its numbers
     wide = dim + 1
-    state = np.full((len(model.flat), 2 * wide), 1e-2, dtype=np.float32)
-    state[:, :wide] = model.flat
-    state[at.cut : model.at_q, wide:] = 1e-5  # a rare token has few steps
+    state, squares = model.flat.astype(np.float32), np.full(model.flat.shape, 1e-2, dtype=np.float32)
+    squares[at.cut : model.at_q] = 1e-5  # a rare token has few steps
+    row = np.dtype((np.void, 4 * wide))
+    state_rows, squares_rows = state.view(row)[:, 0], squares.view(row)[:, 0]
     met = np.zeros(len(state), dtype=np.int64)
     members, place = at.members(), np.zeros(len(state), dtype=np.int32)
     even = np.log(PEERS / np.maximum(members, 1)).astype(np.float32)
@@ -348,15 +401,16 @@ def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, n
         back = place.take(rows)
         last = back == spots[: len(rows)]
         first, again = np.flatnonzero(last), np.flatnonzero(~last)
-        to = (np.cumsum(last) - 1).take(back)
-        held = state.take(rows.take(first), axis=0)
-        return held[:, :wide].take(to, axis=0), (rows.take(first), first, again, to, held)
+        to = (np.cumsum(last, dtype=np.int32) - 1).take(back)
+        rows = rows.take(first)
+        held = state.take(rows, axis=0)
+        return held.take(to, axis=0), (rows, first, again, to, held)
 
-    def move(held: np.ndarray, step: np.ndarray) -> None:
-        held[:, wide:] += step * step
+    def move(held: np.ndarray, sums: np.ndarray, step: np.ndarray) -> None:
+        sums += step * step
         step *= np.float32(rate)
-        step /= np.sqrt(held[:, wide:])
-        held[:, :wide] += step
+        step /= np.sqrt(sums)
+        held += step
 
     def spread(found: tuple, steps: np.ndarray, n: int) -> None:
         """One step for each distinct row: that of its last place, to which those of its other places are added."""
@@ -366,12 +420,13 @@ def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, n
             at_cell = (to.take(again)[:, None] * wide + cells).ravel()
             total += np.bincount(at_cell, weights=steps.take(again, axis=0).ravel(), minlength=total.size).reshape(total.shape)
         total *= np.float32(1 / n)
-        met[rows] += np.bincount(to, minlength=len(rows))
-        move(held, total)
-        state[rows] = held
+        sums = squares.take(rows, axis=0)
+        move(held, sums, total)
+        state_rows[rows], squares_rows[rows] = held.view(row)[:, 0], sums.view(row)[:, 0]
 
     mixers = state[at_c:]  # C1 and C2
     for targets, ones, twos in streams:
+        drawn = []
         for low in range(0, len(targets), batch):
             t, c1, c2 = targets[low : low + batch], ones[low : low + batch], twos[low : low + batch]
             n = len(t)
@@ -385,6 +440,7 @@ def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, n
             h[:, :dim] = r1 @ m1 + r2 @ m2
             rows = np.concatenate([k, s])
             q, classes_found = fetch(rows + model.at_q)
+            drawn.append(s + model.at_q)
             biased = q.copy()
             biased[:, dim] -= prior.take(rows)
             up = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", h, biased[:n]), -30, 30)))
@@ -403,6 +459,7 @@ def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, n
                 bins = own // at.width
                 peers = bins[:, None] * at.width + (rng.random((len(tail), PEERS)) * members[bins][:, None]).astype(np.int64)
                 u, members_found = fetch(np.concatenate([own[:, None], peers], axis=1).ravel() + model.at_u)
+                drawn.append(peers.ravel() + model.at_u)
                 u = u.reshape(len(tail), PEERS + 1, wide)  # a target and its peers
                 pull = np.einsum("ij,ikj->ik", ht, u)
                 pull -= even.take(bins)[:, None]
@@ -413,15 +470,20 @@ def train(model: Model, share: np.ndarray, streams: Iterator[tuple[np.ndarray, n
                 np.divide(1, pull, out=pull)
                 pull[:, 1:] *= -1
                 back[tail] += np.einsum("ik,ikj->ij", pull, u)[:, :dim]
-                spread(members_found, (pull[:, :, None] * ht[:, None, :]).reshape(-1, wide), n)
+                steps = np.repeat(ht, PEERS + 1, axis=0)
+                steps *= pull.reshape(-1, 1)
+                spread(members_found, steps, n)
             turn, ahead = np.zeros((2 * dim, wide), np.float32), np.zeros((2 * n, wide), np.float32)
             turn[:dim, :dim], turn[dim:, :dim] = r1.T @ back, r2.T @ back
             ahead[:n, :dim], ahead[n:, :dim] = back @ m1.T, back @ m2.T
             spread(contexts_found, ahead, n)
             turn *= np.float32(1 / n)
-            move(mixers, turn)
+            move(mixers, squares[at_c:], turn)
             seen += n
-    model.flat[:] = state[:, :wide]
+        near, far = at.class_of(targets) + model.at_q, targets[targets >= at.cut] - at.cut + model.at_u
+        for rows in (ones, twos, near, far, *([np.concatenate(drawn)] if drawn else [])):
+            met += np.bincount(rows, minlength=len(met))
+    model.flat[:] = state
     met[at_c:] = seen
     return seen, met
 

@@ -530,3 +530,45 @@ def test_language_model_rows_are_packed_as_they_are():
     one = logbilinear.packed(np.arange(4), np.arange(1, 5), values)
     assert one.column("value").to_pylist() == [x.tobytes() for x in values]
     assert (logbilinear.unpacked(one.slice(1, 2).column("value")) == values[1:3]).all()
+
+
+def test_language_model_pairs_share_the_rows_of_their_contexts(monkeypatch):
+    import numpy as np
+
+    n = np.arange(400, 0, -1)
+    counts = logbilinear.Counts(np.arange(1, 401, dtype=np.uint64), n, int(n.sum()) + 50, 430, 24)
+    layout, share = counts.layout(), counts.class_share()
+    rng = np.random.default_rng(4)
+    c1, c2 = np.divmod(rng.permutation(layout.size**2)[:40_000], layout.size)  # no pair comes twice
+    ids = rng.choice([logbilinear.END, logbilinear.OTHER, *range(3, layout.cut)], len(c1))
+    for spread in (1, 60):  # with the larger scores nearly all of some products vanishes
+        model = logbilinear.Model.fresh(share, 8, 1, layout, counts.member_logs())
+        model.r *= spread
+        score = logbilinear.Scorer(model, 30, 200)
+        made, exp = [], np.exp
+        with monkeypatch.context() as patch:
+            patch.setattr(np, "exp", lambda x, *a, **k: made.append(x.size) or exp(x, *a, **k))
+            found = score(ids, c1, c2)
+        # rows of scores worked out: of pairs of two rare contexts, and of each rare context once
+        rare = ((c1 >= 200) & (c2 >= 200)).sum() + 2 * layout.size
+        assert spread > 1 or sum(made) <= rare * layout.classes
+        one, two, q, b = (x.astype(float) for x in (model.r @ model.c1, model.r @ model.c2, model.q, model.b))
+        x = (one[c1] + two[c2]) @ q.T + b
+        x[:, logbilinear.START] = -np.inf
+        most = x.max(axis=1)
+        expected = x[np.arange(len(ids)), ids] - np.log(np.exp(x - most[:, None]).sum(axis=1)) - most
+        assert np.allclose(found, expected, rtol=1e-4, atol=1e-4)
+
+
+def test_language_model_steps_run_over_whole_arrays(monkeypatch):
+    import numpy as np
+
+    # parameters and sums of squared steps lie apart: halves of longer rows would be walked row by row
+    share = np.full(12, 1 / 12)
+    ids = np.random.default_rng(3).integers(3, 12, 3000)
+    roots, sqrt = [], np.sqrt
+    monkeypatch.setattr(np, "sqrt", lambda x, *a, **k: roots.append(x.flags["C_CONTIGUOUS"]) or sqrt(x, *a, **k))
+    model = logbilinear.Model.fresh(share, 4, 1)
+    seen, met = logbilinear.train(model, share, iter([(ids, np.roll(ids, 1), np.roll(ids, 2)), (ids[:0],) * 3]), 1, noise=5)
+    assert roots and all(roots)
+    assert seen == 3000 and met[:12].sum() == 6000 and met[12:24].sum() == 3000 + 3 * 5
