@@ -2,7 +2,8 @@
 
 Texts are read once into a few of their grams, each with the characters around it. A gram meets the patterns in an equi-join and a
 pattern is compared with these characters at once, so that pairs which only share a gram are never written. Before the shuffle,
-nearly all grams that no pattern has are dropped by a bit table of bounded size. The work follows the texts and the matches, not texts times patterns.
+nearly all grams that no pattern has are dropped by a bit table that grows with the patterns' grams, up to a bounded size. The work
+follows the texts and the matches, not texts times patterns.
 
 Of a text only every ``stride``-th gram is taken: a pattern of at least ``least`` characters holds a gram at each of
 ``least - gram + 1`` places in a row, one of which falls on the stride wherever the pattern stands, so a pattern is known by
@@ -23,7 +24,9 @@ GRAM = 6
 LONG = ((40, 33), (32, 25), (24, 18), (18, 13), (14, 10), (10, 7))  # least length of a pattern and the gram it is known by, longest first
 PIECE = 1 << 11
 HEAD = 256  # characters of a pattern that are compared around its gram; what is longer is then compared with the whole text
-WORDS = 1 << 21  # of 64 bits, in the table of the grams that patterns have
+WORDS = (1 << 21, 1 << 23)  # least and most words of 64 bits in the table of the grams that patterns have
+LOAD = 4  # grams a word, at most, while the table can grow
+ROW = 64  # words in a row of the table
 
 
 def grams(text: Column, size: int, stride: int = 1) -> Column:
@@ -60,9 +63,20 @@ def anchored(patterns: DataFrame, pattern: str, size: int = GRAM, long: Sequence
     return reduce(DataFrame.unionByName, found)
 
 
-def marks(gram: Column) -> tuple[Column, Column]:
-    """Word and bit of a gram's hash in the table of grams."""
-    return F.shiftrightunsigned(gram, 6).bitwiseAND(WORDS - 1), gram.bitwiseAND(63).cast("int")
+def marks(gram: Column, words: int) -> tuple[Column, Column, Column]:
+    """Row, word and four bits of a gram's hash in the table of grams."""
+    part = lambda k: F.shiftrightunsigned(gram, 6 * k).bitwiseAND(63).cast("int")
+    bits = reduce(Column.bitwiseOR, [F.call_function("shiftleft", F.lit(1).cast("long"), part(k)) for k in range(4)])
+    return F.shiftrightunsigned(gram, 30).bitwiseAND(words // ROW - 1), part(4), bits
+
+
+def marked(index: DataFrame, words: int) -> DataFrame:
+    """The bit table of the grams: ``__row`` and its ``ROW`` words, ``__words``. Of several bits a gram, so that few others have all of them set."""
+    row, word, bits = marks(F.col("gram"), words)
+    own = index.select(row.alias("__row"), word.alias("__word"), bits.alias("__bits")).groupBy("__row", "__word").agg(F.bit_or("__bits").alias("__bits"))
+    rows = own.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("__word", "__bits"))).alias("__own"))
+    every = F.sequence(F.lit(0), F.lit(ROW - 1))
+    return rows.select("__row", F.transform(every, lambda i: F.coalesce(F.try_element_at("__own", i), F.lit(0).cast("long"))).alias("__words"))
 
 
 def hashed(text: Column, width: int, stride: int) -> Column:
@@ -75,7 +89,7 @@ def matches(
 ) -> DataFrame:
     """row_id and ``pattern`` for every pattern a text contains. ``row_id`` is unique; null texts and empty patterns match nothing."""
     index = cut_lineage(anchored(patterns, pattern, size, long).withColumn("gram", F.xxhash64("gram")))
-    kinds = index.groupBy("width", "stride").agg(F.max("place").alias("before"), F.max("n").alias("n"), F.max(F.char_length("pattern")).alias("whole")).collect()
+    kinds = index.groupBy("width", "stride").agg(F.max("place").alias("before"), F.max("n").alias("n"), F.max(F.char_length("pattern")).alias("whole"), F.count(F.lit(1)).alias("held")).collect()
     if not kinds:  # at most size + number of long classes
         return texts.select(row_id, F.lit("").alias("pattern")).limit(0)
     before, after = max(k.before for k in kinds), max(k.n for k in kinds)
@@ -83,10 +97,9 @@ def matches(
     every = F.concat(*[hashed(F.col("__piece"), k.width, k.stride) for k in sorted(kinds)])
     cut = known.select(row_id, F.explode(pieces(F.col("__text"), after)).alias("__piece"))
     held = cut.select(row_id, "__piece", F.inline(every)).withColumnsRenamed({"gram": "__gram", "at": "__at"})
-    word, bit = marks(F.col("gram"))
-    table = index.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__mask"))
-    word, bit = marks(F.col("__gram"))
-    some = held.join(F.broadcast(table), word == F.col("__word")).filter(F.bit_get("__mask", bit) == 1)
+    words = min(max(1 << (sum(k.held for k in kinds) // LOAD).bit_length(), WORDS[0]), WORDS[1])
+    row, word, bits = marks(F.col("__gram"), words)
+    some = held.join(F.broadcast(marked(index, words)), row == F.col("__row")).filter(F.bitwise_not(F.col("__words")[word]).bitwiseAND(bits) == 0)
     start = F.greatest(F.col("__at") - before, F.lit(0))
     nearby = F.coalesce(F.substring(F.col("__piece"), start + 1, F.lit(before + after)), F.lit(""))  # never null: else a null check of it runs for each gram
     around = some.select(row_id, F.col("__gram").alias("gram"), (F.col("__at") - start).alias("__lead"), nearby.alias("__around"))

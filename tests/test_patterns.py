@@ -49,6 +49,40 @@ def test_long_patterns_and_piece_borders(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def nodes(plan):
+    """The nodes of an executed plan, those of its stages too."""
+    kind, children = plan.getClass().getSimpleName(), plan.children()
+    if kind == "AdaptiveSparkPlanExec":
+        return nodes(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return nodes(plan.plan())
+    return [plan, *(n for i in range(children.size()) for n in nodes(children.apply(i)))]
+
+
+def test_grams_of_no_pattern_are_dropped_however_many_patterns_there_are(spark):
+    """250,000 grams of texts against 40,000 of patterns, a few of them shared: with one bit a gram 69 rows were dealt out, a number that grew with texts times patterns."""
+    rng = random.Random(3)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    secrets = [some(12) for _ in range(10_000)]
+    texts, patterns = frames(spark, [(i, some(2000)) for i in range(500)] + [(500, secrets[0])], secrets)
+    found = P.matches(texts, "id", "t", patterns)
+    assert [tuple(r) for r in found.collect()] == [(500, secrets[0])]
+    probes = [n for n in nodes(found._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("BroadcastHashJoin") and "shiftrightunsigned(__gram" in n.simpleString(100)]
+    assert len(probes) == 1 and probes[0].metrics().apply("numOutputRows").value() <= 10
+
+
+@pytest.mark.parametrize("words, load", [((P.ROW, P.ROW), 1), ((P.ROW, 1 << 12), 1), ((P.ROW, 1 << 12), 1 << 20)])
+def test_the_table_of_grams_loses_no_match_at_any_size(spark, monkeypatch, words, load):
+    monkeypatch.setattr(P, "WORDS", words)
+    monkeypatch.setattr(P, "LOAD", load)
+    rng = random.Random(9)
+    texts = [(i, "".join(rng.choice("abcd ") for _ in range(300))) for i in range(20)]
+    patterns = [t[k : k + rng.randint(1, 45)] for _, t in texts for k in rng.sample(range(250), 20)] + ["".join(rng.choice("abcd ") for _ in range(20)) for _ in range(100)]
+    want = {(i, p) for i, t in texts for p in patterns if p in t}
+    got = [tuple(r) for r in P.matches(*[frames(spark, texts, patterns)[0], "id", "t", frames(spark, texts, patterns)[1]]).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_first_marker_and_redaction(spark):
     texts, _ = frames(spark, TEXTS, [])
     markers = spark.createDataFrame([("secret", 2), ("abd", 1), ("abc", 3), ("needle", 0)], "marker string, rank int")
